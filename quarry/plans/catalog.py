@@ -65,4 +65,11 @@ QUERIES: dict[str, Query] = {
     "parquet_sink_roundtrip": Fl.parquet_sink_roundtrip_tables,
     "row_text_sink": Fl.row_text_sink_tables,
     "tsv_sink_roundtrip": Fl.tsv_sink_roundtrip_tables,
+    # streams
+    "stream_word_count": _streaming("stream_word_count"),
+    "stream_hashtags": _streaming("stream_hashtags"),
+    "stream_running_stats": _streaming("stream_running_stats"),
+    "stream_log_windows": _streaming("stream_log_windows"),
+    "stream_window_heavy_hitters": _streaming("stream_window_heavy_hitters"),
+    "stream_window_top_endpoints": _streaming("stream_window_top_endpoints"),
 }

@@ -116,16 +116,16 @@ SELECT ipAddress, count(*) AS count FROM logs GROUP BY ipAddress HAVING count(*)
 
 _CODE_TOTAL = f"{_LOGS} SELECT count(responseCode) AS response_codes FROM logs"
 
-# Windowed log report: 1 hour windows sliding by 30 minutes on the log time.
-# Window bounds are epoch seconds, so no time zone is involved.
+# Windowed log report: 7 day windows sliding by 1 day on the log time.
+# Window bounds are epoch seconds, so no time zone is involved. A record at
+# time t lies in the 7 windows starting at floor_day(t) - i days, i = 0..6.
 _WINDOWED_LOGS = f"""{_LOGS},
 timed AS (
   SELECT *, CAST(epoch(strptime(dateTimeString, '%d/%b/%Y:%H:%M:%S %z')) AS BIGINT) AS t
   FROM logs),
 windows AS (
-  SELECT *, (t // 1800) * 1800 AS window_start_epoch FROM timed
-  UNION ALL
-  SELECT *, (t // 1800) * 1800 - 1800 AS window_start_epoch FROM timed)
+  {" UNION ALL ".join(
+      f"SELECT *, (t // 86400 - {i}) * 86400 AS window_start_epoch FROM timed" for i in range(7))})
 """
 
 ORACLE_SQL: dict[str, str] = {
@@ -198,7 +198,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_hashtags": _POSTS_HASHTAGS,
     "stream_running_stats": _LOG_STATS,
     "stream_log_windows": f"""{_WINDOWED_LOGS}
-        SELECT window_start_epoch, window_start_epoch + 3600 AS window_end_epoch,
+        SELECT window_start_epoch, window_start_epoch + 604800 AS window_end_epoch,
                CAST(sum(contentSize) AS BIGINT) AS size_sum, count(*) AS requests,
                CAST(sum(contentSize) AS BIGINT) // count(*) AS size_avg,
                min(contentSize) AS size_min, max(contentSize) AS size_max,
