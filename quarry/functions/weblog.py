@@ -4,6 +4,7 @@ One regex test decides whether a line parses; one ``regexp_replace`` pass packs
 the nine capture groups into a newline-separated string that ``split`` turns
 into an array. That is two regex evaluations per line instead of ten
 (one ``rlike`` plus nine ``regexp_extract``), and it stays JVM-side.
+``quarry.operators.weblog`` turns the groups into records.
 """
 
 from __future__ import annotations
@@ -53,22 +54,25 @@ def log_groups(line: str | Column) -> Column:
     return F.when(~c.contains("\n"), packed).otherwise(per_group)
 
 
-def parsed_log_columns(line: str | Column) -> list[Column]:
-    """Typed columns of a line, named as ``LOG_FIELDS``, plus ``_log_ok``.
-
-    ``_log_ok`` is TRUE iff the line matches and its size fits in 64 bits
-    (``\\d+`` may not); it is never NULL, so ``~_log_ok`` is exactly the set
-    of rejected lines. Groups are only computed for matching lines.
-    """
+def matched_groups(line: str | Column) -> Column:
+    """The nine groups of a matching line, NULL for a line that does not match."""
     c = _col(line)
-    matched = F.coalesce(c.rlike(LOG_PATTERN), F.lit(False))
-    g = F.when(matched, log_groups(c))
-    cols = [F.get(g, i).alias(LOG_FIELDS[i]) for i in range(7)]
-    cols.append(F.get(g, 7).cast("int").alias("responseCode"))
-    size = F.get(g, 8).try_cast("bigint")
-    cols.append(size.alias("contentSize"))
-    cols.append((matched & size.isNotNull()).alias("_log_ok"))
-    return cols
+    return F.when(c.rlike(LOG_PATTERN), log_groups(c))
+
+
+def log_record(groups: str | Column) -> Column:
+    """Typed record struct (``LOG_FIELDS``) from a groups array."""
+    g = _col(groups)
+    fields = [F.get(g, i).alias(LOG_FIELDS[i]) for i in range(7)]
+    fields.append(F.get(g, 7).cast("int").alias("responseCode"))
+    fields.append(record_size(g).alias("contentSize"))
+    return F.struct(*fields)
+
+
+def record_size(groups: str | Column) -> Column:
+    """Content size of a groups array; NULL when it does not fit in 64 bits
+    (the pattern's ``\\d+`` is unbounded), which makes the line malformed."""
+    return F.get(_col(groups), 8).try_cast("bigint")
 
 
 def log_time(date_time_string: str | Column) -> Column:

@@ -8,23 +8,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.weblog import LOG_FIELDS, parsed_log_columns
+from quarry.functions.weblog import LOG_FIELDS, log_record, matched_groups, record_size
 from quarry.operators.aggregates import count_by, count_non_null, global_stats, more_than
 from quarry.operators.topk import top_k
 
 
-def _with_fields(lines: DataFrame, line: str) -> DataFrame:
-    return lines.select(F.col(line).alias("_line"), *parsed_log_columns(line))
+def _groups(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
+    # computed once per line in its own projection; the generator above
+    # reads it several times without re-running the regex
+    return lines.select(*keep, F.col(line).alias("_line"), matched_groups(line).alias("_g"))
 
 
 def parse_access_log(lines: DataFrame, line: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Typed access-log records (``LOG_FIELDS``); unparseable lines dropped.
 
+    A line yields zero or one record (``explode`` of a 0/1-element array),
+    like the reference's parse-then-filter-null. Being a generator, it also
+    keeps Catalyst from pushing the validity test below the projection that
+    produced the line, which would evaluate the regex and the line twice.
     ``keep`` carries extra input columns (e.g. an arrival timestamp).
     """
     keep = keep or []
-    parsed = lines.select(*keep, *parsed_log_columns(line))
-    return parsed.where(F.col("_log_ok")).select(*keep, *LOG_FIELDS)
+    g = F.col("_g")
+    ok = g.isNotNull() & record_size(g).isNotNull()
+    one = F.when(ok, F.array(log_record(g)))
+    return (
+        _groups(lines, line, keep)
+        .select(*keep, F.explode(one).alias("_r"))
+        .select(*keep, *[F.col("_r")[f].alias(f) for f in LOG_FIELDS])
+    )
 
 
 def rejected_log_lines(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -32,7 +44,10 @@ def rejected_log_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
     The reference only printed them from the executors.
     """
-    return _with_fields(lines, line).where(~F.col("_log_ok")).select(F.col("_line").alias("value"))
+    g = F.col("_g")
+    bad = ~F.coalesce(g.isNotNull() & record_size(g).isNotNull(), F.lit(False))
+    one = F.when(bad, F.array(F.col("_line")))
+    return _groups(lines, line, []).select(F.explode(one).alias("value"))
 
 
 def log_stats(logs: DataFrame) -> DataFrame:

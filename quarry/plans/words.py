@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
-from quarry.sources.tables import posts, table
+from quarry.sources.tables import posts, spread, table
 
 # Terms tracked by the keyword-filter job on the documents table.
 TRACKED_TERMS = ["password", "license"]
 
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = spread(table(spark, sf_dir, "documents").select("text"))
     return W.document_tokens(docs, "text")
 
 
@@ -37,7 +37,7 @@ def tokens_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     Tokens are exploded and counted per doc_id (a partial + final aggregate),
     so even the largest document is not materialised as one array.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     toks = W.document_tokens(docs, "text", keep=["doc_id"])
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("tokens"))
 

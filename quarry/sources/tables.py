@@ -23,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a batch input that has fewer partitions than the cluster
+    has task slots, before CPU-heavy per-row work (regex, tokenising).
+
+    A parquet row group is the unit of a scan task, so a file written as one
+    row group is read by one task however large the cluster. Large inputs
+    already have more splits than slots and are returned unchanged (no extra
+    shuffle); the check needs no job, only the planned partition count.
+    """
+    if df.isStreaming:
+        return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            return df.repartition(slots)
+    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect)
+        pass
+    return df
+
+
 def event_log_lines(events: DataFrame) -> DataFrame:
     """One access-log line per event (column ``value``) plus its ``ts``.
 
@@ -68,8 +88,13 @@ def event_posts(events: DataFrame) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log_lines(table(spark, sf_dir, "events")).select("value")
+    """Log lines of all events, spread for the regex work that follows."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"
+    )
+    return event_log_lines(spread(events)).select("value")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of all events (cheap to tokenise: not spread)."""
     return event_posts(table(spark, sf_dir, "events")).select("value")
