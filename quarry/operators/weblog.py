@@ -57,9 +57,14 @@ def log_stats(logs: DataFrame) -> DataFrame:
     )
 
 
-def response_code_counts(logs: DataFrame) -> DataFrame:
-    """Requests per response code: (responseCode, count)."""
-    return count_by(logs, "responseCode", "count")
+def response_code_counts(logs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Requests per response code: (responseCode, count).
+
+    All codes by default; ``limit`` keeps any ``limit`` of them (the
+    reference printed ``take(100)``).
+    """
+    out = count_by(logs, "responseCode", "count")
+    return out.limit(limit) if limit else out
 
 
 def response_code_total(logs: DataFrame) -> DataFrame:
@@ -71,9 +76,11 @@ def ip_counts(logs: DataFrame) -> DataFrame:
     return count_by(logs, "ipAddress", "count")
 
 
-def heavy_hitters(logs: DataFrame, threshold: int = 10) -> DataFrame:
-    """IP addresses with strictly more than ``threshold`` requests."""
-    return more_than(ip_counts(logs), "count", threshold)
+def heavy_hitters(logs: DataFrame, threshold: int = 10, limit: int | None = None) -> DataFrame:
+    """IP addresses with strictly more than ``threshold`` requests
+    (``limit``: keep any ``limit`` of them, as ``take(100)`` did)."""
+    out = more_than(ip_counts(logs), "count", threshold)
+    return out.limit(limit) if limit else out
 
 
 def endpoint_counts(logs: DataFrame) -> DataFrame:

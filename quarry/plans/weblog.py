@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import weblog as L
@@ -61,3 +62,35 @@ def sql_having_tables(
 
 def sql_top_endpoints_tables(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     return L.sql_top_endpoints(spark, logs_tables(spark, sf_dir), k)
+
+
+def log_report(
+    lines: DataFrame,
+    out_dir: str,
+    threshold: int = HEAVY_HITTER_THRESHOLD,
+    k: int = 10,
+    mode: str = "errorifexists",
+) -> dict[str, str]:
+    """The whole batch log analysis as one job set: parse once, persist the
+    records (memory, spilling to disk), write every report under ``out_dir``,
+    release the cache. Returns report name -> folder.
+
+    Persisting trades one pass of regex work per report for one cached
+    columnar copy; a lost executor's blocks are recomputed from lineage.
+    """
+    logs = L.parse_access_log(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    reports = {
+        "log_stats": L.log_stats(logs),
+        "response_code_counts": L.response_code_counts(logs),
+        "response_code_total": L.response_code_total(logs),
+        "heavy_hitters": L.heavy_hitters(logs, threshold),
+        "top_endpoints": L.top_endpoints(logs, k),
+    }
+    paths = {}
+    try:
+        for name, df in reports.items():
+            paths[name] = f"{out_dir.rstrip('/')}/{name}"
+            df.write.mode(mode).parquet(paths[name])
+    finally:
+        logs.unpersist()
+    return paths

@@ -68,6 +68,29 @@ def start_to_table(
     return writer.start()
 
 
+def start_console(
+    stream_df: DataFrame,
+    num_rows: int = 10,
+    output_mode: str = "append",
+    processing_time: str | None = "2 seconds",
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Print the first ``num_rows`` rows of every micro-batch (the reference's
+    ``DStream.print()``), for interactive runs. Rows of a batch are fetched to
+    the driver only up to ``num_rows``."""
+    writer = (
+        stream_df.writeStream.format("console")
+        .outputMode(output_mode)
+        .option("numRows", str(num_rows))
+        .option("truncate", "false")
+    )
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def run_to_table(
     stream_df: DataFrame,
     name: str,

@@ -108,3 +108,10 @@ def test_positional_fields(spark):
     df = spark.createDataFrame([("1\t7\t3\t300\tdesc",), ("9\t8",)], "value string")
     got = rows(df.select(*positional_fields("value", "\t", {"user": 2, "prod": 1})))
     assert got == [(None, "8"), ("3", "7")]
+
+
+def test_labelled(spark):
+    from quarry.plans.files import labelled
+
+    df = spark.createDataFrame([("Amitav",)], "name string")
+    assert labelled(df).first().label == "Name: Amitav"

@@ -94,3 +94,23 @@ def test_running_stats(spark, tmp_path):
     out = run_to_table(SL.running_stats(logs), "t-running", "update")
     r = read_latest(spark, out, []).first()
     assert (r.size_sum, r.requests, r.size_avg, r.size_min, r.size_max) == (13, 2, 6, 5, 8)
+
+
+def test_keyword_track_on_a_stream(spark, tmp_path):
+    from quarry.operators.filters import keyword_track
+
+    feed = _feed(tmp_path, "kw", ["Spark is fast\nnothing\n", "I love SPARK and Kafka\n"])
+    stream = text_file_stream(spark, feed, 1)
+    out = run_to_table(keyword_track(stream, "value", ["spark", "flink"]), "t-kw", "append")
+    assert rows(read_batches(spark, out).select("value")) == [("I love SPARK and Kafka",), ("Spark is fast",)]
+
+
+def test_console_sink_starts_and_stops(spark, tmp_path):
+    from quarry.streaming.runner import start_console
+
+    feed = _feed(tmp_path, "console", ["a b\n"])
+    q = start_console(W.tokens(text_file_stream(spark, feed), "value"), processing_time=None,
+                      checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    assert q.isActive
+    q.stop()

@@ -121,3 +121,27 @@ def test_sql_spellings_match(spark):
     assert rows(L.sql_heavy_hitters(spark, logs, 10)) == rows(L.heavy_hitters(logs, 10))
     assert rows(L.sql_top_endpoints(spark, logs, 3)) == rows(L.top_endpoints(logs, 3))
     assert rows(L.sql_response_code_total(spark, logs)) == rows(L.response_code_total(logs))
+
+
+def test_optional_limits(spark):
+    logs = _sample(spark)
+    assert L.response_code_counts(logs, limit=2).count() == 2
+    assert L.heavy_hitters(logs, 0, limit=1).count() == 1
+
+
+def test_log_report_writes_every_report(spark, tmp_path):
+    from quarry.plans.weblog import log_report
+
+    raw = _sample(spark)  # parsed; rebuild the raw lines for the job
+    assert raw.count() == 16
+    ls = []
+    for i in range(1, 13):
+        ls.append(f'10.0.0.1 - - [07/Mar/2004:16:05:{i:02d} -0800] "GET /a HTTP/1.1" 200 {i}')
+    ls.append(DASH_SIZE)
+    paths = log_report(lines(spark, *ls), str(tmp_path / "report"), threshold=10, k=1)
+    assert sorted(paths) == sorted(
+        ["log_stats", "response_code_counts", "response_code_total", "heavy_hitters", "top_endpoints"]
+    )
+    assert rows(spark.read.parquet(paths["heavy_hitters"])) == [("10.0.0.1", 12)]
+    assert rows(spark.read.parquet(paths["top_endpoints"])) == [("/a", 12)]
+    assert spark.read.parquet(paths["log_stats"]).first().requests == 12
