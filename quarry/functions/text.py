@@ -26,8 +26,11 @@ def split_lines(text: str | Column) -> Column:
 
     ``"a\\nb"`` -> ``[a, b]``; a trailing terminator yields a final empty line,
     which is what a text file gets when the value is written as one record.
+    Text without CR (the common case) is split on the single character LF,
+    which takes Java's non-regex split path.
     """
-    return F.split(_col(text), LINE_BREAK, -1)
+    c = _col(text)
+    return F.when(c.contains("\r"), F.split(c, LINE_BREAK, -1)).otherwise(F.split(c, "\n", -1))
 
 
 def java_split(value: str | Column, sep: str = " ") -> Column:

@@ -35,13 +35,12 @@ def read_key_value_text(
     value: str = "value",
     value_type: str = "bigint",
 ) -> DataFrame:
-    """Read ``key<TAB>value`` lines back; the value holds no tab."""
-    raw = spark.read.text(path)
-    m = r"^([\s\S]*)\t([^\t]*)$"
-    return raw.select(
-        F.regexp_extract("value", m, 1).alias(key),
-        F.regexp_extract("value", m, 2).cast(value_type).alias(value),
-    )
+    """Read ``key<TAB>value`` lines back; the value holds no tab, so the key
+    is everything before the last tab (no regex needed)."""
+    line = F.col("value")
+    val = F.substring_index(line, "\t", -1)
+    k = F.substring(line, F.lit(1), F.length(line) - F.length(val) - 1)
+    return spark.read.text(path).select(k.alias(key), val.cast(value_type).alias(value))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -30,11 +30,18 @@ REPORT_TOP_K = 10
 
 
 def write_feed(df: DataFrame, name: str, line: str = "value") -> tuple[str, int]:
-    """Write a text feed with at least ``FEED_BATCHES`` files; return
-    (folder, files per trigger)."""
-    n = max(FEED_BATCHES, df.rdd.getNumPartitions())
+    """Write a text feed (one file per partition) and return (folder, files
+    per trigger) so that it is consumed in about ``FEED_BATCHES`` batches.
+
+    Only an input with fewer partitions than that is repartitioned; a large
+    input is written as it is partitioned, without a shuffle.
+    """
+    out = df.select(line)
+    n = out.rdd.getNumPartitions()
+    if n < FEED_BATCHES:
+        out, n = out.repartition(FEED_BATCHES), FEED_BATCHES
     path = scratch_path(df.sparkSession, name)
-    df.select(line).repartition(n).write.text(path)
+    out.write.text(path)
     return path, files_per_trigger(n, FEED_BATCHES)
 
 
