@@ -213,5 +213,6 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY window_start_epoch
                                                 ORDER BY count DESC, endpoint ASC) AS rank
                    FROM counts)
-        SELECT window_start_epoch, endpoint, count, rank FROM ranked WHERE rank <= 10""",
+        SELECT window_start_epoch, endpoint, count, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE rank <= 10""",
 }
