@@ -1,9 +1,10 @@
 """Equi-joins with an explicit policy for unmatched rows.
 
-No join hints: Catalyst plans a broadcast hash join only when a side's
-estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-re-checks that against the measured shuffle size at run time; beyond it the
-join is a sort-merge join, and AQE splits skewed partitions
+No join hints. Sessions built by ``quarry.session`` disable broadcasts from
+plan estimates and let AQE convert a sort-merge join into a broadcast join
+only when a side's *measured* shuffle output is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join stays
+sort-merge, and AQE splits skewed partitions
 (``spark.sql.adaptive.skewJoin.enabled``). So what is broadcast is always
 size-checked, with sort-merge as the fallback.
 """

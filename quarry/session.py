@@ -21,9 +21,10 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Joins are planned as broadcast only when the (estimated, then measured
-    # by AQE) size of a side is below this bound; otherwise sort-merge.
-    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # Broadcast only on a *measured* size: no broadcast from plan estimates
+    # (they can be far off after filters and joins); AQE turns a sort-merge
+    # join into a broadcast join when a finished shuffle stage is under 10 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
