@@ -54,10 +54,17 @@ def product_distinct_locations(
     """
     t = txns.select(F.col(user_key).alias("_uk"), F.col(product).alias(product))
     u = users.select(F.col(users_key).alias("_ik"), F.col(location).alias(location))
+    write_stage_snapshot(t, debug_dir, "01_transactionPairs")
+    write_stage_snapshot(users, debug_dir, "02_customerInputFile")
+    if debug_dir:  # unchecked join output, before the unmatched-row policy
+        raw = t.join(u, F.col("_uk") == F.col("_ik"), "left").select(product, location)
+        write_stage_snapshot(raw.distinct(), debug_dir, "03_leftJoinOutput")
     joined = left_join_checked(t, u, F.col("_uk") == F.col("_ik"), [location], on_unmatched, "user")
     pairs = joined.select(product, location)
-    write_stage_snapshot(pairs.distinct(), debug_dir, "03_leftJoinOutput")
-    return distinct_count_by(pairs, product, location, "locations")
+    write_stage_snapshot(pairs.distinct(), debug_dir, "04_modifyData")
+    result = distinct_count_by(pairs, product, location, "locations")
+    write_stage_snapshot(result, debug_dir, "05_result")
+    return result
 
 
 def spend_by_group(

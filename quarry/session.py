@@ -69,6 +69,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder shared by "
+                "all executors (e.g. on the cluster file system)"
+            )
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

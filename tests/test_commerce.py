@@ -44,8 +44,13 @@ def test_product_distinct_locations_short_users(spark, write_text, txns):
 def test_debug_snapshot(spark, write_text, txns, users, tmp_path):
     out = C.product_distinct_locations(txns, users, debug_dir=str(tmp_path / "debug"))
     assert rows(out) == [(1, 3), (2, 1)]
-    snap = spark.read.parquet(str(tmp_path / "debug" / "03_leftJoinOutput"))
+    d = tmp_path / "debug"
+    snap = spark.read.parquet(str(d / "03_leftJoinOutput"))
     assert rows(snap) == [(1, "FR"), (1, "GB"), (1, "US"), (2, "FR")]
+    assert spark.read.parquet(str(d / "01_transactionPairs")).count() == 5
+    assert spark.read.parquet(str(d / "02_customerInputFile")).count() == 3
+    assert rows(spark.read.parquet(str(d / "04_modifyData"))) == rows(snap)
+    assert rows(spark.read.parquet(str(d / "05_result"))) == [(1, 3), (2, 1)]
 
 
 def test_unmatched_user_policies(spark, write_text, users):

@@ -59,3 +59,16 @@ def test_query_matches_oracle(spark, duck, name):
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
     assert _bag(s_rows, df.columns) == _bag(d_rows, d_cols)
+
+
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@needs_data
+@pytest.mark.parametrize("name", BATCH)
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    cur = duck.execute(f"SELECT * FROM ({E.oracle_sql()[name]}) LIMIT 0")
+    oracle = {c[0]: str(c[1]) for c in cur.description}
+    for col, typ in df.dtypes:
+        assert _DUCK_TYPE.get(typ, typ) == oracle[col], (col, typ, oracle[col])
