@@ -114,3 +114,22 @@ def test_console_sink_starts_and_stops(spark, tmp_path):
     q.processAllAvailable()
     assert q.isActive
     q.stop()
+
+
+def test_continuous_apps_process_and_stop(spark, tmp_path):
+    from quarry.streaming import apps
+
+    logs_dir = _feed(tmp_path, "app-logs", [_log("01/Jan/2024:00:00:01", "1.1.1.1", "/a", 5)])
+    words_dir = _feed(tmp_path, "app-words", ["x y x\n"])
+    out, ck = str(tmp_path / "app-out"), str(tmp_path / "app-ck")
+    qs = apps.start_log_reports(text_file_stream(spark, logs_dir), out, ck, event_time=True)
+    qs["word_count"] = apps.start_word_count(text_file_stream(spark, words_dir), out, ck)
+    qs["hashtags"] = apps.start_hashtags(text_file_stream(spark, words_dir), out, ck)
+    try:
+        for q in qs.values():
+            q.processAllAvailable()
+    finally:
+        apps.stop_all(qs)
+    assert read_latest(spark, f"{out}/running_stats", []).first().requests == 1
+    assert rows(read_batches(spark, f"{out}/word_count").select("word", "count")) == [("x", 2), ("y", 1)]
+    assert read_latest(spark, f"{out}/window_stats", ["window_start_epoch"]).count() == 2
