@@ -1,0 +1,108 @@
+"""Property tests: Spark operators against brute-force Python models.
+
+Each example is a batch of random strings processed in one Spark job, so the
+number of jobs stays small while the inputs vary widely.
+"""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from quarry.functions.text import java_split
+from quarry.functions.weblog import LOG_FIELDS, LOG_PATTERN
+from quarry.operators import weblog as L
+from quarry.operators import words as W
+
+SETTINGS = settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def java_split_model(s: str, sep: str = " ") -> list[str]:
+    """Java's String.split for a literal one-char separator."""
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def lines_model(text: str) -> list[str]:
+    return re.split(r"\r\n|\r|\n", text)
+
+
+text_chars = st.sampled_from(list("ab  c\t#\n\rxé"))
+texts = st.text(text_chars, max_size=30)
+
+
+@SETTINGS
+@given(st.lists(texts, min_size=1, max_size=20))
+def test_java_split_matches_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r.i: r.t for r in df.select("i", java_split("v").alias("t")).collect()}
+    assert got == {i: java_split_model(v) for i, v in enumerate(values)}
+
+
+@SETTINGS
+@given(st.lists(texts, min_size=1, max_size=20))
+def test_word_count_matches_model(spark, docs):
+    df = spark.createDataFrame([(d,) for d in docs], "text string")
+    got = {r.word: r["count"] for r in W.word_count(W.document_tokens(df, "text")).collect()}
+    want = Counter(w for d in docs for line in lines_model(d) for w in java_split_model(line))
+    assert got == dict(want)
+
+
+_PY_LOG = re.compile(LOG_PATTERN, re.ASCII)
+
+log_tokens = st.sampled_from(
+    ["1.2.3.4", "-", "frank", "[07/Mar/2004:16:05:49 -0800]", "[21/Jul/2014:9:55:27 +0000]",
+     '"GET', "/a/b?x=1", 'HTTP/1.1"', "200", "404", "12846", "0", '"ref"', "[bad]", "x y", ""]
+)
+
+
+@st.composite
+def log_lines(draw):
+    if draw(st.booleans()):
+        # well-formed prefix with random variations and optional suffix
+        parts = [
+            draw(st.sampled_from(["10.0.0.1", "host-a", "::1"])),
+            draw(st.sampled_from(["-", "id"])),
+            draw(st.sampled_from(["-", "user"])),
+            "[" + draw(st.sampled_from(["07/Mar/2004:16:05:49 -0800", "21/Jul/2014:9:55:27 +0000",
+                                        "07/Mar/2004 16:05:49", "x"])) + "]",
+            '"' + draw(st.sampled_from(["GET", "POST"])),
+            draw(st.sampled_from(["/", "/a?b=c", "/x y"])),
+            draw(st.sampled_from(['HTTP/1.1"', 'HTTP/1.0"', '"'])),
+            draw(st.sampled_from(["200", "401", "2000", "20"])),
+            draw(st.sampled_from(["123", "-", "0", "9" * 20, "12a"])),
+        ]
+        line = " ".join(parts) + draw(st.sampled_from(["", " extra", ' "ref" "agent"']))
+    else:
+        line = " ".join(draw(st.lists(log_tokens, max_size=10)))
+    return line
+
+
+def parse_model(line: str):
+    m = _PY_LOG.match(line)
+    if not m:
+        return None
+    size = int(m.group(9))
+    if size >= 2**63:
+        return None
+    return (*m.groups()[:7], int(m.group(8)), size)
+
+
+@SETTINGS
+@given(st.lists(log_lines(), min_size=1, max_size=25))
+def test_log_parser_matches_model(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = sorted(tuple(r[f] for f in LOG_FIELDS) for r in L.parse_access_log(df).collect())
+    want = sorted(p for p in map(parse_model, lines) if p is not None)
+    assert got == want
+    rejected = sorted(r.value for r in L.rejected_log_lines(df).collect())
+    assert rejected == sorted(x for x in lines if parse_model(x) is None)
