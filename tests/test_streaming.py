@@ -133,3 +133,25 @@ def test_continuous_apps_process_and_stop(spark, tmp_path):
     assert read_latest(spark, f"{out}/running_stats", []).first().requests == 1
     assert rows(read_batches(spark, f"{out}/word_count").select("word", "count")) == [("x", 2), ("y", 1)]
     assert read_latest(spark, f"{out}/window_stats", ["window_start_epoch"]).count() == 2
+
+
+def test_watermark_bounds_state(spark, tmp_path):
+    # batch 0 moves the watermark to 01:00 - 10 min = 00:50. Spark only
+    # guarantees to keep data newer than the watermark (older rows "may or
+    # may not" be dropped), but it does evict every window that ended before
+    # the watermark, so state does not grow with the length of the stream.
+    from quarry.session import scratch_path
+    from quarry.streaming.runner import start_to_table
+
+    f0 = _log("01/Jan/2024:01:00:00", "1.1.1.1", "/a", 1)
+    f1 = _log("31/Dec/2023:23:30:00", "2.2.2.2", "/old", 1) + _log("01/Jan/2024:01:05:00", "3.3.3.3", "/b", 1)
+    feed = _feed(tmp_path, "late", [f0, f1])
+    logs = SL.timed_logs(text_file_stream(spark, feed, 1), event_time=True, watermark="10 minutes")
+    out = scratch_path(spark, "t-late-out")
+    q = start_to_table(SL.window_endpoint_counts(logs, "1 hour", "1 hour"), out, scratch_path(spark, "t-late-ck"))
+    q.awaitTermination(120)
+    last = q.recentProgress[-1]
+    assert last["eventTime"]["watermark"].startswith("2024-01-01T00:55")
+    assert last["stateOperators"][0]["numRowsTotal"] == 2  # only the open 01:00 window's keys
+    got = rows(read_latest(spark, out, ["window_start_epoch", "endpoint"]), "endpoint", "count")
+    assert ("/a", 1) in got and ("/b", 1) in got
