@@ -104,14 +104,6 @@ def top_location(
 
 # --- the same jobs on the driver tables ------------------------------------
 
-def transactions_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, prod_id) per line item: lineitem JOIN orders."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("prod_id")
-    )
-
 
 def left_join_tables(spark: SparkSession, sf_dir: str, on_unmatched: str = "error") -> DataFrame:
     """Every line item with its buyer's location (nation key): (l_partkey, c_nationkey).

@@ -42,11 +42,6 @@ def tokens_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("tokens"))
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("text")
-    return W.lines(docs, "text").select(F.col("line").alias("value"))
-
-
 def hashtags_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hashtag token of the posts derived from events."""
     return W.hashtags(W.tokens(posts(spark, sf_dir), "value"))

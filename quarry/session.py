@@ -8,7 +8,6 @@ count.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,16 +83,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/quarry/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for callers that need a plain local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def bench_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
