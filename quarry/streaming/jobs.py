@@ -4,6 +4,10 @@ Each job writes its input as text files into the shared checkpoint folder
 (the "feed"), reads it with the file stream source a few files per
 micro-batch, runs the streaming query to completion with an availableNow
 trigger, and returns the finished result table as a batch DataFrame.
+
+The windowed log reports read a feed delivered in time order and run with a
+watermark matched to the feed's disorder, so their state stays bounded (old
+windows are evicted) while the results remain exact.
 """
 
 from __future__ import annotations
@@ -45,9 +49,44 @@ def write_feed(df: DataFrame, name: str, line: str = "value") -> tuple[str, int]
     return path, files_per_trigger(n, FEED_BATCHES)
 
 
-def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    feed, per_trigger = write_feed(event_log_lines(table(spark, sf_dir, "events")), name)
-    return text_file_stream(spark, feed, per_trigger)
+# Extra watermark delay on top of the feed's slice width: covers the log
+# time being truncated to seconds and a daylight-saving shift in the session
+# zone used to order the feed.
+WATERMARK_MARGIN_S = 2 * 3600
+
+
+def write_time_ordered_feed(
+    df: DataFrame, time_col: str, name: str, line: str = "value"
+) -> tuple[str, int, str]:
+    """Write a feed that arrives in time order: ``FEED_BATCHES`` equal time
+    slices, each written by its own job after the previous one, so file
+    modification times (the file source's order) follow event time.
+
+    Returns (folder, files per trigger, watermark delay). A record is never
+    older than the newest one already delivered by more than one slice width,
+    so a watermark of that width plus a margin drops nothing and evicts
+    every window the feed has moved past: exact results with bounded state.
+    Only the min/max of the time column reach the driver.
+    """
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    lo, hi = df.agg(F.min(micros), F.max(micros)).first()
+    path = scratch_path(df.sparkSession, name)
+    if lo is None:
+        df.select(line).write.text(path)
+        return path, 1, f"{WATERMARK_MARGIN_S} seconds"
+    span = hi - lo + 1
+    part = F.floor((micros - F.lit(lo)) * F.lit(FEED_BATCHES) / F.lit(span))
+    for i in range(FEED_BATCHES):
+        df.where(part == i).select(line).write.mode("append").text(path)
+    width_s = -(-span // (FEED_BATCHES * 1_000_000))
+    return path, df.rdd.getNumPartitions(), f"{width_s + WATERMARK_MARGIN_S} seconds"
+
+
+def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
+    """(stream of log lines in time order, watermark delay)."""
+    lines = event_log_lines(table(spark, sf_dir, "events"))
+    feed, per_trigger, delay = write_time_ordered_feed(lines, "ts", name)
+    return text_file_stream(spark, feed, per_trigger), delay
 
 
 # --- registered jobs ----------------------------------------------------------
@@ -81,13 +120,15 @@ def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = SL.timed_logs(_log_stream(spark, sf_dir, "running-feed"))
+    stream, _ = _log_stream(spark, sf_dir, "running-feed")
+    logs = SL.timed_logs(stream)
     out = run_to_table(SL.running_stats(logs), "stream-running-stats", output_mode="update")
     return read_latest(spark, out, [])
 
 
 def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = SL.timed_logs(_log_stream(spark, sf_dir, "windows-feed"))
+    stream, delay = _log_stream(spark, sf_dir, "windows-feed")
+    logs = SL.timed_logs(stream, watermark=delay)
     out = run_to_table(
         SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE), "stream-log-windows", output_mode="update"
     )
@@ -95,14 +136,16 @@ def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = SL.timed_logs(_log_stream(spark, sf_dir, "heavy-feed"))
+    stream, delay = _log_stream(spark, sf_dir, "heavy-feed")
+    logs = SL.timed_logs(stream, watermark=delay)
     hh = SL.window_heavy_hitters(logs, REPORT_HEAVY_HITTER_THRESHOLD, REPORT_WINDOW, REPORT_SLIDE)
     out = run_to_table(hh, "stream-window-heavy-hitters", output_mode="update")
     return read_latest(spark, out, ["window_start_epoch", "ipAddress"])
 
 
 def stream_window_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = SL.timed_logs(_log_stream(spark, sf_dir, "endpoints-feed"))
+    stream, delay = _log_stream(spark, sf_dir, "endpoints-feed")
+    logs = SL.timed_logs(stream, watermark=delay)
     counts = SL.window_endpoint_counts(logs, REPORT_WINDOW, REPORT_SLIDE)
     out = run_to_table(counts, "stream-window-endpoints", output_mode="update")
     latest = read_latest(spark, out, ["window_start_epoch", "endpoint"])
