@@ -52,6 +52,14 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (no context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
@@ -60,25 +68,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder is created and registered, so lineage cuts and intermediate tables
     always land in a location every executor can read.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc else None
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    master = sc.master if sc else spark.conf.get("spark.master", "")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not master.startswith("local"):
             # a machine-local folder is invisible to other executors
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at a folder shared by "
                 "all executors (e.g. on the cluster file system)"
             )
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    if not sc:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def task_slots(spark: SparkSession) -> int:
+    """Tasks the cluster runs at once (default parallelism)."""
+    sc = _context(spark)
+    if sc:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
+def num_partitions(df) -> int | None:
+    """Planned partition count of a batch DataFrame (no job runs), or None
+    when it cannot be known (streaming, or no RDD access)."""
+    if df.isStreaming:
+        return None
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import num_partitions, task_slots
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -32,14 +34,10 @@ def spread(df: DataFrame) -> DataFrame:
     already have more splits than slots and are returned unchanged (no extra
     shuffle); the check needs no job, only the planned partition count.
     """
-    if df.isStreaming:
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            return df.repartition(slots)
-    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect)
-        pass
+    n = num_partitions(df)
+    slots = task_slots(df.sparkSession)
+    if n is not None and n < slots:
+        return df.repartition(slots)
     return df
 
 

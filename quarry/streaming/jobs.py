@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import words as W
-from quarry.session import scratch_path
+from quarry.session import num_partitions, scratch_path
 from quarry.sources.streams import text_file_stream
 from quarry.sources.tables import event_log_lines, event_posts, table
 from quarry.streaming import logs as SL
@@ -41,7 +41,7 @@ def write_feed(df: DataFrame, name: str, line: str = "value") -> tuple[str, int]
     input is written as it is partitioned, without a shuffle.
     """
     out = df.select(line)
-    n = out.rdd.getNumPartitions()
+    n = num_partitions(out) or 1
     if n < FEED_BATCHES:
         out, n = out.repartition(FEED_BATCHES), FEED_BATCHES
     path = scratch_path(df.sparkSession, name)
@@ -79,7 +79,7 @@ def write_time_ordered_feed(
     for i in range(FEED_BATCHES):
         df.where(part == i).select(line).write.mode("append").text(path)
     width_s = -(-span // (FEED_BATCHES * 1_000_000))
-    return path, df.rdd.getNumPartitions(), f"{width_s + WATERMARK_MARGIN_S} seconds"
+    return path, num_partitions(df) or 1, f"{width_s + WATERMARK_MARGIN_S} seconds"
 
 
 def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
