@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import contextlib
 import os
 import sys
 
@@ -36,3 +37,16 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     got = [tuple(r[c] for c in cols) for r in df.collect()]
     return sorted(got, key=lambda t: tuple((v is not None, v) for v in t))
+
+
+@contextlib.contextmanager
+def conf(spark, **kv):
+    keys = {k.replace("__", "."): v for k, v in kv.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -4,25 +4,11 @@ by AQE's skew handling (thresholds lowered here to test size)."""
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import functions as F
 
 from quarry.operators.aggregates import count_by, distinct_count_by
 from quarry.operators.joins import inner_join, left_join_checked
-
-
-@contextlib.contextmanager
-def conf(spark, **kv):
-    keys = {k.replace("__", "."): v for k, v in kv.items()}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+from tests.conftest import conf
 
 
 def _hot(spark, n=30000):
