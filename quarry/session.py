@@ -33,6 +33,38 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+MB = 1024 * 1024
+
+
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster, derived from its size and the largest
+    shuffle a job will write (e.g. the projected line-item columns).
+
+    * Initial shuffle partitions: ~256 MB each, at least 3 waves of tasks,
+      at most 100k (map-status tracking on the driver grows with maps x
+      partitions); AQE then coalesces small partitions and splits skewed ones.
+    * Broadcasts only on measured sizes (AQE), up to 64 MB per table.
+    * Streaming state in RocksDB (off-heap, spills to local disk, checkpointed
+      incrementally), so large windowed state does not live on the JVM heap.
+    """
+    by_size = -(-largest_shuffle_bytes // (256 * MB))
+    partitions = min(max(3 * total_cores, by_size), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "quarry",

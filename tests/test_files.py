@@ -115,3 +115,14 @@ def test_labelled(spark):
 
     df = spark.createDataFrame([("Amitav",)], "name string")
     assert labelled(df).first().label == "Name: Amitav"
+
+
+def test_cluster_conf_sizes_partitions():
+    from quarry.session import cluster_conf
+
+    tb = 1024**4
+    c = cluster_conf(total_cores=8000, largest_shuffle_bytes=20 * tb)
+    assert int(c["spark.sql.shuffle.partitions"]) == 81920  # 20 TB / 256 MB
+    assert cluster_conf(8000, 1024**3)["spark.sql.shuffle.partitions"] == "24000"  # 3 waves
+    assert cluster_conf(8000, 100 * tb)["spark.sql.shuffle.partitions"] == "100000"  # capped
+    assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
