@@ -120,13 +120,10 @@ def read_batches(spark: SparkSession, out_dir: str, schema: str | None = None) -
     return reader.parquet(out_dir)
 
 
-def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
-    """Newest version of every key across batch folders (no ``batch`` column).
+SNAPSHOTS = "_snapshots"
 
-    A window partitioned by the key: each key's versions are few (one per
-    batch that touched it), so no group is large.
-    """
-    df = read_batches(spark, out_dir)
+
+def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     values = [c for c in df.columns if c != BATCH_COL]
     if not keys:
         last = df.agg(F.max(BATCH_COL).alias("_last"))
@@ -135,5 +132,50 @@ def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame
     return df.withColumn("_v", F.row_number().over(w)).where(F.col("_v") == 1).select(*values)
 
 
+def _with_snapshot(spark: SparkSession, out_dir: str, upto: int | None = None) -> DataFrame:
+    """Batch rows newer than the newest snapshot, plus that snapshot (its rows
+    carry the snapshot's batch id)."""
+    batches = read_batches(spark, out_dir)
+    if upto is not None:
+        batches = batches.where(F.col(BATCH_COL) <= upto)
+    try:
+        snaps = spark.read.parquet(out_dir.rstrip("/") + SNAPSHOTS)
+        if upto is not None:
+            snaps = snaps.where(F.col("upto") <= upto)
+        last = snaps.agg(F.max("upto")).first()[0]  # one number
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return batches
+    if last is None:
+        return batches
+    snap = snaps.where(F.col("upto") == last).drop("upto")  # partition-pruned
+    snap = snap.withColumn(BATCH_COL, F.lit(last).cast(batches.schema[BATCH_COL].dataType))
+    return batches.where(F.col(BATCH_COL) > last).unionByName(snap)
+
+
+def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
+    """Newest version of every key (no ``batch`` column).
+
+    Reads the newest snapshot (see ``compact``) and the batch folders written
+    after it. A window partitioned by the key: each key has few versions (one
+    per batch that touched it since the snapshot), so no group is large.
+    """
+    return _latest_per_key(_with_snapshot(spark, out_dir), keys)
+
+
+def compact(spark: SparkSession, out_dir: str, keys: list[str]) -> int | None:
+    """Fold every batch written so far into a snapshot of the newest version
+    per key, so later reads skip the batch folders it covers. Safe while the
+    stream runs: only batches up to the current newest one are folded. Old
+    folders are kept (their retention is the operator's choice). Returns the
+    batch id the snapshot covers, or None if there is nothing yet.
+    """
+    upto = read_batches(spark, out_dir).agg(F.max(BATCH_COL)).first()[0]
+    if upto is None:
+        return None
+    latest = _latest_per_key(_with_snapshot(spark, out_dir, upto), keys)
+    latest.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}{SNAPSHOTS}/upto={upto}")
+    return upto
+
+
 def files_per_trigger(num_files: int, batches: int) -> int:
     return max(1, math.ceil(num_files / max(1, batches)))

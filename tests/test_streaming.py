@@ -155,3 +155,20 @@ def test_watermark_bounds_state(spark, tmp_path):
     assert last["stateOperators"][0]["numRowsTotal"] == 2  # only the open 01:00 window's keys
     got = rows(read_latest(spark, out, ["window_start_epoch", "endpoint"]), "endpoint", "count")
     assert ("/a", 1) in got and ("/b", 1) in got
+
+
+def test_compaction_keeps_the_latest_values(spark, tmp_path):
+    from quarry.streaming.runner import compact
+
+    base = str(tmp_path / "compact-out")
+    schema = "k string, n bigint"
+    spark.createDataFrame([("a", 1), ("b", 1)], schema).write.parquet(f"{base}/batch=0")
+    spark.createDataFrame([("a", 2)], schema).write.parquet(f"{base}/batch=1")
+    assert compact(spark, base, ["k"]) == 1
+    spark.createDataFrame([("b", 5), ("c", 1)], schema).write.parquet(f"{base}/batch=2")
+    assert rows(read_latest(spark, base, ["k"])) == [("a", 2), ("b", 5), ("c", 1)]
+    assert compact(spark, base, ["k"]) == 2
+    spark.createDataFrame([("a", 9)], schema).write.parquet(f"{base}/batch=3")
+    assert rows(read_latest(spark, base, ["k"])) == [("a", 9), ("b", 5), ("c", 1)]
+    snap = spark.read.parquet(base + "_snapshots").where("upto = 2").drop("upto")
+    assert rows(snap) == [("a", 2), ("b", 5), ("c", 1)]
