@@ -126,3 +126,13 @@ def test_cluster_conf_sizes_partitions():
     assert cluster_conf(8000, 1024**3)["spark.sql.shuffle.partitions"] == "24000"  # 3 waves
     assert cluster_conf(8000, 100 * tb)["spark.sql.shuffle.partitions"] == "100000"  # capped
     assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+
+
+def test_empty_fields_read_as_null(spark, write_text):
+    # the CSV reader cannot tell an empty unquoted field from a missing one:
+    # both are NULL (String.split would give ""); positional_fields keeps ""
+    users = D.read_users(spark, write_text("1\t\tEN\tUS\t\tM"))
+    r = users.first()
+    assert (r.id, r.email, r.language, r.location, r.age, r.gender) == ("1", None, "EN", "US", None, "M")
+    raw = spark.createDataFrame([("1\t\tEN",)], "value string")
+    assert raw.select(*D.positional_fields("value", "\t", {"email": 1})).first().email == ""
