@@ -83,8 +83,52 @@ def main() -> None:
         for sc in s["scans"]:
             print(f"- scan: {sc}")
         print()
+    stream_plans(spark, sf_dir)
     spark.stop()
 
 
+def stream_plans(spark, sf_dir: str) -> None:
+    """Plans of the stateful stream jobs, taken from a started query."""
+    from quarry.session import scratch_path
+    from quarry.streaming import jobs as J
+    from quarry.streaming import logs as SL
+    from quarry.streaming.runner import start_to_table
+
+    print("# Stream jobs (stateful part)\n")
+    print("From the first micro-batch of each query: the operators before and after the")
+    print("state store, and the watermark.\n")
+    stream, delay = J._log_stream(spark, sf_dir, "plan-feed")
+    logs = SL.timed_logs(stream, watermark=delay)
+    reports = {
+        "stream_log_windows": SL.window_stats(logs, J.REPORT_WINDOW, J.REPORT_SLIDE),
+        "stream_window_heavy_hitters": SL.window_heavy_hitters(logs, 10, J.REPORT_WINDOW, J.REPORT_SLIDE),
+        "stream_window_top_endpoints": SL.window_endpoint_counts(logs, J.REPORT_WINDOW, J.REPORT_SLIDE),
+        "stream_running_stats": SL.running_stats(SL.timed_logs(stream)),
+    }
+    for name, df in reports.items():
+        q = start_to_table(df, scratch_path(spark, "plan-out"), scratch_path(spark, "plan-ck"))
+        q.awaitTermination(300)
+        text = q._jsq.explainInternal(False)
+        ops = []
+        for raw in text.splitlines():
+            line = re.sub(r"^[\s+\-:*|]*(\(\d+\)\s*)?", "", raw)
+            line = re.sub(r"#\d+L?", "", line)
+            for op in ("StateStoreSave", "StateStoreRestore", "Exchange", "HashAggregate",
+                       "Expand", "EventTimeWatermark", "Generate"):
+                if line.startswith(op):
+                    detail = ""
+                    if op == "HashAggregate":
+                        fn = re.search(r"functions=\[([^\]]*)\]", line)
+                        detail = f" [{fn.group(1)[:50]}]" if fn else ""
+                    elif op == "Exchange":
+                        detail = " " + line.split(",")[0].split(" ", 1)[1][:60]
+                    elif op == "EventTimeWatermark":
+                        detail = " " + line.split(",")[-1].strip()
+                    ops.append(op + detail)
+        print(f"## {name}\n")
+        print("- operators, top to bottom: " + " <- ".join(ops))
+        print()
+
+
 if __name__ == "__main__":
     main()
