@@ -126,10 +126,11 @@ def test_continuous_apps_process_and_stop(spark, tmp_path):
     qs["word_count"] = apps.start_word_count(text_file_stream(spark, words_dir), out, ck)
     qs["hashtags"] = apps.start_hashtags(text_file_stream(spark, words_dir), out, ck)
     try:
-        for q in qs.values():
+        for q in qs.values():  # the parse query comes first
             q.processAllAvailable()
     finally:
         apps.stop_all(qs)
+    assert spark.read.parquet(f"{out}/parsed").count() == 1
     assert read_latest(spark, f"{out}/running_stats", []).first().requests == 1
     assert rows(read_batches(spark, f"{out}/word_count").select("word", "count")) == [("x", 2), ("y", 1)]
     assert read_latest(spark, f"{out}/window_stats", ["window_start_epoch"]).count() == 2
