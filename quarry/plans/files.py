@@ -37,17 +37,20 @@ def people_file(spark: SparkSession, sf_dir: str) -> str:
     return _write_lines(part, line, "people")
 
 
-def part_csv_file(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """(data path, header path): part rows as plain CSV plus a header file
-    naming the columns."""
+def part_csv_file(spark: SparkSession, sf_dir: str) -> str:
+    """Part rows as plain CSV lines (no header)."""
     part = table(spark, sf_dir, "part")
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in PART_CSV_COLUMNS])
-    data = _write_lines(part, line, "part-csv")
+    return _write_lines(part, line, "part-csv")
+
+
+def part_header_file(spark: SparkSession) -> str:
+    """A one-line header file naming the part CSV columns."""
     header = scratch_path(spark, "part-header")
     spark.createDataFrame([(",".join(PART_CSV_COLUMNS),)], "value string").coalesce(1).write.text(
         header
     )
-    return data, header
+    return header
 
 
 def orders_tsv_file(spark: SparkSession, sf_dir: str) -> str:
@@ -92,8 +95,9 @@ def csv_typed_people_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dynamic_schema_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, header = part_csv_file(spark, sf_dir)
-    df = delimited.read_with_header_file(spark, data, header)
+    df = delimited.read_with_header_file(
+        spark, part_csv_file(spark, sf_dir), part_header_file(spark)
+    )
     df.createOrReplaceTempView("people_dynamic")
     return spark.sql("SELECT * FROM people_dynamic")
 
@@ -126,8 +130,7 @@ def text_line_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_on_file_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, _ = part_csv_file(spark, sf_dir)
-    return text_src.sql_on_file(spark, data, "text")
+    return text_src.sql_on_file(spark, part_csv_file(spark, sf_dir), "text")
 
 
 def json_sink_roundtrip_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
