@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import words as W
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import start_to_table
+from quarry.streaming.runner import BatchFn, start_to_table
 
 # --- fixed values: micro-batch intervals of the original applications -------
 LOG_TRIGGER = "2 seconds"
@@ -26,7 +26,7 @@ POST_TRIGGER = "2 seconds"
 
 
 def _start(df: DataFrame, out_dir: str, checkpoint_dir: str, name: str, mode: str, trigger: str,
-           per_batch=None) -> StreamingQuery:
+           per_batch: BatchFn | None = None) -> StreamingQuery:
     return start_to_table(
         df,
         f"{out_dir.rstrip('/')}/{name}",

@@ -14,6 +14,7 @@ windows, so state stays bounded on an endless stream.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,11 @@ from quarry.session import scratch_path
 
 BATCH_COL = "batch"
 
+# A transformation applied to each micro-batch on its own.
+BatchFn = Callable[[DataFrame], DataFrame]
 
-def batch_writer(out_dir: str, per_batch=None):
+
+def batch_writer(out_dir: str, per_batch: BatchFn | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: write the batch's rows to ``out_dir/batch=<id>``.
 
     ``per_batch`` (DataFrame -> DataFrame) is applied to each micro-batch on
@@ -46,7 +50,7 @@ def start_to_table(
     available_now: bool = True,
     processing_time: str | None = None,
     name: str | None = None,
-    per_batch=None,
+    per_batch: BatchFn | None = None,
 ) -> StreamingQuery:
     """Start ``stream_df`` writing batch folders under ``out_dir``.
 
@@ -96,7 +100,7 @@ def run_to_table(
     name: str,
     output_mode: str = "update",
     timeout_s: int = 600,
-    per_batch=None,
+    per_batch: BatchFn | None = None,
 ) -> str:
     """Run a stream over all available input and return its table folder."""
     spark = stream_df.sparkSession
