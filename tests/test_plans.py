@@ -79,3 +79,14 @@ def test_no_python_in_any_plan(spark):
             continue
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_generators_stay_in_whole_stage_codegen(spark):
+    # the final (post-AQE) plan: parse/tokenise run fused with the partial
+    # aggregate in one generated-code stage
+    for name in ("log_stats", "word_count"):
+        df = E.queries()[name](spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert re.search(r"\*\(\d+\) Generate explode", final), name
+        assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", final), name
