@@ -32,6 +32,31 @@ def distinct_count_by(df: DataFrame, key: str, value: str, name: str) -> DataFra
     return df.select(key, value).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def distinct_count_small_domain(
+    df: DataFrame, key: str, value: str, name: str, domain_size: int
+) -> DataFrame:
+    """Exact number of distinct ``value``s per ``key`` for integer values known
+    to lie in ``[0, domain_size)``, ``domain_size <= 63`` (e.g. nation keys).
+
+    Each value sets one bit; ``bit_or`` of the bits is algebraic, so Spark
+    runs one partial aggregate and ONE shuffle of at most one row per task and
+    key (``distinct_count_by`` needs two). NULL counts as a value (bit
+    ``domain_size``). A value outside the domain fails the job rather than
+    being miscounted.
+    """
+    if not 0 < domain_size <= 63:
+        raise ValueError("domain_size must be in 1..63")
+    v = F.col(value)
+    bit = (
+        F.when(v.isNull(), F.lit(domain_size))
+        .when((v < 0) | (v >= domain_size),
+              F.raise_error(F.lit(f"{value} outside [0, {domain_size})")).cast("int"))
+        .otherwise(v.cast("int"))
+    )
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return df.groupBy(key).agg(F.bit_count(F.bit_or(mask)).cast("bigint").alias(name))
+
+
 def global_stats(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
     """sum, count(*), truncated mean (sum div count), min and max in one pass."""
     c = F.col(column)

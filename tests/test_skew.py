@@ -58,3 +58,26 @@ def test_hot_join_key_is_split_by_aqe(spark):
         plan = _final_plan(outer)
         assert "skew=true" in plan
         assert outer.count() == 30000
+
+
+def test_small_domain_distinct_count_matches_generic(spark):
+    from quarry.operators.aggregates import distinct_count_small_domain
+
+    df = _hot(spark).select("k", (F.col("v") * 3).alias("v"))  # values 0..18
+    want = sorted(map(tuple, distinct_count_by(df, "k", "v", "n").collect()))
+    got = sorted(map(tuple, distinct_count_small_domain(df, "k", "v", "n", 25).collect()))
+    assert got == want
+
+
+def test_small_domain_null_and_out_of_domain(spark):
+    import pytest
+
+    from quarry.operators.aggregates import distinct_count_small_domain
+
+    df = spark.createDataFrame([(1, 0), (1, None), (1, 0), (2, 24)], "k int, v int")
+    assert sorted(map(tuple, distinct_count_small_domain(df, "k", "v", "n", 25).collect())) == [(1, 2), (2, 1)]
+    bad = spark.createDataFrame([(1, 25)], "k int, v int")
+    with pytest.raises(Exception, match="outside"):
+        distinct_count_small_domain(bad, "k", "v", "n", 25).collect()
+    with pytest.raises(ValueError):
+        distinct_count_small_domain(df, "k", "v", "n", 64)
