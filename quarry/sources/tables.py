@@ -25,18 +25,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Inputs with fewer scan partitions than this (and than the task slots) are
+# spread before CPU-heavy work. The bound keeps the extra shuffle small: a
+# wide input that merely has fewer partitions than a large cluster has cores
+# is read as it is (shuffling it would cost more than the idle slots).
+SPREAD_MAX_PARTITIONS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a batch input that has fewer partitions than the cluster
-    has task slots, before CPU-heavy per-row work (regex, tokenising).
+    """Round-robin a *narrow* batch input over the cluster before CPU-heavy
+    per-row work (regex, tokenising).
 
     A parquet row group is the unit of a scan task, so a file written as one
-    row group is read by one task however large the cluster. Large inputs
-    already have more splits than slots and are returned unchanged (no extra
-    shuffle); the check needs no job, only the planned partition count.
+    row group is read by one task however large the cluster. Inputs with at
+    least ``min(task slots, SPREAD_MAX_PARTITIONS)`` partitions are returned
+    unchanged (no extra shuffle); the check needs no job, only the planned
+    partition count.
     """
     n = num_partitions(df)
     slots = task_slots(df.sparkSession)
-    if n is not None and n < slots:
+    if n is not None and n < min(slots, SPREAD_MAX_PARTITIONS):
         return df.repartition(slots)
     return df
 

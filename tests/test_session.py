@@ -68,3 +68,13 @@ def test_num_partitions(spark):
     assert num_partitions(spark.range(10).repartition(3)) == 3
     stream = spark.readStream.format("rate").load()
     assert num_partitions(stream) is None
+
+
+def test_spread_only_narrow_inputs(spark):
+    from quarry.sources.tables import SPREAD_MAX_PARTITIONS, spread
+
+    slots = task_slots(spark)
+    narrow = spark.range(100).coalesce(1)
+    assert num_partitions(spread(narrow)) == slots
+    wide = spark.range(100).repartition(min(slots, SPREAD_MAX_PARTITIONS))
+    assert spread(wide) is wide
