@@ -139,6 +139,8 @@ def test_log_report_writes_every_report(spark, tmp_path):
         ls.append(f'10.0.0.1 - - [07/Mar/2004:16:05:{i:02d} -0800] "GET /a HTTP/1.1" 200 {i}')
     ls.append(DASH_SIZE)
     paths = log_report(lines(spark, *ls), str(tmp_path / "report"), threshold=10, k=1)
+    cached = log_report(lines(spark, *ls), str(tmp_path / "report2"), threshold=10, k=1, materialize="cache")
+    assert rows(spark.read.parquet(cached["top_endpoints"])) == [("/a", 12)]
     assert sorted(paths) == sorted(
         ["log_stats", "response_code_counts", "response_code_total", "heavy_hitters", "top_endpoints"]
     )
