@@ -12,6 +12,9 @@ windows are evicted) while the results remain exact.
 
 from __future__ import annotations
 
+import math
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,19 +69,33 @@ def write_time_ordered_feed(
     older than the newest one already delivered by more than one slice width,
     so a watermark of that width plus a margin drops nothing and evicts
     every window the feed has moved past: exact results with bounded state.
-    Only the min/max of the time column reach the driver.
+    Slices are plain range predicates on the time column, so they reach the
+    parquet scan and skip row groups of time-clustered data. Only the
+    min/max of the time column reach the driver.
     """
-    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    lo, hi = df.agg(F.min(micros), F.max(micros)).first()
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    t = F.col(time_col)
+    lo_s, hi_s = df.agg(F.date_format(F.min(t), fmt), F.date_format(F.max(t), fmt)).first()
     path = scratch_path(df.sparkSession, name)
-    if lo is None:
+    if lo_s is None:
         df.select(line).write.text(path)
         return path, 1, f"{WATERMARK_MARGIN_S} seconds"
-    span = hi - lo + 1
-    part = F.floor((micros - F.lit(lo)) * F.lit(FEED_BATCHES) / F.lit(span))
+    lo, hi = datetime.fromisoformat(lo_s), datetime.fromisoformat(hi_s)
+    width = (hi - lo) / FEED_BATCHES
+    time_type = df.schema[time_col].dataType
+
+    def bound(i: int):
+        # a literal of the column's own type: the comparison stays pushable
+        return F.lit((lo + width * i).strftime("%Y-%m-%d %H:%M:%S.%f")).cast(time_type)
+
     for i in range(FEED_BATCHES):
-        df.where(part == i).select(line).write.mode("append").text(path)
-    width_s = -(-span // (FEED_BATCHES * 1_000_000))
+        cond = t.isNotNull()
+        if i > 0:
+            cond = cond & (t >= bound(i))
+        if i < FEED_BATCHES - 1:
+            cond = cond & (t < bound(i + 1))
+        df.where(cond).select(line).write.mode("append").text(path)
+    width_s = math.ceil(width.total_seconds())
     return path, num_partitions(df) or 1, f"{width_s + WATERMARK_MARGIN_S} seconds"
 
 
