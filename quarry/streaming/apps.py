@@ -11,12 +11,12 @@ application resumes where it stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import words as W
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import BatchFn, start_to_table
+from quarry.streaming.runner import BatchFn, read_latest, start_to_table
 
 # --- fixed values: micro-batch intervals of the original applications -------
 LOG_TRIGGER = "2 seconds"
@@ -91,6 +91,13 @@ def start_log_reports(
     }
 
 
+def read_window_top_endpoints(spark: SparkSession, out_dir: str, k: int = 10) -> DataFrame:
+    """Top-k endpoints of every window from the running app's counts table."""
+    counts = read_latest(spark, f"{out_dir.rstrip('/')}/window_endpoint_counts",
+                         ["window_start_epoch", "endpoint"])
+    return SL.top_endpoints_per_window(counts, k)
+
+
 def start_word_count(lines: DataFrame, out_dir: str, checkpoint_dir: str,
                      trigger: str = WORD_TRIGGER) -> StreamingQuery:
     """Word counts of every micro-batch on its own (no running totals)."""

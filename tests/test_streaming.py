@@ -134,6 +134,8 @@ def test_continuous_apps_process_and_stop(spark, tmp_path):
     assert read_latest(spark, f"{out}/running_stats", []).first().requests == 1
     assert rows(read_batches(spark, f"{out}/word_count").select("word", "count")) == [("x", 2), ("y", 1)]
     assert read_latest(spark, f"{out}/window_stats", ["window_start_epoch"]).count() == 2
+    top = apps.read_window_top_endpoints(spark, out, k=1)
+    assert rows(top, "endpoint", "count", "rank") == [("/a", 1, 1), ("/a", 1, 1)]  # two windows
 
 
 def test_watermark_bounds_state(spark, tmp_path):
