@@ -141,6 +141,14 @@ def num_partitions(df) -> int | None:
         return None
 
 
+def local_dir(path: str) -> str:
+    """Plain file-system path of a ``file:`` URI (tests inspect local files)."""
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -66,9 +66,11 @@ def write_time_ordered_feed(
     modification times (the file source's order) follow event time.
 
     Returns (folder, files per trigger, watermark delay). A record is never
-    older than the newest one already delivered by more than one slice width,
-    so a watermark of that width plus a margin drops nothing and evicts
-    every window the feed has moved past: exact results with bounded state.
+    older than the newest one already delivered by more than one slice width;
+    the watermark allows two widths plus a margin, so even files of adjacent
+    slices read out of order (modification times that tie on file systems
+    with coarse timestamps) are never behind it. Windows the feed has moved
+    past are evicted: exact results with bounded state.
     Slices are plain range predicates on the time column, so they reach the
     parquet scan and skip row groups of time-clustered data. Only the
     min/max of the time column reach the driver.
@@ -96,7 +98,7 @@ def write_time_ordered_feed(
             cond = cond & (t < bound(i + 1))
         df.where(cond).select(line).write.mode("append").text(path)
     width_s = math.ceil(width.total_seconds())
-    return path, num_partitions(df) or 1, f"{width_s + WATERMARK_MARGIN_S} seconds"
+    return path, num_partitions(df) or 1, f"{2 * width_s + WATERMARK_MARGIN_S} seconds"
 
 
 def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
