@@ -74,4 +74,5 @@ def global_stats(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
 
 
 def count_non_null(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: the number of non-NULL values of ``column``."""
     return df.agg(F.count(F.col(column)).alias(name))

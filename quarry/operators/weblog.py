@@ -73,6 +73,7 @@ def response_code_total(logs: DataFrame) -> DataFrame:
 
 
 def ip_counts(logs: DataFrame) -> DataFrame:
+    """Requests per IP address: (ipAddress, count)."""
     return count_by(logs, "ipAddress", "count")
 
 
@@ -84,6 +85,7 @@ def heavy_hitters(logs: DataFrame, threshold: int = 10, limit: int | None = None
 
 
 def endpoint_counts(logs: DataFrame) -> DataFrame:
+    """Requests per endpoint: (endpoint, count)."""
     return count_by(logs, "endpoint", "count")
 
 
@@ -95,6 +97,7 @@ def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
 # --- SQL spellings (the reference ran the same questions as SQL on a view) --
 
 def sql_log_stats(spark: SparkSession, logs: DataFrame, view: str = "logs") -> DataFrame:
+    """``log_stats`` written as SQL over a temp view."""
     logs.createOrReplaceTempView(view)
     return spark.sql(
         f"SELECT sum(contentSize) AS size_sum, count(*) AS requests, "
@@ -104,6 +107,7 @@ def sql_log_stats(spark: SparkSession, logs: DataFrame, view: str = "logs") -> D
 
 
 def sql_response_code_total(spark: SparkSession, logs: DataFrame, view: str = "logs") -> DataFrame:
+    """``response_code_total`` written as SQL over a temp view."""
     logs.createOrReplaceTempView(view)
     return spark.sql(f"SELECT count(responseCode) AS response_codes FROM {view}")
 
@@ -120,6 +124,7 @@ def sql_heavy_hitters(
 
 
 def sql_top_endpoints(spark: SparkSession, logs: DataFrame, k: int = 10, view: str = "logs") -> DataFrame:
+    """``top_endpoints`` written as SQL (ORDER BY count DESC, endpoint LIMIT k)."""
     logs.createOrReplaceTempView(view)
     return spark.sql(
         f"SELECT endpoint, count(*) AS count FROM {view} "

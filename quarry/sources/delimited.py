@@ -43,6 +43,7 @@ def users_schema(id_type: T.DataType = T.StringType()) -> T.StructType:
 
 
 def transactions_schema(user_id_type: T.DataType = T.StringType()) -> T.StructType:
+    """Transactions; the user id is a string for the inner-join jobs."""
     return T.StructType(
         [
             T.StructField("trans_id", T.IntegerType(), True),
@@ -85,12 +86,14 @@ def read_tsv(
 
 
 def read_users(spark: SparkSession, path: str, id_type: T.DataType = T.StringType()) -> DataFrame:
+    """Users TSV (id, email, language, location, age, gender)."""
     return read_tsv(spark, path, users_schema(id_type))
 
 
 def read_transactions(
     spark: SparkSession, path: str, user_id_type: T.DataType = T.StringType()
 ) -> DataFrame:
+    """Transactions TSV (trans_id, prod_id, user_id, purchase_amt, item_description)."""
     return read_tsv(spark, path, transactions_schema(user_id_type))
 
 

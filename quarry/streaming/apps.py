@@ -124,5 +124,6 @@ def await_all(queries: dict[str, StreamingQuery] | list[StreamingQuery],
 
 
 def stop_all(queries: dict[str, StreamingQuery] | list[StreamingQuery]) -> None:
+    """Stop every query of an application."""
     for q in (queries.values() if isinstance(queries, dict) else queries):
         q.stop()

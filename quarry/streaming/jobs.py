@@ -148,6 +148,7 @@ def stream_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-window stats (7-day windows sliding by 1 day) of a time-ordered log feed, with a watermark."""
     stream, delay = _log_stream(spark, sf_dir, "windows-feed")
     logs = SL.timed_logs(stream, watermark=delay)
     out = run_to_table(
@@ -157,6 +158,7 @@ def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-window hosts with more than 10 requests, from a time-ordered log feed."""
     stream, delay = _log_stream(spark, sf_dir, "heavy-feed")
     logs = SL.timed_logs(stream, watermark=delay)
     hh = SL.window_heavy_hitters(logs, REPORT_HEAVY_HITTER_THRESHOLD, REPORT_WINDOW, REPORT_SLIDE)
@@ -165,6 +167,7 @@ def stream_window_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-window endpoint counts kept by the stream; the top 10 per window are taken on read."""
     stream, delay = _log_stream(spark, sf_dir, "endpoints-feed")
     logs = SL.timed_logs(stream, watermark=delay)
     counts = SL.window_endpoint_counts(logs, REPORT_WINDOW, REPORT_SLIDE)

@@ -53,6 +53,7 @@ def _bounds(w: Column) -> list[Column]:
 
 
 def window_stats(logs: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE) -> DataFrame:
+    """Per window: size sum, request count, truncated mean, min, max and the number of response codes."""
     size = F.col("contentSize")
     agg = logs.groupBy(_window(window, slide).alias("w")).agg(
         F.sum(size).alias("size_sum"),
@@ -73,6 +74,7 @@ def window_stats(logs: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEF
 
 
 def window_ip_counts(logs: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE) -> DataFrame:
+    """Requests per (window, ip address)."""
     agg = logs.groupBy(_window(window, slide).alias("w"), "ipAddress").agg(
         F.count(F.lit(1)).alias("count")
     )
@@ -90,6 +92,7 @@ def window_heavy_hitters(
 def window_endpoint_counts(
     logs: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE
 ) -> DataFrame:
+    """Requests per (window, endpoint)."""
     agg = logs.groupBy(_window(window, slide).alias("w"), "endpoint").agg(
         F.count(F.lit(1)).alias("count")
     )

@@ -182,4 +182,5 @@ def compact(spark: SparkSession, out_dir: str, keys: list[str]) -> int | None:
 
 
 def files_per_trigger(num_files: int, batches: int) -> int:
+    """Files per micro-batch so that ``num_files`` are read in about ``batches`` batches."""
     return max(1, math.ceil(num_files / max(1, batches)))
