@@ -37,6 +37,7 @@ QUERIES: dict[str, Query] = {
     "word_count": Wd.word_count_tables,
     "frequent_words": Wd.frequent_words_tables,
     "tokenize": Wd.tokens_per_document,
+    "token_positions": Wd.token_positions,
     "hashtags": Wd.hashtags_tables,
     "keyword_track_filter": Wd.keyword_docs_tables,
     # web log

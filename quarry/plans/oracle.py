@@ -156,6 +156,15 @@ ORACLE_SQL: dict[str, str] = {
                        FROM documents),
         words AS (SELECT doc_id, unnest({_java_tokens('line')}) AS word FROM lines)
         SELECT doc_id, count(*) AS tokens FROM words GROUP BY doc_id""",
+    "token_positions": f"""
+        WITH docs AS (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|\\r|\\n') AS ls
+                      FROM documents),
+        lines AS (SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS line_no,
+                         unnest(ls) AS line FROM docs),
+        toks AS (SELECT doc_id, line_no, {_java_tokens('line')} AS ws FROM lines)
+        SELECT doc_id, line_no, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS token_no,
+               unnest(ws) AS word
+        FROM toks""",
     "hashtags": _POSTS_HASHTAGS,
     "keyword_track_filter": """
         SELECT doc_id FROM documents

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import java_split, split_lines
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
 from quarry.sources.tables import posts, spread, table
@@ -42,6 +43,19 @@ def tokens_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("tokens"))
 
 
+def token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token with its place: (doc_id, line_no, token_no, word), 0-based.
+
+    ``posexplode`` twice (lines, then tokens), so the tokenizer's output is
+    checked word by word and in order, not only as counts.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = docs.select("doc_id", F.posexplode(split_lines("text")).alias("line_no", "line"))
+    return lines.select(
+        "doc_id", "line_no", F.posexplode(java_split("line", " ")).alias("token_no", "word")
+    )
+
+
 def hashtags_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hashtag token of the posts derived from events."""
     return W.hashtags(W.tokens(posts(spark, sf_dir), "value"))
