@@ -69,6 +69,7 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_word_count": _streaming("stream_word_count"),
     "stream_hashtags": _streaming("stream_hashtags"),
+    "stream_keyword_track": _streaming("stream_keyword_track"),
     "stream_running_stats": _streaming("stream_running_stats"),
     "stream_log_windows": _streaming("stream_log_windows"),
     "stream_window_heavy_hitters": _streaming("stream_window_heavy_hitters"),

@@ -205,6 +205,9 @@ ORACLE_SQL: dict[str, str] = {
     # streams (results of the finished stream, read back as a table)
     "stream_word_count": _WORD_COUNT,
     "stream_hashtags": _POSTS_HASHTAGS,
+    "stream_keyword_track": f"""
+        SELECT line AS value FROM ({_DOC_LINES})
+        WHERE contains(lower(line), 'password') OR contains(lower(line), 'license')""",
     "stream_running_stats": _LOG_STATS,
     "stream_log_windows": f"""{_WINDOWED_LOGS}
         SELECT window_start_epoch, window_start_epoch + 604800 AS window_end_epoch,

@@ -138,6 +138,19 @@ def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, out, "hashtag string, batch bigint").select("hashtag")
 
 
+def stream_keyword_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a document feed that mention a tracked term (stateless,
+    append): the keyword-limited post stream, re-aimed at any text stream."""
+    from quarry.operators.filters import keyword_track
+    from quarry.plans.words import TRACKED_TERMS
+
+    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    feed, per_trigger = write_feed(docs, "keyword-feed")
+    stream = text_file_stream(spark, feed, per_trigger)
+    out = run_to_table(keyword_track(stream, "value", TRACKED_TERMS), "stream-keyword-track", "append")
+    return read_batches(spark, out, "value string, batch bigint").select("value")
+
+
 def stream_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over the whole stream: no windows, so arrival order is irrelevant
     and the plain feed (one write job) is enough."""
