@@ -127,3 +127,50 @@ def stop_all(queries: dict[str, StreamingQuery] | list[StreamingQuery]) -> None:
     """Stop every query of an application."""
     for q in (queries.values() if isinstance(queries, dict) else queries):
         q.stop()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m quarry.streaming.apps <app> <input> <out_dir> <checkpoint_dir>``
+
+    ``<input>`` is a directory of new text files, or ``host:port`` for a
+    socket (word count). Runs until stopped, or for ``--timeout`` seconds.
+    """
+    import argparse
+
+    from quarry.session import build_session
+    from quarry.sources.streams import socket_stream, text_file_stream
+
+    parser = argparse.ArgumentParser(prog="quarry.streaming.apps")
+    parser.add_argument("app", choices=["log_reports", "word_count", "hashtags"])
+    parser.add_argument("input")
+    parser.add_argument("out_dir")
+    parser.add_argument("checkpoint_dir")
+    parser.add_argument("--event-time", action="store_true", help="window on the log's own time")
+    parser.add_argument("--watermark", default=None, help='e.g. "10 minutes" (event time only)')
+    parser.add_argument("--timeout", type=float, default=None, help="stop after this many seconds")
+    args = parser.parse_args(argv)
+
+    spark = build_session(app_name=f"quarry-stream-{args.app}")
+    host, _, port = args.input.rpartition(":")
+    if args.app == "word_count" and host and port.isdigit():
+        lines = socket_stream(spark, host, int(port))
+    else:
+        lines = text_file_stream(spark, args.input)
+    if args.app == "log_reports":
+        queries = start_log_reports(lines, args.out_dir, args.checkpoint_dir,
+                                    event_time=args.event_time, watermark=args.watermark)
+    elif args.app == "word_count":
+        queries = {"word_count": start_word_count(lines, args.out_dir, args.checkpoint_dir)}
+    else:
+        queries = {"hashtags": start_hashtags(lines, args.out_dir, args.checkpoint_dir)}
+    try:
+        await_all(queries, args.timeout)
+    finally:
+        stop_all(queries)
+        spark.stop()
+
+
+if __name__ == "__main__":
+    import sys
+
+    main(sys.argv[1:])

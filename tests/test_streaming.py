@@ -211,3 +211,19 @@ def test_time_ordered_feed_tolerates_adjacent_slices_out_of_order(spark):
     streamed = rows(read_latest(spark, out, ["window_start_epoch", "endpoint"]))
     batch = rows(SL.window_endpoint_counts(SL.timed_logs(src.select("value")), "2 days", "1 day"))
     assert streamed == batch and len(batch) > 20
+
+
+def test_stream_app_cli_runs_for_a_bounded_time(tmp_path):
+    import subprocess
+    import sys
+
+    feed = _feed(tmp_path, "cli-posts", ["user 1 did #view\n", "#a b\n"])
+    out, ck = str(tmp_path / "cli-out"), str(tmp_path / "cli-ck")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "quarry.streaming.apps", "hashtags", feed, out, ck, "--timeout", "20"],
+        cwd=repo, capture_output=True, timeout=180,
+    )
+    assert proc.returncode == 0, proc.stderr.decode()[-2000:]
+    files = [f for f in os.listdir(f"{out}/hashtags") if f.startswith("batch=")]
+    assert files
