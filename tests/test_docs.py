@@ -6,7 +6,7 @@ import importlib
 import os
 import re
 
-import __spark_entry__ as E
+from quarry.plans.catalog import QUERIES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,7 +20,7 @@ def test_readme_lists_every_registered_query():
     readme = _read("README.md")
     table = readme[readme.index("## Registered queries"):readme.index("The jobs are mapped")]
     listed = set(re.findall(r"`([a-z_]+)`", table)) - {"queries", "oracle_sql"}
-    assert listed == set(E.queries())
+    assert listed == set(QUERIES)
 
 
 def test_coverage_references_exist():
@@ -51,5 +51,5 @@ def test_coverage_references_exist():
 def test_every_registered_query_is_mapped_in_coverage():
     cov = _read("COVERAGE.md")
     named = set(re.findall(r"`([a-z_]+)`", cov))
-    unmapped = [k for k in E.queries() if k not in named and not k.startswith("stream_")]
+    unmapped = [k for k in QUERIES if k not in named and not k.startswith("stream_")]
     assert not unmapped
