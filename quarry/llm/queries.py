@@ -6,15 +6,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import tokens
+from quarry.llm import chat, tokens
 from quarry.llm.common import read
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], schema
+    )
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_chats(rows.unionByName(extra)))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), tokens.tokenizer_path())
 
 
 QUERIES = {
+    "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
 }
 

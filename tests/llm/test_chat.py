@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from quarry.llm import chat, queries
+from tests.llm.helpers import SF, documents
+
+T = chat.INSTRUCT
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def brute(rows):
+    """Digest columns straight from the turns, without the template."""
+    by = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        by.setdefault(r[0], []).append((r[2] or "", r[3] or ""))
+    return {
+        c: (len(t), sha("".join(f"{r}\n{x}\n" for r, x in t)),
+            sum(len(x) for r, x in t if r == "assistant"),
+            sha("".join(x for r, x in t if r == "assistant")))
+        for c, t in by.items()
+    }
+
+
+def digests(df):
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256)
+            for r in df.collect()}
+
+
+def test_query_equals_the_turns_of_the_table(spark):
+    rows = [(d["conv_id"], d["turn"], d["role"], d["text"]) for d in documents("conversations")]
+    rows += [(-1, 0, "user", queries.CONTROL_TEXT), (-1, 1, "assistant", queries.CONTROL_TEXT)]
+    df = queries.op5_chat_format(spark, SF)
+    assert digests(df) == brute(rows)
+    assert df.count() == len({r[0] for r in rows})
+
+
+ODD = [
+    (1, 2, "assistant", None), (1, 1, "user", ""), (1, None, None, "no role"),
+    (2, 0, "tool", T.roles["user"].open + "\\" + T.other[1]),
+    (2, 1, "x[/ROLE] " + T.other[0], "b"), (2, 1, "x[/ROLE] " + T.other[0], "b"),
+    (None, 0, "user", "q"), (None, 1, "assistant", "a" * 100_000),
+    (3, 0, "assistant", "ends early"), (4, 0, "user", "u"), (4, 0, "assistant", "a"),
+]
+
+
+def test_odd_turns(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ODD, SCHEMA).withColumn("segments", F.lit(1))
+    out = chat.read_back(chat.format_chats(df))
+    assert digests(out) == brute(ODD)
+    valid = {r.conv_id: r.valid_order for r in out.collect()}
+    assert valid == {1: False, 2: False, None: True, 3: False, 4: False}
+
+
+def test_empty_table(spark):
+    assert chat.read_back(chat.format_chats(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def test_turn_order_machine(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"),
+            (2, 0, "user", "u"), (2, 1, "user", "u"), (2, 2, "assistant", "a"),
+            (3, 0, "user", "u")]
+    out = chat.format_chats(spark.createDataFrame(rows, SCHEMA))
+    ok = {(r.conv_id, r.turn_no): r.in_order for r in out.collect()}
+    assert [k for k, v in ok.items() if not v] == [(2, 1)]
+    valid = {r.conv_id: r.valid_order for r in chat.read_back(out).collect()}
+    assert valid == {1: True, 2: False, 3: False}
+    seg = {(r.conv_id, r.turn_no): r.segments for r in out.collect()}
+    assert [(s.text, s.loss) for s in seg[1, 2]] == [("<s>", False), ("a", True), ("</s>", False)]
+
+
+MARKS = st.sampled_from([m for x in T.marks for m in (x, x[:2], x[1:])] + ["\\", "\\\\", "a", "<", " "])
+
+
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool", ""]),
+                          st.lists(MARKS, max_size=8).map("".join)), max_size=5))
+def test_round_trip(turns):
+    text = "".join(s for r, t in turns for s, _ in T.segments(r, t))
+    assert list(T.parse(text)) == turns
+
+
+@pytest.mark.parametrize("bad", ["x", "<s>no end", "</s>"])
+def test_malformed_text_is_refused(bad):
+    with pytest.raises(ValueError):
+        list(T.parse(bad))
+
+
+def test_template_refuses_overlapping_marks():
+    with pytest.raises(ValueError):
+        chat.Template({"user": chat.Turn("ab", "bc")}, ("xx1", "yy2", "zz3"), {}, ())
