@@ -5,11 +5,17 @@ the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import chat, tokens
+from quarry.llm import chat, neighbours, tokens
 from quarry.llm.common import read
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows.where(F.col("vec_id") % 20 == 0), rows, k=20)
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -27,8 +33,26 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_nearest_neighbours": """
+        WITH ok AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND list_bool_and(list_transform(
+                    embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+              AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+        ),
+        pair AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM ok q JOIN ok c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, (row_number() OVER (
+                   PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id, score
+        FROM pair QUALIFY rank <= 20""",
+}
