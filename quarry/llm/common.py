@@ -61,11 +61,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
-_BYTE_LOWER = _BYTE[np.frombuffer(LOWER, np.uint8)]
+_LOWER_BYTES = np.frombuffer(LOWER, np.uint8)
 
 
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.full(max(n, 1), 0x9E3779B97F4A7C55, np.uint64))
+def byte_terms(data: np.ndarray, place: np.ndarray, longest: int) -> np.ndarray:
+    """Terms of the 64-bit polynomial hash of byte strings: the string's hash
+    is their sum. ``place``: position of each byte in its string."""
+    powers = np.cumprod(np.full(max(longest, 1), 0x9E3779B97F4A7C55, np.uint64))
+    return _BYTE[data] * powers[place]
 
 
 def word_hashes(
@@ -89,8 +92,8 @@ def word_hashes(
     heads = np.searchsorted(kept, starts)
     lens = np.diff(np.append(heads, len(kept)))
     place = np.arange(len(kept)) - np.repeat(heads, lens)
-    table = _BYTE_LOWER if lower else _BYTE
-    v = table[data[kept]] * _powers(int(lens.max()))[place]
+    chars = data[kept]
+    v = byte_terms(_LOWER_BYTES[chars] if lower else chars, place, int(lens.max()))
     return mix(np.add.reduceat(v, heads) + lens.astype(np.uint64)), woff
 
 

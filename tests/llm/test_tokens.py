@@ -1,15 +1,23 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.llm import queries, tokens
-from tests.llm.helpers import SF, documents, empty_documents, odd_documents
+from tests.llm.helpers import ODD_TEXTS, SF, documents, empty_documents, odd_documents
 
 PATH = tokens.tokenizer_path()
 
 
+def ids_of(texts, most=1 << 20):
+    raw = [(t or "").encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ids, n = tokens.encode_texts(PATH, data, np.cumsum([0, *map(len, raw)]), most=most)
+    return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+
 def whole(text):
     return tokens.load(PATH).encode(text or "", add_special_tokens=False).ids
 
@@ -56,13 +64,20 @@ def test_model_file_counts_whole_texts(spark):
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]),
                                   st.sampled_from(" \t\n\v\fΣ́'<|>")), max_size=60))
 def test_ids_of_a_text_are_the_ids_of_its_words(text):
-    parts = list(tokens.encode_words(PATH, text.encode().split()))
-    assert [i for p in parts for i in p] == whole(text)
+    assert ids_of([text, text + text]) == [whole(text), whole(text + text)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=[chr(c) for c in (*range(1, 0x180), 0x301, 0x3A3, 0x2028)], max_size=40))
+def test_latin_words(text):
+    assert ids_of([text, text + text]) == [whole(text), whole(text + text)]
 
 
-@pytest.mark.parametrize("most", [1, 7, 64])
-def test_pieces_cut_only_at_white_space(most):
-    for text in (b"", b"aa bb\ncc  dd", b"x" * 500 + b" y", b" " * 40):
-        cut = list(tokens.pieces(text, most))
-        assert b"".join(cut) == text
-        assert [w for p in cut for w in p.split()] == text.split()
+@pytest.mark.parametrize("most", [1, 7, 64, 4000])
+def test_batches_end_only_at_white_space(most):
+    texts = [*ODD_TEXTS, "", "end", "no break " + "z" * 300]
+    assert ids_of(texts, most) == [whole(t) for t in texts]
+    raw = [(t or "").encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    cut = list(tokens._chunks(data, off, most))
+    assert [a for a, _ in cut] == [0, *(b for _, b in cut[:-1])] and cut[-1][1] == len(data)
