@@ -7,8 +7,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, neighbours, tokens
-from quarry.llm.common import read
+from quarry.llm import chat, neighbours, packing, tokens
+from quarry.llm.common import read, saved
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    """Digest columns of the packed documents."""
+    pieces = packing.token_pieces(docs, tokens.tokenizer_path())
+    digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(saved(digest, "pieces")).drop("slot")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"))
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +44,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import packing, queries, tokens
+from tests.llm.helpers import SF, documents, empty_documents, odd_documents
+
+PATH = tokens.tokenizer_path()
+
+
+def expected(docs):
+    """(doc_id, piece, start, length, crc) of every piece, by the library."""
+    out = Counter()
+    for i, text in docs:
+        ids = [*tokens.load(PATH).encode(text or "", add_special_tokens=False).ids, 0]
+        for p in range(0, len(ids), 2048):
+            part = np.array(ids[p:p + 2048], "<u4")
+            out[i, p // 2048, p, len(part), zlib.crc32(part.tobytes())] += 1
+    return out
+
+
+def check_layout(rows, capacity=2048):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_query(spark):
+    df = queries.op2_best_fit_packing(spark, SF)
+    rows = df.collect()
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert got == expected((d["doc_id"], d["text"]) for d in documents())
+    bound = -(-sum(r.length for r in rows) // 2048)
+    assert check_layout(rows) <= bound + 1
+    assert dict(df.dtypes)["ids_crc32"] == "bigint"
+
+
+def test_odd_texts(spark):
+    df = odd_documents(spark)
+    rows = queries.pack_documents(df).collect()
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert got == expected((r.doc_id, r.text) for r in df.collect())
+    check_layout(rows)
+
+
+def test_empty_table(spark):
+    assert queries.pack_documents(empty_documents(spark)).collect() == []
+
+
+def test_sequences_hold_the_pieces(spark):
+    docs = [(1, "a b c"), (2, "d " * 3000), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    p = packing.pack(packing.token_pieces(df, PATH).cache())
+    seq = {r.sequence_id: np.frombuffer(bytes(r.ids), "<u4") for r in
+           packing.sequences(p).collect()}
+    for r in p.collect():
+        assert (seq[r.sequence_id][r.offset:r.offset + r.length]
+                == np.frombuffer(bytes(r.ids), "<u4")).all()
+    assert sum(map(len, seq.values())) == sum(
+        len(tokens.load(PATH).encode(t or "", add_special_tokens=False).ids) + 1 for _, t in docs)
+
+
+def test_many_blocks_and_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 200)
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        (1 + F.pmod(F.xxhash64("id"), F.lit(900))).alias("length"),
+        F.lit("x").alias("sequence_id"),
+    )
+    rows = packing.pack(df, 1000).collect()
+    assert len(rows) == 1000
+    sizes = np.sort([r.length for r in rows])[::-1]
+    at_once = packing.packed(sizes, np.arange(1000), 1000).max() + 1  # all in one block
+    assert check_layout(rows, 1000) <= 1.05 * at_once  # small blocks, half-bin pieces
+
+
+def test_odd_lengths(spark):
+    df = spark.createDataFrame([(1, None), (2, 0), (3, 5000), (4, 2048), (5, 1)],
+                               "doc_id bigint, length bigint")
+    got = {r.doc_id: r for r in packing.pack(df).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]
+    assert len({got[3].sequence_id, got[4].sequence_id, got[5].sequence_id}) == 3
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_crossover_keeps_every_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.sort(rng.integers(1, 700, 300))[::-1].astype(np.int32)
+    a, b = (packing.packed(sizes, rng.permutation(300), 1000) for _ in range(2))
+    child = packing.crossover(sizes, a, b, 1000, rng)
+    fill = np.bincount(child, sizes)
+    assert (child >= 0).all() and fill.max() <= 1000 and fill.min() > 0
+
+
+def test_search_improves_on_best_fit():
+    # triplets that fill a bin exactly, where best fit decreasing needs more bins
+    rng = np.random.default_rng(3)
+    a = rng.integers(380, 490, 40)
+    b = rng.integers(250, 380, 40)
+    sizes = np.sort(np.concatenate([a, b, 1000 - a - b]))[::-1].astype(np.int32)
+    start = packing.packed(sizes, np.arange(len(sizes)), 1000)
+    best = packing.evolve(sizes, [], 1000, 300, rng)[0]
+    assert packing.fitness(sizes, best, 1000) > packing.fitness(sizes, start, 1000)
