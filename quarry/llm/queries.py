@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, neighbours, packing, tokens
+from quarry.llm import chat, fingerprints, neighbours, packing, tokens
 from quarry.llm.common import read, saved
 
 
@@ -43,11 +43,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), tokens.tokenizer_path())
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
+    "op7_fingerprints": op7_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
