@@ -193,7 +193,7 @@ def evolve(
 _STATE = "block bigint, island int, sizes binary, people array<binary>, bins int, bound int"
 
 
-def _search(blocks: DataFrame, capacity: int) -> DataFrame:
+def _search(blocks: DataFrame, n_blocks: int, capacity: int) -> DataFrame:
     """(block, bins binary): the best grouping found for each block's lengths,
     longest first."""
 
@@ -220,7 +220,7 @@ def _search(blocks: DataFrame, capacity: int) -> DataFrame:
     )
     for epoch in range(EPOCHS):
         # islands of a block go to different tasks; the state is one small row each
-        dealt = state.repartition("block", "island")
+        dealt = state.repartition(-(-n_blocks * ISLANDS // 4), "block", "island")
         state = saved(dealt.mapInPandas(evolved(epoch), _STATE), "packing-state")
         if epoch + 1 < EPOCHS:
             guest = state.select(
@@ -258,7 +258,7 @@ def _place(rows: DataFrame, columns: list[str], capacity: int, level: int) -> Da
     lengths = items.select("block", "length").groupBy("block").applyInPandas(
         sizes, "block bigint, sizes binary"
     )
-    best = _search(lengths, capacity)
+    best = _search(lengths, blocks, capacity)
 
     def place(key, frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         bins = np.frombuffer(found.bins.iloc[0], np.int32)

@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, fingerprints, neighbours, packing, tokens
-from quarry.llm.common import read, saved
+from quarry.llm import chat, fingerprints, language, neighbours, packing, tokens
+from quarry.llm.common import crc_mod, read, saved
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
@@ -47,12 +47,22 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    models = language.fit(docs, crc_mod("doc_id", 4) != 2)
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return language.identify(docs, models).select(
+        "doc_id", held_out, "lang_pred", "score", "accepted"
+    )
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_fingerprints": op7_fingerprints,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
