@@ -4,13 +4,24 @@ the result."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, fingerprints, language, neighbours, packing, tokens
+from quarry.llm import chat, fingerprints, language, neighbours, packing, quality, tokens
 from quarry.llm.common import crc_mod, read, saved
 
 
+def held_out(n: int, part: int) -> Column:
+    return F.coalesce(crc_mod("doc_id", n) == part, F.lit(False)).alias("held_out")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model, stats = quality.fit_documents(docs, labels, crc_mod("doc_id", 4) != 2)
+    scored = stats.select("doc_id", held_out(4, 2), model.score(F.col("statistics")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.KEEP).cast("int"))
+
+
 def pack_documents(docs: DataFrame) -> DataFrame:
     """Digest columns of the packed documents."""
     pieces = packing.token_pieces(docs, tokens.tokenizer_path())
@@ -50,13 +61,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     models = language.fit(docs, crc_mod("doc_id", 4) != 2)
-    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     return language.identify(docs, models).select(
-        "doc_id", held_out, "lang_pred", "score", "accepted"
+        "doc_id", held_out(4, 2), "lang_pred", "score", "accepted"
     )
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,

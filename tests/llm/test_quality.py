@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import quality, queries
+from quarry.llm.common import crc_mod
+from tests.llm.helpers import ODD_TEXTS, SF, documents, empty_documents, odd_documents
+
+
+def arrays(texts):
+    raw = [(t or "").encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def test_held_out_accuracy(spark):
+    df = queries.op1_quality_classifier(spark, SF)
+    got = {r.doc_id: r for r in df.collect()}
+    assert set(got) == {d["doc_id"] for d in documents()}
+    label = {x["doc_id"]: x["quality"] for x in documents("labels")}
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [(r.predicted, label[i]) for i, r in got.items() if r.held_out and i in label]
+    assert np.mean([a == b for a, b in held]) > 0.9
+
+
+def test_statistics_of_known_texts():
+    out = quality.statistics(*arrays(["Aa bb. Aa\nbb cc|", "", "é"]))
+    s = dict(zip(quality.STATISTICS, out[0]))
+    assert s["log_words"] == pytest.approx(np.log1p(5))
+    assert s["log_lines"] == pytest.approx(np.log1p(2))
+    assert s["upper_share"] == pytest.approx(2 / 16) and s["pipe_share"] == pytest.approx(1 / 16)
+    assert s["distinct_words"] == pytest.approx(4 / 5) and s["top_word"] == pytest.approx(2 / 5)
+    assert s["word_length"] == pytest.approx(12 / 5) and s["odd_lines"] == 1.0
+    assert np.isfinite(out).all()
+    assert dict(zip(quality.STATISTICS, out[2]))["log_chars"] == pytest.approx(np.log1p(1))
+
+
+def test_batches_do_not_matter():
+    whole = quality.statistics(*arrays(ODD_TEXTS))
+    single = np.concatenate([quality.statistics(*arrays([t])) for t in ODD_TEXTS])
+    assert np.array_equal(whole, single)
+
+
+def test_compiled_rules_equal_their_meaning(spark):
+    rule = quality.Rule(((0, True, 2.0), (2, False, -1.0)))
+    model = quality.RuleEnsemble(0.5, ((rule, 2.0),), ((1, 0.0, 10.0, -3.0),))
+    rows = [[1.0, 5.0, 0.0], [3.0, 50.0, 0.0], [2.0, -4.0, -1.0]]
+    df = spark.createDataFrame([(r,) for r in rows], "s array<double>")
+    got = [r.p for r in df.select(model.score(F.col("s")).alias("p")).collect()]
+    z = [0.5 + 2.0 - 1.5, 0.5 - 3.0, 0.5]
+    assert np.allclose(got, 1 / (1 + np.exp(-np.array(z))))
+
+
+def test_rules_are_found_and_sparse(spark):
+    rng = np.random.default_rng(0)
+    x = rng.uniform(size=(3000, len(quality.STATISTICS)))
+    y = ((x[:, 3] > 0.4) & (x[:, 7] < 0.6)).astype(int)
+    rows = [(i, r.tolist(), int(q)) for i, (r, q) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "doc_id bigint, statistics array<double>, quality int")
+    model = quality.fit(df)
+    used = {i for r, _ in model.rules for i, _, _ in r.bounds}
+    assert {3, 7} <= used and 0 < len(model.rules) < 150
+    p = df.select(model.score(F.col("statistics")).alias("p"), "quality").toPandas()
+    assert ((p.p > 0.5) == (p.quality == 1)).mean() > 0.95
+
+
+def test_odd_rows_and_labels(spark):
+    df = odd_documents(spark).withColumn("statistics", F.lit(1))
+    labels = spark.createDataFrame(
+        [(3, 1, 0), (3, 0, 0), (5, 1, None), (8, None, 0), (None, 1, 0), (77, 1, 1), (9, 1, 0)],
+        "doc_id bigint, quality int, toxic int")
+    model, stats = quality.fit_documents(df, labels, F.lit(True))
+    got = stats.select("doc_id", model.score(F.col("statistics")).alias("p")).collect()
+    assert len(got) == df.count() and all(0 <= r.p <= 1 for r in got)
+
+
+def test_no_labels_and_no_rows(spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model, stats = quality.fit_documents(odd_documents(spark), none, crc_mod("doc_id", 4) != 2)
+    assert stats.where(model.score(F.col("statistics")) < 0.99).count() == 0
+    model, stats = quality.fit_documents(empty_documents(spark), none, F.lit(True))
+    assert stats.count() == 0
