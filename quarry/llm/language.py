@@ -43,7 +43,7 @@ FIT_DOCS = 2000  # labelled documents a language whose texts are counted, about
 CALIBRATION_DOCS = 500  # further ones for temperature and threshold, about
 MARGIN = 2.0  # times the highest cross-entropy of the calibration texts of a language
 PAD, END = 1, 2  # symbols that are no letters
-CHUNK_CHARS = 2 << 20
+CHUNK_CHARS = 1 << 20
 UNKNOWN = "und"
 
 _POWER = mix(np.arange(1, ORDER + 1, dtype=np.uint64)) | np.uint64(1)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, fingerprints, language, neighbours, packing, quality, tokens
+from quarry.llm import bpe, chat, fingerprints, language, neighbours, packing, quality, tokens
 from quarry.llm.common import crc_mod, read, saved
 
 
@@ -58,6 +58,21 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def round_trip(docs: DataFrame) -> DataFrame:
+    """Digest columns of the ids of the documents and of their decoded text."""
+    path = tokens.tokenizer_path()
+    both = bpe.decode(bpe.encode(docs, path), path)
+    as_text = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(as_text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     models = language.fit(docs, crc_mod("doc_id", 4) != 2)
@@ -73,6 +88,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_fingerprints": op7_fingerprints,
+    "op8_bpe_codec": op8_bpe_codec,
     "op9_language_id": op9_language_id,
 }
 

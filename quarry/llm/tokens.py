@@ -53,10 +53,10 @@ def load(path: str):
 # lower-cased by the normaliser, and its runs of one class (digits one by one)
 # are the pieces of the tokenizer's own pattern: they may go straight to its
 # BPE model. Any other word is "odd" and goes to the whole tokenizer.
-_SPACE, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
+SPACE, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
 _CLASS = np.full(256, _ODD, np.uint8)
 _CLASS[33:127] = _OTHER
-_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[[9, 10, 11, 12, 13, 32]] = SPACE
 _CLASS[48:58] = _DIGIT
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
 _CLASS[39] = _ODD
@@ -126,7 +126,7 @@ def _model(path: str) -> _Model:
     return _models[path]
 
 
-def _classes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def classes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte classes, lower-cased bytes (odd words as they are), and where
     words start; ``heads``: where texts start."""
     kind, low = _CLASS[data], _LOWER[data]
@@ -141,7 +141,7 @@ def _classes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarra
         low[high] = np.where((b < 0x9F) & (b != 0x97), b + 0x20, b)
     special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
     kind[special] = _ODD
-    solid = kind != _SPACE
+    solid = kind != SPACE
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     first[heads] = solid[heads]
@@ -160,8 +160,8 @@ def _classes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _encode_chunk(model: _Model, data: np.ndarray, heads: np.ndarray):
     """(where runs start, token count per run, ids of the distinct runs, where
     each run's ids begin in them) of one chunk."""
-    kind, low, first = _classes(data, heads)
-    solid = kind != _SPACE
+    kind, low, first = classes(data, heads)
+    solid = kind != SPACE
     first[1:] |= solid[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
     starts = np.flatnonzero(first)
     if not len(starts):
@@ -207,12 +207,12 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, most: int) -> Iterator[tuple[
         hi = min(lo + most, len(data))
         if hi < len(data):
             text_end = int(offsets[np.searchsorted(offsets, hi, side="right") - 1])
-            white = np.flatnonzero(_CLASS[data[max(lo, text_end):hi]] == _SPACE)
+            white = np.flatnonzero(_CLASS[data[max(lo, text_end):hi]] == SPACE)
             best = max(text_end, max(lo, text_end) + int(white[-1]) + 1 if len(white) else 0)
             while best <= lo:  # nothing in reach: on to the next break
                 end = int(offsets[np.searchsorted(offsets, hi, side="left")])
                 stop = min(hi + most, end)
-                white = np.flatnonzero(_CLASS[data[hi:stop]] == _SPACE)
+                white = np.flatnonzero(_CLASS[data[hi:stop]] == SPACE)
                 best = hi + int(white[0]) + 1 if len(white) else (end if stop == end else lo)
                 hi = stop
             hi = best
