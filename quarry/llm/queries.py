@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprints, language, neighbours, packing, quality, tokens
+from quarry.llm import bpe, chat, fingerprints, language, neighbours, packing, pitman_yor, quality, tokens
 from quarry.llm.common import crc_mod, read, saved
 
 
@@ -81,6 +81,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model, counts = pitman_yor.fit(docs, crc_mod("doc_id", 10) != 0)
+    return pitman_yor.score(docs, model, counts).select(
+        "doc_id", held_out(10, 0), "n_tokens", "n_known",
+        F.lit(model.total).cast("bigint").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -90,6 +100,7 @@ QUERIES = {
     "op7_fingerprints": op7_fingerprints,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_language_id": op9_language_id,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {
