@@ -2,8 +2,9 @@
 
 Encoding:
 
-1. Texts are split into words at white space; a word without odd characters
-   is lower-cased, as the tokenizer would (see :mod:`quarry.llm.tokens`).
+1. Texts are split into the tokenizer's own words: runs of letters, of other
+   signs, and single digits, lower-cased; a word with odd characters stays
+   whole (see :mod:`quarry.llm.tokens`).
 2. The distinct words of the corpus, with their counts, form a table, and each
    of them is encoded once.
 3. Ids go back to the words by position. The most frequent words, at most
@@ -26,65 +27,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import tokens
-from quarry.llm.common import byte_terms, mix, saved, sliced, text_buffers
+from quarry.llm.common import Words, frequent_from, saved, sliced, string_hashes, text_buffers
 
-HEAD_WORDS = 2_000_000
+HEAD_WORDS = 1_000_000
 HEAD_BYTES = 32 << 20
-SLICE_BYTES = 6 << 20
-
-
-class Words:
-    """The words of a batch of texts: ``which`` distinct word each occurrence
-    is, the word offsets of the texts, and hashes and bytes of the distinct."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        n = len(offsets) - 1
-        self.offsets = np.zeros(n + 1, np.int64)
-        self.which = np.empty(0, np.int64)
-        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        self._bytes, self._at, self._lens = data, self.which, self.which
-        if not len(data):
-            return
-        heads = offsets[:-1][offsets[:-1] < len(data)]
-        kind, low, first = tokens.classes(data, heads)
-        starts = np.flatnonzero(first)
-        self.offsets = np.searchsorted(starts, offsets)
-        if not len(starts):
-            return
-        solid = kind != tokens.SPACE
-        kept = low[solid]
-        at = np.cumsum(solid, dtype=np.int64)[starts] - 1
-        lens = np.diff(np.append(at, len(kept)))
-        place = np.arange(len(kept)) - np.repeat(at, lens)
-        term = byte_terms(kept, place, int(lens.max()))
-        key = mix(np.add.reduceat(term, at) + lens.astype(np.uint64))
-        check = np.add.reduceat(
-            (term ^ (term >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93), at
-        )
-        self.which, found = pd.factorize(key)
-        one = np.empty(len(found), np.int64)
-        one[self.which[::-1]] = np.arange(len(key))[::-1]
-        if not (check == check[one][self.which]).all():
-            raise ValueError("two words share a 64-bit hash")
-        self.key, self.check = key[one], check[one]
-        self._bytes, self._at, self._lens = kept, at[one], lens[one]
-
-    def strings(self, chosen: np.ndarray) -> pa.Array:
-        """The chosen distinct words, as an Arrow string array."""
-        n = self._lens[chosen]
-        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-        inside = np.arange(int(ends[-1])) - np.repeat(ends[:-1].astype(np.int64), n)
-        chars = self._bytes[np.repeat(self._at[chosen], n) + inside]
-        return pa.Array.from_buffers(
-            pa.string(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(chars)]
-        )
+SLICE_BYTES = 3 << 20  # text bytes split at once
+
+
+def token_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The words of a batch as the tokenizer splits them, lower-cased."""
+    heads = offsets[:-1][offsets[:-1] < len(data)]
+    if not len(data):
+        return Words(data, np.zeros(0, bool), np.zeros(0, bool), offsets)
+    kind, low, first = tokens.run_starts(data, heads)
+    return Words(low, kind != tokens.SPACE, first, offsets)
 
 
 class Head:
@@ -133,7 +95,7 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
-                w = Words(*text_buffers(part.column(0)))
+                w = token_words(*text_buffers(part.column(0)))
                 every = np.arange(len(w.key))
                 yield pa.RecordBatch.from_arrays(
                     [w.strings(every), pa.array(np.bincount(w.which, minlength=len(every)))],
@@ -160,33 +122,16 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
 
 def _head(table: DataFrame) -> tuple[int, Head]:
     """(count from which on a word is in the head, the head)."""
-    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
-    steps = table.groupBy(step).agg(
-        F.count("*").alias("words"),
-        F.sum(F.octet_length("word") + F.octet_length("ids")).alias("bytes"),
-    ).collect()  # at most 16 rows a power of two
-    words = size = 0
-    lowest = None
-    for r in sorted(steps, key=lambda r: -r.step):
-        words, size = words + r.words, size + r.bytes
-        if words > HEAD_WORDS or size > HEAD_BYTES:
-            break
-        lowest = r.step
-    if lowest is None:
+    size = F.octet_length("word") + F.octet_length("ids")
+    least = frequent_from(table, size, HEAD_WORDS, HEAD_BYTES)
+    if least is None:
         return 1 << 62, Head(np.empty(0, np.uint64), np.empty(0, np.uint64),
                              np.empty(0, np.uint32), np.empty(0, np.int64))
-    least = next(n for n in range(int(2 ** (lowest / 16)) - 1, 1 << 62)
-                 if n > 0 and int(np.floor(np.log2(n) * 16)) >= lowest)
-    rows = table.where(step >= lowest).orderBy(F.desc("n")).select("word", "ids").toArrow()
-    rows = rows.combine_chunks()
-    data, off = text_buffers(rows.column(0))
-    lens = np.diff(off)
-    at = off[:-1]
-    place = np.arange(len(data)) - np.repeat(at, lens)
-    term = byte_terms(data, place, int(lens.max()))
-    key = mix(np.add.reduceat(term, at) + lens.astype(np.uint64))
-    check = np.add.reduceat((term ^ (term >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93), at)
-    packed = rows.column(1).to_pylist()
+    rows = table.where(F.col("n") >= least).toArrow()  # bounded by HEAD_WORDS, HEAD_BYTES
+    rows = rows.sort_by([("n", "descending")]).combine_chunks()  # small numbers for many words
+    data, off = text_buffers(rows.column("word"))
+    key, check = string_hashes(data, off[:-1], np.diff(off))
+    packed = rows.column("ids").to_pylist()
     ids = np.frombuffer(b"".join(packed), "<u4")
     return least, Head(key, check, ids, np.array([len(p) // 4 for p in packed]))
 
@@ -217,7 +162,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def parts(batches):
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
-                w = Words(*text_buffers(part.column(2)))
+                w = token_words(*text_buffers(part.column(2)))
                 yield part, w, shared.value.numbers(w)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,30 +72,105 @@ def byte_terms(data: np.ndarray, place: np.ndarray, longest: int) -> np.ndarray:
     return _BYTE[data] * powers[place]
 
 
-def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = True
+def string_hashes(
+    data: np.ndarray, at: np.ndarray, lens: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the whitespace-separated words of every text, in
-    order, and the word offsets of the texts (length: texts + 1)."""
-    n_docs = len(offsets) - 1
-    if not len(data):
-        return np.empty(0, np.uint64), np.zeros(n_docs + 1, np.int64)
+    """Two independent 64-bit hashes of the strings of ``data`` that begin at
+    ``at`` and follow each other."""
+    place = np.arange(len(data), dtype=np.int32)
+    place -= np.repeat(at.astype(np.int32), lens)
+    term = byte_terms(data, place, int(lens.max()))
+    del place
+    key = mix(np.add.reduceat(term, at) + lens.astype(np.uint64))
+    term ^= term >> _U(29)
+    term *= _U(0xD6E8FEB86659FD93)
+    return key, np.add.reduceat(term, at)
+
+
+class Words:
+    """The words of a batch of texts: ``which`` distinct word each occurrence
+    is, the word offsets of the texts, and hashes and bytes of the distinct."""
+
+    def __init__(self, data, solid, first, offsets):
+        """``solid``: bytes in a word; ``first``: bytes that start one."""
+        starts = np.flatnonzero(first)
+        self.offsets = np.searchsorted(starts, offsets)
+        self.which = np.empty(0, np.int64)
+        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self._bytes, self._at, self._lens = data, self.which, self.which
+        if not len(starts):
+            return
+        kept = data[solid]
+        at = np.cumsum(solid, dtype=np.int32)[starts].astype(np.int64) - 1
+        lens = np.diff(np.append(at, len(kept)))
+        key, check = string_hashes(kept, at, lens)
+        self.which, found = pd.factorize(key)
+        one = np.empty(len(found), np.int64)
+        one[self.which[::-1]] = np.arange(len(key))[::-1]
+        if not (check == check[one][self.which]).all():
+            raise ValueError("two words share a 64-bit hash")
+        self.key, self.check = key[one], check[one]
+        self._bytes, self._at, self._lens = kept, at[one], lens[one]
+
+    def strings(self, chosen: np.ndarray) -> pa.Array:
+        """The chosen distinct words, as an Arrow string array."""
+        n = self._lens[chosen]
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        inside = np.arange(int(ends[-1])) - np.repeat(ends[:-1].astype(np.int64), n)
+        chars = self._bytes[np.repeat(self._at[chosen], n) + inside]
+        return pa.Array.from_buffers(
+            pa.string(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(chars)]
+        )
+
+
+def _word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes in a word, bytes that start one): words end at ASCII white space
+    and at the end of a text."""
     solid = ~_WHITE[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     at = offsets[:-1][offsets[:-1] < len(data)]
-    first[at] = solid[at]  # a text starts a new word
+    first[at] = solid[at]
+    return solid, first
+
+
+def lower_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The words of a batch, A-Z lower-cased."""
+    return Words(_LOWER_BYTES[data], *_word_starts(data, offsets), offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of every text, in order, A-Z lower-cased,
+    and the word offsets of the texts (length: texts + 1)."""
+    solid, first = _word_starts(data, offsets)
     starts = np.flatnonzero(first)
     woff = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.empty(0, np.uint64), woff
-    kept = np.flatnonzero(solid)
-    heads = np.searchsorted(kept, starts)
-    lens = np.diff(np.append(heads, len(kept)))
-    place = np.arange(len(kept)) - np.repeat(heads, lens)
-    chars = data[kept]
-    v = byte_terms(_LOWER_BYTES[chars] if lower else chars, place, int(lens.max()))
-    return mix(np.add.reduceat(v, heads) + lens.astype(np.uint64)), woff
+    kept = _LOWER_BYTES[data[solid]]
+    at = np.cumsum(solid, dtype=np.int64)[starts] - 1
+    lens = np.diff(np.append(at, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(at, lens)
+    term = byte_terms(kept, place, int(lens.max()))
+    return mix(np.add.reduceat(term, at) + lens.astype(np.uint64)), woff
+
+
+def frequent_from(table: DataFrame, size: Column, most: int, most_bytes: int) -> int | None:
+    """The least count ``n`` from which on the rows of ``table`` number at most
+    ``most`` and take at most ``most_bytes`` (by ``size``); None if there is
+    none. Counts are looked at in steps of a sixteenth of a power of two."""
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    steps = table.groupBy(step).agg(
+        F.count("*").alias("rows"), F.sum(size).alias("bytes"), F.min("n").alias("least")
+    ).collect()  # at most 16 rows a power of two
+    rows = total = 0
+    least = None
+    for r in sorted(steps, key=lambda r: -r.step):
+        rows, total = rows + r["rows"], total + r["bytes"]
+        if rows > most or total > most_bytes:
+            break
+        least = r["least"]
+    return least
 
 
 def shingles(

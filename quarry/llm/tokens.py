@@ -157,12 +157,21 @@ def classes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return kind, low, first
 
 
+def run_starts(
+    data: np.ndarray, heads: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(byte classes, lower-cased bytes, where runs start): a run is a piece
+    of a plain word, or a whole odd word. No run is both."""
+    kind, low, first = classes(data, heads)
+    first[1:] |= (kind[1:] != SPACE) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    return kind, low, first
+
+
 def _encode_chunk(model: _Model, data: np.ndarray, heads: np.ndarray):
     """(where runs start, token count per run, ids of the distinct runs, where
     each run's ids begin in them) of one chunk."""
-    kind, low, first = classes(data, heads)
+    kind, low, first = run_starts(data, heads)
     solid = kind != SPACE
-    first[1:] |= solid[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
     starts = np.flatnonzero(first)
     if not len(starts):
         return starts, np.empty(0, np.int64), np.empty(0, np.uint32), np.empty(0, np.int64)
