@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprints, language, neighbours, packing, pitman_yor, quality, tokens
+from quarry.llm import bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, tokens
 from quarry.llm.common import crc_mod, read, saved
 
 
@@ -33,6 +33,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings")
     return neighbours.nearest(rows.where(F.col("vec_id") % 20 == 0), rows, k=20)
@@ -94,6 +98,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
