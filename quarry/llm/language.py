@@ -341,3 +341,15 @@ def identify(docs: DataFrame, m: Models) -> DataFrame:
 
     few = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return few.mapInArrow(run, "doc_id bigint, lang_pred string, score double, accepted boolean")
+
+
+def accepted(docs: DataFrame, m: Models, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose prediction is accepted, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(m)
+    at = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(predict(shared.value, batch.column(at).to_pylist())[2]))
+
+    return docs.mapInArrow(run, docs.schema)
