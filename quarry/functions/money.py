@@ -1,30 +1,31 @@
 """Exact money sums.
 
 Summing doubles gives order-dependent last bits, so a distributed sum would
-differ run to run and from any oracle. Amounts are summed as DECIMAL(18,2)
-(exact, associative) and only the final value is turned back into a double.
+differ run to run and from any oracle. Integer amounts are summed as bigint
+and decimals at their own scale. Doubles are summed as DECIMAL(38,10): ten
+decimal places and amounts up to 10^28 are kept. Only the final value is turned back into a double.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MONEY = "decimal(18,2)"
+FROM_DOUBLE = "decimal(38,10)"
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def exact_sum(df: DataFrame, amount: str) -> Column:
+    """Exact, order-independent sum of a column of ``df``."""
+    kind = df.schema[amount].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.sum(F.col(amount).cast("bigint"))
+    if isinstance(kind, T.DecimalType):
+        return F.sum(amount)
+    return F.sum(F.col(amount).cast(FROM_DOUBLE))
 
 
-def money(amount: str | Column) -> Column:
-    return _col(amount).cast(MONEY)
-
-
-def exact_sum(amount: str | Column) -> Column:
-    """Sum an amount exactly; feed the result to ``as_double`` at the end."""
-    return F.sum(money(amount))
-
-
-def as_double(total: str | Column) -> Column:
-    return _col(total).cast("double")
+def finished(df: DataFrame, amount: str, total: Column) -> Column:
+    """``total`` in the type users expect: integers stay, all else is double."""
+    integral = isinstance(df.schema[amount].dataType, T.IntegralType)
+    return total if integral else total.cast("double")

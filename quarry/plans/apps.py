@@ -99,9 +99,8 @@ def dynamic_people_names(
     """The first header column of a CSV whose schema comes from a header file,
     as ``[value]`` lines."""
     df = D.read_with_header_file(spark, data, header)
-    df.createOrReplaceTempView("people_dynamic")
-    first = df.columns[0]
-    sinks.write_row_text(spark.sql(f"SELECT `{first}` FROM people_dynamic"), out, mode)
+    first = df.columns[0].replace("`", "``")
+    sinks.write_row_text(spark.sql(f"SELECT `{first}` FROM {{people}}", people=df), out, mode)
     return out
 
 
@@ -113,15 +112,18 @@ def log_analysis(
     return log_report(TXT.read_lines(spark, logs), out_dir, threshold, k, mode)
 
 
+# job -> (function, paths, options of the command line)
 JOBS = {
-    "distinct_locations": (distinct_locations, ["transactions", "users", "out"]),
-    "purchase_by_gender": (purchase_by_gender, ["transactions", "users", "out"]),
-    "top_business_location": (top_business_location, ["transactions", "users", "out"]),
-    "frequent_words": (frequent_words, ["text", "out"]),
-    "people_in_age_range": (people_in_age_range, ["people", "out"]),
-    "text_file_to_json": (text_file_to_json, ["path", "out"]),
-    "dynamic_people_names": (dynamic_people_names, ["data", "header", "out"]),
-    "log_analysis": (log_analysis, ["logs", "out_dir"]),
+    "distinct_locations": (distinct_locations, ["transactions", "users", "out"],
+                           {"on_unmatched": str, "debug_dir": str}),
+    "purchase_by_gender": (purchase_by_gender, ["transactions", "users", "out"], {}),
+    "top_business_location": (top_business_location, ["transactions", "users", "out"], {}),
+    "frequent_words": (frequent_words, ["text", "out"], {"threshold": int}),
+    "people_in_age_range": (people_in_age_range, ["people", "out"],
+                            {"low": int, "high": int, "json_out": str}),
+    "text_file_to_json": (text_file_to_json, ["path", "out"], {}),
+    "dynamic_people_names": (dynamic_people_names, ["data", "header", "out"], {}),
+    "log_analysis": (log_analysis, ["logs", "out_dir"], {"threshold": int, "k": int}),
 }
 
 
@@ -130,15 +132,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("paths", nargs="+")
     parser.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+    for option, kind in sorted({o: k for _, _, more in JOBS.values() for o, k in more.items()}.items()):
+        parser.add_argument("--" + option.replace("_", "-"), type=kind, default=None)
     args = parser.parse_args(argv)
-    fn, names = JOBS[args.job]
+    fn, names, more = JOBS[args.job]
     if len(args.paths) != len(names):
         parser.error(f"{args.job} takes {len(names)} paths: {' '.join(names)}")
+    given = {o: getattr(args, o) for o in {k for j in JOBS.values() for k in j[2]}
+             if getattr(args, o) is not None}
+    if set(given) - set(more):
+        parser.error(f"{args.job} has no option {', '.join(sorted(set(given) - set(more)))}")
     from quarry.session import build_session
 
     spark = build_session(app_name=f"quarry-{args.job}")
     try:
-        print(fn(spark, *args.paths, mode=args.mode))
+        print(fn(spark, *args.paths, mode=args.mode, **given))
     finally:
         spark.stop()
 

@@ -10,28 +10,21 @@ them onto the TPC-H-like tables: product = ``l_partkey``, user =
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_sum
-from quarry.operators.aggregates import distinct_count_by, distinct_count_small_domain
+from quarry.functions.money import exact_sum, finished
+from quarry.operators.aggregates import distinct_count_by
 from quarry.operators.joins import MATCH_FLAG, flag_right, left_join_checked, require_match
 from quarry.operators.topk import arg_max
 from quarry.sinks import write_stage_snapshot
 from quarry.sources.tables import table
 
-_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
-
-
-def _sum(df: DataFrame, amount: str) -> Column:
-    """Exact sum: integers as bigint, anything else as DECIMAL(18,2)."""
-    if dict(df.dtypes)[amount] in _INTEGRAL:
-        return F.sum(F.col(amount).cast("bigint"))
-    return exact_sum(amount)
-
-
-def _finish(total: Column, integral: bool) -> Column:
-    return total if integral else total.cast("double")
+# --- fixed values: folder names of the stage snapshots, in order
+STAGES = (
+    "01_transactionPairs", "02_customerInputFile", "03_leftJoinOutput", "04_modifyData", "05_result",
+)
+# ---------------------------------------------------------------------------
 
 
 # --- generic jobs -----------------------------------------------------------
@@ -52,19 +45,23 @@ def product_distinct_locations(
     product. With the default policy an unmatched user fails the job, as in
     the reference; 'drop' ignores such rows, 'keep' counts NULL as a location.
     """
+    # only distinct (user, product) pairs matter, so repeats stay out of the join
     t = txns.select(F.col(user_key).alias("_uk"), F.col(product).alias(product))
     u = users.select(F.col(users_key).alias("_ik"), F.col(location).alias(location))
-    write_stage_snapshot(t, debug_dir, "01_transactionPairs")
-    write_stage_snapshot(users, debug_dir, "02_customerInputFile")
-    if debug_dir:  # unchecked join output, before the unmatched-row policy
-        raw = t.join(u, F.col("_uk") == F.col("_ik"), "left").select(product, location)
-        write_stage_snapshot(raw.distinct(), debug_dir, "03_leftJoinOutput")
-    joined = left_join_checked(t, u, F.col("_uk") == F.col("_ik"), [location], on_unmatched, "user")
-    pairs = joined.select(product, location)
-    write_stage_snapshot(pairs.distinct(), debug_dir, "04_modifyData")
-    result = distinct_count_by(pairs, product, location, "locations")
-    write_stage_snapshot(result, debug_dir, "05_result")
-    return result
+    on = F.col("_uk") == F.col("_ik")
+    if not debug_dir:
+        joined = left_join_checked(t.distinct(), u, on, [location], on_unmatched, "user")
+        return distinct_count_by(joined.select(product, location), product, location, "locations")
+    # every stage is written once and the next one reads it back
+    t = write_stage_snapshot(t, debug_dir, STAGES[0])
+    write_stage_snapshot(users, debug_dir, STAGES[1])
+    raw = t.distinct().join(flag_right(u), on, "left").select(product, location, MATCH_FLAG)
+    raw = write_stage_snapshot(raw.distinct(), debug_dir, STAGES[2])
+    pairs = require_match(raw, [location], on_unmatched, "user")
+    pairs = write_stage_snapshot(pairs.select(product, location).distinct(), debug_dir, STAGES[3])
+    return write_stage_snapshot(
+        distinct_count_by(pairs, product, location, "locations"), debug_dir, STAGES[4]
+    )
 
 
 def spend_by_group(
@@ -82,11 +79,10 @@ def spend_by_group(
     inner join): the join then moves one row per user, and that side is already
     partitioned on the join key, so only the users side is shuffled.
     """
-    integral = dict(txns.dtypes)[amount] in _INTEGRAL
-    per_user = txns.groupBy(F.col(user_key).alias("_uk")).agg(_sum(txns, amount).alias("_amt"))
+    per_user = txns.groupBy(F.col(user_key).alias("_uk")).agg(exact_sum(txns, amount).alias("_amt"))
     u = users.select(F.col(users_key).alias("_ik"), F.col(group).alias(group))
     joined = u.join(per_user, F.col("_ik") == F.col("_uk"), "inner")
-    return joined.groupBy(group).agg(_finish(F.sum("_amt"), integral).alias(name))
+    return joined.groupBy(group).agg(finished(txns, amount, F.sum("_amt")).alias(name))
 
 
 def top_location(
@@ -105,8 +101,11 @@ def top_location(
 # --- the same jobs on the driver tables ------------------------------------
 
 
-def left_join_tables(spark: SparkSession, sf_dir: str, on_unmatched: str = "error") -> DataFrame:
+def left_join_tables(
+    spark: SparkSession, sf_dir: str, on_unmatched: str = "error", users: DataFrame | None = None
+) -> DataFrame:
     """Every line item with its buyer's location (nation key): (l_partkey, c_nationkey).
+    ``users``: the customers to join, by default all.
 
     Join order is chosen for volume: orders (~1/4 of line items) meet the
     customers first, then the line items join that on the order key. Line
@@ -116,7 +115,8 @@ def left_join_tables(spark: SparkSession, sf_dir: str, on_unmatched: str = "erro
     are real transactions can fail it.
     """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    users = table(spark, sf_dir, "customer") if users is None else users
+    c = users.select("c_custkey", "c_nationkey")
     oc = o.join(flag_right(c), F.col("o_custkey") == F.col("c_custkey"), "left").select(
         "o_orderkey", "c_nationkey", MATCH_FLAG
     )
@@ -130,20 +130,25 @@ def left_join_tables(spark: SparkSession, sf_dir: str, on_unmatched: str = "erro
 def product_distinct_locations_tables(
     spark: SparkSession, sf_dir: str, on_unmatched: str = "error"
 ) -> DataFrame:
-    """Distinct buyer nations per product.
-
-    Nation keys come from a dimension table of bounded size; when they fit in
-    0..62 (TPC-H: 0..24), the count is a bitmask ``bit_or`` with one shuffle
-    instead of distinct-then-count with two. Only the nation table's min and
-    max key reach the driver.
-    """
+    """Distinct buyer nations per product, whatever the nation keys are."""
     pairs = left_join_tables(spark, sf_dir, on_unmatched)
-    lo, hi = table(spark, sf_dir, "nation").agg(F.min("n_nationkey"), F.max("n_nationkey")).first()
-    if lo is not None and lo >= 0 and hi < 63:
-        return distinct_count_small_domain(pairs, "l_partkey", "c_nationkey", "locations", hi + 1)
     return distinct_count_by(pairs, "l_partkey", "c_nationkey", "locations")
 
 
+def _buyers_in_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
+
+
+def left_join_keep_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the location of buyers in credit; NULL for other buyers."""
+    return left_join_tables(spark, sf_dir, "keep", _buyers_in_credit(spark, sf_dir))
+
+
+def left_join_drop_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of buyers in credit, with their location."""
+    return left_join_tables(spark, sf_dir, "drop", _buyers_in_credit(spark, sf_dir))
+
+
 def distinct_pairs_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (product, location) pairs."""
     return left_join_tables(spark, sf_dir).distinct()

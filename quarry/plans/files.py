@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from quarry import sinks
 from quarry.operators.filters import in_range
+from quarry.plans import commerce as C
 from quarry.session import scratch_path
 from quarry.sources import delimited, text as text_src
 from quarry.sources.tables import table
@@ -59,6 +60,27 @@ def orders_tsv_file(spark: SparkSession, sf_dir: str) -> str:
     return _write_lines(orders, line, "orders-tsv")
 
 
+def users_tsv_file(spark: SparkSession, sf_dir: str) -> str:
+    """Customers as users: id, email, language, location (nation), age, gender
+    (market segment). The e-mail is empty where the account is overdrawn."""
+    c = table(spark, sf_dir, "customer")
+    email = F.when(F.col("c_acctbal") < 0, "").otherwise(F.concat("c_name", F.lit("@example.com")))
+    fields = [F.col("c_custkey").cast("string"), email, F.lit("EN"),
+              F.col("c_nationkey").cast("string"), F.lit("30"), F.col("c_mktsegment")]
+    return _write_lines(c, F.concat_ws("\t", *fields), "users-tsv")
+
+
+def transactions_tsv_file(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as transactions: id, product (year and month of the order), user,
+    amount in cents, description (the priority)."""
+    o = table(spark, sf_dir, "orders")
+    product = F.year("o_orderdate") * 100 + F.month("o_orderdate")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    fields = [F.col("o_orderkey").cast("string"), product.cast("string"),
+              F.col("o_custkey").cast("string"), cents.cast("string"), F.col("o_orderpriority")]
+    return _write_lines(o, F.concat_ws("\t", *fields), "transactions-tsv")
+
+
 def documents_file(spark: SparkSession, sf_dir: str) -> str:
     """Each document written as one text record (its lines become file lines)."""
     docs = table(spark, sf_dir, "documents")
@@ -80,14 +102,19 @@ def range_filter_tables(spark: SparkSession, sf_dir: str, low: int = 22, high: i
     return in_range(people_view(spark, sf_dir), "age", low, high).select("name")
 
 
-def labelled(df: DataFrame, column: str = "name", prefix: str = "Name: ") -> DataFrame:
-    """``"Name: " + name`` for every row (column ``label``)."""
-    return df.select(F.concat(F.lit(prefix), F.col(column)).alias("label"))
+def labelled_tables(spark: SparkSession, sf_dir: str, prefix: str = "Name: ") -> DataFrame:
+    """``"Name: " + name`` for every person in the age range (column ``label``)."""
+    names = range_filter_tables(spark, sf_dir)
+    return names.select(F.concat(F.lit(prefix), F.col("name")).alias("label"))
 
 
-def sql_range_filter_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people_view(spark, sf_dir).createOrReplaceTempView("people")
-    return spark.sql("SELECT name FROM people WHERE age >= 22 AND age <= 25")
+def sql_range_filter_tables(
+    spark: SparkSession, sf_dir: str, low: int = 22, high: int = 25
+) -> DataFrame:
+    return spark.sql(
+        f"SELECT name FROM {{people}} WHERE age BETWEEN {int(low)} AND {int(high)}",
+        people=people_view(spark, sf_dir),
+    )
 
 
 def csv_typed_people_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +125,7 @@ def dynamic_schema_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = delimited.read_with_header_file(
         spark, part_csv_file(spark, sf_dir), part_header_file(spark)
     )
-    df.createOrReplaceTempView("people_dynamic")
-    return spark.sql("SELECT * FROM people_dynamic")
+    return spark.sql("SELECT * FROM {people}", people=df)
 
 
 def positional_project_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +151,51 @@ def tsv_typed_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("trans_id"))
 
 
+def _users_and_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return (delimited.read_users(spark, users_tsv_file(spark, sf_dir)),
+            delimited.read_transactions(spark, transactions_tsv_file(spark, sf_dir)))
+
+
+def tsv_distinct_locations_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct buyer locations per product, from the two TSV files."""
+    users, txns = _users_and_transactions(spark, sf_dir)
+    return C.product_distinct_locations(txns, users)
+
+
+def tsv_spend_by_group_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total amount per gender, from the two TSV files."""
+    users, txns = _users_and_transactions(spark, sf_dir)
+    return C.spend_by_group(users, txns)
+
+
+def tsv_top_location_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location of the highest total amount, from the two TSV files."""
+    users, txns = _users_and_transactions(spark, sf_dir)
+    return C.top_location(users, txns)
+
+
+def stage_snapshots_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct-locations job with its stages written: the (product,
+    location) pairs, read from the fourth of them."""
+    users, txns = _users_and_transactions(spark, sf_dir)
+    folder = scratch_path(spark, "stages")
+    C.product_distinct_locations(txns, users, debug_dir=folder)
+    return sinks.read_parquet(spark, f"{folder}/{C.STAGES[3]}")
+
+
+def overwrite_sink_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced by a second write: only the second is left."""
+    out = scratch_path(spark, "overwrite-sink")
+    sinks.write_parquet(people_view(spark, sf_dir).select("name"), out)
+    sinks.write_parquet(range_filter_tables(spark, sf_dir), out, mode="overwrite")
+    return sinks.read_parquet(spark, out)
+
+
+def tsv_users_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of the users file, empty ones kept."""
+    return delimited.read_users(spark, users_tsv_file(spark, sf_dir))
+
+
 def text_line_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_src.read_lines(spark, documents_file(spark, sf_dir))
 

@@ -8,13 +8,19 @@ count.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyspark import SparkConf, SparkContext
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
-# Settings applied to sessions this package builds (tests, bench). On a real
-# cluster these come from the cluster profile; every job also works without them.
+# Defaults for sessions this package builds. A setting that was submitted with
+# the application, or that an active session holds, wins over its default here;
+# every job also works without them. The number of shuffle partitions is left
+# to the cluster (tests and bench pass their own).
 DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,7 +35,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.shuffle.partitions": "8",
 }
 
 
@@ -65,17 +70,32 @@ def cluster_conf(total_cores: int, largest_shuffle_bytes: int) -> dict[str, str]
     }
 
 
+def _given_settings() -> set[str]:
+    """Names of the settings of the active session, or else of those that were
+    submitted with the application."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        own = {r["key"] for r in active.sql("SET").select("key").collect()}
+        sc = _context(active)
+        return own | ({k for k, _ in sc.getConf().getAll()} if sc else set())
+    SparkContext._ensure_initialized()  # submitted settings are known to the JVM
+    return {k for k, _ in SparkConf().getAll()}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "quarry",
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with this package's defaults."""
+    """Create (or reuse) a session. ``conf`` is set as given; this package's
+    defaults only fill in what neither ``conf``, the submit command nor the
+    active session sets."""
+    given = _given_settings()
+    settings = {k: v for k, v in DEFAULT_CONF.items() if k not in given}
+    settings.update(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
-    settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -88,7 +108,7 @@ def _context(spark: SparkSession):
     """The SparkContext, or None on a Spark Connect session (no context)."""
     try:
         return spark.sparkContext
-    except Exception:  # noqa: BLE001
+    except PySparkAttributeError:
         return None
 
 
@@ -122,25 +142,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def task_slots(spark: SparkSession) -> int:
-    """Tasks the cluster runs at once (default parallelism)."""
-    sc = _context(spark)
-    if sc:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "8"))
-
-
-def num_partitions(df) -> int | None:
-    """Planned partition count of a batch DataFrame (no job runs), or None
-    when it cannot be known (streaming, or no RDD access)."""
-    if df.isStreaming:
-        return None
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def local_dir(path: str) -> str:
     """Plain file-system path of a ``file:`` URI (tests inspect local files)."""
     for prefix in ("file://", "file:"):
@@ -149,7 +150,42 @@ def local_dir(path: str) -> str:
     return path
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quarry/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/quarry/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.mkdirs(p)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's scratch data, if it is there."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Scope for scratch data: every folder that jobs make inside it is deleted
+    at its end. Results are read lazily, so use them inside the scope."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        for path in _scopes.pop():
+            remove_folder(spark, path)

@@ -67,10 +67,9 @@ def write_row_text(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def write_stage_snapshot(df: DataFrame, debug_dir: str | None, stage: str) -> None:
-    """Optional per-stage snapshot for debugging (one extra job per call).
-
-    Off unless a ``debug_dir`` is given; snapshots are parquet files.
-    """
-    if debug_dir:
-        df.write.mode("overwrite").parquet(f"{debug_dir.rstrip('/')}/{stage}")
+def write_stage_snapshot(df: DataFrame, debug_dir: str, stage: str) -> DataFrame:
+    """Write a stage for debugging and return it as read back, so that later
+    stages go on from the written rows."""
+    path = f"{debug_dir.rstrip('/')}/{stage}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

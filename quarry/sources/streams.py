@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def text_file_stream(
-    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """New text files in ``directory`` as a stream of lines (``value``).
 
-    Files are picked up oldest first; ``max_files_per_trigger`` bounds the
-    size of one micro-batch (the reference picked up whatever arrived in each
-    2 s interval).
+    Files are picked up oldest first; ``max_files_per_trigger`` or
+    ``max_bytes`` bounds one micro-batch (the reference picked up whatever
+    arrived in each 2 s interval).
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(directory)
 
 

@@ -8,11 +8,9 @@ their volume grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import num_partitions, task_slots
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -26,28 +24,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Inputs with fewer scan partitions than this (and than the task slots) are
-# spread before CPU-heavy work. The bound keeps the extra shuffle small: a
-# wide input that merely has fewer partitions than a large cluster has cores
-# is read as it is (shuffling it would cost more than the idle slots).
-SPREAD_MAX_PARTITIONS = 64
+# Session setting: the number of partitions that narrow inputs are dealt into
+# before CPU-heavy per-row work. Unset, inputs are worked on as they are
+# scanned, which is right wherever tables have many row groups.
+INPUT_PARTITIONS = "spark.quarry.inputPartitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a *narrow* batch input over the cluster before CPU-heavy
-    per-row work (regex, tokenising).
-
-    A parquet row group is the unit of a scan task, so a file written as one
-    row group is read by one task however large the cluster. Inputs with at
-    least ``min(task slots, SPREAD_MAX_PARTITIONS)`` partitions are returned
-    unchanged (no extra shuffle); the check needs no job, only the planned
-    partition count.
-    """
-    n = num_partitions(df)
-    slots = task_slots(df.sparkSession)
-    if n is not None and n < min(slots, SPREAD_MAX_PARTITIONS):
-        return df.repartition(slots)
-    return df
+    """``df`` dealt into as many partitions as the session's
+    ``spark.quarry.inputPartitions`` says; unchanged when that is not set."""
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
+
+
+# --- fixed values: English month names of the log's time stamps
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def _log_stamp(ts: str) -> Column:
+    """``dd/MMM/yyyy:HH:mm:ss`` of a time without zone, field by field: the
+    session's zone and its daylight-saving rules have no part in it."""
+    def two(c: Column) -> Column:
+        return F.lpad(c.cast("string"), 2, "0")
+
+    month = F.element_at(F.array(*map(F.lit, MONTHS)), F.month(ts))
+    day = F.concat_ws("/", two(F.dayofmonth(ts)), month, F.lpad(F.year(ts).cast("string"), 4, "0"))
+    second = F.floor(F.extract(F.lit("SECOND"), F.col(ts))).cast("int")
+    clock = F.concat_ws(":", two(F.hour(ts)), two(F.minute(ts)), two(second))
+    return F.concat_ws(":", day, clock)
 
 
 def event_log_lines(events: DataFrame) -> DataFrame:
@@ -73,7 +77,7 @@ def event_log_lines(events: DataFrame) -> DataFrame:
     line = F.concat(
         ip,
         F.lit(" - - ["),
-        F.date_format(F.col("ts"), "dd/MMM/yyyy:HH:mm:ss"),
+        _log_stamp("ts"),
         F.lit(' +0000] "GET /'),
         F.col("event_type"),
         F.lit("?k="),

@@ -8,7 +8,7 @@ import os
 import pytest
 
 from quarry.plans import apps
-from tests.test_commerce import TXNS, USERS
+from tests.test_commerce import TXNS, USERS  # fixed values, with the outputs expected below
 from tests.test_files import PEOPLE
 
 
@@ -63,7 +63,7 @@ def test_dynamic_people_names(spark, write_text, tmp_path):
 
 
 def test_log_analysis_with_crlf(spark, write_text, tmp_path):
-    good = '10.0.0.1 - - [07/Mar/2004:16:05:49 -0800] "GET /a HTTP/1.1" 200 {}'
+    good = '10.0.0.1 - - [11/Nov/2020:10:05:49 -0800] "GET /a HTTP/1.1" 200 {}'
     text = "\r\n".join([good.format(i) for i in range(1, 13)] + ["bad line"]) + "\r\n"
     paths = apps.log_analysis(spark, write_text(text), str(tmp_path / "rep"))
     stats = spark.read.parquet(paths["log_stats"]).first()
@@ -79,6 +79,28 @@ def test_existing_output_is_refused_unless_overwrite(spark, write_text, tmp_path
     assert lines_of(out) == ["GB\t600"]
 
 
+def test_malformed_rows_fail_the_apps(spark, write_text, tmp_path):
+    for n, row in enumerate(("6\t1\t1\tabc\tx", "6\t1\t1", "6\t1\t1\t99999999999999999999\tx")):
+        with pytest.raises(Exception, match="malformed row"):
+            apps.purchase_by_gender(spark, write_text(TXNS + "\n" + row), write_text(USERS),
+                                    str(tmp_path / f"bad{n}"))
+
+
+def test_cli_passes_options(monkeypatch, spark, write_text, tmp_path):
+    import quarry.session
+
+    class Kept:
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    monkeypatch.setattr(quarry.session, "build_session", lambda **k: Kept())
+    out = str(tmp_path / "o")
+    apps.main(["people_in_age_range", write_text(PEOPLE), out, "--low", "30", "--high", "40"])
+    assert lines_of(out) == ["[Rahul]"]
+    with pytest.raises(SystemExit):
+        apps.main(["text_file_to_json", "a", "b", "--threshold", "3"])
+
+
 def test_cli_rejects_wrong_arity():
     with pytest.raises(SystemExit):
         apps.main(["top_business_location", "only-one-path"])

@@ -9,6 +9,7 @@ from quarry.plans import commerce as C
 from quarry.sources import delimited as D
 from tests.conftest import rows
 
+# fixed values: the golden rows
 # (id, email, language, location, age, gender)
 USERS = "1\ta@x\tEN\tUS\t25\tM\n2\tb@x\tEN\tGB\t27\tF\n3\tc@x\tFR\tFR\t39\tM"
 # (trans_id, prod_id, user_id, purchase_amt, item_description)
@@ -45,7 +46,8 @@ def test_debug_snapshot(spark, write_text, txns, users, tmp_path):
     out = C.product_distinct_locations(txns, users, debug_dir=str(tmp_path / "debug"))
     assert rows(out) == [(1, 3), (2, 1)]
     d = tmp_path / "debug"
-    snap = spark.read.parquet(str(d / "03_leftJoinOutput"))
+    # with a flag that tells a missing partner from a missing location
+    snap = spark.read.parquet(str(d / "03_leftJoinOutput")).select("prod_id", "location")
     assert rows(snap) == [(1, "FR"), (1, "GB"), (1, "US"), (2, "FR")]
     assert spark.read.parquet(str(d / "01_transactionPairs")).count() == 5
     assert spark.read.parquet(str(d / "02_customerInputFile")).count() == 3
@@ -84,6 +86,33 @@ def test_top_location_tie_and_empty(spark):
     assert C.top_location(u, t.limit(0)).count() == 0
 
 
+def test_small_and_large_amounts_are_kept(spark):
+    u = spark.createDataFrame([("1", "g"), ("2", "h")], "id string, gender string")
+    t = spark.createDataFrame([("1", 0.004)] * 3 + [("2", 1e17), ("2", 0.5)],
+                              "user_id string, purchase_amt double")
+    assert rows(C.spend_by_group(u, t, "gender")) == [("g", 0.012), ("h", 1e17 + 0.5)]
+    d = t.selectExpr("user_id", "CAST(purchase_amt AS DECIMAL(24,6)) AS purchase_amt")
+    assert rows(C.spend_by_group(u, d, "gender")) == [("g", 0.012), ("h", 1e17 + 0.5)]
+
+
+def test_customer_outside_the_nation_table(spark, tmp_path):
+    # nation holds keys 0..24, one buyer has key 90: it counts as a location
+    import os
+    import shutil
+
+    src, d = "/root/testdata/sf0.001", str(tmp_path)
+    for name in ("lineitem", "orders", "nation"):
+        shutil.copy(f"{src}/{name}.parquet", f"{d}/{name}.parquet")
+    c = spark.read.parquet(f"{src}/customer.parquet")
+    odd = c.selectExpr("c_custkey", "c_name", "IF(c_custkey % 2 = 0, 90, c_nationkey) AS c_nationkey",
+                       "c_acctbal", "c_mktsegment")
+    odd.write.parquet(f"{d}/customer.parquet")
+    assert os.path.isdir(f"{d}/customer.parquet")
+    got = {r.l_partkey: r.locations for r in C.product_distinct_locations_tables(spark, d).collect()}
+    want = C.left_join_tables(spark, d).distinct().groupBy("l_partkey").count()
+    assert got == {r.l_partkey: r["count"] for r in want.collect()} and got
+
+
 def test_money_sum_is_exact(spark):
     u = spark.createDataFrame([("1", "g")], "id string, gender string")
     t = spark.createDataFrame([("1", 0.1)] * 10, "user_id string, purchase_amt double")

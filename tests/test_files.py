@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from quarry import sinks
 from quarry.operators.filters import in_range
 from quarry.sources import delimited as D
 from quarry.sources import text as TXT
 from tests.conftest import rows
 
+# fixed values: the people rows of the golden results
 PEOPLE = "Rahul,32\nAmitav,24\nSagar,22\nGurpreet,25\nRimi, 25"  # no final newline
 
 
@@ -110,13 +113,6 @@ def test_positional_fields(spark):
     assert got == [(None, "8"), ("3", "7")]
 
 
-def test_labelled(spark):
-    from quarry.plans.files import labelled
-
-    df = spark.createDataFrame([("Amitav",)], "name string")
-    assert labelled(df).first().label == "Name: Amitav"
-
-
 def test_cluster_conf_sizes_partitions():
     from quarry.session import cluster_conf
 
@@ -128,11 +124,47 @@ def test_cluster_conf_sizes_partitions():
     assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
 
 
-def test_empty_fields_read_as_null(spark, write_text):
-    # the CSV reader cannot tell an empty unquoted field from a missing one:
-    # both are NULL (String.split would give ""); positional_fields keeps ""
-    users = D.read_users(spark, write_text("1\t\tEN\tUS\t\tM"))
-    r = users.first()
-    assert (r.id, r.email, r.language, r.location, r.age, r.gender) == ("1", None, "EN", "US", None, "M")
-    raw = spark.createDataFrame([("1\t\tEN",)], "value string")
-    assert raw.select(*D.positional_fields("value", "\t", {"email": 1})).first().email == ""
+def test_empty_fields_are_kept(spark, write_text):
+    r = D.read_users(spark, write_text("1\t\tEN\tUS\t30\tM")).first()
+    assert (r.id, r.email, r.language, r.location, r.age, r.gender) == ("1", "", "EN", "US", 30, "M")
+    header = write_text("a,b,c\n", "h3.txt")
+    df = D.read_with_header_file(spark, write_text(",x y,\"q\""), header)
+    assert rows(df) == [("", "x y", '"q"')]
+
+
+@pytest.mark.parametrize("line", ["7\tx\t3\t5\td", "1\t99999999999\t3\t5\td", "1\t 7\t3\t5\td", "1"])
+def test_malformed_rows(spark, write_text, line):
+    path = write_text(f"1\t7\t3\t300\tgood\n{line}")
+    with pytest.raises(Exception, match="malformed row"):
+        D.read_transactions(spark, path).select("prod_id").collect()
+    lenient = D.read_transactions(spark, path, on_malformed="null").select("prod_id")
+    assert rows(lenient) == [(None,), (7,)]
+    assert rows(D.malformed_lines(spark, path, D.TRANSACTIONS)) == [(line,)]
+    with pytest.raises(ValueError):
+        D.read_transactions(spark, path, on_malformed="skip")
+
+
+def test_unused_fields_fail_nothing(spark, write_text):
+    df = D.read_transactions(spark, write_text("x\t7\t3"))
+    assert rows(df.select("prod_id", "user_id")) == [(7, "3")]
+
+
+def test_amounts_beyond_int(spark, write_text):
+    df = D.read_transactions(spark, write_text("1\t7\t3\t3000000000\td"))
+    assert df.first().purchase_amt == 3_000_000_000
+
+
+def test_people_without_an_age_fail(spark, write_text):
+    with pytest.raises(Exception, match="malformed row"):
+        D.read_people(spark, write_text("Ann,3\nBob")).collect()
+
+
+def test_header_must_be_one_small_file(spark, write_text, tmp_path):
+    big = write_text("x" * (D.MAX_HEADER_BYTES + 1), "big.txt")
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for n in "ab":
+        (folder / f"{n}.txt").write_text("a,b")
+    for path in (big, str(folder)):
+        with pytest.raises(ValueError, match="not one header file"):
+            D.header_schema(spark, path)

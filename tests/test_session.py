@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
-from quarry.session import ensure_checkpoint_dir, num_partitions, scratch_path, task_slots
+from pyspark.errors import PySparkAttributeError
+
+from quarry.session import (
+    build_session, ensure_checkpoint_dir, local_dir, make_folder, scratch, scratch_path,
+)
+from tests.conftest import conf
+
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 class _Conf(dict):
@@ -36,7 +48,7 @@ class _Session:
     @property
     def sparkContext(self):
         if self._ctx is None:
-            raise RuntimeError("no context (Spark Connect)")
+            raise PySparkAttributeError("no context (Spark Connect)")
         return self._ctx
 
 
@@ -59,22 +71,62 @@ def test_local_without_folder_gets_a_temporary_one():
 def test_session_without_context():
     s = _Session(None, **{"spark.checkpoint.dir": "s3a://bucket/ckpt", "spark.default.parallelism": "16"})
     assert ensure_checkpoint_dir(s) == "s3a://bucket/ckpt"
-    assert task_slots(s) == 16
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session(None, **{"spark.master": "k8s://x"}))
 
 
-def test_num_partitions(spark):
-    assert num_partitions(spark.range(10).repartition(3)) == 3
-    stream = spark.readStream.format("rate").load()
-    assert num_partitions(stream) is None
-
-
-def test_spread_only_narrow_inputs(spark):
-    from quarry.sources.tables import SPREAD_MAX_PARTITIONS, spread
-
-    slots = task_slots(spark)
-    narrow = spark.range(100).coalesce(1)
-    assert num_partitions(spread(narrow)) == slots
-    wide = spark.range(100).repartition(min(slots, SPREAD_MAX_PARTITIONS))
-    assert spread(wide) is wide
+def test_settings_of_the_active_session_win(spark):
+    with conf(spark, spark__sql__shuffle__partitions="37",
+              spark__sql__adaptive__advisoryPartitionSizeInBytes="5m"):
+        s = build_session(app_name="again")
+        assert s.conf.get("spark.sql.shuffle.partitions") == "37"
+        assert s.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "5m"
+
+
+@pytest.mark.parametrize("module", ["quarry.plans.apps", "quarry.streaming.apps"])
+def test_submitted_settings_survive_the_command_lines(module, tmp_path):
+    # the command line's own session, printed instead of running a job
+    code = (
+        f"import {module} as m, quarry.session as s\n"
+        "spark = s.build_session(app_name='x')\n"
+        "print('GOT', spark.conf.get('spark.sql.shuffle.partitions'),"
+        " spark.conf.get('spark.sql.adaptive.autoBroadcastJoinThreshold'))\n"
+    )
+    env = os.environ | {
+        "PYTHONPATH": ROOT,
+        "PYSPARK_SUBMIT_ARGS": "--master local[1] --conf spark.ui.enabled=false "
+        "--conf spark.sql.shuffle.partitions=4000 pyspark-shell",
+    }
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                         timeout=180)
+    assert "GOT 4000 10485760" in out.stdout, out.stderr[-1500:]
+
+
+def test_spread_only_on_request(spark):
+    from quarry.sources.tables import INPUT_PARTITIONS, spread
+
+    df = spark.range(100).coalesce(1)
+    assert spread(df) is df
+    spark.conf.set(INPUT_PARTITIONS, "3")
+    try:
+        assert spread(df).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
+
+
+def test_scratch_scope_leaves_nothing(spark):
+    with scratch(spark) as made:
+        path = scratch_path(spark, "t-scope")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+        make_folder(spark, scratch_path(spark, "t-empty"))
+        assert len(made) == 2 and all(os.path.isdir(local_dir(p)) for p in made)
+    assert not any(os.path.exists(local_dir(p)) for p in made)
+
+
+def test_registered_job_in_a_scope_leaves_nothing(spark):
+    from quarry.plans.catalog import QUERIES
+
+    with scratch(spark) as made:
+        assert QUERIES["sql_on_file"](spark, "/root/testdata/sf0.001").count() > 0
+    assert made and not any(os.path.exists(local_dir(p)) for p in made)
