@@ -1,9 +1,10 @@
 """Common-log-format parsing as column expressions.
 
-One regex test decides whether a line parses; one ``regexp_replace`` pass packs
-the nine capture groups into a newline-separated string that ``split`` turns
-into an array. That is two regex evaluations per line instead of ten
-(one ``rlike`` plus nine ``regexp_extract``), and it stays JVM-side.
+One ``regexp_replace`` pass decides whether a line parses and packs the capture
+groups that are asked for: a match is replaced by a newline and the groups,
+each with a newline before it. A line of a text file holds no newline, so a
+replaced line is told by its first character. That is one regex evaluation
+per line, and it stays JVM-side.
 ``quarry.operators.weblog`` turns the groups into records.
 """
 
@@ -35,44 +36,54 @@ LOG_FIELDS = (
 # Log time format; a single 'H' accepts one-digit hours such as 9:55:27.
 LOG_TIME_FORMAT = "dd/MMM/yyyy:H:mm:ss Z"
 
-_PACK = "\n".join(f"${i}" for i in range(1, 10))
-
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def log_groups(line: str | Column) -> Column:
-    """array<string> of the nine capture groups (meaningful only on a match).
+def packed_groups(line: str | Column, numbers: list[int]) -> Column:
+    """The line with a match replaced by the groups ``numbers``, a newline
+    before each; NULL for a line that holds a newline itself."""
+    c = _col(line)
+    pack = "".join(f"\n${i}" for i in numbers)
+    return F.when(~c.contains("\n"), F.regexp_replace(c, LOG_PATTERN + r"[\s\S]*", pack))
+
+
+def matched_groups(packed: str | Column, line: str | Column, numbers: list[int]) -> Column:
+    """array<string> of the groups of a matching line (after an empty first
+    element), NULL for a line that does not match. ``packed``: the column of
+    :func:`packed_groups`, made in a projection of its own.
 
     Groups never contain a newline unless the line itself does (text-file
     lines never do); such lines take the per-group extraction path.
     """
-    c = _col(line)
-    packed = F.split(F.regexp_replace(c, LOG_PATTERN + r"[\s\S]*", _PACK), "\n")
-    per_group = F.array(*[F.regexp_extract(c, LOG_PATTERN, i) for i in range(1, 10)])
-    return F.when(~c.contains("\n"), packed).otherwise(per_group)
+    p, c = _col(packed), _col(line)
+    per_group = F.array(F.lit(""), *[F.regexp_extract(c, LOG_PATTERN, i) for i in numbers])
+    return F.when(p.startswith("\n"), F.split(p, "\n")).when(
+        c.contains("\n") & c.rlike(LOG_PATTERN), per_group)
 
 
-def matched_groups(line: str | Column) -> Column:
-    """The nine groups of a matching line, NULL for a line that does not match."""
-    c = _col(line)
-    return F.when(c.rlike(LOG_PATTERN), log_groups(c))
+def field_numbers(fields: list[str]) -> list[int]:
+    """Groups to take for ``fields``; the size comes too, it decides validity."""
+    wanted = {LOG_FIELDS.index(f) + 1 for f in fields}
+    return sorted(wanted | {len(LOG_FIELDS)})
 
 
-def log_record(groups: str | Column) -> Column:
-    """Typed record struct (``LOG_FIELDS``) from a groups array."""
-    g = _col(groups)
-    fields = [F.get(g, i).alias(LOG_FIELDS[i]) for i in range(7)]
-    fields.append(F.get(g, 7).cast("int").alias("responseCode"))
-    fields.append(record_size(g).alias("contentSize"))
-    return F.struct(*fields)
+def log_record(groups: str | Column, fields: list[str]) -> Column:
+    """Typed record struct of ``fields`` from a groups array."""
+    g, numbers = _col(groups), field_numbers(fields)
+    out = []
+    for f in fields:
+        text = F.get(g, numbers.index(LOG_FIELDS.index(f) + 1) + 1)
+        kind = {"responseCode": "int", "contentSize": "bigint"}.get(f)
+        out.append((text.try_cast(kind) if kind else text).alias(f))
+    return F.struct(*out)
 
 
 def record_size(groups: str | Column) -> Column:
-    """Content size of a groups array; NULL when it does not fit in 64 bits
-    (the pattern's ``\\d+`` is unbounded), which makes the line malformed."""
-    return F.get(_col(groups), 8).try_cast("bigint")
+    """Content size (the last group) of a groups array; NULL when it does not
+    fit in 64 bits (the pattern's ``\\d+`` is unbounded), which makes the line
+    malformed."""
+    return F.element_at(_col(groups), -1).try_cast("bigint")
 
 
 def log_time(date_time_string: str | Column) -> Column:

@@ -8,34 +8,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.weblog import LOG_FIELDS, log_record, matched_groups, record_size
+from quarry.functions.weblog import (
+    LOG_FIELDS, field_numbers, log_record, matched_groups, packed_groups, record_size,
+)
 from quarry.operators.aggregates import count_by, count_non_null, global_stats, more_than
 from quarry.operators.topk import top_k
 
 
-def _groups(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
-    # computed once per line in its own projection; the generator above
-    # reads it several times without re-running the regex
-    return lines.select(*keep, F.col(line).alias("_line"), matched_groups(line).alias("_g"))
+def _groups(lines: DataFrame, line: str, keep: list[str], fields: list[str]) -> DataFrame:
+    # one projection each, so that neither the regex nor the split is run
+    # again by what reads them several times
+    numbers = field_numbers(fields)
+    packed = lines.select(*keep, F.col(line).alias("_line"), packed_groups(line, numbers).alias("_p"))
+    return packed.select(*keep, "_line", matched_groups("_p", "_line", numbers).alias("_g"))
 
 
-def parse_access_log(lines: DataFrame, line: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Typed access-log records (``LOG_FIELDS``); unparseable lines dropped.
-
-    A line yields zero or one record (``explode`` of a 0/1-element array),
-    like the reference's parse-then-filter-null. Being a generator, it also
-    keeps Catalyst from pushing the validity test below the projection that
-    produced the line, which would evaluate the regex and the line twice.
-    ``keep`` carries extra input columns (e.g. an arrival timestamp).
+def parse_access_log(
+    lines: DataFrame, line: str = "value", keep: list[str] | None = None,
+    fields: list[str] | None = None,
+) -> DataFrame:
+    """Typed access-log records; unparseable lines dropped.
+
+    ``fields``: the record fields to extract, by default all of
+    ``LOG_FIELDS``. A line yields zero or one record (``explode`` of a
+    0/1-element array), like the reference's parse-then-filter-null. Being a
+    generator, it also keeps Catalyst from pushing the validity test below the
+    projection that produced the line, which would evaluate the regex and the
+    line twice. ``keep`` carries extra input columns (e.g. an arrival
+    timestamp).
     """
-    keep = keep or []
+    keep, fields = keep or [], list(fields or LOG_FIELDS)
     g = F.col("_g")
-    ok = g.isNotNull() & record_size(g).isNotNull()
-    one = F.when(ok, F.array(log_record(g)))
+    one = F.when(record_size(g).isNotNull(), F.array(log_record(g, fields)))
     return (
-        _groups(lines, line, keep)
+        _groups(lines, line, keep, fields)
         .select(*keep, F.explode(one).alias("_r"))
-        .select(*keep, *[F.col("_r")[f].alias(f) for f in LOG_FIELDS])
+        .select(*keep, *[F.col("_r")[f].alias(f) for f in fields])
     )
 
 
@@ -44,10 +52,9 @@ def rejected_log_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
     The reference only printed them from the executors.
     """
-    g = F.col("_g")
-    bad = ~F.coalesce(g.isNotNull() & record_size(g).isNotNull(), F.lit(False))
+    bad = record_size(F.col("_g")).isNull()
     one = F.when(bad, F.array(F.col("_line")))
-    return _groups(lines, line, []).select(F.explode(one).alias("value"))
+    return _groups(lines, line, [], ["contentSize"]).select(F.explode(one).alias("value"))
 
 
 def log_stats(logs: DataFrame) -> DataFrame:
@@ -57,14 +64,9 @@ def log_stats(logs: DataFrame) -> DataFrame:
     )
 
 
-def response_code_counts(logs: DataFrame, limit: int | None = None) -> DataFrame:
-    """Requests per response code: (responseCode, count).
-
-    All codes by default; ``limit`` keeps any ``limit`` of them (the
-    reference printed ``take(100)``).
-    """
-    out = count_by(logs, "responseCode", "count")
-    return out.limit(limit) if limit else out
+def response_code_counts(logs: DataFrame) -> DataFrame:
+    """Requests per response code: (responseCode, count)."""
+    return count_by(logs, "responseCode", "count")
 
 
 def response_code_total(logs: DataFrame) -> DataFrame:
@@ -77,11 +79,9 @@ def ip_counts(logs: DataFrame) -> DataFrame:
     return count_by(logs, "ipAddress", "count")
 
 
-def heavy_hitters(logs: DataFrame, threshold: int = 10, limit: int | None = None) -> DataFrame:
-    """IP addresses with strictly more than ``threshold`` requests
-    (``limit``: keep any ``limit`` of them, as ``take(100)`` did)."""
-    out = more_than(ip_counts(logs), "count", threshold)
-    return out.limit(limit) if limit else out
+def heavy_hitters(logs: DataFrame, threshold: int = 10) -> DataFrame:
+    """IP addresses with strictly more than ``threshold`` requests."""
+    return more_than(ip_counts(logs), "count", threshold)
 
 
 def endpoint_counts(logs: DataFrame) -> DataFrame:
@@ -94,39 +94,37 @@ def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
     return top_k(endpoint_counts(logs), "count", k, "endpoint")
 
 
-# --- SQL spellings (the reference ran the same questions as SQL on a view) --
+# --- SQL spellings (the reference ran the same questions as SQL on a view);
+# the records are passed to the statement, so no view of the session changes
 
-def sql_log_stats(spark: SparkSession, logs: DataFrame, view: str = "logs") -> DataFrame:
-    """``log_stats`` written as SQL over a temp view."""
-    logs.createOrReplaceTempView(view)
+def sql_log_stats(spark: SparkSession, logs: DataFrame) -> DataFrame:
+    """``log_stats`` written as SQL."""
     return spark.sql(
-        f"SELECT sum(contentSize) AS size_sum, count(*) AS requests, "
-        f"sum(contentSize) div count(*) AS size_avg, "
-        f"min(contentSize) AS size_min, max(contentSize) AS size_max FROM {view}"
+        "SELECT sum(contentSize) AS size_sum, count(*) AS requests, "
+        "sum(contentSize) div count(*) AS size_avg, "
+        "min(contentSize) AS size_min, max(contentSize) AS size_max FROM {logs}",
+        logs=logs,
     )
 
 
-def sql_response_code_total(spark: SparkSession, logs: DataFrame, view: str = "logs") -> DataFrame:
-    """``response_code_total`` written as SQL over a temp view."""
-    logs.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT count(responseCode) AS response_codes FROM {view}")
+def sql_response_code_total(spark: SparkSession, logs: DataFrame) -> DataFrame:
+    """``response_code_total`` written as SQL."""
+    return spark.sql("SELECT count(responseCode) AS response_codes FROM {logs}", logs=logs)
 
 
-def sql_heavy_hitters(
-    spark: SparkSession, logs: DataFrame, threshold: int = 10, view: str = "logs"
-) -> DataFrame:
+def sql_heavy_hitters(spark: SparkSession, logs: DataFrame, threshold: int = 10) -> DataFrame:
     """GROUP BY + HAVING on the select alias."""
-    logs.createOrReplaceTempView(view)
     return spark.sql(
-        f"SELECT ipAddress, count(*) AS count FROM {view} "
-        f"GROUP BY ipAddress HAVING count > {int(threshold)}"
+        "SELECT ipAddress, count(*) AS count FROM {logs} "
+        f"GROUP BY ipAddress HAVING count > {int(threshold)}",
+        logs=logs,
     )
 
 
-def sql_top_endpoints(spark: SparkSession, logs: DataFrame, k: int = 10, view: str = "logs") -> DataFrame:
+def sql_top_endpoints(spark: SparkSession, logs: DataFrame, k: int = 10) -> DataFrame:
     """``top_endpoints`` written as SQL (ORDER BY count DESC, endpoint LIMIT k)."""
-    logs.createOrReplaceTempView(view)
     return spark.sql(
-        f"SELECT endpoint, count(*) AS count FROM {view} "
-        f"GROUP BY endpoint ORDER BY count DESC, endpoint ASC LIMIT {int(k)}"
+        "SELECT endpoint, count(*) AS count FROM {logs} "
+        f"GROUP BY endpoint ORDER BY count DESC, endpoint ASC LIMIT {int(k)}",
+        logs=logs,
     )

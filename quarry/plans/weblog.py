@@ -6,15 +6,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import weblog as L
-from quarry.session import scratch_path
+from quarry.session import remove_folder, scratch_path
 from quarry.sources.tables import log_lines
 
-# Heavy-hitter threshold of the reference jobs ("more than N = 10 times").
+# Heavy-hitter threshold of the original jobs ("more than N = 10 times").
 HEAVY_HITTER_THRESHOLD = 10
+# Threshold of the registered queries: some hosts of the given tables pass it
+# and some do not.
+TABLE_THRESHOLD = 70
 
 
-def logs_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.parse_access_log(log_lines(spark, sf_dir))
+def logs_tables(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """Records of the table's log lines; only ``fields``, if any are named."""
+    return L.parse_access_log(log_lines(spark, sf_dir), fields=list(fields) or None)
 
 
 def rejected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,47 +26,54 @@ def rejected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_stats_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.log_stats(logs_tables(spark, sf_dir))
+    return L.log_stats(logs_tables(spark, sf_dir, "contentSize"))
 
 
 def response_code_counts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.response_code_counts(logs_tables(spark, sf_dir))
+    return L.response_code_counts(logs_tables(spark, sf_dir, "responseCode"))
 
 
 def response_code_total_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.response_code_total(logs_tables(spark, sf_dir))
+    return L.response_code_total(logs_tables(spark, sf_dir, "responseCode"))
 
 
 def heavy_hitters_tables(
-    spark: SparkSession, sf_dir: str, threshold: int = HEAVY_HITTER_THRESHOLD
+    spark: SparkSession, sf_dir: str, threshold: int = TABLE_THRESHOLD
 ) -> DataFrame:
-    return L.heavy_hitters(logs_tables(spark, sf_dir), threshold)
+    return L.heavy_hitters(logs_tables(spark, sf_dir, "ipAddress"), threshold)
 
 
 def endpoint_counts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.endpoint_counts(logs_tables(spark, sf_dir))
+    return L.endpoint_counts(logs_tables(spark, sf_dir, "endpoint"))
 
 
 def top_endpoints_tables(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    return L.top_endpoints(logs_tables(spark, sf_dir), k)
+    return L.top_endpoints(logs_tables(spark, sf_dir, "endpoint"), k)
 
 
 def sql_log_stats_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.sql_log_stats(spark, logs_tables(spark, sf_dir))
+    return L.sql_log_stats(spark, logs_tables(spark, sf_dir, "contentSize"))
 
 
 def sql_response_code_total_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.sql_response_code_total(spark, logs_tables(spark, sf_dir))
+    return L.sql_response_code_total(spark, logs_tables(spark, sf_dir, "responseCode"))
 
 
 def sql_having_tables(
-    spark: SparkSession, sf_dir: str, threshold: int = HEAVY_HITTER_THRESHOLD
+    spark: SparkSession, sf_dir: str, threshold: int = TABLE_THRESHOLD
 ) -> DataFrame:
-    return L.sql_heavy_hitters(spark, logs_tables(spark, sf_dir), threshold)
+    return L.sql_heavy_hitters(spark, logs_tables(spark, sf_dir, "ipAddress"), threshold)
 
 
 def sql_top_endpoints_tables(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    return L.sql_top_endpoints(spark, logs_tables(spark, sf_dir), k)
+    return L.sql_top_endpoints(spark, logs_tables(spark, sf_dir, "endpoint"), k)
+
+
+def log_report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch report; its table of top endpoints."""
+    out = scratch_path(spark, "log-report")
+    paths = log_report(log_lines(spark, sf_dir), out)
+    return spark.read.parquet(paths["top_endpoints"])
 
 
 def log_report(
@@ -80,7 +91,7 @@ def log_report(
     table in the shared checkpoint folder and runs the reports on it. That
     cuts the lineage, so a lost executor costs nothing, and each report reads
     only the columns it needs. ``'cache'`` persists them in memory and local
-    disk instead, like the original job's cache.
+    disk instead, like the original job's cache. The table is removed at the end.
     """
     if materialize not in ("table", "cache"):
         raise ValueError("materialize must be 'table' or 'cache'")
@@ -107,4 +118,6 @@ def log_report(
     finally:
         if materialize == "cache":
             logs.unpersist()
+        else:
+            remove_folder(spark, table_path)
     return paths
