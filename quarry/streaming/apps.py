@@ -4,19 +4,28 @@ Each starter takes a streaming DataFrame of text lines (``value``) -- e.g.
 ``sources.streams.text_file_stream`` or ``socket_stream`` -- and starts one
 query per report with a processing-time trigger (the log reports share one
 parsing query, so every line is parsed once). Results land in
-``out_dir/<report>`` as batch folders (see ``streaming.runner``), each query
-with its own checkpoint under ``checkpoint_dir/<report>``, so a restarted
-application resumes where it stopped.
+``out_dir/<report>``, each query with its own checkpoint under
+``checkpoint_dir/<report>``, so a restarted application resumes where it
+stopped.
+
+Windowed reports always have a watermark: a window is written once, when it
+closes, by Spark's file sink, and then leaves the state, as an old window
+leaves the reference's stream. So state and files stay in proportion to the
+open windows and the results.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import words as W
+from quarry.operators.filters import keyword_track
+from quarry.session import make_folder
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import BatchFn, read_latest, start_to_table
+from quarry.streaming.runner import BatchFn, start_to_files, start_to_table
 
 # --- fixed values: micro-batch intervals of the original applications -------
 LOG_TRIGGER = "2 seconds"
@@ -24,6 +33,15 @@ WORD_TRIGGER = "10 seconds"
 POST_TRIGGER = "2 seconds"
 # ---------------------------------------------------------------------------
 
+DEFAULT_WATERMARK = "10 minutes"
+
+
+def _append(df: DataFrame, out_dir: str, checkpoint_dir: str, name: str, trigger: str) -> StreamingQuery:
+    return start_to_files(
+        df, f"{out_dir.rstrip('/')}/{name}", f"{checkpoint_dir.rstrip('/')}/{name}",
+        available_now=False, processing_time=trigger, name=name,
+    )
+
 
 def _start(df: DataFrame, out_dir: str, checkpoint_dir: str, name: str, mode: str, trigger: str,
            per_batch: BatchFn | None = None) -> StreamingQuery:
@@ -46,55 +64,47 @@ def start_log_reports(
     window: str = SL.DEFAULT_WINDOW,
     slide: str = SL.DEFAULT_SLIDE,
     event_time: bool = False,
-    watermark: str | None = None,
+    watermark: str = DEFAULT_WATERMARK,
     threshold: int = 10,
     trigger: str = LOG_TRIGGER,
 ) -> dict[str, StreamingQuery]:
     """Windowed log reports: stats, heavy hitters, endpoint counts (top-k per
-    window is read from the counts with ``logs.top_endpoints_per_window``),
+    window is read from the counts with :func:`read_window_top_endpoints`),
     and the running totals so far. Defaults: arrival-time 20 s windows
-    sliding by 10 s, a 2 s trigger.
+    sliding by 10 s, a 2 s trigger, a watermark of 10 minutes.
 
     Lines are parsed once: a stateless query writes the parsed records (with
     their time, so an arrival time is fixed at ingestion) to
     ``out_dir/parsed`` through the file sink, whose commit log makes it
-    exactly-once; the four report queries stream from that table.
+    exactly-once; the four report queries stream from that table and may
+    start before it holds anything.
     """
+    if not watermark:
+        raise ValueError("windowed reports need a watermark, else their state grows for ever")
     spark = lines.sparkSession
-    parsed_dir = f"{out_dir.rstrip('/')}/parsed"
     parsed = SL.timed_logs(lines, event_time=event_time)
-    parse_q = (
-        parsed.writeStream.format("parquet")
-        .option("path", parsed_dir)
-        .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/parsed")
-        .queryName("parsed_logs")
-        .trigger(processingTime=trigger)
-        .start()
-    )
-    # the sink's commit log exists once the first batch ran; readers of the
-    # folder then see committed files only
-    parse_q.processAllAvailable()
-    logs = spark.readStream.schema(parsed.schema).parquet(parsed_dir)
-    if watermark:
-        logs = logs.withWatermark("time", watermark)
-    return {
-        "parsed_logs": parse_q,
-        "window_stats": _start(SL.window_stats(logs, window, slide), out_dir, checkpoint_dir,
-                               "window_stats", "update", trigger),
-        "window_heavy_hitters": _start(SL.window_heavy_hitters(logs, threshold, window, slide),
-                                       out_dir, checkpoint_dir, "window_heavy_hitters", "update",
-                                       trigger),
-        "window_endpoint_counts": _start(SL.window_endpoint_counts(logs, window, slide), out_dir,
-                                         checkpoint_dir, "window_endpoint_counts", "update", trigger),
-        "running_stats": _start(SL.running_stats(logs), out_dir, checkpoint_dir, "running_stats",
-                                "update", trigger),
-    }
+    parsed_dir = f"{out_dir.rstrip('/')}/parsed"
+    make_folder(spark, parsed_dir)
+    queries = {"parsed_logs": start_to_files(
+        parsed, parsed_dir, f"{checkpoint_dir.rstrip('/')}/parsed", available_now=False,
+        processing_time=trigger, name="parsed_logs",
+    )}
+    records = spark.readStream.schema(parsed.schema).parquet(parsed_dir)
+    logs = records.withWatermark("time", watermark)
+    for name, report in (
+        ("window_stats", SL.window_stats(logs, window, slide)),
+        ("window_heavy_hitters", SL.window_heavy_hitters(logs, threshold, window, slide)),
+        ("window_endpoint_counts", SL.window_endpoint_counts(logs, window, slide)),
+    ):
+        queries[name] = _append(report, out_dir, checkpoint_dir, name, trigger)
+    queries["running_stats"] = _start(SL.running_stats(records), out_dir, checkpoint_dir,
+                                      "running_stats", "update", trigger)
+    return queries
 
 
 def read_window_top_endpoints(spark: SparkSession, out_dir: str, k: int = 10) -> DataFrame:
-    """Top-k endpoints of every window from the running app's counts table."""
-    counts = read_latest(spark, f"{out_dir.rstrip('/')}/window_endpoint_counts",
-                         ["window_start_epoch", "endpoint"])
+    """Top-k endpoints of every closed window of the running app."""
+    counts = spark.read.parquet(f"{out_dir.rstrip('/')}/window_endpoint_counts")
     return SL.top_endpoints_per_window(counts, k)
 
 
@@ -106,21 +116,28 @@ def start_word_count(lines: DataFrame, out_dir: str, checkpoint_dir: str,
 
 
 def start_hashtags(lines: DataFrame, out_dir: str, checkpoint_dir: str,
-                   trigger: str = POST_TRIGGER) -> StreamingQuery:
-    """Hashtags of every post as it arrives."""
-    return _start(W.hashtags(W.tokens(lines, "value")), out_dir, checkpoint_dir, "hashtags",
-                  "append", trigger)
+                   trigger: str = POST_TRIGGER, terms: list[str] | None = None) -> StreamingQuery:
+    """Hashtags of every post as it arrives; with ``terms``, only of posts that
+    mention one of them."""
+    if terms:
+        lines = keyword_track(lines, "value", terms)
+    return _append(W.hashtags(W.tokens(lines, "value")), out_dir, checkpoint_dir, "hashtags", trigger)
 
 
 def await_all(queries: dict[str, StreamingQuery] | list[StreamingQuery],
-              timeout_s: float | None = None) -> None:
-    """Block until every query stops (or the timeout passes); re-raise the
-    first failure."""
+              timeout_s: float | None = None, poll_s: float = 0.2) -> None:
+    """Block until every query has stopped or ``timeout_s`` is over. A failure
+    of any query is raised at once, while the others still run."""
     qs = list(queries.values()) if isinstance(queries, dict) else list(queries)
-    for q in qs:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+    end = time.monotonic() + timeout_s if timeout_s else None
+    while True:
+        running = [q for q in qs if q.isActive]
+        for q in qs:
+            if not q.isActive and q.exception() is not None:
+                raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+        if not running or (end and time.monotonic() >= end):
+            return
+        time.sleep(poll_s)
 
 
 def stop_all(queries: dict[str, StreamingQuery] | list[StreamingQuery]) -> None:
@@ -146,7 +163,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("out_dir")
     parser.add_argument("checkpoint_dir")
     parser.add_argument("--event-time", action="store_true", help="window on the log's own time")
-    parser.add_argument("--watermark", default=None, help='e.g. "10 minutes" (event time only)')
+    parser.add_argument("--watermark", default=DEFAULT_WATERMARK,
+                        help="how long a window waits for late records")
+    parser.add_argument("--terms", nargs="*", default=None, help="hashtags: only posts that mention one")
     parser.add_argument("--timeout", type=float, default=None, help="stop after this many seconds")
     args = parser.parse_args(argv)
 
@@ -162,7 +181,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.app == "word_count":
         queries = {"word_count": start_word_count(lines, args.out_dir, args.checkpoint_dir)}
     else:
-        queries = {"hashtags": start_hashtags(lines, args.out_dir, args.checkpoint_dir)}
+        queries = {"hashtags": start_hashtags(lines, args.out_dir, args.checkpoint_dir,
+                                              terms=args.terms)}
     try:
         await_all(queries, args.timeout)
     finally:

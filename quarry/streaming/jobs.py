@@ -1,111 +1,61 @@
 """Streaming jobs run over a file feed derived from the tables.
 
-Each job writes its input as text files into the shared checkpoint folder
-(the "feed"), reads it with the file stream source a few files per
+Each job writes its input once as text files into the shared checkpoint folder
+(the "feed"), reads it with the file stream source at most FEED_BATCH_BYTES per
 micro-batch, runs the streaming query to completion with an availableNow
 trigger, and returns the finished result table as a batch DataFrame.
 
-The windowed log reports read a feed delivered in time order and run with a
-watermark matched to the feed's disorder, so their state stays bounded (old
-windows are evicted) while the results remain exact.
+A feed comes in the order of its table, which is no time order. So the
+windowed reports here set no watermark: every window may still get rows until
+the feed ends, and their state is as large as their result. The long-running
+application (``quarry.streaming.apps``) has a watermark by default.
 """
 
 from __future__ import annotations
 
-import math
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import words as W
-from quarry.session import num_partitions, scratch_path
+from quarry.operators.filters import keyword_track
+from quarry.plans.words import TRACKED_TERMS
+from quarry.session import scratch_path
 from quarry.sources.streams import text_file_stream
 from quarry.sources.tables import event_log_lines, event_posts, table
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import files_per_trigger, read_batches, read_latest, run_to_table
+from quarry.streaming.runner import (
+    read_batches, read_latest, run_to_files, run_to_table, start_to_table,
+)
 
-# Micro-batches the feed is split into (at least; more when the input has
-# more partitions than this).
-FEED_BATCHES = 4
+FEED_BATCH_BYTES = 1 << 30  # input of one micro-batch, at most
 # Window of the registered windowed log report: 7 days sliding by 1 day, so
 # that per-window host counts are large enough for the threshold to select.
 REPORT_WINDOW = "7 days"
 REPORT_SLIDE = "1 day"
 REPORT_HEAVY_HITTER_THRESHOLD = 10
 REPORT_TOP_K = 10
+ARRIVALS = 4  # of the per-batch word count: each is a micro-batch
+TRACKED_POSTS = ["#signup", "did #error"]  # terms of the keyword-limited hashtag stream
 
 
-def write_feed(df: DataFrame, name: str, line: str = "value") -> tuple[str, int]:
-    """Write a text feed (one file per partition) and return (folder, files
-    per trigger) so that it is consumed in about ``FEED_BATCHES`` batches.
-
-    Only an input with fewer partitions than that is repartitioned; a large
-    input is written as it is partitioned, without a shuffle.
-    """
-    out = df.select(line)
-    n = num_partitions(out) or 1
-    if n < FEED_BATCHES:
-        out, n = out.repartition(FEED_BATCHES), FEED_BATCHES
-    path = scratch_path(df.sparkSession, name)
-    out.write.text(path)
-    return path, files_per_trigger(n, FEED_BATCHES)
-
-
-# Extra watermark delay on top of the feed's slice width: covers the log
-# time being truncated to seconds and a daylight-saving shift in the session
-# zone used to order the feed.
-WATERMARK_MARGIN_S = 2 * 3600
-
-
-def write_time_ordered_feed(
-    df: DataFrame, time_col: str, name: str, line: str = "value"
-) -> tuple[str, int, str]:
-    """Write a feed that arrives in time order: ``FEED_BATCHES`` equal time
-    slices, each written by its own job after the previous one, so file
-    modification times (the file source's order) follow event time.
-
-    Returns (folder, files per trigger, watermark delay). A record is never
-    older than the newest one already delivered by more than one slice width;
-    the watermark allows two widths plus a margin, so even files of adjacent
-    slices read out of order (modification times that tie on file systems
-    with coarse timestamps) are never behind it. Windows the feed has moved
-    past are evicted: exact results with bounded state.
-    Slices are plain range predicates on the time column, so they reach the
-    parquet scan and skip row groups of time-clustered data. Only the
-    min/max of the time column reach the driver.
-    """
-    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    t = F.col(time_col)
-    lo_s, hi_s = df.agg(F.date_format(F.min(t), fmt), F.date_format(F.max(t), fmt)).first()
+def write_feed(df: DataFrame, name: str, line: str = "value") -> str:
+    """Write a text feed, one file per partition; returns its folder."""
     path = scratch_path(df.sparkSession, name)
-    if lo_s is None:
-        df.select(line).write.text(path)
-        return path, 1, f"{WATERMARK_MARGIN_S} seconds"
-    lo, hi = datetime.fromisoformat(lo_s), datetime.fromisoformat(hi_s)
-    width = (hi - lo) / FEED_BATCHES
-    time_type = df.schema[time_col].dataType
-
-    def bound(i: int):
-        # a literal of the column's own type: the comparison stays pushable
-        return F.lit((lo + width * i).strftime("%Y-%m-%d %H:%M:%S.%f")).cast(time_type)
-
-    for i in range(FEED_BATCHES):
-        cond = t.isNotNull()
-        if i > 0:
-            cond = cond & (t >= bound(i))
-        if i < FEED_BATCHES - 1:
-            cond = cond & (t < bound(i + 1))
-        df.where(cond).select(line).write.mode("append").text(path)
-    width_s = math.ceil(width.total_seconds())
-    return path, num_partitions(df) or 1, f"{2 * width_s + WATERMARK_MARGIN_S} seconds"
-
-
-def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
-    """(stream of log lines in time order, watermark delay)."""
+    df.select(line).write.text(path)
+    return path
+
+
+def feed_stream(df: DataFrame, name: str) -> DataFrame:
+    return text_file_stream(df.sparkSession, write_feed(df, name), max_bytes=FEED_BATCH_BYTES)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+
+
+def _logs(spark: SparkSession, sf_dir: str, name: str, *fields: str) -> DataFrame:
     lines = event_log_lines(table(spark, sf_dir, "events"))
-    feed, per_trigger, delay = write_time_ordered_feed(lines, "ts", name)
-    return text_file_stream(spark, feed, per_trigger), delay
+    return SL.timed_logs(feed_stream(lines, name), fields=list(fields))
 
 
 # --- registered jobs ----------------------------------------------------------
@@ -113,15 +63,11 @@ def _log_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame,
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch (stateless) word counts of a document feed; returned summed
     over batches, which equals the batch word count."""
-    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
-    feed, per_trigger = write_feed(docs, "words-feed")
-    stream = text_file_stream(spark, feed, per_trigger)
+    stream = feed_stream(_documents(spark, sf_dir), "words-feed")
     out = run_to_table(
         W.tokens(stream, "value"), "stream-word-count", output_mode="append",
         per_batch=W.word_count,
     )
-    # per-batch counts are independent (no state): the table holds one row
-    # per (batch, word).
     return (
         read_batches(spark, out, "word string, count bigint, batch bigint")
         .groupBy("word")
@@ -129,61 +75,69 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_word_count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(batch, word, count): word counts of every micro-batch on its own.
+
+    The documents arrive in ARRIVALS parts, by their id, and the query runs
+    after each arrival, going on from its checkpoint; so a batch is exactly
+    one arrival and carries nothing over from the one before.
+    """
+    docs = _documents(spark, sf_dir)
+    part = F.coalesce(F.pmod(F.col("doc_id"), F.lit(ARRIVALS)), F.lit(0))
+    feed, out, checkpoint = (scratch_path(spark, f"word-batches-{x}") for x in ("in", "out", "ckpt"))
+    for arrival in range(ARRIVALS):
+        docs.where(part == arrival).select("value").write.mode("append").text(feed)
+        words = W.tokens(text_file_stream(spark, feed), "value")
+        start_to_table(words, out, checkpoint, "append", per_batch=W.word_count).awaitTermination()
+    return read_batches(spark, out, "word string, count bigint, batch bigint")
+
+
 def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashtags of a post feed (stateless, append)."""
-    feed, per_trigger = write_feed(event_posts(table(spark, sf_dir, "events")), "posts-feed")
-    stream = text_file_stream(spark, feed, per_trigger)
-    tags = W.hashtags(W.tokens(stream, "value"))
-    out = run_to_table(tags, "stream-hashtags", output_mode="append")
-    return read_batches(spark, out, "hashtag string, batch bigint").select("hashtag")
+    posts = feed_stream(event_posts(table(spark, sf_dir, "events")), "posts-feed")
+    return run_to_files(W.hashtags(W.tokens(posts, "value")), "stream-hashtags")
+
+
+def stream_tracked_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashtags of the posts that mention a tracked term."""
+    posts = feed_stream(event_posts(table(spark, sf_dir, "events")), "tracked-feed")
+    tracked = keyword_track(posts, "value", TRACKED_POSTS)
+    return run_to_files(W.hashtags(W.tokens(tracked, "value")), "stream-tracked-hashtags")
 
 
 def stream_keyword_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a document feed that mention a tracked term (stateless,
     append): the keyword-limited post stream, re-aimed at any text stream."""
-    from quarry.operators.filters import keyword_track
-    from quarry.plans.words import TRACKED_TERMS
-
-    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
-    feed, per_trigger = write_feed(docs, "keyword-feed")
-    stream = text_file_stream(spark, feed, per_trigger)
-    out = run_to_table(keyword_track(stream, "value", TRACKED_TERMS), "stream-keyword-track", "append")
-    return read_batches(spark, out, "value string, batch bigint").select("value")
+    stream = feed_stream(_documents(spark, sf_dir), "keyword-feed")
+    return run_to_files(keyword_track(stream, "value", TRACKED_TERMS), "stream-keyword-track")
 
 
 def stream_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals over the whole stream: no windows, so arrival order is irrelevant
-    and the plain feed (one write job) is enough."""
-    feed, per_trigger = write_feed(event_log_lines(table(spark, sf_dir, "events")), "running-feed")
-    logs = SL.timed_logs(text_file_stream(spark, feed, per_trigger))
-    out = run_to_table(SL.running_stats(logs), "stream-running-stats", output_mode="update")
+    """Totals over the whole stream."""
+    logs = _logs(spark, sf_dir, "running-feed", "contentSize")
+    out = run_to_table(SL.running_stats(logs), "stream-running-stats")
     return read_latest(spark, out, [])
 
 
 def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-window stats (7-day windows sliding by 1 day) of a time-ordered log feed, with a watermark."""
-    stream, delay = _log_stream(spark, sf_dir, "windows-feed")
-    logs = SL.timed_logs(stream, watermark=delay)
-    out = run_to_table(
-        SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE), "stream-log-windows", output_mode="update"
-    )
+    """Per-window stats (7-day windows sliding by 1 day) of a log feed."""
+    logs = _logs(spark, sf_dir, "windows-feed", "contentSize", "responseCode")
+    out = run_to_table(SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE), "stream-log-windows")
     return read_latest(spark, out, ["window_start_epoch"])
 
 
 def stream_window_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-window hosts with more than 10 requests, from a time-ordered log feed."""
-    stream, delay = _log_stream(spark, sf_dir, "heavy-feed")
-    logs = SL.timed_logs(stream, watermark=delay)
+    """Per-window hosts with more than 10 requests."""
+    logs = _logs(spark, sf_dir, "heavy-feed", "ipAddress")
     hh = SL.window_heavy_hitters(logs, REPORT_HEAVY_HITTER_THRESHOLD, REPORT_WINDOW, REPORT_SLIDE)
-    out = run_to_table(hh, "stream-window-heavy-hitters", output_mode="update")
+    out = run_to_table(hh, "stream-window-heavy-hitters")
     return read_latest(spark, out, ["window_start_epoch", "ipAddress"])
 
 
 def stream_window_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-window endpoint counts kept by the stream; the top 10 per window are taken on read."""
-    stream, delay = _log_stream(spark, sf_dir, "endpoints-feed")
-    logs = SL.timed_logs(stream, watermark=delay)
+    logs = _logs(spark, sf_dir, "endpoints-feed", "endpoint")
     counts = SL.window_endpoint_counts(logs, REPORT_WINDOW, REPORT_SLIDE)
-    out = run_to_table(counts, "stream-window-endpoints", output_mode="update")
+    out = run_to_table(counts, "stream-window-endpoints")
     latest = read_latest(spark, out, ["window_start_epoch", "endpoint"])
     return SL.top_endpoints_per_window(latest, REPORT_TOP_K)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.weblog import log_time
+from quarry.functions.weblog import LOG_FIELDS, log_time
 from quarry.operators.topk import top_k_per_group
 from quarry.operators.weblog import parse_access_log
 
@@ -28,13 +28,20 @@ DEFAULT_WINDOW = "20 seconds"
 DEFAULT_SLIDE = "10 seconds"
 
 
-def timed_logs(lines: DataFrame, event_time: bool = True, watermark: str | None = None) -> DataFrame:
-    """Parsed records with a ``time`` column (log time or arrival time)."""
+def timed_logs(
+    lines: DataFrame, event_time: bool = True, watermark: str | None = None,
+    fields: list[str] | None = None,
+) -> DataFrame:
+    """Parsed records (all fields, or only ``fields``) with a ``time`` column:
+    log time or arrival time."""
+    fields = list(fields or LOG_FIELDS)
     if event_time:
-        logs = parse_access_log(lines).withColumn("time", log_time("dateTimeString"))
-        logs = logs.where(F.col("time").isNotNull())
+        taken = fields if "dateTimeString" in fields else [*fields, "dateTimeString"]
+        logs = parse_access_log(lines, fields=taken).withColumn("time", log_time("dateTimeString"))
+        logs = logs.where(F.col("time").isNotNull()).select(*fields, "time")
     else:
-        logs = parse_access_log(lines.withColumn("time", F.current_timestamp()), keep=["time"])
+        lines = lines.withColumn("time", F.current_timestamp())
+        logs = parse_access_log(lines, keep=["time"], fields=fields)
     if watermark:
         logs = logs.withWatermark("time", watermark)
     return logs

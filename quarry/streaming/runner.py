@@ -1,24 +1,23 @@
 """Running streaming queries to a table, and reading the table back.
 
-Sink layout: every micro-batch is written by ``foreachBatch`` to its own
-``batch=<id>`` folder with mode overwrite. A batch that is retried after a
-failure (same id, same input, thanks to the checkpoint) replaces its own
-folder, so the table is exactly-once without a transactional sink.
-
-For aggregations in update mode each folder holds the keys that changed in
-that batch; ``read_latest`` keeps the newest version of every key, which is
-the current result. With a watermark, Spark drops the state of closed
-windows, so state stays bounded on an endless stream.
+Two sinks:
+
+* Append streams (rows that never change: tokens, posts, closed windows) use
+  Spark's own file sink, whose commit log makes it exactly-once.
+* Update streams and per-batch results use ``foreachBatch``: every micro-batch
+  is written to its own ``batch=<id>`` folder with mode overwrite. A batch that
+  is retried after a failure (same id, same input, thanks to the checkpoint)
+  replaces its own folder, so the table is exactly-once as well.
+  ``read_latest`` keeps the newest version of every key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from quarry.session import scratch_path
 
@@ -42,6 +41,20 @@ def batch_writer(out_dir: str, per_batch: BatchFn | None = None) -> Callable[[Da
     return write
 
 
+def _started(
+    writer: DataStreamWriter, checkpoint: str, available_now: bool,
+    processing_time: str | None, name: str | None,
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def start_to_table(
     stream_df: DataFrame,
     out_dir: str,
@@ -58,18 +71,22 @@ def start_to_table(
     the source is rate-limited) and stops; otherwise ``processing_time`` sets
     the trigger interval of a continuous run.
     """
-    writer = (
-        stream_df.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(out_dir, per_batch))
-    )
-    if name:
-        writer = writer.queryName(name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    writer = stream_df.writeStream.outputMode(output_mode).foreachBatch(
+        batch_writer(out_dir, per_batch))
+    return _started(writer, checkpoint, available_now, processing_time, name)
+
+
+def start_to_files(
+    stream_df: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Start an append stream into a parquet table by Spark's file sink."""
+    writer = stream_df.writeStream.outputMode("append").format("parquet").option("path", out_dir)
+    return _started(writer, checkpoint, available_now, processing_time, name)
 
 
 def start_console(
@@ -99,23 +116,25 @@ def run_to_table(
     stream_df: DataFrame,
     name: str,
     output_mode: str = "update",
-    timeout_s: int = 600,
     per_batch: BatchFn | None = None,
 ) -> str:
-    """Run a stream over all available input and return its table folder."""
+    """Run a stream over all available input and return its table folder. A
+    failure of the stream is raised."""
     spark = stream_df.sparkSession
     out_dir = scratch_path(spark, f"{name}-out")
     checkpoint = scratch_path(spark, f"{name}-ckpt")
-    q = start_to_table(stream_df, out_dir, checkpoint, output_mode, per_batch=per_batch)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    start_to_table(stream_df, out_dir, checkpoint, output_mode, per_batch=per_batch).awaitTermination()
     return out_dir
 
 
+def run_to_files(stream_df: DataFrame, name: str) -> DataFrame:
+    """Run an append stream over all available input; its rows as a table."""
+    spark = stream_df.sparkSession
+    out_dir = scratch_path(spark, f"{name}-out")
+    start_to_files(stream_df, out_dir, scratch_path(spark, f"{name}-ckpt")).awaitTermination()
+    return spark.read.schema(stream_df.schema).parquet(out_dir)
+
+
 def read_batches(spark: SparkSession, out_dir: str, schema: str | None = None) -> DataFrame:
     """All batch folders as one table with a ``batch`` column."""
     reader = spark.read
@@ -124,63 +143,11 @@ def read_batches(spark: SparkSession, out_dir: str, schema: str | None = None) -
     return reader.parquet(out_dir)
 
 
-SNAPSHOTS = "_snapshots"
-
-
-def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    values = [c for c in df.columns if c != BATCH_COL]
-    if not keys:
-        last = df.agg(F.max(BATCH_COL).alias("_last"))
-        return df.join(last, F.col(BATCH_COL) == F.col("_last")).select(*values)
-    w = Window.partitionBy(*keys).orderBy(F.col(BATCH_COL).desc())
-    return df.withColumn("_v", F.row_number().over(w)).where(F.col("_v") == 1).select(*values)
-
-
-def _with_snapshot(spark: SparkSession, out_dir: str, upto: int | None = None) -> DataFrame:
-    """Batch rows newer than the newest snapshot, plus that snapshot (its rows
-    carry the snapshot's batch id)."""
-    batches = read_batches(spark, out_dir)
-    if upto is not None:
-        batches = batches.where(F.col(BATCH_COL) <= upto)
-    try:
-        snaps = spark.read.parquet(out_dir.rstrip("/") + SNAPSHOTS)
-        if upto is not None:
-            snaps = snaps.where(F.col("upto") <= upto)
-        last = snaps.agg(F.max("upto")).first()[0]  # one number
-    except Exception:  # noqa: BLE001 - no snapshot written yet
-        return batches
-    if last is None:
-        return batches
-    snap = snaps.where(F.col("upto") == last).drop("upto")  # partition-pruned
-    snap = snap.withColumn(BATCH_COL, F.lit(last).cast(batches.schema[BATCH_COL].dataType))
-    return batches.where(F.col(BATCH_COL) > last).unionByName(snap)
-
-
 def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
-    """Newest version of every key (no ``batch`` column).
-
-    Reads the newest snapshot (see ``compact``) and the batch folders written
-    after it. A window partitioned by the key: each key has few versions (one
-    per batch that touched it since the snapshot), so no group is large.
-    """
-    return _latest_per_key(_with_snapshot(spark, out_dir), keys)
-
-
-def compact(spark: SparkSession, out_dir: str, keys: list[str]) -> int | None:
-    """Fold every batch written so far into a snapshot of the newest version
-    per key, so later reads skip the batch folders it covers. Safe while the
-    stream runs: only batches up to the current newest one are folded. Old
-    folders are kept (their retention is the operator's choice). Returns the
-    batch id the snapshot covers, or None if there is nothing yet.
-    """
-    upto = read_batches(spark, out_dir).agg(F.max(BATCH_COL)).first()[0]
-    if upto is None:
-        return None
-    latest = _latest_per_key(_with_snapshot(spark, out_dir, upto), keys)
-    latest.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}{SNAPSHOTS}/upto={upto}")
-    return upto
-
-
-def files_per_trigger(num_files: int, batches: int) -> int:
-    """Files per micro-batch so that ``num_files`` are read in about ``batches`` batches."""
-    return max(1, math.ceil(num_files / max(1, batches)))
+    """Newest version of every key (no ``batch`` column): an aggregate that
+    combines before the shuffle, so a key costs one row a task however many
+    versions it has."""
+    df = read_batches(spark, out_dir)
+    values = [c for c in df.columns if c != BATCH_COL and c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH_COL).alias("_v"))
+    return latest.select(*keys, "_v.*")

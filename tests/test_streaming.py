@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import words as W
 from quarry.sources.streams import text_file_stream
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import read_batches, read_latest, run_to_table
+from quarry.streaming.runner import read_batches, read_latest, run_to_files, run_to_table
 from tests.conftest import rows
 
 
@@ -37,8 +38,33 @@ def test_word_count_is_per_batch(spark, tmp_path):
 def test_hashtag_stream(spark, tmp_path):
     feed = _feed(tmp_path, "posts", ["user 1 did #view\n", "#a #b c\n"])
     stream = text_file_stream(spark, feed, max_files_per_trigger=1)
-    out = run_to_table(W.hashtags(W.tokens(stream, "value")), "t-tags", "append")
-    assert rows(read_batches(spark, out).select("hashtag")) == [("#a",), ("#b",), ("#view",)]
+    out = run_to_files(W.hashtags(W.tokens(stream, "value")), "t-tags")
+    assert rows(out) == [("#a",), ("#b",), ("#view",)]
+
+
+def test_batches_are_bounded_by_bytes(spark, tmp_path):
+    feed = _feed(tmp_path, "bytes", ["a b c d e f\n"] * 6)
+    stream = text_file_stream(spark, feed, max_bytes=24)  # two files
+    out = run_to_table(W.tokens(stream, "value"), "t-bytes", "append", per_batch=W.word_count)
+    got = read_batches(spark, out)
+    assert got.agg(F.countDistinct("batch")).first()[0] == 3
+    assert got.agg(F.sum("count")).first()[0] == 36
+
+
+def test_a_failing_stream_is_raised(spark, tmp_path):
+    feed = _feed(tmp_path, "fails", ["x\n"])
+    bad = text_file_stream(spark, feed).select(F.raise_error(F.col("value")).alias("v"))
+    with pytest.raises(Exception, match="x"):
+        run_to_files(bad, "t-fails")
+
+
+def test_latest_keeps_the_newest_version(spark, tmp_path):
+    base = str(tmp_path / "latest")
+    schema = "k string, n bigint, m string"
+    spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], schema).write.parquet(f"{base}/batch=0")
+    spark.createDataFrame([("a", 2, None)], schema).write.parquet(f"{base}/batch=10")
+    spark.createDataFrame([("a", 7, "y"), ("c", 3, "z")], schema).write.parquet(f"{base}/batch=9")
+    assert rows(read_latest(spark, base, ["k"])) == [("a", 2, None), ("b", 1, "x"), ("c", 3, "z")]
 
 
 def _log(ts: str, ip: str, endpoint: str, size: int) -> str:
@@ -101,8 +127,8 @@ def test_keyword_track_on_a_stream(spark, tmp_path):
 
     feed = _feed(tmp_path, "kw", ["Spark is fast\nnothing\n", "I love SPARK and Kafka\n"])
     stream = text_file_stream(spark, feed, 1)
-    out = run_to_table(keyword_track(stream, "value", ["spark", "flink"]), "t-kw", "append")
-    assert rows(read_batches(spark, out).select("value")) == [("I love SPARK and Kafka",), ("Spark is fast",)]
+    out = run_to_files(keyword_track(stream, "value", ["spark", "flink"]), "t-kw")
+    assert rows(out) == [("I love SPARK and Kafka",), ("Spark is fast",)]
 
 
 def test_console_sink_starts_and_stops(spark, tmp_path):
@@ -116,28 +142,109 @@ def test_console_sink_starts_and_stops(spark, tmp_path):
     q.stop()
 
 
+def _wait(ok, seconds=90):
+    end = time.time() + seconds
+    while not ok() and time.time() < end:
+        time.sleep(0.5)
+    assert ok()
+
+
+def _table(spark, path):
+    try:
+        return rows(spark.read.parquet(path))
+    except Exception:  # noqa: BLE001 - not written yet
+        return []
+
+
+def _add(feed, name, content):
+    with open(os.path.join(feed, "." + name), "w") as f:
+        f.write(content)
+    os.rename(os.path.join(feed, "." + name), os.path.join(feed, name))
+
+
 def test_continuous_apps_process_and_stop(spark, tmp_path):
     from quarry.streaming import apps
 
+    # one hour later, the windows of the first record have closed
     logs_dir = _feed(tmp_path, "app-logs", [_log("01/Jan/2024:00:00:01", "1.1.1.1", "/a", 5)])
-    words_dir = _feed(tmp_path, "app-words", ["x y x\n"])
+    words_dir = _feed(tmp_path, "app-words", ["x y x\n#no tags\n", "see #yes #also\n"])
     out, ck = str(tmp_path / "app-out"), str(tmp_path / "app-ck")
-    qs = apps.start_log_reports(text_file_stream(spark, logs_dir), out, ck, event_time=True)
+    qs = apps.start_log_reports(text_file_stream(spark, logs_dir), out, ck, event_time=True,
+                                threshold=0, trigger="0 seconds")
     qs["word_count"] = apps.start_word_count(text_file_stream(spark, words_dir), out, ck)
-    qs["hashtags"] = apps.start_hashtags(text_file_stream(spark, words_dir), out, ck)
+    qs["hashtags"] = apps.start_hashtags(text_file_stream(spark, words_dir), out, ck, terms=["SEE"])
+
+    def table(name):
+        return _table(spark, f"{out}/{name}")
+
     try:
-        for q in qs.values():  # the parse query comes first
-            q.processAllAvailable()
+        _wait(lambda: len(table("parsed")) == 1)
+        _add(logs_dir, "later.txt", _log("01/Jan/2024:01:00:00", "2.2.2.2", "/b", 7))
+        _wait(lambda: len(table("window_endpoint_counts")) == 2)
+        _wait(lambda: len(table("window_heavy_hitters")) == 2 and len(table("window_stats")) == 2)
+        _wait(lambda: len(table("hashtags")) == 2)
+        for name in ("running_stats", "word_count"):
+            qs[name].processAllAvailable()
     finally:
         apps.stop_all(qs)
-    assert spark.read.parquet(f"{out}/parsed").count() == 1
-    assert read_latest(spark, f"{out}/running_stats", []).first().requests == 1
-    assert rows(read_batches(spark, f"{out}/word_count").select("word", "count")) == [("x", 2), ("y", 1)]
-    assert read_latest(spark, f"{out}/window_stats", ["window_start_epoch"]).count() == 2
+    assert read_latest(spark, f"{out}/running_stats", []).first().requests == 2
+    counts = rows(read_batches(spark, f"{out}/word_count").select("word", "count"))
+    assert ("x", 2) in counts and ("y", 1) in counts
+    assert table("hashtags") == [("#also",), ("#yes",)]
     top = apps.read_window_top_endpoints(spark, out, k=1)
     assert rows(top, "endpoint", "count", "rank") == [("/a", 1, 1), ("/a", 1, 1)]  # two windows
 
 
+def test_state_of_the_log_app_stops_growing(spark, tmp_path):
+    from quarry.streaming import apps
+
+    logs_dir = _feed(tmp_path, "grow-logs", [])
+    out, ck = str(tmp_path / "grow-out"), str(tmp_path / "grow-ck")
+    qs = apps.start_log_reports(text_file_stream(spark, logs_dir), out, ck, event_time=True,
+                                trigger="0 seconds")
+    state = []
+    try:
+        for hour in range(5):  # 20 hosts an hour; the default watermark is 10 minutes
+            text = "".join(_log(f"01/Jan/2024:{hour:02d}:00:00", f"10.0.{hour}.{i}", "/a", 1)
+                           for i in range(20))
+            _add(logs_dir, f"h{hour}.txt", text)
+            # two windows a host, and a batch without data that drops the old ones
+            _wait(lambda: len(_table(spark, f"{out}/parsed")) == 20 * (hour + 1))
+            q = qs["window_heavy_hitters"]
+            q.processAllAvailable()
+            state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    finally:
+        apps.stop_all(qs)
+    assert max(state) <= 80 and state[-1] <= 40
+
+
+def test_windowed_reports_need_a_watermark(spark, tmp_path):
+    from quarry.streaming import apps
+
+    stream = text_file_stream(spark, _feed(tmp_path, "nowm", ["x\n"]))
+    with pytest.raises(ValueError, match="watermark"):
+        apps.start_log_reports(stream, str(tmp_path / "o"), str(tmp_path / "c"), watermark="")
+
+
+def test_a_failing_report_is_raised_while_others_run(spark, tmp_path):
+    from quarry.streaming import apps
+    from quarry.streaming.runner import start_to_files
+
+    feed = _feed(tmp_path, "mixed", ["x\n"])
+    lines = text_file_stream(spark, feed)
+    good = start_to_files(lines, str(tmp_path / "g"), str(tmp_path / "gc"), available_now=False,
+                          processing_time="1 second", name="good")
+    bad = start_to_files(lines.select(F.raise_error(F.col("value")).alias("v")), str(tmp_path / "b"),
+                         str(tmp_path / "bc"), available_now=False, name="bad")
+    try:
+        began = time.time()
+        with pytest.raises(RuntimeError, match="bad failed"):
+            apps.await_all([good, bad], timeout_s=60)
+        assert time.time() - began < 30 and good.isActive
+    finally:
+        apps.stop_all([good, bad])
+
+
 def test_watermark_bounds_state(spark, tmp_path):
     # batch 0 moves the watermark to 01:00 - 10 min = 00:50. Spark only
     # guarantees to keep data newer than the watermark (older rows "may or
@@ -160,57 +267,11 @@ def test_watermark_bounds_state(spark, tmp_path):
     assert ("/a", 1) in got and ("/b", 1) in got
 
 
-def test_compaction_keeps_the_latest_values(spark, tmp_path):
-    from quarry.streaming.runner import compact
-
-    base = str(tmp_path / "compact-out")
-    schema = "k string, n bigint"
-    spark.createDataFrame([("a", 1), ("b", 1)], schema).write.parquet(f"{base}/batch=0")
-    spark.createDataFrame([("a", 2)], schema).write.parquet(f"{base}/batch=1")
-    assert compact(spark, base, ["k"]) == 1
-    spark.createDataFrame([("b", 5), ("c", 1)], schema).write.parquet(f"{base}/batch=2")
-    assert rows(read_latest(spark, base, ["k"])) == [("a", 2), ("b", 5), ("c", 1)]
-    assert compact(spark, base, ["k"]) == 2
-    spark.createDataFrame([("a", 9)], schema).write.parquet(f"{base}/batch=3")
-    assert rows(read_latest(spark, base, ["k"])) == [("a", 9), ("b", 5), ("c", 1)]
-    snap = spark.read.parquet(base + "_snapshots").where("upto = 2").drop("upto")
-    assert rows(snap) == [("a", 2), ("b", 5), ("c", 1)]
-
-
-def test_time_ordered_feed_tolerates_adjacent_slices_out_of_order(spark):
-    # Files of slices 1 and 2 are made to arrive swapped (as tied modification
-    # times can do). The streamed windows must still equal the batch answer.
-    # (Spark applies the previous batch's watermark, which by itself absorbs an
-    # adjacent swap; the feed's two-width delay leaves room for more disorder.)
-    import glob
-    import re as _re
-
-    from pyspark.sql import functions as F
-
-    from quarry.session import local_dir
-    from quarry.streaming.jobs import write_time_ordered_feed
-
-    # one log line per 6 hours over 40 days, with the event time alongside
-    rows_ = [(i, f"10.0.0.{i % 7} - - [{d:02d}/Jan/2024:{h:02d}:00:00 +0000] \"GET /e{i % 5} HTTP/1.1\" 200 {i}")
-             for i, (d, h) in enumerate((1 + k // 4, (k % 4) * 6) for k in range(120))]
-    src = spark.createDataFrame(rows_, "i int, value string").withColumn(
-        "ts", F.to_timestamp(F.regexp_extract("value", r"\[(\S+)", 1), "dd/MMM/yyyy:HH:mm:ss")
-    )
-    feed, per_trigger, delay = write_time_ordered_feed(src, "ts", "t-disorder")
-    files = [f for f in glob.glob(local_dir(feed) + "/part-*") if os.path.getsize(f)]
-    first_day = {f: int(_re.search(r"\[(\d\d)/", open(f).readline()).group(1)) for f in files}
-    order = sorted(files, key=first_day.get)  # time order of the slices' files
-    quarter = len(order) // 4
-    swapped = order[:quarter] + order[2 * quarter:3 * quarter] + order[quarter:2 * quarter] + order[3 * quarter:]
-    base = time.time() - 1000
-    for n, f in enumerate(swapped):  # slice 2 now "arrives" before slice 1
-        os.utime(f, (base + n, base + n))
-
-    logs = SL.timed_logs(text_file_stream(spark, feed, per_trigger), watermark=delay)
-    out = run_to_table(SL.window_endpoint_counts(logs, "2 days", "1 day"), "t-disorder", "update")
-    streamed = rows(read_latest(spark, out, ["window_start_epoch", "endpoint"]))
-    batch = rows(SL.window_endpoint_counts(SL.timed_logs(src.select("value")), "2 days", "1 day"))
-    assert streamed == batch and len(batch) > 20
+def test_word_count_batches_are_the_arrivals(spark):
+    from quarry.streaming.jobs import stream_word_count_batches
+
+    got = stream_word_count_batches(spark, "/root/testdata/sf0.001")
+    assert sorted(r.batch for r in got.select("batch").distinct().collect()) == [0, 1, 2, 3]
 
 
 def test_stream_app_cli_runs_for_a_bounded_time(tmp_path):
@@ -225,5 +286,5 @@ def test_stream_app_cli_runs_for_a_bounded_time(tmp_path):
         cwd=repo, capture_output=True, timeout=180,
     )
     assert proc.returncode == 0, proc.stderr.decode()[-2000:]
-    files = [f for f in os.listdir(f"{out}/hashtags") if f.startswith("batch=")]
+    files = [f for f in os.listdir(f"{out}/hashtags") if f.startswith("part-")]
     assert files
