@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {
     # users x transactions
     "product_distinct_locations": C.product_distinct_locations_tables,
     "left_join": C.left_join_tables,
+    "left_join_keep": C.left_join_keep_tables,
+    "left_join_drop": C.left_join_drop_tables,
     "distinct_pairs": C.distinct_pairs_tables,
     "inner_join": C.inner_join_tables,
     "spend_by_group": C.spend_by_group_tables,
@@ -53,13 +55,21 @@ QUERIES: dict[str, Query] = {
     "endpoint_counts": L.endpoint_counts_tables,
     "top_endpoints": L.top_endpoints_tables,
     "sql_top_endpoints": L.sql_top_endpoints_tables,
+    "log_report": L.log_report_tables,
     # people / files / sinks
     "range_filter": Fl.range_filter_tables,
     "sql_range_filter": Fl.sql_range_filter_tables,
+    "labelled_names": Fl.labelled_tables,
     "csv_typed_people": Fl.csv_typed_people_tables,
     "dynamic_schema_scan": Fl.dynamic_schema_scan_tables,
     "positional_project": Fl.positional_project_tables,
     "tsv_typed_scan": Fl.tsv_typed_scan_tables,
+    "stage_snapshots": Fl.stage_snapshots_tables,
+    "overwrite_sink": Fl.overwrite_sink_tables,
+    "tsv_users_scan": Fl.tsv_users_scan_tables,
+    "tsv_distinct_locations": Fl.tsv_distinct_locations_tables,
+    "tsv_spend_by_group": Fl.tsv_spend_by_group_tables,
+    "tsv_top_location": Fl.tsv_top_location_tables,
     "text_line_scan": Fl.text_line_scan_tables,
     "sql_on_file": Fl.sql_on_file_tables,
     "json_sink_roundtrip": Fl.json_sink_roundtrip_tables,
@@ -68,7 +78,9 @@ QUERIES: dict[str, Query] = {
     "tsv_sink_roundtrip": Fl.tsv_sink_roundtrip_tables,
     # streams
     "stream_word_count": _streaming("stream_word_count"),
+    "stream_word_count_batches": _streaming("stream_word_count_batches"),
     "stream_hashtags": _streaming("stream_hashtags"),
+    "stream_tracked_hashtags": _streaming("stream_tracked_hashtags"),
     "stream_keyword_track": _streaming("stream_keyword_track"),
     "stream_running_stats": _streaming("stream_running_stats"),
     "stream_log_windows": _streaming("stream_log_windows"),

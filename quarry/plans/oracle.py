@@ -2,14 +2,17 @@
 
 Used by the correctness check at sf0.01 (views for every table are
 pre-registered). Column names and types are aligned with the Spark side:
-counts BIGINT, money as DOUBLE after an exact DECIMAL(18,2) sum.
+counts BIGINT, money as DOUBLE after an exact DECIMAL(38,10) sum.
 """
 
 from __future__ import annotations
 
-from quarry.functions.weblog import LOG_PATTERN
-
-_P = LOG_PATTERN.replace("'", "''")
+# The access-log pattern, spelled out for DuckDB on its own: a wrong pattern on
+# the Spark side shows.
+_P = (
+    r'^(\S+) (\S+) (\S+) \[([0-9A-Za-z_:/]+\s[-+][0-9]{4})\] "(\S+) (\S+) (\S+)" '
+    r'([0-9]{3}) ([0-9]+)'
+)
 
 # Lines of every document (text-record semantics: LF / CRLF / CR).
 _DOC_LINES = r"""
@@ -76,12 +79,14 @@ LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 
 _SPEND_BY_LOCATION = """
 SELECT n.n_name AS location,
-       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS total_spend
 FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 """
 
+_CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
+
 _WORD_COUNT = f"{_DOC_WORDS} SELECT word, count(*) AS count FROM words GROUP BY word"
 
 _RANGE = "SELECT p_name AS name FROM part WHERE p_size BETWEEN 22 AND 25"
@@ -111,7 +116,7 @@ ORDER BY count DESC, endpoint ASC LIMIT 10
 """
 
 _HEAVY_HITTERS = f"""{_LOGS}
-SELECT ipAddress, count(*) AS count FROM logs GROUP BY ipAddress HAVING count(*) > 10
+SELECT ipAddress, count(*) AS count FROM logs GROUP BY ipAddress HAVING count(*) > 70
 """
 
 _CODE_TOTAL = f"{_LOGS} SELECT count(responseCode) AS response_codes FROM logs"
@@ -134,13 +139,17 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_partkey, count(DISTINCT c_nationkey) AS locations
         FROM ({_TXN_LOCATIONS}) GROUP BY l_partkey""",
     "left_join": _TXN_LOCATIONS,
+    "left_join_keep": _TXN_LOCATIONS.replace(
+        "JOIN customer c", "JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c"),
+    "left_join_drop": _TXN_LOCATIONS.replace("LEFT JOIN customer c", "JOIN customer c")
+    + " WHERE c.c_acctbal > 0",
     "distinct_pairs": f"SELECT DISTINCT * FROM ({_TXN_LOCATIONS})",
     "inner_join": """
         SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey, o.o_totalprice
         FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey""",
     "spend_by_group": """
         SELECT c.c_mktsegment,
-               CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
+               CAST(sum(CAST(o.o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS total_spend
         FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
         GROUP BY c.c_mktsegment""",
     "spend_by_location": _SPEND_BY_LOCATION,
@@ -186,16 +195,41 @@ ORACLE_SQL: dict[str, str] = {
     "sql_having": _HEAVY_HITTERS,
     "endpoint_counts": f"{_LOGS} SELECT endpoint, count(*) AS count FROM logs GROUP BY endpoint",
     "top_endpoints": _TOP_ENDPOINTS,
+    "log_report": _TOP_ENDPOINTS,
     "sql_top_endpoints": _TOP_ENDPOINTS,
     # people / files / sinks
     "range_filter": _RANGE,
     "sql_range_filter": _RANGE,
+    "labelled_names": f"SELECT 'Name: ' || name AS label FROM ({_RANGE})",
     "csv_typed_people": "SELECT p_name AS name, p_size AS age FROM part",
     "dynamic_schema_scan": """
         SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
                CAST(p_size AS VARCHAR) AS p_size FROM part""",
     "positional_project": "SELECT o_custkey AS user_id, o_orderkey AS trans_id FROM orders",
     "tsv_typed_scan": "SELECT o_custkey AS user_id, o_orderkey AS trans_id FROM orders",
+    "stage_snapshots": """
+        SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS prod_id,
+               CAST(c_nationkey AS VARCHAR) AS location
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "overwrite_sink": _RANGE,
+    "tsv_users_scan": """
+        SELECT CAST(c_custkey AS VARCHAR) AS id,
+               CASE WHEN c_acctbal < 0 THEN '' ELSE c_name || '@example.com' END AS email,
+               'EN' AS language, CAST(c_nationkey AS VARCHAR) AS location, 30 AS age,
+               c_mktsegment AS gender
+        FROM customer""",
+    "tsv_distinct_locations": """
+        SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS prod_id,
+               count(DISTINCT c_nationkey) AS locations
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+    "tsv_spend_by_group": f"""
+        SELECT c_mktsegment AS gender, CAST(sum({_CENTS}) AS BIGINT) AS total_spend
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+    "tsv_top_location": f"""
+        SELECT CAST(c_nationkey AS VARCHAR) AS location,
+               CAST(sum({_CENTS}) AS BIGINT) AS total_spend
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
     "text_line_scan": f"SELECT line AS value FROM ({_DOC_LINES})",
     "sql_on_file": _PART_CSV_LINE,
     "json_sink_roundtrip": _PART_CSV_LINE,
@@ -204,7 +238,16 @@ ORACLE_SQL: dict[str, str] = {
     "tsv_sink_roundtrip": _WORD_COUNT,
     # streams (results of the finished stream, read back as a table)
     "stream_word_count": _WORD_COUNT,
+    "stream_word_count_batches": f"""
+        WITH lines AS (SELECT coalesce(((doc_id % 4) + 4) % 4, 0) AS batch,
+                              unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line
+                       FROM documents),
+        words AS (SELECT batch, unnest({_java_tokens('line')}) AS word FROM lines)
+        SELECT batch, word, count(*) AS count FROM words GROUP BY batch, word""",
     "stream_hashtags": _POSTS_HASHTAGS,
+    "stream_tracked_hashtags": _POSTS_HASHTAGS.replace(
+        "FROM events),",
+        "FROM events WHERE event_type LIKE 'signup%' OR event_type LIKE 'error%'),"),
     "stream_keyword_track": f"""
         SELECT line AS value FROM ({_DOC_LINES})
         WHERE contains(lower(line), 'password') OR contains(lower(line), 'license')""",

@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from quarry.plans.catalog import QUERIES  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 
 
@@ -66,7 +66,7 @@ def main() -> None:
     print("Generated by `scripts/plan_report.py`: no broadcasts (every table large), AQE off, so this")
     print("is the plan a 100 TB run starts from; at run time AQE may still coalesce partitions,")
     print("split skewed ones and turn a join whose measured side is small into a broadcast join.\n")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)
