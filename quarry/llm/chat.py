@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import prepare
+
 ESCAPE = "\\"
 
 
@@ -152,6 +154,7 @@ def format_chats(conversations: DataFrame, template: Template = INSTRUCT) -> Dat
     conversation by turn_no gives its formatted text. Partitions hold whole
     conversations, ordered by conv_id and turn_no.
     """
+    prepare(conversations.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     role = F.coalesce(F.col("role"), F.lit(""))
     rows = conversations.select(

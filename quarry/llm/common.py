@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +33,28 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = 2000
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings that every operator here needs, made before its functions are
+    sent to Python workers.
+
+    Workers that have no copy of this package import the driver's, where they
+    can see it (on a cluster, ship it as with any job). Arrow batches hold
+    ARROW_ROWS rows where the session has Spark's default of 10,000: a row
+    here is a whole text, and a batch is held by the JVM and by the Python
+    worker at once."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+    if spark.conf.get(_ARROW_KEY) == "10000":
+        spark.conf.set(_ARROW_KEY, str(ARROW_ROWS))
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the column's decimal text, modulo n (the fold of a row)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
@@ -210,7 +234,7 @@ def byte_batches(items, size, most: int):
         yield group
 
 
-def sliced(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def sliced(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
     """Slices of an Arrow batch of about ``most`` text bytes."""
     _, off = text_buffers(batch.column(column))
     lo, n = 0, batch.num_rows

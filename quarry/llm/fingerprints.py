@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import mix, saved, shingles, text_buffers, word_hashes
+from quarry.llm.common import mix, saved, shingles, prepare, text_buffers, word_hashes
 
 BINS = 256
 BITS = 4
@@ -116,6 +116,7 @@ def likeness(a: np.ndarray, has_a: np.ndarray, b: np.ndarray, has_b: np.ndarray)
 
 def fingerprints(docs: DataFrame, text_column: str = "text", name: str = "fingerprint"):
     """``docs`` with a hex column ``name``; an existing one is replaced."""
+    prepare(docs.sparkSession)
     kept = [c for c in docs.columns if c != name]
     source = docs.select(*kept, F.col(text_column).cast("string").alias("__text"))
 
@@ -220,6 +221,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     first; equal ids are ordered by text. Empty table: empty result. Other
     columns are not read.
     """
+    prepare(docs.sparkSession)
     few = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = few.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     parts = saved(

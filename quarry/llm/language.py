@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import byte_batches, mix
+from quarry.llm.common import byte_batches, mix, sliced, prepare
 
 ORDER = 4
 FIT_DOCS = 2000  # labelled documents a language whose texts are counted, about
@@ -265,6 +265,7 @@ def fit(
 ) -> Models:
     """Models from the rows of ``docs`` where ``learn`` holds and lang is not
     null."""
+    prepare(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where(
         learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
     )
@@ -313,11 +314,12 @@ def fit(
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            entropy, count = cross_entropies(m, [t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(entropy), pa.list_(pa.float64())),
-                 pa.array(count)], names=["lang", "entropy", "count"],
-            )
+            for part in sliced(batch, "text"):
+                entropy, count = cross_entropies(m, [t or "" for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(list(entropy), pa.list_(pa.float64())),
+                     pa.array(count)], names=["lang", "entropy", "count"],
+                )
 
     seen = sample.where("calibrates").select("lang", "text").mapInArrow(
         measured, "lang string, entropy array<double>, count double"
@@ -329,15 +331,17 @@ def fit(
 
 def identify(docs: DataFrame, m: Models) -> DataFrame:
     """(doc_id, lang_pred, score, accepted) of every row, in its place."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(m)  # bounded by the fitting sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score, accepted, _ = predict(shared.value, batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()), pa.array(score),
-                 pa.array(accepted)], names=["doc_id", "lang_pred", "score", "accepted"],
-            )
+            for part in sliced(batch, "text"):
+                lang, score, accepted, _ = predict(shared.value, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(lang, pa.string()), pa.array(score),
+                     pa.array(accepted)], names=["doc_id", "lang_pred", "score", "accepted"],
+                )
 
     few = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return few.mapInArrow(run, "doc_id bigint, lang_pred string, score double, accepted boolean")
@@ -345,11 +349,14 @@ def identify(docs: DataFrame, m: Models) -> DataFrame:
 
 def accepted(docs: DataFrame, m: Models, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose prediction is accepted, all columns."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(m)
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(predict(shared.value, batch.column(at).to_pylist())[2]))
+            for part in sliced(batch, text_column):
+                texts = part.column(at).to_pylist()
+                yield part.filter(pa.array(predict(shared.value, texts)[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import prepare
+
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 PIECE = 4096  # candidates whose products are held at once
@@ -138,6 +140,7 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k candidates of largest
     inner product, all of them if there are fewer."""
+    prepare(queries.sparkSession)
     q, c = (usable(x, id_column, vector_column) for x in (queries, candidates))
     # Two counts decide the grid; every row is then dealt by a hash of its id.
     n_q, n_c = (x.select("vec_id").count() for x in (q, c))

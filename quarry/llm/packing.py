@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import tokens
-from quarry.llm.common import saved, sliced, text_buffers
+from quarry.llm.common import saved, sliced, prepare, text_buffers
 
 CAPACITY = 2048
 BLOCK = 4096
@@ -47,6 +47,7 @@ def token_pieces(
     longer. ``ids`` are packed little-endian unsigned 32-bit integers; ``slot``
     numbers the pieces of a task, to tell repeated rows apart. Null text is
     empty: one piece holding ``end_id``."""
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = 0

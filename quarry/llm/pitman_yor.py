@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (
-    frequent_from, lower_words, saved, sliced, string_hashes, text_buffers,
+    frequent_from, lower_words, saved, sliced, prepare, string_hashes, text_buffers,
 )
 
 CLASSES = 1000
@@ -258,6 +258,7 @@ def _head_arrays(rows: pa.Table, n_classes_words: int):
 
 def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     """(model, table of word counts) from the rows where ``learn`` holds."""
+    prepare(docs.sparkSession)
     texts = docs.where(F.coalesce(learn, F.lit(False))).select(
         F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
@@ -336,6 +337,7 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
 def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row: log10
     probabilities of the text, by add-0.1 unigrams and by the model."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keyed = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved, shingles, sliced, text_buffers, word_hashes
+from quarry.llm.common import saved, shingles, sliced, prepare, text_buffers, word_hashes
 
 FIT_ROWS = 100_000  # labelled rows that trees and weights are fitted on, about
 TREES = 24
@@ -99,6 +99,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with an array column ``statistics`` (replacing any such)."""
+    prepare(docs.sparkSession)
     kept = [c for c in docs.columns if c != "statistics"]
     source = docs.select(*kept, F.col(text_column).cast("string").alias("__text"))
 

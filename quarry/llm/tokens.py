@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import LOWER, byte_batches, byte_terms, mix, text_buffers
+from quarry.llm.common import LOWER, byte_batches, byte_terms, mix, prepare, text_buffers
 
 TOKENIZER = "word_bpe_49k.json"
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -273,6 +275,7 @@ def token_counts(
     are not read. No special tokens are added; special strings in a text are
     recognised as the tokenizer file says. ``over_limit``: n_tokens > limit.
     """
+    prepare(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_buffers(batch.column(1))
