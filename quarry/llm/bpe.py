@@ -28,16 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import tokens
-from quarry.llm.common import Words, frequent_from, saved, sliced, string_hashes, text_buffers
+from quarry.llm.common import (
+    Words, frequent_from, saved, sliced, prepare, string_hashes, text_buffers,
+)
 
-HEAD_WORDS = 1_000_000
-HEAD_BYTES = 32 << 20
-SLICE_BYTES = 3 << 20  # text bytes split at once
+HEAD_WORDS = 2_000_000
+HEAD_BYTES = 48 << 20
+SLICE_BYTES = 2 << 20  # text bytes split at once
 
 
 def token_words(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -55,31 +58,31 @@ class Head:
 
     def __init__(self, key, check, ids, counts):
         order = np.argsort(key)
-        self.key, self.check = key[order], check[order]
+        self.key, self.check = key[order], check[order].astype(np.uint32)  # 96 bits in all
         self.number = (order + 1).astype(np.int32)
-        self.counts = np.concatenate([[0], counts]).astype(np.int64)
-        self.begin = np.concatenate([[0, 0], np.cumsum(counts)])[:-1].astype(np.int64)
-        self.ids = ids
+        self.begin = np.concatenate([[0, 0], np.cumsum(counts)]).astype(np.int32)
+        small = not len(ids) or int(ids.max()) < 1 << 16
+        self.ids = ids.astype(np.uint16 if small else np.uint32)
 
     def numbers(self, words: Words) -> np.ndarray:
         """Word number of each distinct word."""
         if not len(self.key):
             return np.zeros(len(words.key), np.int32)
         at = np.minimum(np.searchsorted(self.key, words.key), len(self.key) - 1)
-        same = (self.key[at] == words.key) & (self.check[at] == words.check)
+        same = (self.key[at] == words.key) & (self.check[at] == words.check.astype(np.uint32))
         return np.where(same, self.number[at], 0).astype(np.int32)
 
     def text_ids(self, numbers: np.ndarray, rare: list[bytes]) -> np.ndarray:
         """Ids of a text from its word numbers and the packed ids of its words
         numbered 0, in order."""
-        counts = self.counts[numbers]
+        begin = self.begin[numbers].astype(np.int64)
+        counts = self.begin[numbers + 1] - begin
         missing = numbers == 0
         if missing.sum() != len(rare):
             raise ValueError("ids of rare words are missing")
         counts[missing] = [len(r) // 4 for r in rare]
         total = int(counts.sum())
         first = np.cumsum(counts) - counts
-        begin = self.begin[numbers]
         out = np.empty(total, np.uint32)
         known = np.repeat(~missing, counts)
         source = np.repeat(begin - first, counts) + np.arange(total)
@@ -136,20 +139,36 @@ def _head(table: DataFrame) -> tuple[int, Head]:
     return least, Head(key, check, ids, np.array([len(p) // 4 for p in packed]))
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Compressed word numbers, low bytes first: the high ones are mostly 0."""
-    raw = numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.ZstdCompressor(level=1, write_checksum=False).compress(raw)
+def _packed_numbers(numbers: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The word numbers of every text, compressed: seven bits to a byte, so
+    that frequent words take one or two."""
+    x = numbers.astype(np.int64)
+    size = 1 + (x >= 1 << 7) + (x >= 1 << 14) + (x >= 1 << 21) + (x >= 1 << 28)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    flat = np.empty(int(ends[-1]), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        has = size > k
+        more = np.where(size[has] > k + 1, 128, 0)
+        flat[ends[:-1][has] + k] = (x[has] >> (7 * k)) & 127 | more
+    raw, cuts = flat.tobytes(), ends[offsets]
+    zip_one = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
+    return [zip_one(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _numbers(data: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return raw.reshape(4, -1).T.copy().view("<i4").ravel()
+    last = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], last[:-1] + 1]).astype(np.int64)
+    if not len(last):
+        return np.empty(0, np.int64)
+    place = np.arange(len(raw)) - np.repeat(starts, last + 1 - starts)
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), starts)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids array<int>) of every row: the library's ids of the whole
     text, without special tokens of its own."""
+    prepare(docs.sparkSession)
     few = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
@@ -157,7 +176,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     least, found = _head(table)
     shared = few.sparkSession.sparkContext.broadcast(found)
     # equal id and text have equal ids, so they may share a key
-    keyed = few.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    keyed = few.select("doc_id", F.hash("text").alias("h"), "text")
 
     def parts(batches):
         for batch in batches:
@@ -178,18 +197,17 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, w, number in parts(batches):
-            flat = number[w.which]
-            rows = [_planes(flat[a:b]) for a, b in zip(w.offsets[:-1], w.offsets[1:])]
+            rows = _packed_numbers(number[w.which], w.offsets)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1),
                  pa.array(np.full(len(rows), 1 << 30, np.int32)), pa.array(rows, pa.binary())],
                 names=["doc_id", "h", "position", "payload"],
             )
 
-    occurrences = keyed.mapInArrow(rare, "word string, doc_id bigint, h bigint, position int")
+    occurrences = keyed.mapInArrow(rare, "word string, doc_id bigint, h int, position int")
     answers = occurrences.join(table.where(F.col("n") < least).select("word", "ids"), "word")
     both = answers.select("doc_id", "h", "position", F.col("ids").alias("payload")).unionByName(
-        keyed.mapInArrow(numbered, "doc_id bigint, h bigint, position int, payload binary")
+        keyed.mapInArrow(numbered, "doc_id bigint, h int, position int, payload binary")
     )
     # per document: its rare words by position, then its rows
     met = both.repartition("doc_id", "h").sortWithinPartitions("doc_id", "h", "position")
@@ -230,6 +248,7 @@ def _id_batch(ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with a column ``decoded``: the text of its ``ids`` as the
     library gives it, special tokens kept. Null ids decode to null."""
+    prepare(encoded.sparkSession)
     kept = [c for c in encoded.columns if c not in ("ids", "decoded")]
     types = dict(encoded.dtypes)
 
@@ -238,15 +257,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         piece = [""] * (max(vocabulary.values()) + 1)
         for text, i in vocabulary.items():
             piece[i] = text
+        pieces = pa.array(piece, pa.string())
         for batch in batches:
             at = batch.schema.get_field_index("ids")
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                texts = [None if x is None else " ".join([piece[i] for i in x])
-                         for x in part.column(at).to_pylist()]
+                ids = part.column(at)
+                flat = pieces.take(ids.flatten())
+                ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+                joined = pc.if_else(ids.is_valid(), pc.binary_join(lists, " "), None)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())],
-                    names=[*part.schema.names, "decoded"],
+                    [*part.columns, joined], names=[*part.schema.names, "decoded"]
                 )
 
     fields = ", ".join(f"`{c}` {types[c]}" for c in [*kept, "ids"])

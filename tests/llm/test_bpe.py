@@ -66,6 +66,18 @@ def test_words_of_a_batch():
 
 
 def test_word_numbers_survive_packing():
-    for n in (0, 1, 1000):
-        x = np.random.default_rng(n).integers(0, 3_000_000, n).astype(np.int32)
-        assert (bpe._numbers(bpe._planes(x)) == x).all()
+    rng = np.random.default_rng(0)
+    x = (2.0 ** rng.uniform(0, 31, 5000)).astype(np.int64) - 1
+    cuts = np.array([0, 0, 1, 1, 4000, 5000])
+    got = [bpe._numbers(p) for p in bpe._packed_numbers(x, cuts)]
+    assert all((g == x[a:b]).all() for g, a, b in zip(got, cuts[:-1], cuts[1:]))
+    assert [len(g) for g in got] == np.diff(cuts).tolist()
+    assert bpe._packed_numbers(np.empty(0, np.int32), np.array([0])) == []
+
+
+def test_decode_of_null_and_empty_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [320, 49407])],
+                               "doc_id bigint, ids array<int>")
+    got = {r.doc_id: r.decoded for r in bpe.decode(df, PATH).collect()}
+    want = tokens.load(PATH).decode([320, 49407], skip_special_tokens=False)
+    assert got == {1: None, 2: "", 3: want}
