@@ -108,7 +108,68 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
+_MARKS = r"""\\\\|<</SYS>>|<<SYS>>|\[/INST\]|\[INST\]|\[/ROLE\]|\[ROLE\]|\[/OTHER\]|</s>|<s>"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda x: x <> '') AS w FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(
+                       range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+            FROM words
+        ),
+        sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
+        each AS (SELECT doc_id, unnest(s) AS x FROM sets),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+        ),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM sizes
+            UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        near AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT doc_id, n AS n_shingles, component_id,
+               coalesce(n_links, 0)::BIGINT AS n_links
+        FROM sizes JOIN least ON least.a = doc_id LEFT JOIN near ON near.a = doc_id""",
+    "op5_chat_format": rf"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}'
+            UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'
+        ),
+        m AS (
+            SELECT *, length(text) + len(regexp_extract_all(text, '{_MARKS}')) AS escaped,
+                   length(role) + len(regexp_extract_all(role, '{_MARKS}')) AS escaped_role,
+                   lag(role) OVER w AS before, row_number() OVER w AS no,
+                   count(*) OVER (PARTITION BY conv_id) AS turns
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no))
+                   AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY no) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(escaped + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13
+                   WHEN 'assistant' THEN 7 ELSE 21 + escaped_role END)::BIGINT AS formatted_chars,
+               bool_and(CASE role WHEN 'system' THEN no = 1 WHEN 'user' THEN
+                   no = 1 OR before IN ('system', 'assistant')
+                   WHEN 'assistant' THEN no > 1 AND before = 'user' ELSE false END
+                   AND (no < turns OR role = 'assistant')) AS valid_order
+        FROM m GROUP BY conv_id""",
     "op4_nearest_neighbours": """
         WITH ok AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
