@@ -12,9 +12,10 @@ clusters:
 2. **Cost-based allocation.** Empty segments match anything, so they get
    nothing: the partition has as many extra segments as a set of the band has
    empty ones as a rule, and only a set with still more empty segments emits
-   those as well. Where cheap signatures chain many sets together
-   through common passages (a cluster over BLOCK nodes), the budget is allocated
-   again: elements that no other set of the cluster has are certain
+   those as well. Sets that share a signature are then compared by their parity
+   sketches (a bit is the parity of the elements hashed to it): where two
+   sketches differ in more than H bits, so do the sets. What is left links sets
+   to clusters. Where a cluster is over BLOCK nodes, the budget is allocated again: elements that no other set of the cluster has are certain
    differences, and a set with more than H of them links with nothing and
    leaves. The sets that stay get half as many segments over their shared
    elements, twice as large and so more telling, each with its one-deletion
@@ -24,8 +25,8 @@ clusters:
    themselves. Only links leave a task, as a spanning forest and link counts.
 
 Copies, hot passages and large near-copy groups therefore never cause pairs to
-be written out. Signatures shared by very many sets are streamed in sorted
-order with constant memory.
+be written out. Signatures shared by very many sets (over BUCKET) are streamed in
+sorted order with constant memory and are not compared by sketches.
 
 Defined results: null text, empty text and text without words have an empty
 set, size 0, no link and are their own component, as is any row whose id is
@@ -44,12 +45,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import mix, saved, shingles, sliced, text_buffers, word_hashes
+from quarry.llm.common import (
+    mix, saved, shingles, sliced, prepare, text_buffers, word_hashes,
+)
 from quarry.llm.components import connected
 
 WORDS = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BLOCK = 512  # sets verified with each other in one task
+BUCKET = 1 << 15  # nodes of one signature held at once
 BLOCK_ELEMENTS = 1 << 26  # cells of the matrix multiplied at once
 SLICE_BYTES = 4 << 20
 
@@ -182,6 +186,57 @@ def deletion_signatures(
     return np.concatenate(out_sig), np.concatenate(out_row)
 
 
+# --- parity sketches ---
+
+
+def sketches(elements: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Of every set, a row of bits: each is the parity of the elements that
+    hash to it. About as many bits as elements, a power of two; halves of a
+    sketch added up give the sketch of half as many bits. Two sketches of one
+    size differ in at most as many bits as the sets differ in elements."""
+    sizes = np.diff(ends)
+    width = 1 << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(width)])
+    h = mix(elements + _U(77001)).astype(np.int64) & np.int64(0x7FFFFFFFFFFFFFFF)
+    at = np.repeat(start[:-1], sizes) + (h & (np.repeat(width, sizes) - 1))
+    odd = (np.bincount(at, minlength=int(start[-1])) & 1).astype(np.uint8)
+    flat = np.packbits(odd, bitorder="little").tobytes()
+    return [flat[a // 8:b // 8] for a, b in zip(start[:-1].tolist(), start[1:].tolist())]
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """(rows, words) of 64 bits from wider rows."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def may_link(distance: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes a and b with at least ``distance`` differences
+    can be linked."""
+    most = (a + b) * (100 - percent) // (100 + percent)
+    return (distance <= most) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+
+
+def reach(bits: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect whatever is connected by pairs that may link. Every
+    set meets the sets not yet reached, once."""
+    left = np.arange(len(sizes))
+    edges: list[tuple[int, int]] = []
+    while len(left) > 1:
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            v = todo.pop()
+            d = np.bitwise_count(bits[left] ^ bits[v]).sum(axis=1, dtype=np.int64)
+            ok = may_link(d, sizes[left], sizes[v], percent)
+            new = left[ok].tolist()
+            edges += [(v, x) for x in new]
+            todo += new
+            left = left[~ok]
+    return edges
+
+
 # --- verification ---
 
 
@@ -252,7 +307,7 @@ def forest(n: int, pairs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _hashed(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, node, check) of every row; node 0: empty set."""
+    """(doc_id, n_shingles, node, check, bits) of every row; node 0: empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,11 +318,12 @@ def _hashed(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n),
                      pa.array(np.where(n > 0, node, 0).astype(np.uint64).view(np.int64)),
-                     pa.array(check.view(np.int64))],
-                    names=["doc_id", "n_shingles", "node", "check"],
+                     pa.array(check.view(np.int64)), pa.array(sketches(elements, ends), pa.binary())],
+                    names=["doc_id", "n_shingles", "node", "check", "bits"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint, check bigint")
+    return docs.mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, node bigint, check bigint, bits binary")
 
 
 def _all_signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -290,36 +346,129 @@ def _all_signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "sig bigint, node bigint")
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) from the first node of a signature to each other one.
-    Rows come sorted by signature and node."""
-    sig0 = first0 = last0 = None
+def _held_groups(batches: Iterator[pa.RecordBatch], most: int):
+    """Arrays of the columns, cut only between values of the first column,
+    which comes sorted; a run of over ``most`` rows comes in parts. Yields
+    (columns, whether the first run began before, whether the last goes on)."""
+    held: list[pa.RecordBatch] = []
+    goes_on = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, node = (batch.column(i).to_numpy() for i in (0, 1))
-        new = np.empty(len(sig), bool)
-        new[0] = sig[0] != sig0
-        new[1:] = sig[1:] != sig[:-1]
-        starts = np.where(new, np.arange(len(sig)), -1)
-        starts = np.maximum.accumulate(starts)
-        first = np.where(starts >= 0, node[np.maximum(starts, 0)],
-                         first0 if first0 is not None else 0)
-        before = np.concatenate([[last0 if last0 is not None and not new[0] else node[0]],
-                                 node[:-1]])
-        other = (node != first) & ((node != before) | new)
-        sig0, first0, last0 = sig[-1], first[-1], node[-1]
-        pairs = np.unique(np.column_stack([first[other], node[other]]), axis=0)
+        held.append(batch)
+        whole = pa.Table.from_batches(held).combine_chunks()
+        first = whole.column(0).to_numpy()
+        cut = int(np.searchsorted(first, first[-1]))  # the last run may go on
+        if cut:
+            yield whole.slice(0, cut), goes_on, False
+            goes_on = False
+        rest = whole.slice(cut)
+        if rest.num_rows > most:
+            yield rest, goes_on, True
+            goes_on, held = True, []
+        else:
+            held = rest.to_batches()
+    if held:
+        yield pa.Table.from_batches(held), goes_on, False
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, node, sure) of the signatures that two nodes or more have.
+    Rows come sorted by signature and node. Equal sets of nodes are one
+    bucket, whatever their signatures. Beyond BUCKET nodes a signature is not
+    held: each of its nodes makes a ``sure`` bucket with the first one."""
+    sig0 = first0 = None
+    for table, goes_on, unfinished in _held_groups(batches, BUCKET):
+        sig, node = (table.column(i).combine_chunks().to_numpy() for i in (0, 1))
+        keep = np.ones(len(sig), bool)
+        keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+        sig, node = sig[keep], node[keep]
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        sizes = np.diff(np.append(starts, len(sig)))
+        if goes_on and sig[0] == sig0:
+            n = int(sizes[0])
+            head, node, sig = node[:n], node[n:], sig[n:]
+            yield _sure(first0, head[head != first0])
+            starts, sizes = starts[1:] - n, sizes[1:]
+        if not len(starts):
+            continue
+        sig0, first0 = sig[-1], node[starts[-1]]
+        large = sizes > BUCKET
+        large[-1] |= unfinished
+        for i in np.flatnonzero(large):
+            yield _sure(node[starts[i]], node[starts[i] + 1:starts[i] + sizes[i]])
+        sums = np.add.reduceat(mix(node.view(np.uint64)), starts)
+        key = np.repeat(mix(sums + sizes.astype(np.uint64)), sizes)
+        use = np.repeat((sizes > 1) & ~large, sizes)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))],
-            names=["a", "b"],
-        )
+            [pa.array(key[use].view(np.int64)), pa.array(node[use]),
+             pa.array(np.zeros(int(use.sum()), bool))], names=["bucket", "node", "sure"])
+
+
+def _sure(first, nodes: np.ndarray) -> pa.RecordBatch:
+    pair = np.column_stack([np.full(len(nodes), first), nodes]).astype(np.int64)
+    key = mix(mix(pair[:, 0].view(np.uint64)) + _U(3)) ^ mix(pair[:, 1].view(np.uint64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(key, 2).view(np.int64)), pa.array(pair.ravel()),
+         pa.array(np.ones(2 * len(nodes), bool))], names=["bucket", "node", "sure"])
 
 
-def _clusters(signed: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that share a signature with another."""
+def _edges(percent: int):
+    """Rows (bucket, node, sure, n, bits) in order of bucket, to edges (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, _, _ in _held_groups(batches, 2 * BUCKET):
+            bucket, node, sure, n = (
+                table.column(i).combine_chunks().to_numpy(zero_copy_only=False) for i in range(4))
+            raw = table.column(4).combine_chunks()
+            words = np.diff(np.frombuffer(raw.buffers()[1], np.int32)[
+                raw.offset:raw.offset + len(raw) + 1]) // 8
+            flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint64)
+            at = np.cumsum(words) - words
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            sizes = np.diff(np.append(starts, len(bucket)))
+
+            def bits(rows, wide, to):
+                return folded(flat[at[rows][:, None] + np.arange(wide)], to)
+
+            out: list[tuple[np.ndarray, np.ndarray]] = []
+            two = starts[sizes == 2]
+            for wa, wb in set(zip(words[two].tolist(), words[two + 1].tolist())):
+                i = two[(words[two] == wa) & (words[two + 1] == wb)]
+                to = min(wa, wb)
+                d = np.bitwise_count(bits(i, wa, to) ^ bits(i + 1, wb, to)).sum(
+                    axis=1, dtype=np.int64)
+                i = i[may_link(d, n[i], n[i + 1], percent) | sure[i]]
+                out.append((node[i], node[i + 1]))
+            for s, k in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                rows = np.arange(s, s + k)
+                to = int(words[rows].min())
+                wide = np.empty((k, to), np.uint64)
+                for w in set(words[rows].tolist()):
+                    own = words[rows] == w
+                    wide[own] = bits(rows[own], w, to)
+                if pairs := reach(wide, n[rows], percent):
+                    a, b = np.array(pairs).T
+                    out.append((node[rows[a]], node[rows[b]]))
+            if out:
+                a, b = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def _clusters(signed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, component, size) of the nodes that share a signature with
+    another that they may link to; ``size``: nodes of the cluster. Sizes are
+    joined to these short rows, so that no text is ever dealt by its cluster."""
     met = signed.repartition("sig").sortWithinPartitions("sig", "node")
-    return connected(met.mapInArrow(_stars, "a bigint, b bigint"))
+    buckets = met.mapInArrow(_buckets, "bucket bigint, node bigint, sure boolean").distinct()
+    sketched = buckets.join(nodes.select("node", "n", "bits"), "node")
+    dealt = sketched.select("bucket", "node", "sure", "n", "bits").repartition(
+        "bucket").sortWithinPartitions("bucket", "node")
+    found = saved(connected(dealt.mapInArrow(_edges(percent), "a bigint, b bigint")), "clusters")
+    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    return saved(found.join(sizes, "component").select("node", "component", "size"), "sized")
 
 
 _FOUND = "a bigint, b bigint, n_links bigint"
@@ -368,14 +517,13 @@ def _verified(tiles: DataFrame, k: int, percent: int) -> DataFrame:
     return ordered.select("tile", "side", "node", "copies", "text").mapInArrow(run, _FOUND)
 
 
-def _tiled(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members (component, node, copies, text) of clusters over BLOCK nodes,
-    dealt into blocks; one row per tile the member's block is in."""
-    both = members.join(sizes, "component")
+def _tiled(members: DataFrame) -> DataFrame:
+    """Members (component, size, node, copies, text) of clusters over BLOCK
+    nodes, dealt into blocks; one row per tile the member's block is in."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK / 2)).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    at = both.select("component", "node", "copies", "text", blocks.alias("blocks"),
-                     own.alias("own"))
+    at = members.select("component", "node", "copies", "text", blocks.alias("blocks"),
+                        own.alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return at.select("*", other.alias("other")).select(
         F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
@@ -437,6 +585,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
     component_id: the smallest doc_id reachable by links; n_links: number of
     documents linked directly, copies included."""
+    prepare(docs.sparkSession)
     few = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
@@ -447,45 +596,38 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
             F.min("check").alias("check"), F.max("check").alias("other_check"),
             F.min("n_shingles").alias("n"), F.max("n_shingles").alias("other_n"),
+            F.min("bits").alias("bits"),
         ), "nodes",
     )
     if nodes.where("check <> other_check OR n <> other_n").limit(1).count():
         raise ValueError("two sets share a 64-bit hash")
 
-    clusters = saved(_clusters(_all_signatures(few, k, percent)), "clusters")
+    clusters = _clusters(_all_signatures(few, k, percent), nodes, percent)
     chosen = clusters.join(nodes.select("node", "first_id", "copies"), "node")
     # one text a node: that of its first row with the smallest id
     ids = filled.join(chosen, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    of = ids.groupBy("doc_id").agg(*(F.min(c).alias(c) for c in ("node", "component", "copies")))
+    of = ids.groupBy("doc_id").agg(*(
+        F.min(c).alias(c) for c in ("node", "component", "size", "copies")))
     texts = few.where("doc_id IS NOT NULL").join(of, "doc_id")
-    members = saved(texts.select("component", "node", "copies", "text"), "members")
+    members = saved(texts.select("component", "size", "node", "copies", "text"), "members")
     return _finished(rows, nodes, members, k, percent)
 
 
 def _finished(
     rows: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int
 ) -> DataFrame:
-    def sized(df):
-        return df.groupBy("component").agg(F.count("*").alias("size"))
-
-    sizes = sized(members)
-    small = sizes.where(F.col("size") <= BLOCK).select("component")
-    large = sizes.where(F.col("size") > BLOCK)
+    small, large = F.col("size") <= BLOCK, F.col("size") > BLOCK
 
     def one_tile(df):
         return df.select(F.col("component").alias("tile"), F.lit(0).alias("side"), "node",
                          "copies", "text")
 
-    tiles = one_tile(members.join(small, "component"))
-    if large.limit(1).count():
-        crowded = saved(members.join(large.select("component"), "component"), "crowded")
-        shared = saved(_shared_elements(crowded, k, percent), "shared")
-        again = _clusters(_again(shared, percent))
-        rest = saved(crowded.drop("component").join(again, "node"), "rest")
-        sizes = sized(rest)
-        small = sizes.where(F.col("size") <= BLOCK).select("component")
-        tiles = tiles.unionByName(one_tile(rest.join(small, "component"))).unionByName(
-            _tiled(rest, sizes.where(F.col("size") > BLOCK)))
+    crowded = members.where(large)
+    shared = saved(_shared_elements(crowded, k, percent), "shared")
+    again = _clusters(_again(shared, percent), nodes, percent)
+    rest = saved(crowded.drop("component", "size").join(again, "node"), "rest")
+    tiles = one_tile(members.where(small)).unionByName(
+        one_tile(rest.where(small))).unionByName(_tiled(rest.where(large)))
     found = saved(_verified(tiles, k, percent), "links")
 
     edges = found.where("b IS NOT NULL").select("a", "b")

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,90 @@ def test_linked_sets_share_a_signature(seed):
     assert met > 30
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sketches_never_overstate_a_difference(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(100):
+        n = int(rng.integers(1, 900))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([
+            a[rng.random(len(a)) > rng.uniform(0, 0.9)],
+            rng.integers(0, 1 << 63, int(rng.integers(0, 300))).astype(np.uint64)]))
+        one, two = (np.frombuffer(x, np.uint64)[None] for x in jaccard.sketches(
+            np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
+        words = min(one.shape[1], two.shape[1])
+        d = int(np.bitwise_count(jaccard.folded(one, words) ^ jaccard.folded(two, words)).sum())
+        assert d <= len(np.setxor1d(a, b))
+
+
+def test_reach_connects_what_may_link():
+    rng = np.random.default_rng(4)
+    base = [rng.integers(0, 1 << 63, 120).astype(np.uint64) for _ in range(4)]
+    sets = []
+    for _ in range(60):
+        x = base[rng.integers(0, 4)].copy()
+        x[rng.integers(0, 120, rng.integers(0, 12))] = rng.integers(0, 1 << 63, 1)
+        sets.append(np.unique(x))
+    ends = np.cumsum([0, *map(len, sets)])
+    bits = np.stack([np.frombuffer(x, np.uint64) for x in
+                     jaccard.sketches(np.concatenate(sets), ends)])
+    sizes = np.diff(ends)
+    d = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2)
+    ok = jaccard.may_link(d, sizes[:, None], sizes[None], 85)
+
+    def groups(pairs):
+        parent = list(range(60))
+        for i, j in pairs:
+            a, b = parent[i], parent[j]
+            parent = [a if x == b else x for x in parent]
+        return [parent.index(x) for x in parent]
+
+    assert groups(jaccard.reach(bits, sizes, 85)) == groups(np.argwhere(ok))
+
+
+@pytest.mark.parametrize("most", [1, 3, 1000])
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_every_signature_is_covered_by_buckets(monkeypatch, most, size):
+    # called in this process: workers import the module on their own
+    monkeypatch.setattr(jaccard, "BUCKET", most)
+    rng = np.random.default_rng(6)
+    rows = np.unique(rng.integers(0, 40, (300, 2)), axis=0)
+    rows = np.concatenate([rows, rows[::7], [[7, x] for x in range(100, 160)]])
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    batches = (pa.RecordBatch.from_arrays(
+        [pa.array(rows[i:i + size, 0]), pa.array(rows[i:i + size, 1])], names=["sig", "node"])
+        for i in range(0, len(rows), size))
+    in_bucket = defaultdict(set)
+    for out in jaccard._buckets(batches):
+        for key, node, sure in zip(*(c.to_pylist() for c in out.columns)):
+            in_bucket[key, sure].add(node)
+    assert all(len(nodes) > 1 for nodes in in_bucket.values())
+    for sig in set(rows[:, 0].tolist()):
+        nodes = sorted(set(rows[rows[:, 0] == sig, 1].tolist()))
+        together = any(set(nodes) <= b for (_, sure), b in in_bucket.items() if not sure)
+        with_first = all(any({nodes[0], x} == b for (_, sure), b in in_bucket.items() if sure)
+                         for x in nodes[1:])
+        assert len(nodes) == 1 or together or with_first
+
+
+def test_edges_do_not_depend_on_batches():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 300, int(rng.integers(100, 260))).astype(np.uint64))
+            for _ in range(60)]
+    bits = jaccard.sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    bucket = np.sort(rng.integers(0, 18, 60))
+    cols = [bucket, np.arange(60), np.zeros(60, bool), np.array([len(x) for x in sets])]
+
+    def run(size):
+        batches = (pa.RecordBatch.from_arrays(
+            [*(pa.array(c[i:i + size]) for c in cols), pa.array(bits[i:i + size], pa.binary())],
+            names=["bucket", "node", "sure", "n", "bits"]) for i in range(0, 60, size))
+        return {(a, b) for out in jaccard._edges(30)(batches)
+                for a, b in zip(*(c.to_pylist() for c in out.columns))}
+
+    assert run(60) == run(7) == run(1) and run(60)
+
+
 def test_links_of_a_tile():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(40)]
