@@ -142,14 +142,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def local_dir(path: str) -> str:
-    """Plain file-system path of a ``file:`` URI (tests inspect local files)."""
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            return path[len(prefix):]
-    return path
-
-
 _scopes: list[list[str]] = []
 
 

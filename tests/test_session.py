@@ -11,9 +11,9 @@ import pytest
 from pyspark.errors import PySparkAttributeError
 
 from quarry.session import (
-    build_session, ensure_checkpoint_dir, local_dir, make_folder, scratch, scratch_path,
+    build_session, ensure_checkpoint_dir, make_folder, scratch, scratch_path,
 )
-from tests.conftest import conf
+from tests.conftest import conf, local_dir
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.weblog import LOG_FIELDS, log_time
 from quarry.operators import weblog as L
-from quarry.session import local_dir, scratch
-from tests.conftest import conf, rows
+from quarry.session import scratch
+from tests.conftest import conf, local_dir, rows
 
 GOOD = '203.0.113.7 - - [02/Feb/2019:18:40:11 -0500] "GET /catalog/view/42 HTTP/1.1" 403 9731'
 COMBINED = (
