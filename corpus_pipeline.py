@@ -9,7 +9,8 @@ result to the shared scratch folder and reads it as the next one's input.
 2. language: texts that no learned language explains, or without a letter, go.
 3. near_duplicates: of every group linked by five-word shingles at a Jaccard
    likeness of 0.8 or more, the document of smallest id stays; of rows of
-   equal id, one.
+   equal id, one. Rows without an id cannot be told apart by it: of those, one
+   row of each text stays.
 4. packing: the remaining texts in sequences of at most 2048 tokens, one row
    per piece.
 """
@@ -40,10 +41,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.join(docs, SHINGLE_WORDS, LIKENESS_PERCENT)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = first.select(F.col("doc_id").alias("keep_id")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("keep_id"))
-    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
+    first = found.where(F.col("doc_id") == F.col("component_id"))
+    keep = first.select(F.col("doc_id").alias("keep_id"))
+    same = F.col("doc_id").cast("bigint") == F.col("keep_id")
+    named = docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
+    unnamed = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
+    return named.unionByName(unnamed)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

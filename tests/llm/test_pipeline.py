@@ -80,6 +80,16 @@ def test_run_gives_the_last_stage(spark, outputs):
         r.doc_id for r in outputs[3].collect())
 
 
+def test_rows_without_an_id_or_with_the_same(spark):
+    texts = [f"w{i} " * 30 + " ".join(f"x{i}-{j}" for j in range(40)) for i in range(3)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[2]),
+            (9, texts[2] + " more"), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = cp.near_duplicates_stage(spark, df, SF).collect()
+    assert Counter(map(tuple, got)) == Counter(
+        [(None, texts[0]), (None, texts[1]), (4, texts[2]), (5, "")])
+
+
 @pytest.mark.parametrize("make", [odd_documents, empty_documents])
 def test_odd_and_empty_tables(spark, make):
     docs = make(spark)
