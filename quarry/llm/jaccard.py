@@ -12,14 +12,15 @@ clusters:
 2. **Cost-based allocation.** Empty segments match anything, so they get
    nothing: the partition has as many extra segments as a set of the band has
    empty ones as a rule, and only a set with still more empty segments emits
-   those as well. Sets that share a signature are then compared by their parity
-   sketches (a bit is the parity of the elements hashed to it): where two
-   sketches differ in more than H bits, so do the sets. What is left links sets
-   to clusters. Where a cluster is over BLOCK nodes, the budget is allocated again: elements that no other set of the cluster has are certain
-   differences, and a set with more than H of them links with nothing and
-   leaves. The sets that stay get half as many segments over their shared
-   elements, twice as large and so more telling, each with its one-deletion
-   neighbourhood (:func:`deletion_signatures`).
+   those as well. For sets of about SMALL elements or fewer, more signatures
+   cost little and small segments tell little: they get half as many segments,
+   twice as large, each with its one-deletion neighbourhood
+   (:func:`deletion_signatures`). Sets that share a signature are then
+   compared by their parity sketches (a bit is the parity of the elements
+   hashed to it): where two sketches differ in more than H bits, so do the
+   sets. What is left links sets to clusters. In a cluster over BLOCK nodes,
+   elements that no other set of the cluster has are certain differences, and
+   a set with more than H of them links with nothing and leaves.
 3. **Exact verification.** Sets of a cluster meet in tasks of at most BLOCK
    sets, or of two blocks, and every pair of a task is verified on the sets
    themselves. Only links leave a task, as a spanning forest and link counts.
@@ -53,6 +54,7 @@ from quarry.llm.components import connected
 WORDS = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BLOCK = 512  # sets verified with each other in one task
+SMALL = 40  # elements up to which a set gets one-deletion neighbourhoods
 BUCKET = 1 << 15  # nodes of one signature held at once
 BLOCK_ELEMENTS = 1 << 26  # cells of the matrix multiplied at once
 SLICE_BYTES = 4 << 20
@@ -120,6 +122,26 @@ def _tag(number: int) -> np.uint64:
     return _U(number * 0x9E3779B97F4A7C15 % (1 << 64))
 
 
+def deletion_signatures(x: np.ndarray, pair: int, h: int) -> np.ndarray:
+    """Signatures of one set for a pair of bands with budget ``h``, with
+    one-deletion neighbourhoods.
+
+    A segment with its neighbourhood counts double, so h // 2 + 1 segments do:
+    linked sets agree in one of them up to one element, which only one of the
+    two has. The subset of a segment and the subset without any one element
+    are hashed alike, so the two meet."""
+    m = h // 2 + 1
+    value = mix(x ^ _U(0x2545F4914F6CDD1D))
+    segment = (mix(x + _U(pair + 7001)) % _U(m)).astype(np.int64)
+    total = np.zeros(m, np.uint64)
+    np.add.at(total, segment, value)
+    tag = mix(np.arange(m, dtype=np.uint64) + _tag(pair + 7001))
+    whole = mix(total ^ tag)
+    if not h:  # linked sets are equal
+        return whole
+    return np.unique(np.concatenate([whole, mix((total[segment] - value) ^ tag[segment])]))
+
+
 def signatures(
     elements: np.ndarray, ends: np.ndarray, bands: Bands
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +158,12 @@ def signatures(
         for p in np.unique(pair[ok]):
             rows = np.flatnonzero(ok & (pair == p))
             h, extra = bands.pair(int(p))
+            if bands.low[int(p)] <= SMALL:
+                for row in rows.tolist():
+                    sig = deletion_signatures(elements[ends[row]:ends[row + 1]], int(p), h)
+                    out_sig.append(sig)
+                    out_row.append(np.full(len(sig), row))
+                continue
             m = h + 1 + extra
             n = sizes[rows]
             at = np.repeat(ends[rows], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -156,36 +184,6 @@ def signatures(
     return np.concatenate(out_sig), np.concatenate(out_row)
 
 
-def deletion_signatures(
-    shared: np.ndarray, ends: np.ndarray, sizes: np.ndarray, bands: Bands
-) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, set) over the shared elements of sets of the given sizes,
-    with one-deletion neighbourhoods.
-
-    A segment with its neighbourhood counts double, so H // 2 + 1 segments do:
-    linked sets agree in one of them up to one element, which only one of the
-    two has. The subset of a segment and the subset without any one element
-    are hashed alike, so the two meet."""
-    out_sig, out_row = [], []
-    band = bands.of(sizes)
-    for i in range(len(sizes)):
-        x = shared[ends[i]:ends[i + 1]]
-        for p in (int(band[i]), int(band[i]) - 1):
-            if p < 0:
-                continue
-            m = bands.pair(p)[0] // 2 + 1
-            value = mix(x ^ _U(0x2545F4914F6CDD1D))
-            segment = (mix(x + _U(p + 7001)) % _U(m)).astype(np.int64)
-            total = np.zeros(m, np.uint64)
-            np.add.at(total, segment, value)
-            tag = mix(np.arange(m, dtype=np.uint64) + _tag(p + 7001))
-            out_sig += [mix(total ^ tag), mix((total[segment] - value) ^ tag[segment])]
-            out_row.append(np.full(m + len(x), i))
-    if not out_sig:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(out_sig), np.concatenate(out_row)
-
-
 # --- parity sketches ---
 
 
@@ -531,10 +529,10 @@ def _tiled(members: DataFrame) -> DataFrame:
     )
 
 
-def _shared_elements(members: DataFrame, k: int, percent: int) -> DataFrame:
-    """(component, node, n, elements): the elements that another member of the
-    cluster has too, of every member whose other elements are within the most
-    that linked sets can differ."""
+def _without_isolated(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """``members`` without those that have more elements which no other member
+    of their cluster has than linked sets can differ in; ``size`` counted
+    again."""
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -553,32 +551,11 @@ def _shared_elements(members: DataFrame, k: int, percent: int) -> DataFrame:
     common = each.groupBy("component", "element").agg(F.count("*").alias("sets"))
     kept = each.join(common.where("sets > 1").drop("sets"), ["component", "element"])
     most = F.expr(f"(n + n * 100 div {percent}) * {100 - percent} div {100 + percent}")
-    return kept.groupBy("component", "node", "n").agg(
-        F.collect_list("element").alias("elements")  # of one text
-    ).where(F.col("n") - F.size("elements") <= most)
-
-
-def _again(shared: DataFrame, percent: int) -> DataFrame:
-    """(sig, node) by one-deletion neighbourhoods of the shared elements."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                lists = [np.array(x, np.int64) for x in part.column(3).to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)])
-                sig, row = deletion_signatures(
-                    np.concatenate(lists).view(np.uint64), ends, part.column(2).to_numpy(), bands)
-                sig = mix(sig + part.column(0).to_numpy().view(np.uint64)[row])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig.view(np.int64)), part.column(1).take(pa.array(row))],
-                    names=["sig", "node"],
-                )
-
-    return shared.select("component", "node", "n", "elements").mapInArrow(
-        run, "sig bigint, node bigint"
-    )
+    stay = saved(
+        kept.groupBy("component", "node", "n").agg(F.count("*").alias("shared"))
+        .where(F.col("n") - F.col("shared") <= most).select("component", "node"), "stay")
+    sizes = stay.groupBy("component").agg(F.count("*").alias("size"))
+    return members.drop("size").join(stay.join(sizes, "component").drop("component"), "node")
 
 
 def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -622,10 +599,7 @@ def _finished(
         return df.select(F.col("component").alias("tile"), F.lit(0).alias("side"), "node",
                          "copies", "text")
 
-    crowded = members.where(large)
-    shared = saved(_shared_elements(crowded, k, percent), "shared")
-    again = _clusters(_again(shared, percent), nodes, percent)
-    rest = saved(crowded.drop("component", "size").join(again, "node"), "rest")
+    rest = saved(_without_isolated(members.where(large), k, percent), "rest")
     tiles = one_tile(members.where(small)).unionByName(
         one_tile(rest.where(small))).unionByName(_tiled(rest.where(large)))
     found = saved(_verified(tiles, k, percent), "links")

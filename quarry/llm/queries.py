@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, tokens
+from quarry.llm import (
+    bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, tokens,
+)
 from quarry.llm.common import crc_mod, read, saved
 
 
