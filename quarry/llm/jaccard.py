@@ -43,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (
@@ -58,6 +58,7 @@ SMALL = 40  # elements up to which a set gets one-deletion neighbourhoods
 BUCKET = 1 << 15  # nodes of one signature held at once
 BLOCK_ELEMENTS = 1 << 26  # cells of the matrix multiplied at once
 SLICE_BYTES = 4 << 20
+SEEN = 1 << 16  # texts of a task remembered at once
 
 _U = np.uint64
 
@@ -304,8 +305,16 @@ def forest(n: int, pairs: np.ndarray) -> list[tuple[int, int]]:
 # --- Spark ---
 
 
+def text_key() -> list[Column]:
+    """(h, g): two independent hashes of the text, null as empty; they stand
+    for it where rows are told apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g")]
+
+
 def _hashed(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, node, check, bits) of every row; node 0: empty set."""
+    """(doc_id, n_shingles, node, check, bits, h, g) of every row; node 0:
+    empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,12 +325,32 @@ def _hashed(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n),
                      pa.array(np.where(n > 0, node, 0).astype(np.uint64).view(np.int64)),
-                     pa.array(check.view(np.int64)), pa.array(sketches(elements, ends), pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "check", "bits"],
+                     pa.array(check.view(np.int64)), pa.array(sketches(elements, ends), pa.binary()),
+                     part.column(2), part.column(3)],
+                    names=["doc_id", "n_shingles", "node", "check", "bits", "h", "g"],
                 )
 
     return docs.mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint, check bigint, bits binary")
+        run, "doc_id bigint, n_shingles bigint, node bigint, check bigint, bits binary, "
+        "h bigint, g bigint")
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """(h, g, text) of the rows, copies of a text in a task as a rule once: the
+    copies of one text never make a large key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            new = []
+            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new.append(key not in seen)
+                seen.add(key)
+            if len(seen) > SEEN:
+                seen.clear()
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return docs.select("h", "g", "text").mapInArrow(run, "h bigint, g bigint, text string")
 
 
 def _all_signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -562,9 +591,17 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
     component_id: the smallest doc_id reachable by links; n_links: number of
     documents linked directly, copies included."""
+    return grouped(docs, k, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def grouped(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The columns of :func:`join`, the text's (h, g) of :func:`text_key` and
+    ``group``, one number for all rows of a component, with an id or without;
+    null for empty sets, each of which is its own component."""
     prepare(docs.sparkSession)
     few = docs.select(
-        F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+        F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        *text_key(),
     )
     rows = saved(_hashed(few, k), "sets")
     filled = rows.where("node <> 0")
@@ -573,20 +610,18 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
             F.min("check").alias("check"), F.max("check").alias("other_check"),
             F.min("n_shingles").alias("n"), F.max("n_shingles").alias("other_n"),
-            F.min("bits").alias("bits"),
+            F.min("bits").alias("bits"), F.min(F.struct("h", "g")).alias("key"),
         ), "nodes",
     )
     if nodes.where("check <> other_check OR n <> other_n").limit(1).count():
         raise ValueError("two sets share a 64-bit hash")
 
-    clusters = _clusters(_all_signatures(few, k, percent), nodes, percent)
-    chosen = clusters.join(nodes.select("node", "first_id", "copies"), "node")
-    # one text a node: that of its first row with the smallest id
-    ids = filled.join(chosen, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    of = ids.groupBy("doc_id").agg(*(
-        F.min(c).alias(c) for c in ("node", "component", "size", "copies")))
-    texts = few.where("doc_id IS NOT NULL").join(of, "doc_id")
-    members = saved(texts.select("component", "size", "node", "copies", "text"), "members")
+    clusters = _clusters(_all_signatures(few.select("doc_id", "text"), k, percent), nodes, percent)
+    # one text a node, whatever ids its rows have: equal sets verify alike
+    chosen = clusters.join(nodes.select("node", "copies", "key.h", "key.g"), "node")
+    members = _once(few).join(chosen, ["h", "g"]).groupBy("h", "g").agg(*(
+        F.first(c).alias(c) for c in ("component", "size", "node", "copies", "text")))
+    members = saved(members.drop("h", "g"), "members")
     return _finished(rows, nodes, members, k, percent)
 
 
@@ -609,16 +644,17 @@ def _finished(
     counts = found.where("n_links IS NOT NULL").groupBy("a").agg(F.sum("n_links").alias("near"))
     least = reach.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(
         F.min("first_id").alias("least_id"))
-    linked = reach.join(least, "component").select("node", "least_id")
+    linked = reach.join(least, "component").select("node", "least_id", "component")
     known = nodes.join(linked, "node", "left").join(
         counts.withColumnRenamed("a", "node"), "node", "left"
     ).select(
         "node", F.coalesce("least_id", "first_id").alias("component_id"),
+        F.coalesce("component", "node").alias("group"),
         (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
     )
     return rows.join(known, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "h", "g", "group",
     )

@@ -92,6 +92,29 @@ def test_odd_texts(spark):
     assert result(jaccard.join(df)) == brute(rows)
 
 
+LONG = [" ".join(f"{t}{x}" for x in range(60)) for t in "abc"]
+
+
+@pytest.mark.parametrize("rows", [
+    [(5, LONG[0]), (5, LONG[0]), (9, LONG[0] + " more")],
+    [(5, LONG[0]), (5, LONG[1]), (3, LONG[0] + " x"), (9, LONG[1] + " y"), (8, LONG[1] + " z")],
+])
+def test_rows_of_one_id(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    assert result(jaccard.join(df)) == brute(rows)
+
+
+def test_near_copies_without_an_id(spark):
+    base = LONG[0].split()
+    chain = [" ".join(base[i:] + [f"z{x}" for x in range(i)]) for i in (0, 3, 6)]  # links 0-3-6
+    rows = [(7, chain[0]), (None, chain[1]), (None, chain[1]), (2, chain[2]),
+            (None, LONG[1]), (None, LONG[1] + " more"), (4, LONG[2]), (None, LONG[2] + " more")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = brute(rows)
+    assert {c for d, _, c, _ in want if d == 7} == {2}
+    assert result(jaccard.join(df)) == want
+
+
 def test_empty_table(spark):
     assert jaccard.join(empty_documents(spark)).collect() == []
 
