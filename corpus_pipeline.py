@@ -9,8 +9,8 @@ result to the shared scratch folder and reads it as the next one's input.
 2. language: texts that no learned language explains, or without a letter, go.
 3. near_duplicates: of every group linked by five-word shingles at a Jaccard
    likeness of 0.8 or more, the document of smallest id stays; of rows of
-   equal id, one. Rows without an id cannot be told apart by it: of those, one
-   row of each text stays.
+   equal id, one. A row without an id stays only if no row of its group has
+   one, and then one row of the group; of texts without words, one row each.
 4. packing: the remaining texts in sequences of at most 2048 tokens, one row
    per piece.
 """
@@ -40,13 +40,22 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.join(docs, SHINGLE_WORDS, LIKENESS_PERCENT)
+    found = saved(jaccard.grouped(docs, SHINGLE_WORDS, LIKENESS_PERCENT), "groups")
+    keyed = docs.select("*", *(c.alias(f"keep_{n}") for n, c in zip("hg", jaccard.text_key())))
+    key = ["keep_h", "keep_g"]
     first = found.where(F.col("doc_id") == F.col("component_id"))
-    keep = first.select(F.col("doc_id").alias("keep_id"))
-    same = F.col("doc_id").cast("bigint") == F.col("keep_id")
-    named = docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    return named.unionByName(unnamed)
+    keep = first.select(F.col("doc_id").alias("keep_id"), *(F.col(c[-1]).alias(c) for c in key))
+    same = (F.col("doc_id").cast("bigint") == keep["keep_id"]) & (
+        keyed["keep_h"] == keep["keep_h"]) & (keyed["keep_g"] == keep["keep_g"])
+    named = keyed.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
+    # no row of the group has an id: one text of it, or each of the empty sets
+    alone = found.where("doc_id IS NULL AND component_id IS NULL")
+    of = [F.col("group"), *(F.when(F.col("group").isNull(), F.col(c)) for c in "hg")]
+    texts = alone.groupBy(*of).agg(F.min(F.struct("h", "g")).alias("least")).select(
+        F.col("least.h").alias("keep_h"), F.col("least.g").alias("keep_g"))
+    unnamed = keyed.where(F.col("doc_id").isNull()).dropDuplicates(["text"]).join(
+        texts, key, "left_semi").select(*keyed.columns)
+    return named.unionByName(unnamed).drop(*key)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

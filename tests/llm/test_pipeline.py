@@ -90,6 +90,21 @@ def test_rows_without_an_id_or_with_the_same(spark):
         [(None, texts[0]), (None, texts[1]), (4, texts[2]), (5, "")])
 
 
+def test_near_copies_without_an_id(spark):
+    texts = [" ".join(f"{t}{j}" for j in range(60)) for t in "abcd"]
+    rows = [(4, texts[0]), (None, texts[0]), (None, texts[0] + " more"),
+            (None, texts[1]), (None, texts[1]), (None, texts[1] + " more"),
+            (None, texts[2]), (None, ""), (None, ""), (None, None),
+            (5, texts[0] + " other"), (5, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter(map(tuple, cp.near_duplicates_stage(spark, df, SF).collect()))
+    of_b = [x for x in got if x[0] is None and (x[1] or "").startswith("b0")]
+    assert len(of_b) == 1 and got[of_b[0]] == 1
+    del got[of_b[0]]
+    assert got == Counter([(4, texts[0]), (None, texts[2]), (None, ""), (None, None),
+                           (5, texts[3])])
+
+
 @pytest.mark.parametrize("make", [odd_documents, empty_documents])
 def test_odd_and_empty_tables(spark, make):
     docs = make(spark)
