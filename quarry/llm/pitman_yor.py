@@ -4,13 +4,26 @@ Tokens are words (A-Z lower-cased) and one end token a text. The CLASSES most
 frequent training words and the end are classes of their own; all other words
 form the class RARE. The model is
 
-    P(text) = product of P(class | class before) * P(word | RARE) for rare words.
+    P(text) = product of P(word | word before).
+
+Every word and the start of a text is a context with a restaurant of its own
+for the pairs that touch a rare word; of two classes that are words, the class
+is the word and no further restaurant is needed.
 
 * ``P(class | before)``: one restaurant per preceding class (the text's start
   included), all sharing one parent restaurant over classes, whose base is
   uniform. Customers are the counts of class pairs in the training texts.
 * ``P(word | RARE)``: one restaurant over all rare training words and the
   unknown word, with a uniform base.
+* ``P(word | word before)`` after a rare word: a restaurant over all words with
+  the base ``P(class | RARE)``, times ``P(word | RARE)`` for a rare word.
+* The same after a frequent word or the start: ``P(class | before)``, times,
+  for a rare word, a restaurant over the rare words that follow, with the base
+  ``P(word | RARE)``.
+
+Pairs that touch a rare word are a table in the shared folder that grows with
+the corpus, and so are the probabilities learned from them. The restaurants of
+classes and of rare words are seated first and are the given parents.
 
 Seating follows the Chinese restaurant process and is sampled by Gibbs sweeps:
 in a sweep, the customers of a dish leave and are seated again one after
@@ -22,7 +35,9 @@ the predictive probability is linear in them.
 
 Word counts are exact and grow with the corpus: they are a table in the shared
 folder. The counts of frequent words are broadcast (HEAD_WORDS, HEAD_BYTES);
-the others meet their occurrences in a join whose keys are all rare.
+the others meet their occurrences in a join whose keys are all rare. So do the
+pairs: a pair seen in training adds log(P(word | before) / back-off) to a text,
+and every context adds the log of its back-off weight.
 
 Defined results: null text counts as empty (one end token); rows with equal id
 and text are kept, each; a null id is scored and never learned from; without
@@ -42,7 +57,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (
-    frequent_from, lower_words, saved, sliced, prepare, string_hashes, text_buffers,
+    frequent_from, lower_words, mix, saved, sliced, prepare, string_hashes, text_buffers,
 )
 
 CLASSES = 1000
@@ -54,6 +69,8 @@ EXACT = 64
 STRENGTH = 1.0  # concentration of every restaurant
 END_WORD = ""  # key of the end token; no word is empty
 
+EDGE, NONE = 1, 2  # keys in pairs: a text's start or end, no dish (a context's weight)
+
 RARE, END = 0, 1  # class numbers; words follow from 2
 
 
@@ -212,6 +229,43 @@ class Model:
     klass: np.ndarray  # class of each head word
     log_class: np.ndarray  # (context, class) log10
     rare: RareWords | None
+    log_back: np.ndarray | None = None  # of head words as contexts, log10
+    log_back_class: np.ndarray | None = None  # of frequent words and the start
+    pair_key: np.ndarray | None = None  # hashes of head pairs, sorted
+    pair_u: np.ndarray | None = None
+    pair_w: np.ndarray | None = None
+    pair_value: np.ndarray | None = None
+    pair_least: int = 1 << 62  # pairs of this count or more are in the head
+    pairs: DataFrame | None = None  # (u, w, value, c), on the driver only
+
+    def __getstate__(self):
+        return self.__dict__ | {"pairs": None}
+
+    def classes_of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(in the head, count, class) of keys, which the word table holds
+        apart; the end has its class."""
+        known = np.zeros(len(key), bool)
+        count, klass = np.zeros(len(key), np.int64), np.full(len(key), RARE)
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            known = self.key[at] == key
+            count, klass = np.where(known, self.count[at], 0), np.where(known, self.klass[at], RARE)
+        return known, count, np.where(key == EDGE, END, klass)
+
+    def pair_base(self, before: np.ndarray, w: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The parent's probability of dish ``w``; ``n``: its count, if it is
+        not in the head."""
+        known, count, klass = self.classes_of(w)
+        rare = np.where(klass == RARE, self.rare_log10(np.where(known, count, n)), 0.0)
+        return 10.0 ** (rare + np.where(before == RARE, self.log_class[RARE, klass], 0.0))
+
+    def head_pairs(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(in the head, value) of pairs."""
+        if self.pair_u is None or not len(self.pair_u):
+            return np.zeros(len(u), bool), np.zeros(len(u))
+        at = np.minimum(np.searchsorted(self.pair_key, pair_hash(u, w)), len(self.pair_u) - 1)
+        known = (self.pair_u[at] == u) & (self.pair_w[at] == w)
+        return known, np.where(known, self.pair_value[at], 0.0)
 
     def look_up(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(in the head, count, class) of the distinct words of a batch."""
@@ -246,6 +300,189 @@ def _sequences(words, klass: np.ndarray, n_classes: int):
     return flat, before, np.repeat(np.arange(n_docs), n + 1)
 
 
+def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(mix(u) + w)
+
+
+def _bigrams(words, klass: np.ndarray, n_classes: int):
+    """(text, key before, key, class before) of the tokens of a batch that
+    touch a rare word with the one before, and the distinct word before (-1:
+    the start)."""
+    flat, before, row = _sequences(words, klass, n_classes)
+    n = np.diff(words.offsets)
+    which = np.full(len(flat), -1)
+    is_word = np.ones(len(flat), bool)
+    is_word[np.cumsum(n + 1) - 1] = False
+    which[is_word] = words.which
+    last = np.full(len(flat), -1)
+    last[1:] = which[:-1]  # an end has -1, so the start of a text has
+    use = np.flatnonzero((flat == RARE) | (before == RARE))
+    key = np.append(words.key, np.uint64(EDGE))  # -1: the last
+    return row[use], key[last[use]], key[which[use]], before[use], last[use]
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables cut only between values of the first column, which comes sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(first, first[-1]))
+        if cut or (held and held[-1].column(0)[-1].as_py() != first[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _batch_seats(c, base, tables, discount, sweep, w) -> np.ndarray:
+    seed = [23, sweep, len(w), *(abs(int(x)) for x in w[:1])]
+    return seat(c, base, tables, discount, np.random.default_rng(seed))
+
+
+def _values(c, t, base, tables, customers, discount) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 of P / back-off, log10 of the back-off weight) of pairs."""
+    back = (STRENGTH + discount * tables) / (STRENGTH + customers)
+    own = np.maximum(c - discount * t, 0) / (STRENGTH + customers)
+    return np.log10(own / (base * back) + 1), np.log10(back)
+
+
+def learn_pairs(texts: DataFrame, model: Model, table: DataFrame) -> None:
+    """Seats the word restaurants of ``model``."""
+    if table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        raise ValueError("two words share a 64-bit hash")
+    n_classes = model.log_class.shape[1]
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch, "text", SLICE_BYTES):
+                words = lower_words(*text_buffers(part.column(0)))
+                known, _, klass = shared.value.look_up(words)
+                _, u, w, before, _ = _bigrams(words, klass, n_classes)
+                _, one, c = np.unique(pair_hash(u, w), return_index=True, return_counts=True)
+                if len(one) and not _same_pairs(u, w, one):
+                    raise ValueError("two pairs share a 64-bit hash")
+                u, w, before = u[one], w[one], before[one]
+                tail = ~shared.value.classes_of(w)[0] & (w != EDGE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u.view(np.int64)), pa.array(w.view(np.int64)),
+                     pa.array(before.astype(np.int32)), pa.array(tail), pa.array(c)],
+                    names=["u", "w", "k", "tail", "c"])
+
+    counted = saved(
+        texts.mapInArrow(paired, "u bigint, w bigint, k int, tail boolean, c bigint")
+        .groupBy("u", "w", "k", "tail").agg(F.sum("c").alias("c")), "pair-counts")
+    rare = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD)).select(
+        F.col("key").alias("w"), "n")
+    head = counted.where("NOT tail").select("u", "w", "k", F.lit(0).cast("bigint").alias("n"), "c")
+    both = head
+    if model.least > 1:  # words outside the head bring their counts
+        both = head.unionByName(
+            counted.where("tail").join(rare, "w").select("u", "w", "k", "n", "c"))
+    whole = counted.agg(F.sum((F.col("c") == 1).cast("bigint")).alias("once"),
+                        F.sum((F.col("c") == 2).cast("bigint")).alias("twice")).first()
+    discount = discount_of(float(whole["once"] or 0), float(whole["twice"] or 0))
+
+    def seated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for rows in _whole_runs(batches):
+            u, w, n, c = (rows.column(x).to_numpy() for x in ("u", "w", "n", "c"))
+            new = np.concatenate([[True], u[1:] != u[:-1]])
+            starts, of = np.flatnonzero(new), np.cumsum(new) - 1
+            base = m.pair_base(np.full(len(u), RARE), w.view(np.uint64), n)
+            tables = np.diff(np.append(starts, len(u))).astype(float)
+            mean = np.zeros(len(u))
+            for sweep in range(BURN + KEPT):
+                t = _batch_seats(c, base, tables[of], discount, sweep, w)
+                tables = np.add.reduceat(t, starts)
+                if sweep >= BURN:
+                    mean += t / KEPT
+            value, back = _values(c, mean, base, np.add.reduceat(mean, starts)[of],
+                                  np.add.reduceat(c, starts)[of], discount)
+            in_head = m.classes_of(u[starts].view(np.uint64))[0]
+            none = np.full(len(starts), NONE)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(u, u[starts])), pa.array(np.append(w, none)),
+                 pa.array(np.append(value, back[starts])), pa.array(np.append(c, none * 0)),
+                 pa.array(np.append(np.zeros(len(u), bool), in_head))],
+                names=["u", "w", "value", "c", "head"])
+
+    fields = "u bigint, w bigint, value double, c bigint, head boolean"
+    after_rare = both.where(F.col("k") == RARE).select("u", "w", "n", "c").repartition(
+        "u").sortWithinPartitions("u", "w").mapInArrow(seated, fields)
+
+    # contexts of many dishes: tables are summed over the tasks, sweep by sweep
+    wide = saved(both.where(F.col("k") != RARE), "wide-contexts")
+    size = n_classes + 1
+    per = wide.groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("t")).toPandas()
+    customers, first = np.zeros(size), np.zeros(size)
+    customers[per.k], first[per.k] = per.c, per.t
+    states = [first]
+
+    def arrays(batch):
+        u, w, k, n, c = (batch.column(i).to_numpy() for i in range(5))
+        return u, w, k, c, shared.value.pair_base(k, w.view(np.uint64), n)
+
+    for sweep in range(BURN + KEPT):
+        now = states[-1]
+
+        def sums(batches, now=now, sweep=sweep):
+            total = np.zeros(size)
+            for batch in batches:
+                _, w, k, c, base = arrays(batch)
+                total += np.bincount(
+                    k, _batch_seats(c, base, now[k], discount, sweep, w), size)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at.astype(np.int32)), pa.array(total[at])], names=["k", "t"])
+
+        got = wide.mapInArrow(sums, "k int, t double").groupBy("k").agg(
+            F.sum("t").alias("t")).toPandas()  # one row a class
+        state = np.zeros(size)
+        state[got.k] = got.t
+        states.append(state)
+    tables = np.mean(states[-KEPT:], axis=0)
+    model.log_back_class = np.where(customers > 0, np.log10(
+        (STRENGTH + discount * tables) / (STRENGTH + customers)), 0.0)
+
+    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, w, k, c, base = arrays(batch)
+            t = np.mean([_batch_seats(c, base, states[s][k], discount, s, w)
+                         for s in range(BURN, BURN + KEPT)], axis=0)
+            value, _ = _values(c, t, base, tables[k], customers[k], discount)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u), pa.array(w), pa.array(value), pa.array(c),
+                 pa.array(np.zeros(len(u), bool))], names=["u", "w", "value", "c", "head"])
+
+    model.pairs = saved(after_rare.unionByName(wide.mapInArrow(valued, fields)), "pair-values")
+    weights = model.pairs.where("head").select("u", "value").toArrow()  # at most HEAD_WORDS rows
+    model.log_back = np.zeros(len(model.key))
+    if len(weights):
+        at = np.searchsorted(model.key, weights.column("u").to_numpy().view(np.uint64))
+        model.log_back[at] = weights.column("value").to_numpy()
+    seen = model.pairs.where(F.col("w") != NONE)
+    least = frequent_from(seen.select(F.col("c").alias("n")), F.lit(24), HEAD_WORDS, HEAD_BYTES)
+    if least is not None:
+        model.pair_least = least
+        top = seen.where(F.col("c") >= least).select("u", "w", "value").toArrow()
+        u, w = (top.column(x).to_numpy().view(np.uint64) for x in "uw")
+        order = np.argsort(pair_hash(u, w))
+        model.pair_key = pair_hash(u, w)[order]
+        model.pair_u, model.pair_w = u[order], w[order]
+        model.pair_value = top.column("value").to_numpy()[order]
+
+
+def _same_pairs(u: np.ndarray, w: np.ndarray, one: np.ndarray) -> bool:
+    """Whether each hash of the pairs stands for one pair; ``one``: the first
+    of each hash in order of hashes."""
+    which = np.searchsorted(pair_hash(u[one], w[one]), pair_hash(u, w))
+    return bool((u[one][which] == u).all() and (w[one][which] == w).all())
+
+
 def _head_arrays(rows: pa.Table, n_classes_words: int):
     data, off = text_buffers(rows.column("word"))
     key, check = string_hashes(data, off[:-1], np.diff(off))
@@ -270,11 +507,13 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
                 k = len(w.key)
                 strings = pa.concat_arrays([w.strings(np.arange(k)), pa.array([END_WORD])])
                 n = np.append(np.bincount(w.which, minlength=k), part.num_rows)
-                yield pa.RecordBatch.from_arrays([strings, pa.array(n)], names=["word", "n"])
+                key = np.append(w.key, np.uint64(EDGE)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [strings, pa.array(key), pa.array(n)], names=["word", "key", "n"])
 
     table = saved(
-        texts.mapInArrow(counted, "word string, n bigint")
-        .groupBy("word").agg(F.sum("n").alias("n")), "word-counts",
+        texts.mapInArrow(counted, "word string, key bigint, n bigint")
+        .groupBy("word").agg(F.sum("n").alias("n"), F.min("key").alias("key")), "word-counts",
     )
     whole = table.agg(
         F.sum("n").alias("total"), F.count("*").alias("types"),
@@ -331,6 +570,7 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     hist = hist.set_index("step")[["n", "words"]].sub(less, fill_value=0)
     hist = hist[hist.words > 0]
     model.rare = RareWords((hist.n / hist.words).to_numpy(), hist.words.to_numpy())
+    learn_pairs(texts, model, table)
     return model, table
 
 
@@ -361,6 +601,14 @@ def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
             base = np.bincount(of, np.where(known, m.base(count), 0.0)[w.which], n).astype(float)
             rare = np.where(known & (klass == RARE), m.rare_log10(count), 0.0)
             total += np.bincount(of, rare[w.which], n)
+            if m.log_back is not None:
+                at, u, v, before, last = _bigrams(w, klass, n_classes)
+                own = np.zeros(len(w.key) + 1)  # the last: the start of a text
+                if len(m.key) and len(w.key):
+                    spot = np.minimum(np.searchsorted(m.key, w.key), len(m.key) - 1)
+                    own[:-1] = np.where(known, m.log_back[spot], 0.0)
+                back = np.where(before == RARE, own[last], m.log_back_class[before])
+                total += np.bincount(at, back + m.head_pairs(u, v)[1], n)
             base += m.base(np.array([m.ends]))[0]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(np.ones(n, np.int64)),
@@ -383,6 +631,24 @@ def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
                 names=["word", "doc_id", "h", "times"],
             )
 
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for part, w, known, _, klass in parts(batches):
+            row, u, v, before, last = _bigrams(w, klass, m.log_class.shape[1])
+            rest = np.flatnonzero(~m.head_pairs(u, v)[0])
+            tail = np.flatnonzero((before == RARE) & ~np.append(known, True)[last])
+            row = np.append(row[rest], row[tail])
+            u, v = np.append(u[rest], u[tail]), np.append(v[rest], np.full(len(tail), NONE, np.uint64))
+            _, one, which, times = np.unique(  # a pair once a text
+                mix(pair_hash(u, v) + row.astype(np.uint64)), return_index=True,
+                return_inverse=True, return_counts=True)
+            if any((x[one][which] != x).any() for x in (u, v, row)):
+                raise ValueError("two pairs share a 64-bit hash")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u[one].view(np.int64)), pa.array(v[one].view(np.int64)),
+                 part.column(0).take(pa.array(row[one])), part.column(1).take(pa.array(row[one])),
+                 pa.array(times.astype(np.int32))], names=["u", "w", "doc_id", "h", "times"])
+
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
@@ -402,9 +668,17 @@ def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
     met = keyed.mapInArrow(others, "word string, doc_id bigint, h bigint, times bigint").join(
         rare_words, "word", "left"
     ).select("doc_id", "h", "times", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-    sums = keyed.mapInArrow(frequent, fields).unionByName(
-        met.mapInArrow(valued, fields)
-    ).groupBy("doc_id", "h").agg(*(F.sum(c).alias(c) for c in
+    scores = keyed.mapInArrow(frequent, fields).unionByName(met.mapInArrow(valued, fields))
+    if model.pairs is not None:
+        rest = model.pairs.where((F.col("c") < model.pair_least) & ~F.col("head"))
+        found = keyed.mapInArrow(
+            bigrams, "u bigint, w bigint, doc_id bigint, h bigint, times int"
+        ).join(rest.select("u", "w", "value"), ["u", "w"])
+        zero = F.lit(0).cast("bigint")
+        scores = scores.unionByName(found.select(
+            "doc_id", "h", *(zero.alias(c) for c in ("rows", "n_tokens", "n_known")),
+            F.lit(0.0).alias("base_score"), (F.col("value") * F.col("times")).alias("score")))
+    sums = scores.groupBy("doc_id", "h").agg(*(F.sum(c).alias(c) for c in
                                    ("rows", "n_tokens", "n_known", "base_score", "score")))
     # equal rows were added up: share the sums and return each
     each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))

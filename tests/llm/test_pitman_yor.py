@@ -84,6 +84,35 @@ def test_score_is_the_product_over_tokens(spark):
         assert got[i] == pytest.approx(s, rel=1e-5)
 
 
+@pytest.mark.parametrize("head", [0, 4, 500_000])
+def test_every_word_is_a_context(spark, monkeypatch, head):
+    monkeypatch.setattr(py, "CLASSES", 2)
+    monkeypatch.setattr(py, "HEAD_WORDS", head)
+    # p goes before q, r before s, all of one count
+    docs = [(i, t) for i, t in enumerate(["a a b p q a", "b r s a", "a b a", "p q", "r s"] * 6)]
+    vocabulary = ["a", "b", "p", "q", "r", "s", "never"]
+    docs += [(1000, "p q"), (1001, "p s"), (1002, "r s"), (1003, "r q")]
+    docs += [(2000 + i, f"p {x}") for i, x in enumerate(vocabulary)] + [(3000, "p")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    m, table = py.fit(df, F.col("doc_id") < 1000)
+    got = {r.doc_id: r.score for r in py.score(df, m, table).collect()}
+    assert got[1000] > got[1001] + 0.5 and got[1002] > got[1003] + 0.5
+    values = {(r.u, r.w): r.value for r in m.pairs.collect()}
+    key = {r.word: r.key for r in table.collect()}
+    back = values[key["p"], py.NONE]
+    # P(. | p) of every word, of the end and of the unknown word
+    total = 0.0
+    n = {r.word: r.n for r in table.collect()}
+    klass = {w: 2 + i for i, w in enumerate(
+        sorted((w for w in n if w), key=lambda w: (-n[w], w))[:2 if head else 0])} | {"": py.END}
+    for w in [*vocabulary, ""]:
+        k = klass.get(w, py.RARE)
+        base = m.log_class[py.RARE, k] + (
+            m.rare.log10(np.array([n.get(w, 0)]))[0] if k == py.RARE else 0)
+        total += 10.0 ** (base + back + values.get((key["p"], key.get(w, 0)), 0.0))
+    assert total == pytest.approx(1, abs=0.02)  # as the rare words below it
+
+
 def test_seating_follows_the_restaurant_process():
     # mean tables of c customers with nothing else in the restaurant, against
     # seating customer by customer
