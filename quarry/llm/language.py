@@ -11,11 +11,12 @@ goes to the language of lowest cross-entropy per symbol over its letter runs
 Fitting reads a bounded sample of the labelled rows: about FIT_DOCS documents
 a language, whole texts, chosen by a hash of the id, and about
 CALIBRATION_DOCS others a language that set the score and the rejection
-threshold. Everything else reads all rows.
+threshold. A language of fewer than FEW rows is fitted on all of them, and has
+the threshold of the others. Everything else reads all rows.
 
 Calibrated rejection: a prediction is accepted unless its cross-entropy is
-above anything the calibration documents of that language showed, by a
-margin. ``score`` is the posterior of the language at the calibrated
+above what the calibration documents of that language showed (their quantile
+QUANTILE, so that one odd text does not set it), by a margin. ``score`` is the posterior of the language at the calibrated
 temperature, lowered for rejected texts.
 
 Defined results: null texts, and texts without a letter, are ``und`` with
@@ -41,7 +42,10 @@ from quarry.llm.common import byte_batches, mix, sliced, prepare
 ORDER = 4
 FIT_DOCS = 2000  # labelled documents a language whose texts are counted, about
 CALIBRATION_DOCS = 500  # further ones for temperature and threshold, about
-MARGIN = 2.0  # times the highest cross-entropy of the calibration texts of a language
+MARGIN = 2.0  # times the quantile of the cross-entropy of a language's calibration texts
+QUANTILE = 0.99
+CALIBRATION_SIDE = 0.2  # share of the labelled rows that can calibrate
+FEW = 20  # languages of fewer labelled rows are fitted on all of them
 PAD, END = 1, 2  # symbols that are no letters
 CHUNK_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -247,9 +251,10 @@ def _calibrate(m: Models, lang: list[str], entropy: np.ndarray, count: np.ndarra
     best = entropy.argmin(axis=1) if len(entropy) else np.empty(0, int)
     own = entropy[np.arange(len(right)), right] if len(entropy) else np.empty(0)
     hit = best == right
-    highest = own[hit].max() if hit.any() else -m.log_unseen
+    highest = np.quantile(own[hit], QUANTILE) if hit.any() else -m.log_unseen
     m.limit = np.array([
-        MARGIN * (own[hit & (right == j)].max() if (hit & (right == j)).any() else highest)
+        MARGIN * (np.quantile(own[hit & (right == j)], QUANTILE)
+                  if (hit & (right == j)).any() else highest)
         for j in range(len(m.languages))
     ])
     if len(entropy):
@@ -274,12 +279,15 @@ def fit(
         return Models([], [], [], [], [], 0.0)
     spark = docs.sparkSession
     share = spark.createDataFrame(
-        [(k, min(1.0, fit_docs / n), min(1.0, calibration_docs / n)) for k, n in sizes.items()],
-        "lang string, fit_share double, calibration_share double",
+        [(k, min(1.0, fit_docs / n if n < FEW else fit_docs / ((1 - CALIBRATION_SIDE) * n)),
+          min(1.0, calibration_docs / (CALIBRATION_SIDE * n)), n < FEW)
+         for k, n in sizes.items()],
+        "lang string, fit_share double, calibration_share double, few boolean",
     )
     scale = 1 << 20
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(scale)) / F.lit(float(scale))
-    side = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(5)) == 0
+    side = ~F.col("few") & (
+        F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(scale)) < CALIBRATION_SIDE * scale)
     sample = rows.join(F.broadcast(share), "lang").select(  # one row a language
         "lang", "text",
         F.when(side, place < F.col("calibration_share")).otherwise(False).alias("calibrates"),

@@ -122,3 +122,24 @@ def test_rejects_what_no_language_explains(spark):
     m = language.fit(df, F.lit(True))
     lang, score, accepted, _ = language.predict(m, ["Ωмегa жщыъ ქართული " * 9, docs[1]["text"]])
     assert list(accepted) == [False, True] and score[0] < score[1]
+
+
+def test_sample_sizes_and_small_languages(spark, monkeypatch):
+    rows = [(i, f"some words of text number {i}", "en") for i in range(1000)]
+    rows += [(5000 + i, f"single {'abcdefghijklmnopqrst'[i] * 3}", f"l{i:02}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    seen = []
+    calibrate = language._calibrate
+    monkeypatch.setattr(language, "_calibrate", lambda m, lang, *rest: (
+        seen.extend(lang), calibrate(m, lang, *rest)))
+    m = language.fit(df, F.lit(True), calibration_docs=100)
+    assert m.languages == sorted({r[2] for r in rows})
+    assert 70 < len(seen) < 130 and set(seen) == {"en"}
+
+
+def test_one_odd_text_does_not_set_the_limit():
+    m = language.Models(["a", "b"], [], [], [], [], -5.0)
+    own = np.append(np.full(400, 1.0), 4.9)
+    entropy = np.column_stack([own, np.full(401, 5.0)])
+    language._calibrate(m, ["a"] * 401, entropy, np.full(401, 30.0))
+    assert m.limit[0] == pytest.approx(language.MARGIN)
