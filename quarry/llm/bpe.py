@@ -175,13 +175,15 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     table = word_table(few, path)
     least, found = _head(table)
     shared = few.sparkSession.sparkContext.broadcast(found)
-    # equal id and text have equal ids, so they may share a key
-    keyed = few.select("doc_id", F.hash("text").alias("h"), "text")
+    # equal id and text have equal ids, so they may share a key; two hashes
+    # tell texts of equal or no id apart
+    keyed = few.select(
+        "doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"), "text")
 
     def parts(batches):
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
-                w = token_words(*text_buffers(part.column(2)))
+                w = token_words(*text_buffers(part.column(3)))
                 yield part, w, shared.value.numbers(w)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,35 +192,38 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             row = np.searchsorted(w.offsets, at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
                 [w.strings(w.which[at]), part.column(0).take(pa.array(row)),
-                 part.column(1).take(pa.array(row)),
+                 part.column(1).take(pa.array(row)), part.column(2).take(pa.array(row)),
                  pa.array((at - w.offsets[row]).astype(np.int32))],
-                names=["word", "doc_id", "h", "position"],
+                names=["word", "doc_id", "h", "g", "position"],
             )
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, w, number in parts(batches):
             rows = _packed_numbers(number[w.which], w.offsets)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1),
+                [part.column(0), part.column(1), part.column(2),
                  pa.array(np.full(len(rows), 1 << 30, np.int32)), pa.array(rows, pa.binary())],
-                names=["doc_id", "h", "position", "payload"],
+                names=["doc_id", "h", "g", "position", "payload"],
             )
 
-    occurrences = keyed.mapInArrow(rare, "word string, doc_id bigint, h int, position int")
+    occurrences = keyed.mapInArrow(
+        rare, "word string, doc_id bigint, h bigint, g bigint, position int")
     answers = occurrences.join(table.where(F.col("n") < least).select("word", "ids"), "word")
-    both = answers.select("doc_id", "h", "position", F.col("ids").alias("payload")).unionByName(
-        keyed.mapInArrow(numbered, "doc_id bigint, h int, position int, payload binary")
-    )
+    both = answers.select(
+        "doc_id", "h", "g", "position", F.col("ids").alias("payload")
+    ).unionByName(keyed.mapInArrow(
+        numbered, "doc_id bigint, h bigint, g bigint, position int, payload binary"))
     # per document: its rare words by position, then its rows
-    met = both.repartition("doc_id", "h").sortWithinPartitions("doc_id", "h", "position")
+    met = both.repartition("doc_id", "h", "g").sortWithinPartitions(
+        "doc_id", "h", "g", "position")
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, last, rares = None, -1, []
         for batch in batches:
             ids, texts, size = [], [], 0
-            for doc, h, position, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                if (doc, h) != now:
-                    now, last, rares = (doc, h), -1, []
+            for doc, h, g, position, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if (doc, h, g) != now:
+                    now, last, rares = (doc, h, g), -1, []
                 if position < 1 << 30:
                     if position != last:  # rows of equal id and text repeat their words
                         rares.append(payload)

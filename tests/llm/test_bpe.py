@@ -81,3 +81,19 @@ def test_decode_of_null_and_empty_ids(spark):
     got = {r.doc_id: r.decoded for r in bpe.decode(df, PATH).collect()}
     want = tokens.load(PATH).decode([320, 49407], skip_special_tokens=False)
     assert got == {1: None, 2: "", 3: want}
+
+
+def test_texts_without_an_id_whose_short_hashes_meet(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "HEAD_WORDS", 0)
+    texts = spark.range(400_000).select(F.concat(
+        F.lit("q"), F.col("id"), F.lit(" zz"), F.col("id") * 7).alias("text"))
+    met = texts.groupBy(F.hash("text").alias("h")).agg(
+        F.collect_list("text").alias("t")).where("size(t) > 1").limit(3).collect()
+    assert met
+    both = [(None, t) for r in met for t in r.t]
+    df = spark.createDataFrame(both, "doc_id bigint, text string")
+    path = tokens.tokenizer_path()
+    got = bpe.decode(bpe.encode(df, path), path).collect()
+    want = tokens.load(path)
+    assert sorted(r.ids for r in got) == sorted(
+        want.encode(t, add_special_tokens=False).ids for _, t in both)
