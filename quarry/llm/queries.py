@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (
-    bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, tokens,
+    bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, simhash,
+    tokens,
 )
 from quarry.llm.common import crc_mod, read, saved
 
@@ -97,6 +98,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -108,6 +113,7 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_simhash_dedup": op11_simhash_dedup,
 }
 
 _MARKS = r"""\\\\|<</SYS>>|<<SYS>>|\[/INST\]|\[INST\]|\[/ROLE\]|\[ROLE\]|\[/OTHER\]|</s>|<s>"""
