@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (
-    bpe, chat, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, simhash,
+    bpe, chat, divergence, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, simhash,
     tokens,
 )
 from quarry.llm.common import crc_mod, read, saved
@@ -102,6 +102,10 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -114,6 +118,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 _MARKS = r"""\\\\|<</SYS>>|<<SYS>>|\[/INST\]|\[INST\]|\[/ROLE\]|\[ROLE\]|\[/OTHER\]|</s>|<s>"""
@@ -178,6 +183,51 @@ ORACLE_SQL: dict[str, str] = {
                    WHEN 'assistant' THEN no > 1 AND before = 'user' ELSE false END
                    AND (no < turns OR role = 'assistant')) AS valid_order
         FROM m GROUP BY conv_id""",
+    "op12_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang,
+                   coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ),
+        each AS (SELECT no, lang, source, unnest(terms) AS term FROM docs),
+        kept AS (
+            SELECT lang, term, count(*) AS in_lang FROM each GROUP BY lang, term
+            HAVING count(DISTINCT no) >= 30
+        ),
+        counted AS (
+            SELECT lang, source, term, count(*) AS c FROM each SEMI JOIN kept USING (lang, term)
+            GROUP BY lang, source, term
+        ),
+        langs AS (SELECT lang, count(*) AS v, sum(in_lang) AS n FROM kept GROUP BY lang),
+        totals AS (SELECT lang, source, sum(c) AS n FROM counted GROUP BY lang, source),
+        groups AS (
+            SELECT lang, source, coalesce(t.n, 0) AS n
+            FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN totals t USING (lang, source)
+        ),
+        p AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                   1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (g.n + 5 * l.v) AS p,
+                   1 + (1000000000::HUGEINT * (k.in_lang + 5)) // (l.n + 5 * l.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ),
+        found AS (
+            SELECT g.lang, g.source, 'pair' AS part, o.source AS item,
+                   coalesce(sum(abs(a.p - b.p)), 0)::BIGINT AS value
+            FROM groups g JOIN groups o ON o.lang = g.lang AND o.source <> g.source
+            LEFT JOIN p a ON a.lang = g.lang AND a.source = g.source
+            LEFT JOIN p b ON b.lang = o.lang AND b.source = o.source AND b.term = a.term
+            WHERE a.term IS NULL OR b.term IS NOT NULL
+            GROUP BY ALL
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q
+        )
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part
+                   ORDER BY value DESC, encode(item)))::INTEGER AS rank
+        FROM found QUALIFY part = 'pair' OR rank <= 50""",
     "op4_nearest_neighbours": """
         WITH ok AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
