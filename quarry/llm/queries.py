@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (
-    bpe, chat, divergence, fingerprints, jaccard, language, neighbours, packing, pitman_yor, quality, simhash,
+    bpe, chat, divergence, fingerprints, hard_negatives, jaccard, language, neighbours, packing, pitman_yor, quality, simhash,
     tokens,
 )
 from quarry.llm.common import crc_mod, read, saved
@@ -106,6 +106,17 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def shifted_label() -> Column:
+    """The label, moved on by one where vec_id is divisible by 7."""
+    label = F.col("label").cast("bigint")
+    return F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.usable(read(spark, sf_dir, "embeddings"), shifted_label())
+    return hard_negatives.mine(rows.where(F.col("vec_id") % 100 == 0), rows)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -119,6 +130,7 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_simhash_dedup": op11_simhash_dedup,
     "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _MARKS = r"""\\\\|<</SYS>>|<<SYS>>|\[/INST\]|\[INST\]|\[/ROLE\]|\[ROLE\]|\[/OTHER\]|</s>|<s>"""
@@ -228,6 +240,32 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, (row_number() OVER (PARTITION BY lang, source, part
                    ORDER BY value DESC, encode(item)))::INTEGER AS rank
         FROM found QUALIFY part = 'pair' OR rank <= 50""",
+    "op13_hard_negatives": """
+        WITH ok AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                   list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM ok a JOIN ok r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM scored WHERE same QUALIFY row_number() OVER (
+                PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, (row_number() OVER (
+                   PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER
+                   AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score
+          AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
     "op4_nearest_neighbours": """
         WITH ok AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings

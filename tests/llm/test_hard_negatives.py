@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from quarry.llm import hard_negatives, queries
+from tests.llm.helpers import SF, documents
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def brute(rows, every=100, n_pos=5, n_neg=10):
+    """rows: (vec_id, vector, label); the anchors' ids are divisible by ``every``."""
+    ok = []
+    for i, v, label in rows:
+        if i is None or label is None or v is None or any(
+                x is None or not math.isfinite(x) for x in v):
+            continue
+        ok.append((i, [math.floor(256 * x) for x in v], (label + 1) % 10 if i % 7 == 0 else label))
+    out = []
+    for at, (i, v, label) in enumerate(ok):
+        if i % every:
+            continue
+        score = [(-sum(a * b for a, b in zip(v, w)), j, m)
+                 for n, (j, w, m) in enumerate(ok) if n != at and len(w) == len(v)]
+        same = sorted(s[:2] for s in score if s[2] == label)[:n_pos]
+        other = sorted(s[:2] for s in score if s[2] != label)
+        for p, pos in same:
+            fit = [(s, j) for s, j in other if 30 * -p <= 100 * -s <= 90 * -p][:n_neg]
+            out += [(i, pos, r + 1, j, -p, -s) for r, (s, j) in enumerate(fit)]
+    return sorted(out)
+
+
+def got(df):
+    return sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score,
+                   r.negative_score) for r in df.collect())
+
+
+def mined(df, every=100, **kw):
+    rows = hard_negatives.usable(df, queries.shifted_label())
+    return got(hard_negatives.mine(rows.where(F.col("vec_id") % every == 0), rows, **kw))
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(d["vec_id"], d["embedding"], d["label"]) for d in documents("embeddings")]
+    want = brute(rows)
+    assert got(queries.op13_hard_negatives(spark, SF)) == want and want
+
+
+ODD = [
+    (0, [1.0, 0.5], 1), (1, [0.9, 0.4], 1), (2, [0.5, 0.5], 2), (3, [0.4, 0.1], 3),
+    (4, None, 1), (5, [None, 1.0], 1), (6, [float("nan"), 1.0], 2), (8, [float("inf"), 0.0], 2),
+    (9, [1.0, 1.0], None), (10, [0.0, 0.0], 1), (11, [0.0, 0.0], 2), (12, [], 1), (20, [], 1),
+    (21, [], 1), (22, [], 4), (30, [1.0, 2.0, 3.0], 1), (31, [1.0, 2.0, 2.5], 1),
+    (32, [0.5, 1.0, 1.0], 2), (40, [-1.0, -0.5], 1), (41, [-0.6, -0.5], 5), (None, [1.0, 1.0], 1),
+    (14, [0.6, 0.6], 9), (50, [0.6, 0.6], 0), (2, [0.5, 0.5], 2), (0, [1.0, 0.5], 1),
+    (0, [0.2, 0.9], 2), (60, [1e-9, -1e-9], 1), (70, [1e9, 1e9], 3), (71, [1e9, 9e8], 3),
+]
+
+
+@pytest.mark.parametrize("blocks", [{}, {"anchor_block": 2, "row_block": 3}])
+def test_odd_rows_ties_and_repeats(spark, blocks):
+    df = spark.createDataFrame(ODD, SCHEMA).withColumn("row", F.lit("x")).withColumn(
+        "dim", F.lit("x")).withColumn("rank", F.lit(0))
+    assert mined(df, 10, **blocks) == brute(ODD, 10)
+
+
+def test_random_rows_in_many_tiles(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 8))
+    rows = []
+    for i in range(900):
+        label = int(rng.integers(6))
+        v = centres[label] * 0.3 + rng.normal(size=8) * 0.2
+        rows.append((i, [float(round(x, 1)) for x in v], label))  # many ties
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute(rows, 30)
+    assert mined(df, 30, anchor_block=7, row_block=64) == want and want
+
+
+def test_one_hot_vector_and_label(spark):
+    rows = [(i, [0.5, 0.25], 3) if i % 3 else (i, [0.1 * (i % 9), 0.3], i % 4) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert mined(df, 50, row_block=100) == brute(rows, 50)
+
+
+def test_empty(spark):
+    assert mined(spark.createDataFrame([], SCHEMA)) == []
+    one = spark.createDataFrame([(0, [1.0], 1)], SCHEMA)
+    assert mined(one) == []
+
+
+def test_large_numbers_are_exact_and_too_large_ones_fail(spark):
+    # products pass 2**53, so doubles would round them
+    rows = [(0, [2.0**21 + 1, 1.0], 1), (1, [2.0**21 + 3, 2.0], 1), (2, [2.0**20, 1 / 256], 2),
+            (3, [2.0**20, 2 / 256], 2), (4, [2.0**20, 0.0], 4)]
+    assert mined(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+    with pytest.raises(PySparkException, match="too large"):
+        mined(spark.createDataFrame([(0, [1e30], 1)], SCHEMA))
+
+
+def test_search_stops_before_the_end_of_the_lists():
+    rng = np.random.default_rng(0)
+    v = rng.integers(-100, 100, (5000, 2))
+    v[7] = [400, 400]
+    lists = hard_negatives.Lists(v, np.arange(5000), np.arange(5000), np.zeros(5000, int))
+    taken = np.ones(5000, bool)
+    reads = []
+
+    class Order(np.ndarray):
+        def __getitem__(self, key):
+            reads.append(key)
+            return super().__getitem__(key)
+
+    lists.order = lists.order.view(Order)
+    [(at, score)] = lists.search(np.array([3, -1]), taken, [(None, None)], 1)
+    assert at.tolist() == [7] and score.tolist() == [800]
+    assert len(reads) <= 4

@@ -15,7 +15,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES]
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE_SQL) <= set(E.oracle_sql())
 
