@@ -68,9 +68,10 @@ def field_numbers(fields: list[str]) -> list[int]:
     return sorted(wanted | {len(LOG_FIELDS)})
 
 
-def log_record(groups: str | Column, fields: list[str]) -> Column:
-    """Typed record struct of ``fields`` from a groups array."""
-    g, numbers = _col(groups), field_numbers(fields)
+def log_record(groups: str | Column, fields: list[str], taken: list[str] | None = None) -> Column:
+    """Typed record struct of ``fields`` from a groups array of the fields
+    ``taken`` (by default the same)."""
+    g, numbers = _col(groups), field_numbers(taken or fields)
     out = []
     for f in fields:
         text = F.get(g, numbers.index(LOG_FIELDS.index(f) + 1) + 1)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.weblog import (
-    LOG_FIELDS, field_numbers, log_record, matched_groups, packed_groups, record_size,
+    LOG_FIELDS, field_numbers, log_record, log_time, matched_groups, packed_groups, record_size,
 )
 from quarry.operators.aggregates import count_by, count_non_null, global_stats, more_than
 from quarry.operators.topk import top_k
@@ -47,6 +47,33 @@ def parse_access_log(
     )
 
 
+def tagged_log_lines(
+    lines: DataFrame, line: str = "value", keep: list[str] | None = None,
+    fields: list[str] | None = None, time: str | None = None,
+) -> DataFrame:
+    """One row a line, each line parsed once: ``keep``, ``record`` (a struct of
+    ``fields``, NULL for a rejected line), ``value`` (the line, if rejected)
+    and ``reason``: 'format' where the pattern does not match, 'size' where
+    the size does not fit 64 bits, else NULL. With ``time``, a column of that
+    name has the log's time, and a record whose time does not parse is
+    rejected too, reason 'time'."""
+    keep, fields = keep or [], list(fields or LOG_FIELDS)
+    stamp = ["dateTimeString"] if time else []
+    taken = fields + [f for f in stamp if f not in fields]
+    g = F.col("_g")
+    at = log_time(F.get(g, field_numbers(taken).index(4) + 1)) if time else None
+    bad = F.when(g.isNull(), F.lit("format")).when(record_size(g).isNull(), F.lit("size"))
+    if time:
+        bad = bad.when(at.isNull(), F.lit("time"))
+    row = [F.when(bad.isNull(), log_record(g, fields, taken)).alias("record"),
+           F.when(bad.isNotNull(), F.col("_line")).alias("value"), bad.alias("reason")]
+    if time:
+        row.append(at.alias(time))
+    # a generator, like parse_access_log: what reads the row does not parse again
+    return _groups(lines, line, keep, taken).select(
+        *keep, F.explode(F.array(F.struct(*row))).alias("_t")).select(*keep, "_t.*")
+
+
 def rejected_log_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """The lines ``parse_access_log`` drops (quarantine output, column ``value``).
 

@@ -86,4 +86,6 @@ QUERIES: dict[str, Query] = {
     "stream_log_windows": _streaming("stream_log_windows"),
     "stream_window_heavy_hitters": _streaming("stream_window_heavy_hitters"),
     "stream_window_top_endpoints": _streaming("stream_window_top_endpoints"),
+    "stream_closed_top_endpoints": _streaming("stream_closed_top_endpoints"),
+    "stream_rejected_lines": _streaming("stream_rejected_lines"),
 }

@@ -133,6 +133,15 @@ windows AS (
       f"SELECT *, (t // 86400 - {i}) * 86400 AS window_start_epoch FROM timed" for i in range(7))})
 """
 
+_WINDOW_TOP_ENDPOINTS = f"""{_WINDOWED_LOGS},
+  counts AS (SELECT window_start_epoch, endpoint, count(*) AS count
+       FROM windows GROUP BY window_start_epoch, endpoint),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY window_start_epoch
+                                    ORDER BY count DESC, endpoint ASC) AS rank
+       FROM counts)
+  SELECT window_start_epoch, endpoint, count, CAST(rank AS INTEGER) AS rank
+  FROM ranked WHERE rank <= 10"""
+
 ORACLE_SQL: dict[str, str] = {
     # users x transactions
     "product_distinct_locations": f"""
@@ -262,12 +271,13 @@ ORACLE_SQL: dict[str, str] = {
     "stream_window_heavy_hitters": f"""{_WINDOWED_LOGS}
         SELECT window_start_epoch, ipAddress, count(*) AS count
         FROM windows GROUP BY window_start_epoch, ipAddress HAVING count(*) > 10""",
-    "stream_window_top_endpoints": f"""{_WINDOWED_LOGS},
-        counts AS (SELECT window_start_epoch, endpoint, count(*) AS count
-                   FROM windows GROUP BY window_start_epoch, endpoint),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY window_start_epoch
-                                                ORDER BY count DESC, endpoint ASC) AS rank
-                   FROM counts)
-        SELECT window_start_epoch, endpoint, count, CAST(rank AS INTEGER) AS rank
-        FROM ranked WHERE rank <= 10""",
+    "stream_window_top_endpoints": _WINDOW_TOP_ENDPOINTS,
+    "stream_closed_top_endpoints": _WINDOW_TOP_ENDPOINTS,
+    "stream_rejected_lines": f"""
+        WITH lines AS ({_LOG_LINES}),
+        found AS (SELECT value, CASE WHEN NOT coalesce(regexp_matches(value, '{_P}'), false)
+                                     THEN 'format'
+                                     WHEN TRY_CAST(regexp_extract(value, '{_P}', 9) AS BIGINT)
+                                          IS NULL THEN 'size' END AS reason FROM lines)
+        SELECT value, reason FROM found WHERE reason IS NOT NULL""",
 }

@@ -165,6 +165,28 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the folders in ``path``, hidden ones left out."""
+    p, fs = _hadoop_path(spark, path)
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]
+    return [(f.toString(), fs.getContentSummary(f).getLength())
+            for f in found if f.getName()[0] not in "_."]
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder of one file system, at once; ``target`` must not exist."""
+    p, fs = _hadoop_path(spark, source)
+    to, _ = _hadoop_path(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's scratch data, if it is there."""
     p, fs = _hadoop_path(spark, path)

@@ -23,9 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
-from quarry.session import make_folder
 from quarry.streaming import logs as SL
-from quarry.streaming.runner import BatchFn, start_to_files, start_to_table
+from quarry.streaming.runner import (
+    BatchFn, WindowFn, start_to_files, start_to_table, start_to_tables, start_window_actions,
+)
 
 # --- fixed values: micro-batch intervals of the original applications -------
 LOG_TRIGGER = "2 seconds"
@@ -67,36 +68,47 @@ def start_log_reports(
     watermark: str = DEFAULT_WATERMARK,
     threshold: int = 10,
     trigger: str = LOG_TRIGGER,
+    k: int = 10,
+    action: WindowFn | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Windowed log reports: stats, heavy hitters, endpoint counts (top-k per
-    window is read from the counts with :func:`read_window_top_endpoints`),
-    and the running totals so far. Defaults: arrival-time 20 s windows
-    sliding by 10 s, a 2 s trigger, a watermark of 10 minutes.
-
-    Lines are parsed once: a stateless query writes the parsed records (with
-    their time, so an arrival time is fixed at ingestion) to
-    ``out_dir/parsed`` through the file sink, whose commit log makes it
-    exactly-once; the four report queries stream from that table and may
-    start before it holds anything.
+    """Windowed log reports: stats, heavy hitters, endpoint counts (the top-k of
+    any k is read from them with :func:`read_window_top_endpoints`), the top
+    ``k`` endpoints, and the running totals so far. Defaults: arrival-time
+    20 s windows sliding by 10 s, a 2 s trigger, a watermark of 10 minutes.
+
+    Lines are parsed once: a stateless query writes the records (with their
+    time, so an arrival time is fixed at ingestion) to ``out_dir/parsed`` and
+    the rejected lines with their reason to ``out_dir/rejected``, both from
+    one micro-batch and each batch once; the report queries stream from the
+    records and may start before there are any.
+
+    ``action(window start, rows)``, if given, is called once for every window
+    as it closes, with its stats.
     """
     if not watermark:
         raise ValueError("windowed reports need a watermark, else their state grows for ever")
     spark = lines.sparkSession
-    parsed = SL.timed_logs(lines, event_time=event_time)
-    parsed_dir = f"{out_dir.rstrip('/')}/parsed"
-    make_folder(spark, parsed_dir)
-    queries = {"parsed_logs": start_to_files(
-        parsed, parsed_dir, f"{checkpoint_dir.rstrip('/')}/parsed", available_now=False,
+    out, checkpoints = out_dir.rstrip("/"), checkpoint_dir.rstrip("/")
+    tagged = SL.tagged_logs(lines, event_time=event_time)
+    queries = {"parsed_logs": start_to_tables(
+        tagged, out, f"{checkpoints}/parsed", SL.LINE_TABLES, available_now=False,
         processing_time=trigger, name="parsed_logs",
     )}
-    records = spark.readStream.schema(parsed.schema).parquet(parsed_dir)
+    records = spark.readStream.schema(SL.records_of(tagged).schema).option(
+        "recursiveFileLookup", "true").parquet(f"{out}/parsed")
     logs = records.withWatermark("time", watermark)
     for name, report in (
         ("window_stats", SL.window_stats(logs, window, slide)),
         ("window_heavy_hitters", SL.window_heavy_hitters(logs, threshold, window, slide)),
         ("window_endpoint_counts", SL.window_endpoint_counts(logs, window, slide)),
+        ("window_top_endpoints", SL.window_top_endpoints(logs, k, window, slide)),
     ):
         queries[name] = _append(report, out_dir, checkpoint_dir, name, trigger)
+    if action:
+        queries["window_actions"] = start_window_actions(
+            SL.window_stats(logs, window, slide), action, f"{out}/window_marks",
+            f"{checkpoints}/window_actions", available_now=False, processing_time=trigger,
+            name="window_actions")
     queries["running_stats"] = _start(SL.running_stats(records), out_dir, checkpoint_dir,
                                       "running_stats", "update", trigger)
     return queries

@@ -5,14 +5,16 @@ Each job writes its input once as text files into the shared checkpoint folder
 micro-batch, runs the streaming query to completion with an availableNow
 trigger, and returns the finished result table as a batch DataFrame.
 
-A feed comes in the order of its table, which is no time order. So the
-windowed reports here set no watermark: every window may still get rows until
-the feed ends, and their state is as large as their result. The long-running
-application (``quarry.streaming.apps``) has a watermark by default.
+The feed of a windowed report is laid down in the order of its time
+(``quarry.streaming.feeds``) and has a watermark: a window is written once, as
+it closes, and leaves the state, which holds the open windows only.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,9 @@ from quarry.session import scratch_path
 from quarry.sources.streams import text_file_stream
 from quarry.sources.tables import event_log_lines, event_posts, table
 from quarry.streaming import logs as SL
+from quarry.streaming.feeds import run_in_time_order
 from quarry.streaming.runner import (
-    read_batches, read_latest, run_to_files, run_to_table, start_to_table,
+    read_batches, read_latest, run_to_files, run_to_table, start_to_table, start_to_tables,
 )
 
 FEED_BATCH_BYTES = 1 << 30  # input of one micro-batch, at most
@@ -32,6 +35,8 @@ FEED_BATCH_BYTES = 1 << 30  # input of one micro-batch, at most
 # that per-window host counts are large enough for the threshold to select.
 REPORT_WINDOW = "7 days"
 REPORT_SLIDE = "1 day"
+REPORT_WATERMARK = "1 hour"
+REPORT_OPEN_FOR = dt.timedelta(days=7, hours=1)  # window and watermark
 REPORT_HEAVY_HITTER_THRESHOLD = 10
 REPORT_TOP_K = 10
 ARRIVALS = 4  # of the per-batch word count: each is a micro-batch
@@ -119,25 +124,53 @@ def stream_running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, out, [])
 
 
+def _closed_windows(
+    spark: SparkSession, sf_dir: str, name: str, fields: list[str],
+    report: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Rows of a windowed report over the log lines in time order."""
+    def over(lines: DataFrame) -> DataFrame:
+        return report(SL.timed_logs(lines, fields=fields, watermark=REPORT_WATERMARK))
+
+    events = table(spark, sf_dir, "events")
+    return run_in_time_order(events, event_log_lines, over, name, REPORT_OPEN_FOR)[0]
+
+
 def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-window stats (7-day windows sliding by 1 day) of a log feed."""
-    logs = _logs(spark, sf_dir, "windows-feed", "contentSize", "responseCode")
-    out = run_to_table(SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE), "stream-log-windows")
-    return read_latest(spark, out, ["window_start_epoch"])
+    return _closed_windows(
+        spark, sf_dir, "stream-log-windows", ["contentSize", "responseCode"],
+        lambda logs: SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE))
 
 
 def stream_window_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-window hosts with more than 10 requests."""
-    logs = _logs(spark, sf_dir, "heavy-feed", "ipAddress")
-    hh = SL.window_heavy_hitters(logs, REPORT_HEAVY_HITTER_THRESHOLD, REPORT_WINDOW, REPORT_SLIDE)
-    out = run_to_table(hh, "stream-window-heavy-hitters")
-    return read_latest(spark, out, ["window_start_epoch", "ipAddress"])
+    return _closed_windows(
+        spark, sf_dir, "stream-window-heavy-hitters", ["ipAddress"],
+        lambda logs: SL.window_heavy_hitters(
+            logs, REPORT_HEAVY_HITTER_THRESHOLD, REPORT_WINDOW, REPORT_SLIDE))
 
 
 def stream_window_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-window endpoint counts kept by the stream; the top 10 per window are taken on read."""
-    logs = _logs(spark, sf_dir, "endpoints-feed", "endpoint")
-    counts = SL.window_endpoint_counts(logs, REPORT_WINDOW, REPORT_SLIDE)
-    out = run_to_table(counts, "stream-window-endpoints")
-    latest = read_latest(spark, out, ["window_start_epoch", "endpoint"])
-    return SL.top_endpoints_per_window(latest, REPORT_TOP_K)
+    counts = _closed_windows(
+        spark, sf_dir, "stream-window-endpoints", ["endpoint"],
+        lambda logs: SL.window_endpoint_counts(logs, REPORT_WINDOW, REPORT_SLIDE))
+    return SL.top_endpoints_per_window(counts, REPORT_TOP_K)
+
+
+def stream_closed_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top 10 endpoints of every window, ranked in the stream as it closes."""
+    return _closed_windows(
+        spark, sf_dir, "stream-closed-top", ["endpoint"],
+        lambda logs: SL.window_top_endpoints(logs, REPORT_TOP_K, REPORT_WINDOW, REPORT_SLIDE))
+
+
+def stream_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of a log feed with their reason; the micro-batch that
+    writes them writes the records too, each line parsed once."""
+    lines = event_log_lines(table(spark, sf_dir, "events"))
+    out, checkpoint = (scratch_path(spark, f"stream-rejected-{x}") for x in ("out", "ckpt"))
+    tagged = SL.tagged_logs(feed_stream(lines, "rejected-feed"))
+    start_to_tables(tagged, out, checkpoint, SL.LINE_TABLES).awaitTermination()
+    return read_batches(spark, f"{out}/rejected", SL.REJECTED_SCHEMA).select("value", "reason")

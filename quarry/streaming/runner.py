@@ -1,6 +1,6 @@
 """Running streaming queries to a table, and reading the table back.
 
-Two sinks:
+Sinks:
 
 * Append streams (rows that never change: tokens, posts, closed windows) use
   Spark's own file sink, whose commit log makes it exactly-once.
@@ -9,22 +9,34 @@ Two sinks:
   is retried after a failure (same id, same input, thanks to the checkpoint)
   replaces its own folder, so the table is exactly-once as well.
   ``read_latest`` keeps the newest version of every key.
+* Several tables of one micro-batch (:func:`start_to_tables`): the batch is
+  computed once, and each table's rows are written aside and then moved to
+  ``<table>/batch=<id>`` at once. A table that has the batch already is left as
+  it is, so a retried batch repeats nothing, and a stream that reads one of the
+  tables sees every batch once.
+
+:func:`window_actions` calls a function for every closed window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from quarry.session import scratch_path
+from quarry.session import (
+    folder_exists, make_folder, move_folder, remove_folder, scratch_path,
+)
 
 BATCH_COL = "batch"
 
 # A transformation applied to each micro-batch on its own.
 BatchFn = Callable[[DataFrame], DataFrame]
+# Called with a closed window's start (epoch seconds) and its rows.
+WindowFn = Callable[[int, DataFrame], None]
 
 
 def batch_writer(out_dir: str, per_batch: BatchFn | None = None) -> Callable[[DataFrame, int], None]:
@@ -41,6 +53,61 @@ def batch_writer(out_dir: str, per_batch: BatchFn | None = None) -> Callable[[Da
     return write
 
 
+def tables_writer(out_dir: str, tables: dict[str, BatchFn]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: write each of ``tables`` of the batch to
+    ``out_dir/<table>/batch=<id>``. The batch is computed once for all."""
+    base = out_dir.rstrip("/")
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        folder = f"{BATCH_COL}={batch_id}"
+        todo = [n for n in tables if not folder_exists(spark, f"{base}/{n}/{folder}")]
+        if not todo:
+            return
+        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name in todo:
+                aside = f"{base}/_aside/{name}/{folder}"
+                tables[name](batch_df).write.mode("overwrite").parquet(aside)
+                move_folder(spark, aside, f"{base}/{name}/{folder}")
+        finally:
+            batch_df.unpersist()
+
+    return write
+
+
+def window_actions(
+    action: WindowFn, marks_dir: str, window: str = "window_start_epoch"
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for a windowed report in append mode:
+    ``action(window start, rows of the window)`` for every window that the
+    batch has closed, oldest first.
+
+    A window closes in one batch. When its action has returned, the window is
+    marked in ``marks_dir``; a retried batch skips marked windows and goes on
+    at the one that failed. So an action that has returned is not run again,
+    and one that failed half-way is: it should overwrite what it wrote, under
+    the window's key. The windows that a batch closes are listed on the
+    driver, their rows are not.
+    """
+    marks = marks_dir.rstrip("/")
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            closed = batch_df.select(window).distinct().orderBy(window).collect()
+            for (start,) in closed:
+                mark = f"{marks}/window={start}"
+                if not folder_exists(spark, mark):
+                    action(start, batch_df.where(F.col(window) == start))
+                    make_folder(spark, mark)
+        finally:
+            batch_df.unpersist()
+
+    return run
+
+
 def _started(
     writer: DataStreamWriter, checkpoint: str, available_now: bool,
     processing_time: str | None, name: str | None,
@@ -76,6 +143,44 @@ def start_to_table(
     return _started(writer, checkpoint, available_now, processing_time, name)
 
 
+def start_to_tables(
+    stream_df: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    tables: dict[str, BatchFn],
+    available_now: bool = True,
+    processing_time: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Start a stateless stream that writes several tables under ``out_dir``;
+    their folders are there at once, so that other streams can read them. What
+    an interrupted start left aside is removed."""
+    spark = stream_df.sparkSession
+    remove_folder(spark, f"{out_dir.rstrip('/')}/_aside")
+    for table in tables:
+        make_folder(spark, f"{out_dir.rstrip('/')}/{table}")
+    writer = stream_df.writeStream.outputMode("append").foreachBatch(
+        tables_writer(out_dir, tables))
+    return _started(writer, checkpoint, available_now, processing_time, name)
+
+
+def start_window_actions(
+    report: DataFrame,
+    action: WindowFn,
+    marks_dir: str,
+    checkpoint: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    name: str | None = None,
+    window: str = "window_start_epoch",
+) -> StreamingQuery:
+    """Start a windowed report (with a watermark) that calls ``action`` for
+    every window as it closes; see :func:`window_actions`."""
+    writer = report.writeStream.outputMode("append").foreachBatch(
+        window_actions(action, marks_dir, window))
+    return _started(writer, checkpoint, available_now, processing_time, name)
+
+
 def start_to_files(
     stream_df: DataFrame,
     out_dir: str,
