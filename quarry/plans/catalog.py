@@ -32,12 +32,15 @@ QUERIES: dict[str, Query] = {
     "left_join_drop": C.left_join_drop_tables,
     "distinct_pairs": C.distinct_pairs_tables,
     "inner_join": C.inner_join_tables,
+    "bucketed_join": C.bucketed_join_tables,
+    "bucketed_reports": C.bucketed_reports_tables,
     "spend_by_group": C.spend_by_group_tables,
     "spend_by_location": C.spend_by_location_tables,
     "top_location": C.top_location_tables,
     # words
     "word_count": Wd.word_count_tables,
     "frequent_words": Wd.frequent_words_tables,
+    "frequent_words_sketched": Wd.frequent_words_sketched_tables,
     "tokenize": Wd.tokens_per_document,
     "token_positions": Wd.token_positions,
     "hashtags": Wd.hashtags_tables,
@@ -51,11 +54,13 @@ QUERIES: dict[str, Query] = {
     "response_code_total": L.response_code_total_tables,
     "sql_response_code_total": L.sql_response_code_total_tables,
     "heavy_hitters": L.heavy_hitters_tables,
+    "heavy_hitters_sketched": L.heavy_hitters_sketched_tables,
     "sql_having": L.sql_having_tables,
     "endpoint_counts": L.endpoint_counts_tables,
     "top_endpoints": L.top_endpoints_tables,
     "sql_top_endpoints": L.sql_top_endpoints_tables,
     "log_report": L.log_report_tables,
+    "log_report_stats": L.log_report_stats_tables,
     # people / files / sinks
     "range_filter": Fl.range_filter_tables,
     "sql_range_filter": Fl.sql_range_filter_tables,
@@ -87,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "stream_window_heavy_hitters": _streaming("stream_window_heavy_hitters"),
     "stream_window_top_endpoints": _streaming("stream_window_top_endpoints"),
     "stream_closed_top_endpoints": _streaming("stream_closed_top_endpoints"),
+    "stream_compacted_windows": _streaming("stream_compacted_windows"),
     "stream_rejected_lines": _streaming("stream_rejected_lines"),
 }

@@ -18,6 +18,7 @@ from quarry.operators.aggregates import distinct_count_by
 from quarry.operators.joins import MATCH_FLAG, flag_right, left_join_checked, require_match
 from quarry.operators.topk import arg_max
 from quarry.sinks import write_stage_snapshot
+from quarry.sources.bucketed import BucketedPair, bucket_together
 from quarry.sources.tables import table
 
 # --- fixed values: folder names of the stage snapshots, in order
@@ -196,3 +197,36 @@ def spend_by_location_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_location_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arg_max(spend_by_location_tables(spark, sf_dir), "total_spend", "location")
+
+
+# --- the same joins on tables bucketed by the user --------------------------
+
+
+def bucketed_customers_and_orders(spark: SparkSession, sf_dir: str) -> BucketedPair:
+    """Customers and orders, written once for any number of joins on the customer."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return bucket_together(c, o, "c_custkey", "o_custkey")
+
+
+def bucketed_join_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``inner_join`` over bucketed tables: no exchange under the join."""
+    pair = bucketed_customers_and_orders(spark, sf_dir)
+    return pair.join().select("c_custkey", "c_mktsegment", "o_orderkey", "o_totalprice")
+
+
+def bucketed_reports_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three reports from joins of one bucketed pair: (report, item, value),
+    the spend of each segment and each nation key in cents, and the distinct
+    nations of the buyers of each month."""
+    joined = bucketed_customers_and_orders(spark, sf_dir).join()
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+
+    def spend(name: str, by: str) -> DataFrame:
+        return joined.groupBy(F.col(by).cast("string").alias("item")).agg(
+            F.sum(cents).alias("value")).select(F.lit(name).alias("report"), "item", "value")
+
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("string")
+    nations = distinct_count_by(joined.withColumn("item", month), "item", "c_nationkey", "value")
+    return spend("segment", "c_mktsegment").unionByName(spend("nation", "c_nationkey")).unionByName(
+        nations.select(F.lit("nations").alias("report"), "item", "value"))

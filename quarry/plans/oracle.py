@@ -85,10 +85,17 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 """
 
+_INNER_JOIN = """
+SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey, o.o_totalprice
+FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
+"""
+
 _CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
 _WORD_COUNT = f"{_DOC_WORDS} SELECT word, count(*) AS count FROM words GROUP BY word"
 
+_FREQUENT_WORDS = f"{_WORD_COUNT} HAVING count(*) > 4"
+
 _RANGE = "SELECT p_name AS name FROM part WHERE p_size BETWEEN 22 AND 25"
 
 _PART_CSV_LINE = (
@@ -133,6 +140,14 @@ windows AS (
       f"SELECT *, (t // 86400 - {i}) * 86400 AS window_start_epoch FROM timed" for i in range(7))})
 """
 
+_WINDOW_STATS = f"""{_WINDOWED_LOGS}
+SELECT window_start_epoch, window_start_epoch + 604800 AS window_end_epoch,
+       CAST(sum(contentSize) AS BIGINT) AS size_sum, count(*) AS requests,
+       CAST(sum(contentSize) AS BIGINT) // count(*) AS size_avg,
+       min(contentSize) AS size_min, max(contentSize) AS size_max,
+       count(responseCode) AS response_codes
+FROM windows GROUP BY window_start_epoch"""
+
 _WINDOW_TOP_ENDPOINTS = f"""{_WINDOWED_LOGS},
   counts AS (SELECT window_start_epoch, endpoint, count(*) AS count
        FROM windows GROUP BY window_start_epoch, endpoint),
@@ -153,9 +168,20 @@ ORACLE_SQL: dict[str, str] = {
     "left_join_drop": _TXN_LOCATIONS.replace("LEFT JOIN customer c", "JOIN customer c")
     + " WHERE c.c_acctbal > 0",
     "distinct_pairs": f"SELECT DISTINCT * FROM ({_TXN_LOCATIONS})",
-    "inner_join": """
-        SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey, o.o_totalprice
-        FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey""",
+    "inner_join": _INNER_JOIN,
+    "bucketed_join": _INNER_JOIN,
+    "bucketed_reports": f"""
+        WITH joined AS (SELECT c_mktsegment, c_nationkey, {_CENTS} AS cents,
+                               year(o_orderdate) * 100 + month(o_orderdate) AS month
+                        FROM customer JOIN orders ON c_custkey = o_custkey)
+        SELECT 'segment' AS report, c_mktsegment AS item, CAST(sum(cents) AS BIGINT) AS value
+        FROM joined GROUP BY c_mktsegment
+        UNION ALL
+        SELECT 'nation', CAST(c_nationkey AS VARCHAR), CAST(sum(cents) AS BIGINT)
+        FROM joined GROUP BY c_nationkey
+        UNION ALL
+        SELECT 'nations', CAST(month AS VARCHAR), count(DISTINCT c_nationkey)
+        FROM joined GROUP BY month""",
     "spend_by_group": """
         SELECT c.c_mktsegment,
                CAST(sum(CAST(o.o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS total_spend
@@ -167,8 +193,8 @@ ORACLE_SQL: dict[str, str] = {
         ORDER BY total_spend DESC, location ASC LIMIT 1""",
     # words
     "word_count": _WORD_COUNT,
-    "frequent_words": f"{_DOC_WORDS} SELECT word, count(*) AS count FROM words "
-    "GROUP BY word HAVING count(*) > 4",
+    "frequent_words": _FREQUENT_WORDS,
+    "frequent_words_sketched": _FREQUENT_WORDS,
     "tokenize": f"""
         WITH lines AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line
                        FROM documents),
@@ -201,10 +227,12 @@ ORACLE_SQL: dict[str, str] = {
     "response_code_total": _CODE_TOTAL,
     "sql_response_code_total": _CODE_TOTAL,
     "heavy_hitters": _HEAVY_HITTERS,
+    "heavy_hitters_sketched": _HEAVY_HITTERS,
     "sql_having": _HEAVY_HITTERS,
     "endpoint_counts": f"{_LOGS} SELECT endpoint, count(*) AS count FROM logs GROUP BY endpoint",
     "top_endpoints": _TOP_ENDPOINTS,
     "log_report": _TOP_ENDPOINTS,
+    "log_report_stats": _LOG_STATS,
     "sql_top_endpoints": _TOP_ENDPOINTS,
     # people / files / sinks
     "range_filter": _RANGE,
@@ -261,13 +289,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT line AS value FROM ({_DOC_LINES})
         WHERE contains(lower(line), 'password') OR contains(lower(line), 'license')""",
     "stream_running_stats": _LOG_STATS,
-    "stream_log_windows": f"""{_WINDOWED_LOGS}
-        SELECT window_start_epoch, window_start_epoch + 604800 AS window_end_epoch,
-               CAST(sum(contentSize) AS BIGINT) AS size_sum, count(*) AS requests,
-               CAST(sum(contentSize) AS BIGINT) // count(*) AS size_avg,
-               min(contentSize) AS size_min, max(contentSize) AS size_max,
-               count(responseCode) AS response_codes
-        FROM windows GROUP BY window_start_epoch""",
+    "stream_log_windows": _WINDOW_STATS,
+    "stream_compacted_windows": _WINDOW_STATS,
     "stream_window_heavy_hitters": f"""{_WINDOWED_LOGS}
         SELECT window_start_epoch, ipAddress, count(*) AS count
         FROM windows GROUP BY window_start_epoch, ipAddress HAVING count(*) > 10""",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import java_split, split_lines
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
+from quarry.operators.sketch import frequent_keys
 from quarry.sources.tables import posts, spread, table
 
 # Terms tracked by the keyword-filter job on the documents table.
@@ -32,6 +33,13 @@ def frequent_words_tables(spark: SparkSession, sf_dir: str, threshold: int = 4)
     return W.frequent_words(document_words(spark, sf_dir), threshold)
 
 
+def frequent_words_sketched_tables(
+    spark: SparkSession, sf_dir: str, threshold: int = 4
+) -> DataFrame:
+    """``frequent_words`` with a count-min sketch in front of the exact count."""
+    return frequent_keys(document_words(spark, sf_dir), "word", threshold)
+
+
 def tokens_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, tokens): how many tokens the tokenizer yields per document.
 

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
 from quarry.streaming import logs as SL
+from quarry.streaming.compaction import DAY, with_day
 from quarry.streaming.runner import (
     BatchFn, WindowFn, start_to_files, start_to_table, start_to_tables, start_window_actions,
 )
@@ -37,10 +38,11 @@ POST_TRIGGER = "2 seconds"
 DEFAULT_WATERMARK = "10 minutes"
 
 
-def _append(df: DataFrame, out_dir: str, checkpoint_dir: str, name: str, trigger: str) -> StreamingQuery:
+def _append(df: DataFrame, out_dir: str, checkpoint_dir: str, name: str, trigger: str,
+            partition_by: str | None = None) -> StreamingQuery:
     return start_to_files(
         df, f"{out_dir.rstrip('/')}/{name}", f"{checkpoint_dir.rstrip('/')}/{name}",
-        available_now=False, processing_time=trigger, name=name,
+        available_now=False, processing_time=trigger, name=name, partition_by=partition_by,
     )
 
 
@@ -82,6 +84,10 @@ def start_log_reports(
     one micro-batch and each batch once; the report queries stream from the
     records and may start before there are any.
 
+    The windowed reports lie in a folder for each day of their window's start;
+    ``compaction.compact_days`` rewrites closed days into a few files, and
+    ``compaction.read_days`` reads over both.
+
     ``action(window start, rows)``, if given, is called once for every window
     as it closes, with its stats.
     """
@@ -103,7 +109,7 @@ def start_log_reports(
         ("window_endpoint_counts", SL.window_endpoint_counts(logs, window, slide)),
         ("window_top_endpoints", SL.window_top_endpoints(logs, k, window, slide)),
     ):
-        queries[name] = _append(report, out_dir, checkpoint_dir, name, trigger)
+        queries[name] = _append(with_day(report), out_dir, checkpoint_dir, name, trigger, DAY)
     if action:
         queries["window_actions"] = start_window_actions(
             SL.window_stats(logs, window, slide), action, f"{out}/window_marks",
@@ -116,7 +122,7 @@ def start_log_reports(
 
 def read_window_top_endpoints(spark: SparkSession, out_dir: str, k: int = 10) -> DataFrame:
     """Top-k endpoints of every closed window of the running app."""
-    counts = spark.read.parquet(f"{out_dir.rstrip('/')}/window_endpoint_counts")
+    counts = spark.read.parquet(f"{out_dir.rstrip('/')}/window_endpoint_counts").drop(DAY)
     return SL.top_endpoints_per_window(counts, k)
 
 

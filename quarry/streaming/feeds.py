@@ -91,14 +91,18 @@ def run_in_time_order(
     open_for: dt.timedelta,
     time: str = "ts",
     batch_bytes: int = BATCH_BYTES,
+    out: str | None = None,
+    partition_by: str | None = None,
 ) -> tuple[DataFrame, list[dict]]:
     """Run ``report``, an append-mode stream over text lines, over the lines of
     ``rows`` in the order of ``time``; its rows as a table, and the progress of
     every micro-batch. ``open_for``: how long after its first record a window
-    can still be open (its length and the watermark's delay)."""
+    can still be open (its length and the watermark's delay). ``out``: the
+    table's folder, by default a new scratch folder."""
     spark = rows.sparkSession
     days = stage_by_day(rows, lines_of, name, time)
-    feed, out, checkpoint = (scratch_path(spark, f"{name}-{x}") for x in ("feed", "out", "ckpt"))
+    feed, checkpoint = (scratch_path(spark, f"{name}-{x}") for x in ("feed", "ckpt"))
+    out = out or scratch_path(spark, f"{name}-out")
     make_folder(spark, feed)
     groups = deliveries(days, batch_bytes)
     query = None
@@ -109,7 +113,8 @@ def run_in_time_order(
             if group is groups[-1] and group[-1].day:
                 end = dt.datetime.combine(group[-1].day, dt.time()) + dt.timedelta(days=1)
                 _heartbeat(spark, feed, end + 2 * open_for)
-            query = query or start_to_files(stream, out, checkpoint, available_now=False, name=name)
+            query = query or start_to_files(
+                stream, out, checkpoint, available_now=False, name=name, partition_by=partition_by)
             query.processAllAvailable()
         progress = list(query.recentProgress) if query else []
     finally:

@@ -25,6 +25,7 @@ from quarry.session import scratch_path
 from quarry.sources.streams import text_file_stream
 from quarry.sources.tables import event_log_lines, event_posts, table
 from quarry.streaming import logs as SL
+from quarry.streaming.compaction import DAY, compact_days, read_days, with_day
 from quarry.streaming.feeds import run_in_time_order
 from quarry.streaming.runner import (
     read_batches, read_latest, run_to_files, run_to_table, start_to_table, start_to_tables,
@@ -166,6 +167,25 @@ def stream_closed_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda logs: SL.window_top_endpoints(logs, REPORT_TOP_K, REPORT_WINDOW, REPORT_SLIDE))
 
 
+def stream_compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-window stats in a folder for each day, the first half of the days
+    compacted; read back over both."""
+    def over(lines: DataFrame) -> DataFrame:
+        logs = SL.timed_logs(lines, fields=["contentSize", "responseCode"],
+                             watermark=REPORT_WATERMARK)
+        return with_day(SL.window_stats(logs, REPORT_WINDOW, REPORT_SLIDE))
+
+    out, compacted = (scratch_path(spark, f"stream-days-{x}") for x in ("out", "compacted"))
+    events = table(spark, sf_dir, "events")
+    written, _ = run_in_time_order(
+        events, event_log_lines, over, "stream-days", REPORT_OPEN_FOR, out=out, partition_by=DAY)
+    first, last = written.agg(F.min(DAY), F.max(DAY)).first()
+    if first is None:
+        return written.drop(DAY)
+    compact_days(spark, out, compacted, first + (last - first) / 2)
+    return read_days(spark, out, compacted).drop(DAY)
+
+
 def stream_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected lines of a log feed with their reason; the micro-batch that
     writes them writes the records too, each line parsed once."""

@@ -188,9 +188,13 @@ def start_to_files(
     available_now: bool = True,
     processing_time: str | None = None,
     name: str | None = None,
+    partition_by: str | None = None,
 ) -> StreamingQuery:
-    """Start an append stream into a parquet table by Spark's file sink."""
+    """Start an append stream into a parquet table by Spark's file sink, in a
+    folder for each value of ``partition_by``, if given."""
     writer = stream_df.writeStream.outputMode("append").format("parquet").option("path", out_dir)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     return _started(writer, checkpoint, available_now, processing_time, name)
 
 
