@@ -45,7 +45,9 @@ def java_split(value: str | Column, sep: str = " ") -> Column:
         # rtrim removes exactly the trailing spaces (ASCII 0x20 only).
         stripped = F.rtrim(c)
     else:
-        stripped = F.regexp_replace(c, "(?:" + re.escape(sep) + r")+\z", "")
+        # only a value that ends in a separator takes a regex
+        trailing = F.regexp_replace(c, "(?:" + re.escape(sep) + r")+\z", "")
+        stripped = F.when(c.endswith(sep), trailing).otherwise(c)
     return (
         F.when(c == F.lit(""), F.array(F.lit("")))
         .when(stripped == F.lit(""), F.array().cast("array<string>"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quarry.operators import words as W
 from quarry.operators.filters import keyword_track
 from quarry.plans.words import TRACKED_TERMS
-from quarry.session import scratch_path
+from quarry.session import folder_exists, make_folder, move_folder, scratch_path
 from quarry.sources.streams import text_file_stream
 from quarry.sources.tables import event_log_lines, event_posts, table
 from quarry.streaming import logs as SL
@@ -84,18 +84,34 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_word_count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(batch, word, count): word counts of every micro-batch on its own.
 
-    The documents arrive in ARRIVALS parts, by their id, and the query runs
-    after each arrival, going on from its checkpoint; so a batch is exactly
-    one arrival and carries nothing over from the one before.
+    The documents arrive in ARRIVALS parts, by their id, each when the query
+    has done the one before; so a batch is exactly one arrival and carries
+    nothing over.
     """
     docs = _documents(spark, sf_dir)
     part = F.coalesce(F.pmod(F.col("doc_id"), F.lit(ARRIVALS)), F.lit(0))
-    feed, out, checkpoint = (scratch_path(spark, f"word-batches-{x}") for x in ("in", "out", "ckpt"))
-    for arrival in range(ARRIVALS):
-        docs.where(part == arrival).select("value").write.mode("append").text(feed)
-        words = W.tokens(text_file_stream(spark, feed), "value")
-        start_to_table(words, out, checkpoint, "append", per_batch=W.word_count).awaitTermination()
-    return read_batches(spark, out, "word string, count bigint, batch bigint")
+    staged, feed, out, checkpoint = (
+        scratch_path(spark, f"word-batches-{x}") for x in ("staged", "in", "out", "ckpt"))
+    # written once, a folder for each arrival, which is then moved in as it is
+    docs.select("value", part.alias("arrival")).write.partitionBy("arrival").text(staged)
+    make_folder(spark, feed)
+    words = W.tokens(text_file_stream(spark, feed, nested=True), "value")
+    query = None
+    try:
+        for arrival in range(ARRIVALS):
+            come = f"{staged}/arrival={arrival}"
+            if folder_exists(spark, come):
+                move_folder(spark, come, f"{feed}/{arrival}")
+            query = query or start_to_table(
+                words, out, checkpoint, "append", available_now=False, per_batch=W.word_count)
+            query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()
+    schema = "word string, count bigint, batch bigint"
+    if not folder_exists(spark, out):  # an empty table has no batch
+        return spark.createDataFrame([], schema)
+    return read_batches(spark, out, schema)
 
 
 def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
