@@ -12,7 +12,10 @@ Encoding:
    others meet their occurrences in a join on the word; a word outside the
    broadcast table has a small share of all words, so no key of that join is
    hot. Texts travel as compressed arrays of word numbers, and every text
-   meets the ids of its rare words in one shuffle by document.
+   meets the ids of its rare words in one shuffle by document. A document is
+   told by 96 bits of two hashes of its id and text; a place in it takes the
+   other 31 bits of the two numbers. Ids take two bytes where the vocabulary
+   allows.
 
 Decoding looks the piece of each id up in the vocabulary (a bounded table) and
 joins the pieces with spaces, as the library does for a file without decoder.
@@ -41,6 +44,8 @@ from quarry.llm.common import (
 HEAD_WORDS = 2_000_000
 HEAD_BYTES = 48 << 20
 SLICE_BYTES = 2 << 20  # text bytes split at once
+_PLACE = (1 << 32) - 1  # the lower half of a place
+_TEXT = 1 << 31  # there: the text itself, after its words
 
 
 def token_words(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -61,8 +66,7 @@ class Head:
         self.key, self.check = key[order], check[order].astype(np.uint32)  # 96 bits in all
         self.number = (order + 1).astype(np.int32)
         self.begin = np.concatenate([[0, 0], np.cumsum(counts)]).astype(np.int32)
-        small = not len(ids) or int(ids.max()) < 1 << 16
-        self.ids = ids.astype(np.uint16 if small else np.uint32)
+        self.ids = ids
 
     def numbers(self, words: Words) -> np.ndarray:
         """Word number of each distinct word."""
@@ -80,17 +84,44 @@ class Head:
         missing = numbers == 0
         if missing.sum() != len(rare):
             raise ValueError("ids of rare words are missing")
-        counts[missing] = [len(r) // 4 for r in rare]
+        width = self.ids.dtype.itemsize
+        counts[missing] = [len(r) // width for r in rare]
         total = int(counts.sum())
         first = np.cumsum(counts) - counts
-        out = np.empty(total, np.uint32)
+        out = np.empty(total, self.ids.dtype)
         known = np.repeat(~missing, counts)
         source = np.repeat(begin - first, counts) + np.arange(total)
         out[known] = self.ids[source[known]]
-        out[~known] = np.frombuffer(b"".join(rare), "<u4")
+        out[~known] = np.frombuffer(b"".join(rare), self.ids.dtype)
         return out
 
 
+def _id_type(path: str) -> str:
+    """The number type of packed ids of this tokenizer."""
+    most = max(tokens.load(path).get_vocab(with_added_tokens=True).values())
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def _packed_ids(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Ids as bytes, ``counts`` of them a row."""
+    ends = np.concatenate([[0], np.cumsum(counts * ids.dtype.itemsize)]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.tobytes())])
+
+
+def _narrowed(kind: str):
+    """Arrow function: (word, ids) with ids of the number type ``kind``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column(1).to_pylist()
+            ids = np.frombuffer(b"".join(packed), "<u4").astype(kind)
+            counts = np.array([len(p) // 4 for p in packed], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _packed_ids(ids, counts)], names=["word", "ids"])
+
+    return run
+
+
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): every distinct word of the texts, its count and its
     packed ids; written once."""
@@ -109,11 +140,7 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             data, off = text_buffers(batch.column(0))
             ids, k = tokens.encode_texts(path, data, off)
-            ends = np.concatenate([[0], np.cumsum(k * 4)]).astype(np.int32)
-            packed = pa.Array.from_buffers(
-                pa.binary(), len(k),
-                [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4").tobytes())],
-            )
+            packed = _packed_ids(ids.astype("<u4"), k)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), packed], names=["word", "n", "ids"]
             )
@@ -123,19 +150,19 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     return saved(distinct.mapInArrow(encoded, "word string, n bigint, ids binary"), "bpe-words")
 
 
-def _head(table: DataFrame) -> tuple[int, Head]:
+def _head(table: DataFrame, kind: str) -> tuple[int, Head]:
     """(count from which on a word is in the head, the head)."""
     size = F.octet_length("word") + F.octet_length("ids")
     least = frequent_from(table, size, HEAD_WORDS, HEAD_BYTES)
     if least is None:
         return 1 << 62, Head(np.empty(0, np.uint64), np.empty(0, np.uint64),
-                             np.empty(0, np.uint32), np.empty(0, np.int64))
+                             np.empty(0, kind), np.empty(0, np.int64))
     rows = table.where(F.col("n") >= least).toArrow()  # bounded by HEAD_WORDS, HEAD_BYTES
     rows = rows.sort_by([("n", "descending")]).combine_chunks()  # small numbers for many words
     data, off = text_buffers(rows.column("word"))
     key, check = string_hashes(data, off[:-1], np.diff(off))
     packed = rows.column("ids").to_pylist()
-    ids = np.frombuffer(b"".join(packed), "<u4")
+    ids = np.frombuffer(b"".join(packed), "<u4").astype(kind)
     return least, Head(key, check, ids, np.array([len(p) // 4 for p in packed]))
 
 
@@ -173,12 +200,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
     table = word_table(few, path)
-    least, found = _head(table)
+    kind = _id_type(path)
+    least, found = _head(table, kind)
     shared = few.sparkSession.sparkContext.broadcast(found)
-    # equal id and text have equal ids, so they may share a key; two hashes
-    # tell texts of equal or no id apart
-    keyed = few.select(
-        "doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"), "text")
+    # equal id and text have equal ids, so they may share a key: h and the upper
+    # half of a place, of which the lower half is the word's position
+    second = F.xxhash64(F.lit(1), "doc_id", "text")
+    keyed = few.select("doc_id", F.xxhash64("doc_id", "text").alias("h"),
+                       F.shiftleft(F.shiftright(second, 32), 32).alias("at"), "text")
 
     def parts(batches):
         for batch in batches:
@@ -190,44 +219,43 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for part, w, number in parts(batches):
             at = np.flatnonzero(number[w.which] == 0)
             row = np.searchsorted(w.offsets, at, side="right") - 1
+            own = part.column(2).to_numpy()[row]
             yield pa.RecordBatch.from_arrays(
-                [w.strings(w.which[at]), part.column(0).take(pa.array(row)),
-                 part.column(1).take(pa.array(row)), part.column(2).take(pa.array(row)),
-                 pa.array((at - w.offsets[row]).astype(np.int32))],
-                names=["word", "doc_id", "h", "g", "position"],
+                [w.strings(w.which[at]), part.column(1).take(pa.array(row)),
+                 pa.array(own + (at - w.offsets[row]))],
+                names=["word", "h", "at"],
             )
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, w, number in parts(batches):
             rows = _packed_numbers(number[w.which], w.offsets)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2),
-                 pa.array(np.full(len(rows), 1 << 30, np.int32)), pa.array(rows, pa.binary())],
-                names=["doc_id", "h", "g", "position", "payload"],
+                [part.column(0), part.column(1), pa.array(part.column(2).to_numpy() + _TEXT),
+                 pa.array(rows, pa.binary())],
+                names=["doc_id", "h", "at", "payload"],
             )
 
-    occurrences = keyed.mapInArrow(
-        rare, "word string, doc_id bigint, h bigint, g bigint, position int")
-    answers = occurrences.join(table.where(F.col("n") < least).select("word", "ids"), "word")
+    occurrences = keyed.mapInArrow(rare, "word string, h bigint, at bigint")
+    others = table.where(F.col("n") < least).select("word", "ids").mapInArrow(
+        _narrowed(kind), "word string, ids binary")
+    answers = occurrences.join(others, "word")
     both = answers.select(
-        "doc_id", "h", "g", "position", F.col("ids").alias("payload")
-    ).unionByName(keyed.mapInArrow(
-        numbered, "doc_id bigint, h bigint, g bigint, position int, payload binary"))
+        F.lit(None).cast("bigint").alias("doc_id"), "h", "at", F.col("ids").alias("payload")
+    ).unionByName(keyed.mapInArrow(numbered, "doc_id bigint, h bigint, at bigint, payload binary"))
     # per document: its rare words by position, then its rows
-    met = both.repartition("doc_id", "h", "g").sortWithinPartitions(
-        "doc_id", "h", "g", "position")
+    met = both.repartition("h").sortWithinPartitions("h", "at")
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, last, rares = None, -1, []
         for batch in batches:
             ids, texts, size = [], [], 0
-            for doc, h, g, position, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                if (doc, h, g) != now:
-                    now, last, rares = (doc, h, g), -1, []
-                if position < 1 << 30:
-                    if position != last:  # rows of equal id and text repeat their words
+            for doc, h, at, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if (h, at >> 32) != now:
+                    now, last, rares = (h, at >> 32), -1, []
+                if at & _PLACE < _TEXT:
+                    if at != last:  # rows of equal id and text repeat their words
                         rares.append(payload)
-                        last = position
+                        last = at
                     continue
                 ids.append(doc)
                 texts.append(shared.value.text_ids(_numbers(payload), rares))
