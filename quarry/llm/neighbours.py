@@ -14,8 +14,9 @@ block counts follow from the tile size, a parameter.
 
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component take no part; rows with a null id take no part. Only
-vectors of equal length are compared. Repeated ids are separate candidates;
-a query never meets a row of its own id. Equal scores rank by smaller id. An
+vectors of equal length are compared. Repeated ids are separate candidates,
+and separate queries, each with a list of its own; a query never meets a row of
+its own id. Equal scores rank by smaller id. An
 empty table gives an empty result. Other columns are not read.
 """
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import prepare
+from quarry.llm.common import prepare, saved
 
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
@@ -94,7 +95,7 @@ def product_bounds(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def tile_top(
     q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, candidate ids, scores) of each query's k best in a tile."""
+    """(query positions, candidate ids, scores) of each query's k best in a tile."""
     out: list[tuple[np.ndarray, ...]] = []
     floor = np.full(len(q_ids), -np.inf)  # k-th best score so far: nothing under it can enter
     best: list[list[tuple[float, int]]] = [[] for _ in q_ids]
@@ -127,7 +128,7 @@ def tile_top(
     for i, heap in enumerate(best):
         if heap:
             s, j = zip(*heap)
-            out.append((np.full(len(s), q_ids[i]), -np.array(j, np.int64), np.array(s)))
+            out.append((np.full(len(s), i), -np.array(j, np.int64), np.array(s)))
     if not out:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -142,6 +143,9 @@ def nearest(
     inner product, all of them if there are fewer."""
     prepare(queries.sparkSession)
     q, c = (usable(x, id_column, vector_column) for x in (queries, candidates))
+    # numbered and written, so that a query row keeps its number
+    q = saved(q.select("*", F.monotonically_increasing_id().alias("query")), "queries")
+    c = c.select("*", F.lit(None).cast("bigint").alias("query"))
     # Two counts decide the grid; every row is then dealt by a hash of its id.
     n_q, n_c = (x.select("vec_id").count() for x in (q, c))
     q_blocks, c_blocks = max(1, -(-n_q // query_block)), max(1, -(-n_c // candidate_block))
@@ -150,7 +154,7 @@ def nearest(
         block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_own)).cast("int")
         all_of = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
         return df.select(
-            "vec_id", F.col("v").cast("array<double>").alias("v"), "dim",
+            "vec_id", "query", F.col("v").cast("array<double>").alias("v"), "dim",
             F.lit(side).alias("side"), block.alias(own), all_of.alias(other),
         )
 
@@ -161,15 +165,17 @@ def nearest(
     def tile(rows: pd.DataFrame) -> pd.DataFrame:
         a, b = rows[rows.side == 0], rows[rows.side == 1]
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, others, score = tile_top(
-            a.vec_id.to_numpy(), np.stack(a.v.to_numpy()),
-            b.vec_id.to_numpy(), np.stack(b.v.to_numpy()), k,
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
+        ids = a.vec_id.to_numpy()
+        at, others, score = tile_top(
+            ids, np.stack(a.v.to_numpy()), b.vec_id.to_numpy(), np.stack(b.v.to_numpy()), k,
         )
-        return pd.DataFrame({"query_id": ids, "vec_id": others, "score": score})
+        return pd.DataFrame({
+            "query": a["query"].to_numpy()[at].astype(np.int64), "query_id": ids[at],
+            "vec_id": others, "score": score})
 
     found = sides.groupBy("qb", "cb", "dim").applyInPandas(
-        tile, "query_id bigint, vec_id bigint, score double"
+        tile, "query bigint, query_id bigint, vec_id bigint, score double"
     )
 
     def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,17 +185,17 @@ def nearest(
         def flush():
             ranked = sorted(heap, reverse=True)
             return pd.DataFrame({
-                "query_id": np.full(len(ranked), now),
+                "query_id": np.full(len(ranked), now[1]),
                 "rank": np.arange(1, len(ranked) + 1, dtype=np.int32),
                 "vec_id": [-j for _, j in ranked], "score": [s for s, _ in ranked],
             })
 
         for frame in frames:
-            for i, j, s in zip(frame.query_id, frame.vec_id, frame.score):
-                if i != now:
+            for row, i, j, s in zip(frame["query"], frame.query_id, frame.vec_id, frame.score):
+                if (row, i) != now:
                     if heap:
                         yield flush()
-                    heap, now = [], i
+                    heap, now = [], (row, i)
                 if len(heap) < k:
                     heapq.heappush(heap, (s, -j))
                 else:
@@ -197,5 +203,5 @@ def nearest(
         if heap:
             yield flush()
 
-    dealt_again = found.repartition("query_id").sortWithinPartitions("query_id")
+    dealt_again = found.repartition("query").sortWithinPartitions("query")
     return dealt_again.mapInPandas(merged, SCHEMA)

@@ -62,6 +62,18 @@ def test_odd_vectors_and_ties(spark):
         assert found(got) == want
 
 
+def test_repeated_query_rows_get_lists_of_their_own(spark):
+    rows = [(0, [1.0, 0.5], 1), (0, [-1.0, 2.0], 1), (0, [1.0, 0.5], 1), (20, [0.5, 0.5], 1),
+            *((i, [float(i % 5), float(i % 3) - 1], 0) for i in range(1, 12))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute([r[:2] for r in rows if r[0] % 20 == 0],
+                 [r[:2] for r in rows if fine(r[1])], 4)
+    for qb, cb in ((1024, 8192), (1, 3)):
+        got = neighbours.nearest(df.where("vec_id % 20 = 0"), df, 4, query_block=qb,
+                                 candidate_block=cb)
+        assert found(got) == want and len(want) == 16
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert neighbours.nearest(df, df).collect() == []
