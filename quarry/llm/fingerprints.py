@@ -30,6 +30,7 @@ BINS = 256
 BITS = 4
 WORDS = 5
 ROWS = 2048  # texts whose bins are held at once
+KEY_CHARS = 32  # of a text, to deal the rows of one id into ranges
 BYTES = 4 << 20  # text bytes handled at once
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -218,12 +219,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     Documents are dealt into ranges of doc_id and read in order; only the
     first and last document of each range meet another range. Null ids sort
-    first; equal ids are ordered by text. Empty table: empty result. Other
+    first; equal ids are ordered by text, and their rows are dealt by the
+    first KEY_CHARS characters of it. Empty table: empty result. Other
     columns are not read.
     """
     prepare(docs.sparkSession)
     few = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = few.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the start of the text deals out the rows of one id, null ids above all
+    start = F.substring("text", 1, KEY_CHARS)
+    ranges = few.repartitionByRange("doc_id", start).sortWithinPartitions("doc_id", "text")
     parts = saved(
         ranges.mapInArrow(_in_order, f"kind int, pid bigint, text string, {_RESULT_DDL}"),
         "fingerprints",
