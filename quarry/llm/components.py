@@ -3,8 +3,9 @@
 Every round re-hangs neighbours onto the smallest node they meet (large stars
 onto larger neighbours, then small stars onto smaller ones), so the depth of a
 component falls by a constant factor. Minima are aggregated before the
-shuffle; no component is ever brought together. Every round is a table in the
-shared scratch folder.
+shuffle and written before they are joined, so that the edges of a hub are split
+at run time; no component is ever brought together. Every round is a table in
+the shared scratch folder.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         near = edges.select(
             F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
         )
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select(
+    # a table: joined as an aggregate it would keep its own dealing, and Spark
+    # could not split the edges of a hub
+    least = saved(near.groupBy("u").agg(F.min("v").alias("m")).select(
         "u", F.least("u", "m").alias("m")
-    )
+    ), "least")
     met = near.join(least, "u")
     if large:
         out = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -494,7 +494,8 @@ def _clusters(signed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     dealt = sketched.select("bucket", "node", "sure", "n", "bits").repartition(
         "bucket").sortWithinPartitions("bucket", "node")
     found = saved(connected(dealt.mapInArrow(_edges(percent), "a bigint, b bigint")), "clusters")
-    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    # written before the join, so that Spark can split a large cluster's rows
+    sizes = saved(found.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     return saved(found.join(sizes, "component").select("node", "component", "size"), "sized")
 
 
@@ -583,7 +584,7 @@ def _without_isolated(members: DataFrame, k: int, percent: int) -> DataFrame:
     stay = saved(
         kept.groupBy("component", "node", "n").agg(F.count("*").alias("shared"))
         .where(F.col("n") - F.col("shared") <= most).select("component", "node"), "stay")
-    sizes = stay.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = saved(stay.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     return members.drop("size").join(stay.join(sizes, "component").drop("component"), "node")
 
 
@@ -640,10 +641,10 @@ def _finished(
     found = saved(_verified(tiles, k, percent), "links")
 
     edges = found.where("b IS NOT NULL").select("a", "b")
-    reach = connected(edges)
+    reach = saved(connected(edges), "reach")
     counts = found.where("n_links IS NOT NULL").groupBy("a").agg(F.sum("n_links").alias("near"))
-    least = reach.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(
-        F.min("first_id").alias("least_id"))
+    least = saved(reach.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(
+        F.min("first_id").alias("least_id")), "least-ids")
     linked = reach.join(least, "component").select("node", "least_id", "component")
     known = nodes.join(linked, "node", "left").join(
         counts.withColumnRenamed("a", "node"), "node", "left"
