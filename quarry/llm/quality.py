@@ -181,10 +181,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> RuleEnsemble:
         share = n.get(1, 0) / total if total else 1.0
         p = min(max(share, 1e-6), 1 - 1e-6)
         return RuleEnsemble(float(np.log(p / (1 - p))), (), ())
-    scale = 1 << 20
-    chosen = known.where(
-        F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(scale)) < scale * min(1.0, fit_rows / total)
-    )
+    chosen = known.where(_chosen(fit_rows, total))
     data = saved(
         chosen.select("statistics", array_to_vector("statistics").alias("features"),
                       F.col("quality").cast("double").alias("label")), "quality-fit",
@@ -222,12 +219,36 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> RuleEnsemble:
     )
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("doc_id").cast("bigint"), "quality").where(
+        "doc_id IS NOT NULL AND quality IS NOT NULL"
+    ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, learn: Column,
+               fit_rows: int = FIT_ROWS) -> RuleEnsemble:
+    """The ensemble of :func:`fit_documents`, with statistics of the fitting
+    rows only: the sample is chosen by id first, and its ids, about
+    ``fit_rows`` of them, are broadcast to the documents."""
+    few = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).where(learn)
+    known = few.select("doc_id").join(_marks(labels), "doc_id").where(F.col("quality").isin(0, 1))
+    known = saved(known.groupBy("doc_id", "quality").agg(F.count("*").alias("rows")), "quality-known")
+    total = known.agg(F.sum("rows")).first()[0] or 0
+    chosen = known.where(_chosen(fit_rows, total)).select("doc_id", "quality")
+    rows = with_statistics(few.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"))
+    return fit(rows.select("doc_id", "statistics").join(chosen, "doc_id"), 2 * fit_rows)
+
+
+def _chosen(fit_rows: int, total: int) -> Column:
+    """Whether a row is in the sample of about ``fit_rows`` of ``total``."""
+    scale = 1 << 20
+    share = min(1.0, fit_rows / total) if total else 1.0
+    return F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(scale)) < scale * share
+
+
 def fit_documents(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple:
     """(ensemble, saved doc_id and statistics of all rows): learned from the
     labelled rows of ``docs`` where ``learn`` (of doc_id) holds."""
     few = docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
     stats = saved(with_statistics(few).select("doc_id", "statistics"), "quality-statistics")
-    marks = labels.select(F.col("doc_id").cast("bigint"), "quality").where(
-        "doc_id IS NOT NULL AND quality IS NOT NULL"
-    ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return fit(stats.where(learn).join(marks, "doc_id")), stats
+    return fit(stats.where(learn).join(_marks(labels), "doc_id")), stats
