@@ -105,6 +105,51 @@ def test_near_copies_without_an_id(spark):
                            (5, texts[3])])
 
 
+def test_texts_of_one_id_in_different_groups_lose_nothing(spark):
+    texts = [" ".join(f"{t}{j}" for j in range(60)) for t in "abc"]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[1] + " more"), (8, texts[2]), (5, ""),
+            (5, " "), (9, texts[2] + " more"), (8, texts[2] + " other"), (None, texts[2])]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        got = [tuple(r) for r in cp.near_duplicates_stage(spark, df, SF).collect()]
+        assert sorted(i for i, _ in got) == [5, 5, 5, 8]
+        assert {t for i, t in got if i == 5 and t.strip()} == {texts[0], texts[1]}
+        [last] = [t for i, t in got if i == 8]
+        assert last in (texts[2], texts[2] + " other")
+
+
+def test_every_group_keeps_one_row_whatever_its_ids(spark):
+    """Groups of near copies under few ids, by brute force over texts."""
+    import random
+
+    rng = random.Random(7)
+    bases = [" ".join(f"{t}{j}" for j in range(50)) for t in "pqrst"]
+    rows = [(rng.choice([1, 2, 3, 4, None]), rng.choice(bases) + rng.choice(["", " x", " y z"]))
+            for _ in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in cp.near_duplicates_stage(spark, df, SF).collect()]
+    for base in bases:
+        group = [r for r in rows if r[1].startswith(base)]
+        kept = [r for r in got if r[1].startswith(base)]
+        ids_ = [i for i, _ in group if i is not None]
+        assert len(kept) == bool(group) and set(kept) <= set(group)
+        assert not kept or kept[0][0] == min(ids_, default=None)
+
+
+def test_the_row_that_stays_does_not_depend_on_the_run(spark):
+    text = " ".join(f"w{j}" for j in range(30))
+    rows = [(1, text, "en", s, n) for s in ("b", "a", None) for n in (3, 2)]
+    rows += [(None, "other " + text, "en", s, 1) for s in "zy"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    seen = set()
+    for parts in (1, 2, 5):
+        df = spark.createDataFrame(rows[::-1 if parts == 2 else 1], schema).repartition(parts)
+        got = cp.near_duplicates_stage(spark, df, SF)
+        assert got.columns == df.columns
+        seen.add(frozenset(map(tuple, got.collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) == 1
+
+
 @pytest.mark.parametrize("make", [odd_documents, empty_documents])
 def test_odd_and_empty_tables(spark, make):
     docs = make(spark)
