@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -85,3 +87,85 @@ def test_no_labels_and_no_rows(spark):
     assert stats.where(model.score(F.col("statistics")) < 0.99).count() == 0
     model, stats = quality.fit_documents(empty_documents(spark), none, F.lit(True))
     assert stats.count() == 0
+
+
+def plain_statistics(text):
+    """The statistics of a text, in plain Python."""
+    raw = (text or "").encode()
+    words = raw.translate(quality_lower()).split()
+    lines = [x for x in raw.split(b"\n") if x]
+    n = max(len(raw), 1)
+    shingles = [tuple(words[i:i + 5]) for i in range(len(words) - 4)] or [tuple(words)] * bool(words)
+
+    def share(chosen):
+        return sum(b in chosen for b in raw) / n
+
+    ends = (b".", b"!", b"?", b":", b'"')
+    return [
+        math.log1p(len(text or "")), math.log1p(len(words)), math.log1p(len(lines)),
+        sum(map(len, words)) / len(words) if words else 0.0,
+        sum(len(w) <= 3 for w in words) / len(words) if words else 0.0,
+        sum(len(w) >= 14 for w in words) / len(words) if words else 0.0,
+        min(max(len(words), 1) / max(len(lines), 1), 1000.0),
+        *(share(s) for s in quality._SETS.values()), share(range(128, 256)), share(b" \t\n\r\x0b\x0c"),
+        len(set(words)) / len(words) if words else 1.0,
+        max(Counter(words).values()) / len(words) if words else 0.0,
+        1 - len(set(shingles)) / len(shingles) if shingles else 0.0,
+        1 - len(set(lines)) / len(lines) if lines else 0.0,
+        sum(not x.rstrip().endswith(ends) for x in lines) / max(len(lines), 1),
+    ]
+
+
+def quality_lower():
+    from quarry.llm.common import LOWER
+
+    return LOWER
+
+
+def plain_score(model, x):
+    z = model.intercept
+    for rule, w in model.rules:
+        z += w * all(x[i] <= at if upper else x[i] > at for i, upper, at in rule.bounds)
+    for i, low, high, w in model.linear:
+        z += w * max(min((x[i] - low) / (high - low), 1.0), 0.0)
+    return 1 / (1 + math.exp(-z))
+
+
+def test_statistics_equal_brute_force():
+    texts = [d["text"] for d in documents()][:80] + ODD_TEXTS
+    got = quality.statistics(*arrays(texts))
+    for text, found in zip(texts, got):
+        assert found == pytest.approx(plain_statistics(text), abs=1e-12), text
+
+
+def test_scores_equal_brute_force(spark):
+    docs, labels = (queries.read(spark, SF, t) for t in ("documents", "labels"))
+    model, stats = quality.fit_documents(docs, labels, crc_mod("doc_id", 4) != 2)
+    rows = stats.select("doc_id", model.score(F.col("statistics")).alias("score")).collect()
+    text = {d["doc_id"]: d["text"] for d in documents()}
+    assert len(rows) == len(text)
+    for r in rows:
+        assert r.score == pytest.approx(plain_score(model, plain_statistics(text[r.doc_id])), abs=1e-9)
+
+
+def test_an_ensemble_of_the_sample_is_that_of_all_statistics(spark):
+    docs, labels = (queries.read(spark, SF, t) for t in ("documents", "labels"))
+    learn = crc_mod("doc_id", 4) != 2
+    whole, stats = quality.fit_documents(docs, labels, learn)
+    part = quality.fit_sample(docs, labels, learn)
+    scores = stats.select(whole.score(F.col("statistics")).alias("a"),
+                          part.score(F.col("statistics")).alias("b")).collect()
+    assert np.mean([(r.a >= quality.KEEP) == (r.b >= quality.KEEP) for r in scores]) > 0.97
+    few = quality.fit_sample(docs, labels, learn, fit_rows=40)  # a true sample
+    assert few.rules or few.linear
+
+
+def test_the_sample_fit_takes_odd_rows_and_no_labels(spark):
+    learn = crc_mod("doc_id", 4) != 2
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    for docs in (odd_documents(spark), empty_documents(spark)):
+        model = quality.fit_sample(docs, none, learn)
+        assert model.rules == () and 0 < model.intercept
+        marks = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (None, 1), (5, None), (77, 0)],
+                                      "doc_id bigint, quality int")
+        quality.fit_sample(docs, marks, learn)
