@@ -59,7 +59,7 @@ def main() -> None:
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.enabled": "false",
-            "spark.sql.shuffle.partitions": "200",
+            "spark.sql.shuffle.partitions": "32",
         },
     )
     print("# Physical plans at scale\n")
@@ -90,6 +90,7 @@ def main() -> None:
 def stream_plans(spark, sf_dir: str) -> None:
     """Plans of the stateful stream jobs, taken from a started query."""
     from quarry.session import scratch_path
+    from quarry.sources.tables import event_log_lines, table
     from quarry.streaming import jobs as J
     from quarry.streaming import logs as SL
     from quarry.streaming.runner import start_to_table
@@ -97,16 +98,19 @@ def stream_plans(spark, sf_dir: str) -> None:
     print("# Stream jobs (stateful part)\n")
     print("From the first micro-batch of each query: the operators before and after the")
     print("state store, and the watermark.\n")
-    stream, delay = J._log_stream(spark, sf_dir, "plan-feed")
-    logs = SL.timed_logs(stream, watermark=delay)
+    stream = J.feed_stream(event_log_lines(table(spark, sf_dir, "events")), "plan-feed")
+    logs = SL.timed_logs(stream, watermark=J.REPORT_WATERMARK)
     reports = {
         "stream_log_windows": SL.window_stats(logs, J.REPORT_WINDOW, J.REPORT_SLIDE),
         "stream_window_heavy_hitters": SL.window_heavy_hitters(logs, 10, J.REPORT_WINDOW, J.REPORT_SLIDE),
         "stream_window_top_endpoints": SL.window_endpoint_counts(logs, J.REPORT_WINDOW, J.REPORT_SLIDE),
+        "stream_closed_top_endpoints": SL.window_top_endpoints(
+            logs, 10, J.REPORT_WINDOW, J.REPORT_SLIDE),
         "stream_running_stats": SL.running_stats(SL.timed_logs(stream)),
     }
     for name, df in reports.items():
-        q = start_to_table(df, scratch_path(spark, "plan-out"), scratch_path(spark, "plan-ck"))
+        mode = "update" if name == "stream_running_stats" else "append"
+        q = start_to_table(df, scratch_path(spark, "plan-out"), scratch_path(spark, "plan-ck"), mode)
         q.awaitTermination(300)
         text = q._jsq.explainInternal(False)
         ops = []
