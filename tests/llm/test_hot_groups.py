@@ -1,0 +1,46 @@
+"""Hubs and hot ids: results do not depend on how their rows are dealt."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+from quarry.llm import fingerprints
+from quarry.llm.components import connected
+from tests.conftest import conf
+
+SPLIT = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "4k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "4k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.1",
+}
+
+
+def test_components_of_hubs_chains_and_loops(spark):
+    rng = random.Random(3)
+    edges = [(5000, i) for i in range(1, 1500)]  # a hub that is not the smallest node
+    edges += [(i, i + 1) for i in range(6000, 6040)]
+    edges += [(7000, 7000), (None, 3), (8000, 8001), (8001, 8000), (8000, 8001)]
+    rng.shuffle(edges)
+    want = {i: 1 for i in [*range(1, 1500), 5000]}
+    want |= {i: 6000 for i in range(6000, 6041)} | {7000: 7000, 8000: 8000, 8001: 8000}
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)
+    with conf(spark, **SPLIT):
+        found = connected(df).collect()
+    assert Counter(r.node for r in found).most_common(1)[0][1] == 1
+    assert {r.node: r.component for r in found} == want
+
+
+def test_fingerprints_of_many_rows_of_one_id(spark):
+    rng = random.Random(4)
+    rows = [(None if i % 3 else 7, " ".join(rng.choice("abcdefgh") * 3 for _ in range(20)))
+            for i in range(300)]
+    rows += [(None, None), (7, ""), (7, rows[0][1]), (9, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = []
+    for parts in ("1", "4"):
+        with conf(spark, spark__sql__shuffle__partitions=parts):
+            got.append(Counter(map(tuple, fingerprints.edited_fingerprints(df).collect())))
+    assert got[0] == got[1] and sum(got[0].values()) == len(rows)
