@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import tokens
@@ -35,6 +35,7 @@ ISLANDS = 3
 POPULATION = 4
 EPOCHS = 2
 GENERATIONS = 8
+TASKS = 8  # of a search, times the shuffle partitions
 WELL_FILLED = 0.98  # of the capacity: bins worth injecting
 REOPEN = 0.95  # bins under this fill are packed again with other blocks' bins
 
@@ -194,6 +195,13 @@ def evolve(
 _STATE = "block bigint, island int, sizes binary, people array<binary>, bins int, bound int"
 
 
+def _tasks(spark: SparkSession, n_blocks: int) -> int:
+    """One for four islands, but at most TASKS times the shuffle partitions:
+    the number of tasks follows the cluster, not the rows."""
+    most = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(-(-n_blocks * ISLANDS // 4), most))
+
+
 def _search(blocks: DataFrame, n_blocks: int, capacity: int) -> DataFrame:
     """(block, bins binary): the best grouping found for each block's lengths,
     longest first."""
@@ -221,7 +229,7 @@ def _search(blocks: DataFrame, n_blocks: int, capacity: int) -> DataFrame:
     )
     for epoch in range(EPOCHS):
         # islands of a block go to different tasks; the state is one small row each
-        dealt = state.repartition(-(-n_blocks * ISLANDS // 4), "block", "island")
+        dealt = state.repartition(_tasks(blocks.sparkSession, n_blocks), "block", "island")
         state = saved(dealt.mapInPandas(evolved(epoch), _STATE), "packing-state")
         if epoch + 1 < EPOCHS:
             guest = state.select(

@@ -113,3 +113,9 @@ def test_search_improves_on_best_fit():
     start = packing.packed(sizes, np.arange(len(sizes)), 1000)
     best = packing.evolve(sizes, [], 1000, 300, rng)[0]
     assert packing.fitness(sizes, best, 1000) > packing.fitness(sizes, start, 1000)
+
+
+def test_tasks_follow_the_cluster(spark):
+    most = packing.TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert packing._tasks(spark, 1) == 1 and packing._tasks(spark, 4) == 3
+    assert packing._tasks(spark, 10**9) == most
