@@ -57,7 +57,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (
-    frequent_from, lower_words, mix, saved, sliced, prepare, string_hashes, text_buffers,
+    byte_batches, frequent_from, lower_words, mix, saved, sliced, prepare, string_hashes,
+    text_buffers,
 )
 
 CLASSES = 1000
@@ -69,7 +70,15 @@ EXACT = 64
 STRENGTH = 1.0  # concentration of every restaurant
 END_WORD = ""  # key of the end token; no word is empty
 
-EDGE, NONE = 1, 2  # keys in pairs: a text's start or end, no dish (a context's weight)
+PART_TOKENS = 4_000_000  # training tokens a part: what a task holds at once
+WIDE = 100_000  # words of this count or more have restaurants over many tasks
+WIDE_BLOB = 200_000  # their rows a blob
+HOT = 32  # a pair of this count in a slice is looked up, not shuffled
+
+# codes of words: the start or end of a text, head words from FIRST by their
+# place, other words by their hash with the top bit set
+EDGE, FIRST, TOP = np.uint64(1), np.uint64(2), np.uint64(1 << 63)
+NO_TEXT = np.uint32(0xFFFFFFFF)  # of rows that add customers only
 
 RARE, END = 0, 1  # class numbers; words follow from 2
 
@@ -229,53 +238,54 @@ class Model:
     klass: np.ndarray  # class of each head word
     log_class: np.ndarray  # (context, class) log10
     rare: RareWords | None
-    log_back: np.ndarray | None = None  # of head words as contexts, log10
-    log_back_class: np.ndarray | None = None  # of frequent words and the start
-    pair_key: np.ndarray | None = None  # hashes of head pairs, sorted
-    pair_u: np.ndarray | None = None
-    pair_w: np.ndarray | None = None
-    pair_value: np.ndarray | None = None
-    pair_least: int = 1 << 62  # pairs of this count or more are in the head
-    pairs: DataFrame | None = None  # (u, w, value, c), on the driver only
+    slot: np.ndarray | None = None  # wide contexts by head word, -1: not wide
+    slots: int = 1  # the first is the start of a text
+    hot_u: np.ndarray | None = None  # codes of the hot pairs, by their hash
+    hot_w: np.ndarray | None = None
+    hot_value: np.ndarray | None = None
+    texts: DataFrame | None = None  # training texts, on the driver only
 
     def __getstate__(self):
-        return self.__dict__ | {"pairs": None}
-
-    def classes_of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(in the head, count, class) of keys, which the word table holds
-        apart; the end has its class."""
-        known = np.zeros(len(key), bool)
-        count, klass = np.zeros(len(key), np.int64), np.full(len(key), RARE)
-        if len(self.key):
-            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-            known = self.key[at] == key
-            count, klass = np.where(known, self.count[at], 0), np.where(known, self.klass[at], RARE)
-        return known, count, np.where(key == EDGE, END, klass)
-
-    def pair_base(self, before: np.ndarray, w: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The parent's probability of dish ``w``; ``n``: its count, if it is
-        not in the head."""
-        known, count, klass = self.classes_of(w)
-        rare = np.where(klass == RARE, self.rare_log10(np.where(known, count, n)), 0.0)
-        return 10.0 ** (rare + np.where(before == RARE, self.log_class[RARE, klass], 0.0))
-
-    def head_pairs(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(in the head, value) of pairs."""
-        if self.pair_u is None or not len(self.pair_u):
-            return np.zeros(len(u), bool), np.zeros(len(u))
-        at = np.minimum(np.searchsorted(self.pair_key, pair_hash(u, w)), len(self.pair_u) - 1)
-        known = (self.pair_u[at] == u) & (self.pair_w[at] == w)
-        return known, np.where(known, self.pair_value[at], 0.0)
-
-    def look_up(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(in the head, count, class) of the distinct words of a batch."""
+        return self.__dict__ | {"texts": None}
+
+    def look_up(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(code, in the head, count, class) of the distinct words of a batch."""
         n = len(words.key)
         if not len(self.key) or not n:
-            return np.zeros(n, bool), np.zeros(n, np.int64), np.full(n, RARE)
+            return words.key | TOP, np.zeros(n, bool), np.zeros(n, np.int64), np.full(n, RARE)
         at = np.minimum(np.searchsorted(self.key, words.key), len(self.key) - 1)
         known = (self.key[at] == words.key) & (self.check[at] == words.check)
-        return (known, np.where(known, self.count[at], 0),
-                np.where(known, self.klass[at], RARE))
+        return (np.where(known, at.astype(np.uint64) + FIRST, words.key | TOP), known,
+                np.where(known, self.count[at], 0), np.where(known, self.klass[at], RARE))
+
+    def _of(self, code, values, other):
+        head = (code >= FIRST) & (code < TOP)
+        if not len(self.key):
+            return np.full(len(code), other)
+        return np.where(head, values[np.where(head, code - FIRST, 0).astype(np.int64)], other)
+
+    def contexts(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot, whether it is a rare word) of contexts."""
+        return (np.where(u == EDGE, 0, self._of(u, self.slot, -1)),
+                (u != EDGE) & (self._of(u, self.klass, RARE) == RARE))
+
+    def dishes(self, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, count) of words; ``n``: the counts of those not in the head."""
+        return (np.where(w == EDGE, END, self._of(w, self.klass, RARE)),
+                np.where(w >= TOP, n, self._of(w, self.count, 0)))
+
+    def dish_base(self, rare: np.ndarray, klass: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The parents' probability of dishes; ``rare``: after a rare word."""
+        return 10.0 ** (np.where(klass == RARE, self.rare_log10(n), 0.0)
+                        + np.where(rare, self.log_class[RARE, klass], 0.0))
+
+    def hot(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The numbers of the hot pairs, -1 for others."""
+        if self.hot_u is None or not len(self.hot_u):
+            return np.full(len(u), -1)
+        keys = pair_hash(self.hot_u, self.hot_w)
+        at = np.minimum(np.searchsorted(keys, pair_hash(u, w)), len(keys) - 1)
+        return np.where((self.hot_u[at] == u) & (self.hot_w[at] == w), at, -1)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.total + 0.1 * (self.types + 1)))
@@ -304,21 +314,17 @@ def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u) + w)
 
 
-def _bigrams(words, klass: np.ndarray, n_classes: int):
-    """(text, key before, key, class before) of the tokens of a batch that
-    touch a rare word with the one before, and the distinct word before (-1:
-    the start)."""
-    flat, before, row = _sequences(words, klass, n_classes)
-    n = np.diff(words.offsets)
+def _bigrams(words, flat: np.ndarray, before: np.ndarray, row: np.ndarray):
+    """(text, distinct word before, distinct word) of the tokens of a batch
+    that touch a rare word with the one before; -1: the start or the end."""
     which = np.full(len(flat), -1)
     is_word = np.ones(len(flat), bool)
-    is_word[np.cumsum(n + 1) - 1] = False
+    is_word[np.cumsum(np.diff(words.offsets) + 1) - 1] = False
     which[is_word] = words.which
     last = np.full(len(flat), -1)
     last[1:] = which[:-1]  # an end has -1, so the start of a text has
     use = np.flatnonzero((flat == RARE) | (before == RARE))
-    key = np.append(words.key, np.uint64(EDGE))  # -1: the last
-    return row[use], key[last[use]], key[which[use]], before[use], last[use]
+    return row[use], last[use], which[use]
 
 
 def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -328,13 +334,139 @@ def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         if not batch.num_rows:
             continue
         first = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(first, first[-1]))
-        if cut or (held and held[-1].column(0)[-1].as_py() != first[0]):
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+        if held and held[-1].column(0)[-1].as_py() != first[0]:
+            yield pa.Table.from_batches(held)
             held = []
-        held.append(batch.slice(cut))
+        lo = 0
+        for cut in (np.flatnonzero(first[1:] != first[:-1]) + 1).tolist():
+            yield pa.Table.from_batches([*held, batch.slice(lo, cut - lo)])
+            held, lo = [], cut
+        held.append(batch.slice(lo))
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield pa.Table.from_batches(held)
+
+
+# --- pairs of words, packed ---
+
+_PAIRS = (np.uint64, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
+_KEYS = (np.int64, np.int64, np.int32, np.uint8)
+_BLOB = "part int, rows int, payload binary, texts int, keys binary"
+
+
+def _packed(columns) -> bytes:
+    """Columns byte plane by byte plane, compressed."""
+    return pa.compress(b"".join(
+        np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+        for x in columns), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, rows: int, kinds) -> list[np.ndarray]:
+    if not rows:
+        return [np.empty(0, k) for k in kinds]
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(pa.decompress(blob, rows * sum(sizes), codec="zstd"), np.uint8)
+    ends = np.cumsum([0, *sizes]) * rows
+    return [np.ascontiguousarray(raw[a:b].reshape(s, rows).T).view(k).ravel()
+            for a, b, s, k in zip(ends[:-1], ends[1:], sizes, kinds)]
+
+
+def _blob(columns, keys) -> tuple[int, bytes, int, bytes]:
+    """Rows (u, w, n, times, c, text) in order of u, and the keys of texts."""
+    u, w, n, times, c, text = columns
+    own = np.unique(text)
+    own = own[own != NO_TEXT]
+    text = np.where(text == NO_TEXT, NO_TEXT, np.searchsorted(own, text).astype(np.uint32))
+    step = np.diff(u, prepend=np.uint64(0))
+    kinds = zip(_PAIRS, (step, w, n, times, c, text))
+    return (len(u), _packed([x.astype(k, copy=False) for k, x in kinds]), len(own),
+            _packed([x[own] for x in keys]))
+
+
+def _blobs(part: np.ndarray, columns, keys) -> Iterator[pa.RecordBatch]:
+    """One row for each part; ``columns`` in order of part and u."""
+    if not len(part):
+        return
+    ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
+    out, lo = [], 0
+    for hi in ends.tolist():
+        out.append((int(part[lo]), *_blob([x[lo:hi] for x in columns], keys)))
+        lo = hi
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(x, t) for x, t in zip(zip(*out), (
+            pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()))],
+        names=["part", "rows", "payload", "texts", "keys"])
+
+
+def _gathered(rows: pa.Table):
+    """The pair rows and the text keys of blobs."""
+    pairs, keys, texts = [], [], 0
+    for n, payload, n_texts, own in zip(*(
+            rows.column(x).to_pylist() for x in ("rows", "payload", "texts", "keys"))):
+        columns = _unpacked(payload, n, _PAIRS)
+        columns[0] = np.cumsum(columns[0], dtype=np.uint64)
+        columns[5] = np.where(columns[5] == NO_TEXT, -1, columns[5].astype(np.int64) + texts)
+        pairs.append(columns)
+        keys.append(_unpacked(own, n_texts, _KEYS))
+        texts += n_texts
+    return [np.concatenate(x) for x in zip(*pairs)], [np.concatenate(x) for x in zip(*keys)]
+
+
+def _text_keys(batch: pa.RecordBatch) -> list[np.ndarray]:
+    doc, h, g = (batch.column(batch.schema.get_field_index(x)) for x in ("doc_id", "h", "g"))
+    null = np.asarray(doc.is_null()).astype(np.uint8)
+    return [doc.fill_null(0).to_numpy(zero_copy_only=False), h.to_numpy(), g.to_numpy(), null]
+
+
+_OUT = pa.schema([
+    ("kind", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64()), ("g", pa.int32()),
+    ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
+    ("u", pa.int64()), ("w", pa.int64()), ("c", pa.int64()), ("n", pa.int64()),
+    ("m", pa.int64()), ("rows", pa.int32()), ("payload", pa.binary()), ("texts", pa.int32()),
+    ("keys", pa.binary())])
+_OUT_FIELDS = ("kind int, doc_id bigint, h bigint, g int, known bigint, base double, score double, "
+               "u bigint, w bigint, c bigint, n bigint, m bigint, rows int, payload binary, "
+               "texts int, keys binary")
+SUMS, HOT_PAIR, CELL, WIDE_ROWS = range(4)
+
+
+def _out(kind: int, size: int, /, **columns) -> pa.RecordBatch:
+    columns["kind"] = np.full(size, kind, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type)
+         for f in _OUT], schema=_OUT)
+
+
+def _sums(text, keys, known, base, score) -> Iterator[pa.RecordBatch]:
+    """One row a text; ``text``: of each row of a part, -1: none."""
+    n = len(keys[0])
+    on = text >= 0
+    if not on.any():
+        return
+    frame = pd.DataFrame({"doc_id": keys[0], "h": keys[1], "g": keys[2], "null": keys[3]} | {
+        k: np.bincount(text[on], x[on], n)
+        for k, x in (("known", known), ("base", base), ("score", score))})
+    frame = frame.groupby(["doc_id", "h", "g", "null"], sort=False).sum().reset_index()
+    yield _out(SUMS, len(frame), doc_id=pa.array(
+        frame.doc_id.to_numpy(), pa.int64(), mask=frame.null.to_numpy() == 1),
+        h=frame.h.to_numpy(), g=frame.g.to_numpy(), known=frame.known.to_numpy().astype(np.int64),
+        base=frame.base.to_numpy(), score=frame.score.to_numpy())
+
+
+class _Pairs:
+    """The distinct pairs of rows in order of (u, w), and what the model says
+    of them."""
+
+    def __init__(self, m: Model, u, w, n, c):
+        new = np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])
+        starts = np.flatnonzero(new)
+        self.of = np.cumsum(new) - 1  # each row's pair
+        self.u, self.w = u[starts], w[starts]
+        self.c = np.add.reduceat(c.astype(np.int64), starts)
+        self.context = np.cumsum(np.concatenate([[True], self.u[1:] != self.u[:-1]])) - 1
+        self.slot, self.rare = m.contexts(self.u)
+        self.klass, self.n = m.dishes(self.w, np.maximum.reduceat(n, starts).astype(np.int64))
+        self.base = m.dish_base(self.rare, self.klass, self.n)
+        self.starts = starts
 
 
 def _batch_seats(c, base, tables, discount, sweep, w) -> np.ndarray:
@@ -349,138 +481,136 @@ def _values(c, t, base, tables, customers, discount) -> tuple[np.ndarray, np.nda
     return np.log10(own / (base * back) + 1), np.log10(back)
 
 
-def learn_pairs(texts: DataFrame, model: Model, table: DataFrame) -> None:
-    """Seats the word restaurants of ``model``."""
-    if table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        raise ValueError("two words share a 64-bit hash")
-    n_classes = model.log_class.shape[1]
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-
-    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in sliced(batch, "text", SLICE_BYTES):
-                words = lower_words(*text_buffers(part.column(0)))
-                known, _, klass = shared.value.look_up(words)
-                _, u, w, before, _ = _bigrams(words, klass, n_classes)
-                _, one, c = np.unique(pair_hash(u, w), return_index=True, return_counts=True)
-                if len(one) and not _same_pairs(u, w, one):
-                    raise ValueError("two pairs share a 64-bit hash")
-                u, w, before = u[one], w[one], before[one]
-                tail = ~shared.value.classes_of(w)[0] & (w != EDGE)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(u.view(np.int64)), pa.array(w.view(np.int64)),
-                     pa.array(before.astype(np.int32)), pa.array(tail), pa.array(c)],
-                    names=["u", "w", "k", "tail", "c"])
-
-    counted = saved(
-        texts.mapInArrow(paired, "u bigint, w bigint, k int, tail boolean, c bigint")
-        .groupBy("u", "w", "k", "tail").agg(F.sum("c").alias("c")), "pair-counts")
-    rare = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD)).select(
-        F.col("key").alias("w"), "n")
-    head = counted.where("NOT tail").select("u", "w", "k", F.lit(0).cast("bigint").alias("n"), "c")
-    both = head
-    if model.least > 1:  # words outside the head bring their counts
-        both = head.unionByName(
-            counted.where("tail").join(rare, "w").select("u", "w", "k", "n", "c"))
-    whole = counted.agg(F.sum((F.col("c") == 1).cast("bigint")).alias("once"),
-                        F.sum((F.col("c") == 2).cast("bigint")).alias("twice")).first()
-    discount = discount_of(float(whole["once"] or 0), float(whole["twice"] or 0))
-
-    def seated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for rows in _whole_runs(batches):
-            u, w, n, c = (rows.column(x).to_numpy() for x in ("u", "w", "n", "c"))
-            new = np.concatenate([[True], u[1:] != u[:-1]])
-            starts, of = np.flatnonzero(new), np.cumsum(new) - 1
-            base = m.pair_base(np.full(len(u), RARE), w.view(np.uint64), n)
-            tables = np.diff(np.append(starts, len(u))).astype(float)
-            mean = np.zeros(len(u))
-            for sweep in range(BURN + KEPT):
-                t = _batch_seats(c, base, tables[of], discount, sweep, w)
-                tables = np.add.reduceat(t, starts)
-                if sweep >= BURN:
-                    mean += t / KEPT
-            value, back = _values(c, mean, base, np.add.reduceat(mean, starts)[of],
-                                  np.add.reduceat(c, starts)[of], discount)
-            in_head = m.classes_of(u[starts].view(np.uint64))[0]
-            none = np.full(len(starts), NONE)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(u, u[starts])), pa.array(np.append(w, none)),
-                 pa.array(np.append(value, back[starts])), pa.array(np.append(c, none * 0)),
-                 pa.array(np.append(np.zeros(len(u), bool), in_head))],
-                names=["u", "w", "value", "c", "head"])
-
-    fields = "u bigint, w bigint, value double, c bigint, head boolean"
-    after_rare = both.where(F.col("k") == RARE).select("u", "w", "n", "c").repartition(
-        "u").sortWithinPartitions("u", "w").mapInArrow(seated, fields)
-
-    # contexts of many dishes: tables are summed over the tasks, sweep by sweep
-    wide = saved(both.where(F.col("k") != RARE), "wide-contexts")
-    size = n_classes + 1
-    per = wide.groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("t")).toPandas()
-    customers, first = np.zeros(size), np.zeros(size)
-    customers[per.k], first[per.k] = per.c, per.t
+def _seated_whole(p: _Pairs) -> np.ndarray:
+    """log10 of P / parent of pairs whose contexts are all here."""
+    one, more = np.flatnonzero(p.c == 1), np.flatnonzero(p.c > 1)
+    n = int(p.context[-1]) + 1
+    discount = discount_of(float(len(one)), float((p.c == 2).sum()))
+    single = np.bincount(p.context[one], minlength=n).astype(float)
+    tables = np.bincount(p.context[p.c > 0], minlength=n).astype(float)
+    mean, mean_tables = np.minimum(p.c, 1).astype(float), np.zeros(n)
+    mean[more] = 0
+    for sweep in range(BURN + KEPT):
+        t = _batch_seats(p.c[more], p.base[more], tables[p.context[more]], discount, sweep,
+                         p.w[more])
+        tables = single + np.bincount(p.context[more], t, n)
+        if sweep >= BURN:
+            mean[more] += t / KEPT
+            mean_tables += tables / KEPT
+    customers = np.bincount(p.context, p.c, n)
+    value, back = _values(p.c, mean, p.base, mean_tables[p.context], customers[p.context], discount)
+    return value + back
+
+
+def _hot_values(m: Model, p: _Pairs, value: np.ndarray, chosen: np.ndarray):
+    at = m.hot(p.u, p.w)
+    found = np.flatnonzero((at >= 0) & chosen)
+    if len(found):
+        yield _out(HOT_PAIR, len(found), m=at[found], score=value[found])
+
+
+def _settled(m: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """All rows of a part: seats the contexts that are whole here, adds up
+    their texts, and lays wide contexts aside."""
+    columns, keys = _gathered(rows)
+    order = np.lexsort((columns[1], columns[0]))
+    u, w, n, times, c, text = (x[order] for x in columns)
+    del columns, order
+    p = _Pairs(m, u, w, n, c)
+    wide = p.slot >= 0
+    value = np.where(wide, 0.0, _seated_whole(p))
+    yield from _hot_values(m, p, value, ~wide)
+    count = p.n[p.of]
+    tail = times * (w >= TOP)  # words outside the head have not been counted yet
+    score = times * value[p.of] + np.where(tail > 0, tail * m.rare_log10(count), 0.0)
+    yield from _sums(text, keys, tail * (count > 0), tail * m.base(count), score)
+    if not wide.any():
+        return
+    seen = np.flatnonzero(wide & (p.c > 0))
+    more = p.c[seen] > 1  # one customer has one table
+    cells = pd.DataFrame({
+        "u": p.slot[seen], "known": p.rare[seen] * more, "w": p.klass[seen] * more, "c": p.c[seen],
+        "n": p.n[seen] * more})
+    cells = cells.groupby(list(cells), sort=False).size().rename("m").reset_index()
+    yield _out(CELL, len(cells), **{k: cells[k].to_numpy().astype(np.int64) for k in cells})
+    aside = np.flatnonzero(wide[p.of])
+    pair = p.of[aside]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    lo = 0
+    text = np.where(text < 0, NO_TEXT, text).astype(np.uint32)
+    while lo < len(aside):  # cut between pairs
+        end = np.searchsorted(first, lo + WIDE_BLOB)
+        hi = int(first[end]) if end < len(first) else len(aside)
+        some = aside[lo:hi]
+        blob = _blob([u[some], w[some], p.n[p.of[some]], times[some], c[some], text[some]], keys)
+        yield _out(WIDE_ROWS, 1, **{k: [x] for k, x in zip(("rows", "payload", "texts", "keys"), blob)})
+        lo = hi
+
+
+def _wide_sums(shared, laid: DataFrame) -> tuple[DataFrame, int]:
+    """Seats wide contexts, whose tables are summed over the tasks sweep by
+    sweep, and adds up their texts."""
+    m = shared.value
+    cells = laid.where(F.col("kind") == CELL).select("u", "w", "known", "c", "n", "m")
+    amount = F.when(F.col("c") == 1, F.col("m")), F.when(F.col("c") == 2, F.col("m"))
+    per = cells.groupBy("u").agg(
+        F.sum(F.col("c") * F.col("m")).alias("c"), F.sum("m").alias("t"),
+        F.sum(amount[0]).alias("once"), F.sum(amount[1]).alias("twice"),
+    ).toPandas()  # one row a slot
+    customers, first = np.zeros(m.slots), np.zeros(m.slots)
+    customers[per.u], first[per.u] = per.c, per.t
+    discount = discount_of(float(per.once.sum()), float(per.twice.sum()))
+    single = np.zeros(m.slots)
+    single[per.u] = per.once.fillna(0)
     states = [first]
 
-    def arrays(batch):
-        u, w, k, n, c = (batch.column(i).to_numpy() for i in range(5))
-        return u, w, k, c, shared.value.pair_base(k, w.view(np.uint64), n)
-
     for sweep in range(BURN + KEPT):
         now = states[-1]
 
         def sums(batches, now=now, sweep=sweep):
-            total = np.zeros(size)
+            m = shared.value
+            total = np.zeros(m.slots)
             for batch in batches:
-                _, w, k, c, base = arrays(batch)
-                total += np.bincount(
-                    k, _batch_seats(c, base, now[k], discount, sweep, w), size)
+                u, w, rare, c, n, times = (x.to_numpy() for x in batch.columns)
+                base = m.dish_base(rare > 0, w, n)
+                for rows in byte_batches(range(len(u)), lambda i: int(times[i]), 1 << 20):
+                    each = np.repeat(np.array(rows), times[rows])
+                    total += np.bincount(u[each], _batch_seats(
+                        c[each], base[each], now[u[each]], discount, sweep, n[rows]), m.slots)
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(total[at])], names=["k", "t"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["u", "t"])
 
-        got = wide.mapInArrow(sums, "k int, t double").groupBy("k").agg(
-            F.sum("t").alias("t")).toPandas()  # one row a class
-        state = np.zeros(size)
-        state[got.k] = got.t
+        got = cells.where("c > 1").mapInArrow(sums, "u bigint, t double").groupBy("u").agg(
+            F.sum("t").alias("t")).toPandas()
+        state = single.copy()
+        state[got.u] += got.t
         states.append(state)
     tables = np.mean(states[-KEPT:], axis=0)
-    model.log_back_class = np.where(customers > 0, np.log10(
-        (STRENGTH + discount * tables) / (STRENGTH + customers)), 0.0)
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         for batch in batches:
-            u, w, k, c, base = arrays(batch)
-            t = np.mean([_batch_seats(c, base, states[s][k], discount, s, w)
-                         for s in range(BURN, BURN + KEPT)], axis=0)
-            value, _ = _values(c, t, base, tables[k], customers[k], discount)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u), pa.array(w), pa.array(value), pa.array(c),
-                 pa.array(np.zeros(len(u), bool))], names=["u", "w", "value", "c", "head"])
-
-    model.pairs = saved(after_rare.unionByName(wide.mapInArrow(valued, fields)), "pair-values")
-    weights = model.pairs.where("head").select("u", "value").toArrow()  # at most HEAD_WORDS rows
-    model.log_back = np.zeros(len(model.key))
-    if len(weights):
-        at = np.searchsorted(model.key, weights.column("u").to_numpy().view(np.uint64))
-        model.log_back[at] = weights.column("value").to_numpy()
-    seen = model.pairs.where(F.col("w") != NONE)
-    least = frequent_from(seen.select(F.col("c").alias("n")), F.lit(24), HEAD_WORDS, HEAD_BYTES)
-    if least is not None:
-        model.pair_least = least
-        top = seen.where(F.col("c") >= least).select("u", "w", "value").toArrow()
-        u, w = (top.column(x).to_numpy().view(np.uint64) for x in "uw")
-        order = np.argsort(pair_hash(u, w))
-        model.pair_key = pair_hash(u, w)[order]
-        model.pair_u, model.pair_w = u[order], w[order]
-        model.pair_value = top.column("value").to_numpy()[order]
+            for i in range(batch.num_rows):
+                (u, w, n, times, c, text), keys = _gathered(
+                    pa.Table.from_batches([batch.slice(i, 1)]))
+                p = _Pairs(m, u, w, n, c)
+                mean = np.minimum(p.c, 1).astype(float)
+                more = np.flatnonzero(p.c > 1)
+                mean[more] = np.mean([
+                    _batch_seats(p.c[more], p.base[more], states[s][p.slot[more]], discount, s,
+                                 p.w[more]) for s in range(BURN, BURN + KEPT)], axis=0)
+                value, back = _values(
+                    p.c, mean, p.base, tables[p.slot], customers[p.slot], discount)
+                value += back
+                yield from _hot_values(m, p, value, np.ones(len(value), bool))
+                none = np.zeros(len(u))
+                yield from _sums(text, keys, none, none, times * value[p.of])
+
+    blobs = laid.where(F.col("kind") == WIDE_ROWS).select("rows", "payload", "texts", "keys")
+    return blobs.mapInArrow(valued, _OUT_FIELDS)
 
 
-def _same_pairs(u: np.ndarray, w: np.ndarray, one: np.ndarray) -> bool:
-    """Whether each hash of the pairs stands for one pair; ``one``: the first
-    of each hash in order of hashes."""
-    which = np.searchsorted(pair_hash(u[one], w[one]), pair_hash(u, w))
-    return bool((u[one][which] == u).all() and (w[one][which] == w).all())
+# --- fitting ---
 
 
 def _head_arrays(rows: pa.Table, n_classes_words: int):
@@ -494,7 +624,9 @@ def _head_arrays(rows: pa.Table, n_classes_words: int):
 
 
 def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
-    """(model, table of word counts) from the rows where ``learn`` holds."""
+    """(model, table of word counts) from the rows where ``learn`` holds. The
+    restaurants of words are seated by :func:`score`, whose one shuffle of
+    pairs serves both."""
     prepare(docs.sparkSession)
     texts = docs.where(F.coalesce(learn, F.lit(False))).select(
         F.coalesce(F.col("text"), F.lit("")).alias("text")
@@ -507,7 +639,7 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
                 k = len(w.key)
                 strings = pa.concat_arrays([w.strings(np.arange(k)), pa.array([END_WORD])])
                 n = np.append(np.bincount(w.which, minlength=k), part.num_rows)
-                key = np.append(w.key, np.uint64(EDGE)).view(np.int64)
+                key = np.append(w.key | TOP, EDGE).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [strings, pa.array(key), pa.array(n)], names=["word", "key", "n"])
 
@@ -522,6 +654,8 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     empty = np.empty(0, np.uint64)
     if not whole["types"]:
         return Model(0, 0, 0, 1 << 62, empty, empty, empty, empty, np.zeros((3, 2)), None), table
+    if table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        raise ValueError("two words share a hash")
     words = table.where(F.col("word") != END_WORD)
     least = frequent_from(words, F.octet_length("word"), HEAD_WORDS, HEAD_BYTES)
     if least is None:
@@ -534,27 +668,49 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     n_words = int((klass != RARE).sum()) if len(klass) else 0
     n_classes = n_words + 2
     model = Model(whole["total"], whole["types"], whole["ends"] or 0, least, key, check, count,
-                  klass, np.zeros((n_classes + 1, n_classes)), None)
+                  klass, np.zeros((n_classes + 1, n_classes)), None, texts=texts)
+    wide = (klass != RARE) | (count >= WIDE)
+    model.slot = np.where(wide, np.cumsum(wide), -1)
+    model.slots = int(wide.sum()) + 1
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         total = np.zeros((n_classes + 1) * n_classes, np.int64)
+        names = ["u", "w", "c", "hot"]
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
                 w = lower_words(*text_buffers(part.column(0)))
-                flat, before, _ = _sequences(w, shared.value.look_up(w)[2], n_classes)
+                code, _, _, klass = m.look_up(w)
+                flat, before, row = _sequences(w, klass, n_classes)
                 total += np.bincount(before * n_classes + flat, minlength=len(total))
+                _, last, which = _bigrams(w, flat, before, row)
+                code = np.append(code, EDGE)
+                a, b = code[last], code[which]
+                h = pair_hash(a, b)
+                bucket = (h >> np.uint64(44)).astype(np.int64)  # few are counted one by one
+                some = (np.bincount(bucket, minlength=1 << 20)[bucket] >= HOT) & (a < TOP) & (b < TOP)
+                _, one, c = np.unique(h[some], return_index=True, return_counts=True)
+                a, b, hot = a[some][one], b[some][one], c >= HOT
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[hot].view(np.int64)), pa.array(b[hot].view(np.int64)),
+                     pa.array(c[hot]), pa.array(np.ones(int(hot.sum()), bool))], names=names)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array((at // n_classes).astype(np.int32)),
-             pa.array((at % n_classes).astype(np.int32)), pa.array(total[at])],
-            names=["u", "w", "c"],
-        )
-
-    pairs = texts.mapInArrow(paired, "u int, w int, c bigint").groupBy("u", "w").agg(
-        F.sum("c").alias("c")
-    )
-    model.log_class = np.log10(class_model(pairs, n_classes)).astype(np.float32)
+            [pa.array(at // n_classes), pa.array(at % n_classes), pa.array(total[at]),
+             pa.array(np.zeros(len(at), bool))], names=names)
+
+    counts = saved(texts.mapInArrow(paired, "u bigint, w bigint, c bigint, hot boolean").groupBy(
+        "u", "w", "hot").agg(F.sum("c").alias("c")), "pair-counts")
+    model.log_class = np.log10(class_model(
+        counts.where("NOT hot").select(F.col("u").cast("int"), F.col("w").cast("int"), "c"),
+        n_classes)).astype(np.float32)
+    hot = counts.where("hot").select("u", "w", F.col("c").alias("n"))
+    if (at_least := frequent_from(hot, F.lit(24), HEAD_WORDS, HEAD_BYTES)) is not None:
+        rows = hot.where(F.col("n") >= at_least).toArrow()
+        u, w = (rows.column(x).to_numpy().view(np.uint64) for x in "uw")
+        order = np.argsort(pair_hash(u, w))
+        model.hot_u, model.hot_w = u[order], w[order]
     # rare words by count: exact up to EXACT, then by the mean of small steps
     step = F.when(F.col("n") <= EXACT, F.col("n").cast("double")).otherwise(
         F.floor(F.log2("n") * 64) + (1 << 20)
@@ -570,115 +726,173 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     hist = hist.set_index("step")[["n", "words"]].sub(less, fill_value=0)
     hist = hist[hist.words > 0]
     model.rare = RareWords((hist.n / hist.words).to_numpy(), hist.words.to_numpy())
-    learn_pairs(texts, model, table)
     return model, table
 
 
-def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row: log10
-    probabilities of the text, by add-0.1 unigrams and by the model."""
-    prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    keyed = docs.select(
-        F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).select("doc_id", F.xxhash64("text").alias("h"), "text")
+# --- scoring ---
+
 
-    def parts(batches):
+def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFrame]:
+    """What pairs and words outside the head add to texts (kind SUMS), and the
+    values of hot pairs. ``rows``: text, doc_id, h, g, train, scored."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    n_classes = model.log_class.shape[1]
+    parts = max(1, -(-model.total // PART_TOKENS))
+
+    def part_of(u, w):
+        spread = shared.value.contexts(u)[0] >= 0  # a wide context is dealt by its words
+        return (np.where(spread, pair_hash(u, w), mix(u)) % np.uint64(parts)).astype(np.int64)
+
+    def slices(batches):
+        m = shared.value
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
-                w = lower_words(*text_buffers(part.column(2)))
-                yield part, w, *shared.value.look_up(w)
+                words = lower_words(*text_buffers(part.column(0)))
+                code, known, _, klass = m.look_up(words)
+                row, last, which = _bigrams(words, *_sequences(words, klass, n_classes))
+                head = np.append(known, True)[which]
+                yield part, words, np.append(code, EDGE), head, row, last, which
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        n_classes = m.log_class.shape[1]
-        for part, w, known, count, klass in parts(batches):
-            flat, before, row = _sequences(w, klass, n_classes)
-            n = part.num_rows
-            total = np.bincount(row, m.log_class[before, flat].astype(float), n)
-            of = np.repeat(np.arange(n), np.diff(w.offsets))
-            head = known[w.which]
-            base = np.bincount(of, np.where(known, m.base(count), 0.0)[w.which], n).astype(float)
-            rare = np.where(known & (klass == RARE), m.rare_log10(count), 0.0)
-            total += np.bincount(of, rare[w.which], n)
-            if m.log_back is not None:
-                at, u, v, before, last = _bigrams(w, klass, n_classes)
-                own = np.zeros(len(w.key) + 1)  # the last: the start of a text
-                if len(m.key) and len(w.key):
-                    spot = np.minimum(np.searchsorted(m.key, w.key), len(m.key) - 1)
-                    own[:-1] = np.where(known, m.log_back[spot], 0.0)
-                back = np.where(before == RARE, own[last], m.log_back_class[before])
-                total += np.bincount(at, back + m.head_pairs(u, v)[1], n)
-            base += m.base(np.array([m.ends]))[0]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(np.ones(n, np.int64)),
-                 pa.array(np.diff(w.offsets) + 1),
-                 pa.array(np.bincount(of, head, n).astype(np.int64) + (m.ends > 0)),
-                 pa.array(base), pa.array(total)],
-                names=["doc_id", "h", "rows", "n_tokens", "n_known", "base_score", "score"],
-            )
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, w, known, _, _ in parts(batches):
-            at = np.flatnonzero(~known[w.which])
-            row = np.searchsorted(w.offsets, at, side="right") - 1
-            pair = row * max(len(w.key), 1) + w.which[at]  # a word once a text
-            pair, times = np.unique(pair, return_counts=True)
-            row, word = pair // max(len(w.key), 1), pair % max(len(w.key), 1)
-            yield pa.RecordBatch.from_arrays(
-                [w.strings(word), part.column(0).take(pa.array(row)),
-                 part.column(1).take(pa.array(row)), pa.array(times.astype(np.int64))],
-                names=["word", "doc_id", "h", "times"],
-            )
+    def flags(part):
+        return (np.asarray(part.column(i).to_numpy(zero_copy_only=False)) for i in (4, 5))
 
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for part, w, known, _, klass in parts(batches):
-            row, u, v, before, last = _bigrams(w, klass, m.log_class.shape[1])
-            rest = np.flatnonzero(~m.head_pairs(u, v)[0])
-            tail = np.flatnonzero((before == RARE) & ~np.append(known, True)[last])
-            row = np.append(row[rest], row[tail])
-            u, v = np.append(u[rest], u[tail]), np.append(v[rest], np.full(len(tail), NONE, np.uint64))
-            _, one, which, times = np.unique(  # a pair once a text
-                mix(pair_hash(u, v) + row.astype(np.uint64)), return_index=True,
-                return_inverse=True, return_counts=True)
-            if any((x[one][which] != x).any() for x in (u, v, row)):
-                raise ValueError("two pairs share a 64-bit hash")
+        for part, words, code, head, row, last, which in slices(batches):
+            train, scored = flags(part)
+            row, u, w = row[head], code[last[head]], code[which[head]]
+            c = train[row].astype(np.uint32)
+            text = np.where(scored[row], row, NO_TEXT).astype(np.uint32)
+            at = m.hot(u, w)
+            if (at >= 0).any():  # hot pairs send their customers only
+                n = np.bincount(at[at >= 0], c[at >= 0])
+                own = np.flatnonzero(n)
+                rest = at < 0
+                u, w = np.append(u[rest], m.hot_u[own]), np.append(w[rest], m.hot_w[own])
+                c = np.append(c[rest], n[own].astype(np.uint32))
+                text = np.append(text[rest], np.full(len(own), NO_TEXT, np.uint32))
+            place = part_of(u, w)
+            order = np.lexsort((w, u, place))
+            none = np.zeros(len(u), np.uint32)
+            columns = [x[order] for x in (u, w, none, none + np.uint32(1), c, text)]
+            yield from _blobs(place[order], columns, _text_keys(part))
+
+    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words, code, head, row, last, which in slices(batches):
+            row, last, which = row[~head], last[~head], which[~head]
+            train, scored = flags(part)
+            k = np.int64(len(words.key) + 1)
+            _, one, times = np.unique(  # a pair once a text
+                (row * k + last + 1) * k + which, return_index=True, return_counts=True)
+            row, last, which = row[one], last[one], which[one]
+            to = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(u[one].view(np.int64)), pa.array(v[one].view(np.int64)),
-                 part.column(0).take(pa.array(row[one])), part.column(1).take(pa.array(row[one])),
-                 pa.array(times.astype(np.int32))], names=["u", "w", "doc_id", "h", "times"])
+                [words.strings(which), pa.array(code[which].view(np.int64)),
+                 pa.array(code[last].view(np.int64)), pa.array(times.astype(np.int32)),
+                 part.column(1).take(to), part.column(2).take(to), part.column(3).take(to),
+                 pa.array(train[row]), pa.array(scored[row])],
+                names=["word", "w", "u", "times", "doc_id", "h", "g", "train", "scored"])
+
+    def tail_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in byte_batches(batches, lambda b: b.num_rows, 200_000):
+            rows = pa.Table.from_batches(held).combine_chunks()
+            if not rows.num_rows:
+                continue
+            batch = rows.to_batches()[0]
+            u, w, n, times = (batch.column(i).to_numpy() for i in range(4))
+            u, w = u.view(np.uint64), w.view(np.uint64)
+            train, scored = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+            times = times.astype(np.uint32)
+            text = np.where(scored, np.arange(len(u)), NO_TEXT).astype(np.uint32)
+            place = part_of(u, w)
+            order = np.lexsort((w, u, place))
+            columns = [x[order] for x in (u, w, n.astype(np.uint32), times, times * train, text)]
+            yield from _blobs(place[order], columns, _text_keys(batch))
+
+    few = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD)).select("word", "n")
+    met = rows.mapInArrow(
+        tails, "word string, w bigint, u bigint, times int, doc_id bigint, h bigint, g int, "
+        "train boolean, scored boolean").join(few, "word", "left").select(
+        "u", "w", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "times", "train", "scored",
+        "doc_id", "h", "g")
+    blobs = rows.mapInArrow(dealt, _BLOB).unionByName(met.mapInArrow(tail_dealt, _BLOB))
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_runs(batches):
+            yield from _settled(shared.value, part)
+
+    laid = saved(blobs.repartition("part").sortWithinPartitions("part").mapInArrow(
+        settled, _OUT_FIELDS), "pairs")
+    return [laid, saved(_wide_sums(shared, laid), "wide-pairs")]
+
+
+def score(
+    docs: DataFrame, model: Model, table: DataFrame, learn: Column | None = None
+) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of every row: log10
+    probabilities of the text, by add-0.1 unigrams and by the model.
+    ``learn``: the condition of :func:`fit`, if ``docs`` are the rows that it
+    was given; their texts are then read once for seating and scoring."""
+    spark = docs.sparkSession
+    prepare(spark)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = F.lit(False) if learn is None else F.coalesce(learn, F.lit(False))
+    keyed = docs.select(
+        text.alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("h"), F.hash(text).alias("g"), own.alias("train"),
+        F.lit(True).alias("scored"))
+    found: list[DataFrame] = []
+    if model.rare is not None:
+        rows = keyed
+        if learn is None:
+            rows = rows.unionByName(model.texts.select(
+                "text", F.lit(None).cast("bigint").alias("doc_id"),
+                F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("g"), F.lit(True).alias("train"),
+                F.lit(False).alias("scored")))
+        found = _pair_sums(rows, model, table)
+        if model.hot_u is not None:
+            model.hot_value = np.zeros(len(model.hot_u))
+            for each in found:
+                hot = each.where(F.col("kind") == HOT_PAIR).select("m", "score").toArrow()
+                model.hot_value[hot.column("m").to_numpy()] = hot.column("score").to_numpy()
+    shared = spark.sparkContext.broadcast(model)
 
-    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            times = batch.column(2).to_numpy()
-            count = batch.column(3).to_numpy()
-            zero = pa.array(np.zeros(len(times), np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), zero, zero,
-                 pa.array(np.where(count > 0, times, 0)), pa.array(m.base(count) * times),
-                 pa.array(m.rare_log10(count) * times)],
-                names=["doc_id", "h", "rows", "n_tokens", "n_known", "base_score", "score"],
-            )
-
-    fields = ("doc_id bigint, h bigint, rows bigint, n_tokens bigint, n_known bigint, "
-              "base_score double, score double")
-    rare_words = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD))
-    met = keyed.mapInArrow(others, "word string, doc_id bigint, h bigint, times bigint").join(
-        rare_words, "word", "left"
-    ).select("doc_id", "h", "times", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-    scores = keyed.mapInArrow(frequent, fields).unionByName(met.mapInArrow(valued, fields))
-    if model.pairs is not None:
-        rest = model.pairs.where((F.col("c") < model.pair_least) & ~F.col("head"))
-        found = keyed.mapInArrow(
-            bigrams, "u bigint, w bigint, doc_id bigint, h bigint, times int"
-        ).join(rest.select("u", "w", "value"), ["u", "w"])
-        zero = F.lit(0).cast("bigint")
-        scores = scores.unionByName(found.select(
-            "doc_id", "h", *(zero.alias(c) for c in ("rows", "n_tokens", "n_known")),
-            F.lit(0.0).alias("base_score"), (F.col("value") * F.col("times")).alias("score")))
-    sums = scores.groupBy("doc_id", "h").agg(*(F.sum(c).alias(c) for c in
+            for part in sliced(batch, "text", SLICE_BYTES):
+                w = lower_words(*text_buffers(part.column(0)))
+                code, known, count, klass = m.look_up(w)
+                flat, before, row = _sequences(w, klass, m.log_class.shape[1])
+                n = part.num_rows
+                total = np.bincount(row, m.log_class[before, flat].astype(float), n)
+                of = np.repeat(np.arange(n), np.diff(w.offsets))
+                head = known[w.which]
+                base = np.bincount(of, np.where(known, m.base(count), 0.0)[w.which], n)
+                rare = np.where(known & (klass == RARE), m.rare_log10(count), 0.0)
+                total += np.bincount(of, rare[w.which], n)
+                if m.hot_value is not None:
+                    row, last, which = _bigrams(w, flat, before, row)
+                    code = np.append(code, EDGE)
+                    at = m.hot(code[last], code[which])
+                    total += np.bincount(row[at >= 0], m.hot_value[at[at >= 0]], n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(1), part.column(2), part.column(3), pa.array(np.ones(n, np.int64)),
+                     pa.array(np.diff(w.offsets) + 1),
+                     pa.array(np.bincount(of, head, n).astype(np.int64) + (m.ends > 0)),
+                     pa.array(base + m.base(np.array([m.ends]))[0]), pa.array(total)],
+                    names=["doc_id", "h", "g", "rows", "n_tokens", "n_known", "base_score", "score"],
+                )
+
+    scores = keyed.mapInArrow(
+        frequent, "doc_id bigint, h bigint, g int, rows bigint, n_tokens bigint, n_known bigint, "
+        "base_score double, score double")
+    zero = F.lit(0).cast("bigint")
+    for each in found:
+        scores = scores.unionByName(each.where(F.col("kind") == SUMS).select(
+            "doc_id", "h", "g", zero.alias("rows"), zero.alias("n_tokens"),
+            F.col("known").alias("n_known"), F.col("base").alias("base_score"), "score"))
+    sums = scores.groupBy("doc_id", "h", "g").agg(*(F.sum(c).alias(c) for c in
                                    ("rows", "n_tokens", "n_known", "base_score", "score")))
     # equal rows were added up: share the sums and return each
     each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))

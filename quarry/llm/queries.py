@@ -90,8 +90,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model, counts = pitman_yor.fit(docs, crc_mod("doc_id", 10) != 0)
-    return pitman_yor.score(docs, model, counts).select(
+    learn = crc_mod("doc_id", 10) != 0
+    model, counts = pitman_yor.fit(docs, learn)
+    return pitman_yor.score(docs, model, counts, learn).select(
         "doc_id", held_out(10, 0), "n_tokens", "n_known",
         F.lit(model.total).cast("bigint").alias("train_tokens"), "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -92,27 +92,100 @@ def test_every_word_is_a_context(spark, monkeypatch, head):
     docs = [(i, t) for i, t in enumerate(["a a b p q a", "b r s a", "a b a", "p q", "r s"] * 6)]
     vocabulary = ["a", "b", "p", "q", "r", "s", "never"]
     docs += [(1000, "p q"), (1001, "p s"), (1002, "r s"), (1003, "r q")]
-    docs += [(2000 + i, f"p {x}") for i, x in enumerate(vocabulary)] + [(3000, "p")]
+    # "zz" was never learned from, so what follows it has the parents' probability
+    docs += [(2000 + i, f"p {x}") for i, x in enumerate(vocabulary)] + [(3000, "zz p")]
+    docs += [(4000 + i, f"zz {x}") for i, x in enumerate(vocabulary)] + [(3001, "zz"), (3002, "p")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     m, table = py.fit(df, F.col("doc_id") < 1000)
     got = {r.doc_id: r.score for r in py.score(df, m, table).collect()}
     assert got[1000] > got[1001] + 0.5 and got[1002] > got[1003] + 0.5
-    values = {(r.u, r.w): r.value for r in m.pairs.collect()}
-    key = {r.word: r.key for r in table.collect()}
-    back = values[key["p"], py.NONE]
     # P(. | p) of every word, of the end and of the unknown word
-    total = 0.0
     n = {r.word: r.n for r in table.collect()}
     klass = {w: 2 + i for i, w in enumerate(
         sorted((w for w in n if w), key=lambda w: (-n[w], w))[:2 if head else 0])} | {"": py.END}
-    for w in [*vocabulary, ""]:
-        k = klass.get(w, py.RARE)
-        base = m.log_class[py.RARE, k] + (
-            m.rare.log10(np.array([n.get(w, 0)]))[0] if k == py.RARE else 0)
-        total += 10.0 ** (base + back + values.get((key["p"], key.get(w, 0)), 0.0))
+    base = {w: m.log_class[py.RARE, klass.get(w, py.RARE)] + (
+        0 if w in klass else m.rare.log10(np.array([n.get(w, 0)]))[0]) for w in [*vocabulary, ""]}
+    first = got[3001] - base[""]  # P(zz | start)
+    ends = {x: got[4000 + i] - first - base[x] for i, x in enumerate(vocabulary)}
+    after_p = got[3002] - ends["p"]  # P(p | start)
+    total = 10.0 ** ends["p"] + sum(
+        10.0 ** (got[2000 + i] - after_p - ends[x]) for i, x in enumerate(vocabulary))
     assert total == pytest.approx(1, abs=0.02)  # as the rare words below it
 
 
+def seated_by_hand(texts, m, counts, classes):
+    """log10 P of texts where every pair that touches a rare word was learned
+    once: each has one table, so nothing is sampled."""
+    seen = Counter()
+    klass = {w: 2 + i for i, w in enumerate(classes)} | {"": py.END}
+    for t in texts:
+        w = [None, *words(t), ""]
+        seen.update((a, b) for a, b in zip(w, w[1:])
+                    if b not in klass or (a is not None and a not in klass))
+    assert set(seen.values()) == {1}
+    followers = Counter(a for a, _ in seen)
+
+    def log10(text):
+        total, before = 0.0, None
+        for w in [*words(text), ""]:
+            k = klass.get(w, py.RARE)
+            after = m.log_class.shape[0] - 1 if before is None else klass.get(before, py.RARE)
+            rare = m.rare.log10(np.array([counts.get(w, 0)]))[0] if k == py.RARE else 0.0
+            if k != py.RARE and after != py.RARE:
+                total += m.log_class[after, k]
+            else:
+                base = rare + (m.log_class[after, k] if after == py.RARE else 0.0)
+                c = t = followers[before]
+                own = (1 - 0.5) * ((before, w) in seen) / (py.STRENGTH + c)
+                p = own + (py.STRENGTH + 0.5 * t) / (py.STRENGTH + c) * 10.0**base
+                total += math.log10(p) + (m.log_class[after, k] if after != py.RARE else 0.0)
+            before = w
+        return total
+
+    return log10
+
+
+@pytest.mark.parametrize("apart, settings", [
+    (False, {"PART_TOKENS": 3, "WIDE": 0, "WIDE_BLOB": 1, "HOT": 1}),
+    (False, {"HEAD_WORDS": 5, "PART_TOKENS": 3}), (True, {}), (True, {"HOT": 1}),
+])
+def test_scores_against_seating_by_hand(spark, monkeypatch, settings, apart):
+    monkeypatch.setattr(py, "CLASSES", 2)
+    for k, v in settings.items():
+        monkeypatch.setattr(py, k, v)
+    texts = ["a b a b c d", "b a a e f g a", "a b h b b e c a", "a b b a i d b g", "a a"]
+    more = ["a c", "zz c d yy yy yy", "f g", "", "A b C d", "a b c d", "c zz zz"]
+    docs = list(enumerate([*texts, *more, more[1]]))
+    df = spark.createDataFrame([*docs, docs[0], docs[6]], "doc_id bigint, text string")
+    df = df.where("doc_id <> 0").union(df.where("doc_id = 0").limit(1)).repartition(3)
+    learn = F.col("doc_id") < len(texts)
+    m, table = py.fit(df, learn)
+    counts = {r.word: r.n for r in table.collect()}
+    by_hand = seated_by_hand(texts, m, counts, ["a", "b"])
+    rows = py.score(df, m, table, None if apart else learn).collect()
+    assert len(rows) == len(docs) + 1
+    for r in rows:
+        assert r.score == pytest.approx(by_hand(docs[r.doc_id][1]), abs=1e-5)
+    assert (m.hot_value is not None and bool((m.hot_value != 0).any())) == ("HOT" in settings)
+
+
+def test_a_context_of_many_followers_is_split_over_tasks(spark, monkeypatch):
+    # one context with a third of all pairs: dealt by its followers, its values
+    # are those of one restaurant up to the sampling of tables
+    monkeypatch.setattr(py, "CLASSES", 1)
+    texts = [f"p w{i % 400} p w{i % 7} x" for i in range(1200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = []
+    for wide, part in ((10**9, 10**9), (300, 500)):
+        monkeypatch.setattr(py, "WIDE", wide)
+        monkeypatch.setattr(py, "PART_TOKENS", part)
+        m, table = py.fit(df, F.lit(True))
+        got.append({r.doc_id: r.score for r in py.score(df, m, table, F.lit(True)).collect()})
+    assert m.slots > 1
+    a, b = (np.array([x[i] for i in range(1200)]) for x in got)
+    assert np.abs(a - b).max() < 0.1 and abs(a.mean() - b.mean()) < 0.01
+
+
 def test_seating_follows_the_restaurant_process():
     # mean tables of c customers with nothing else in the restaurant, against
     # seating customer by customer
