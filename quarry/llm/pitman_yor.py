@@ -21,8 +21,10 @@ is the word and no further restaurant is needed.
   for a rare word, a restaurant over the rare words that follow, with the base
   ``P(word | RARE)``.
 
-Pairs that touch a rare word are a table in the shared folder that grows with
-the corpus, and so are the probabilities learned from them. The restaurants of
+Pairs that touch a rare word are packed with their texts, dealt to parts by
+the word before, and settled there in one sorted pass: counted, seated, and
+added up by text. The pairs of contexts of many customers (WIDE) are dealt by
+both words, and their tables are summed over the tasks. The restaurants of
 classes and of rare words are seated first and are the given parents.
 
 Seating follows the Chinese restaurant process and is sampled by Gibbs sweeps:
@@ -35,9 +37,7 @@ the predictive probability is linear in them.
 
 Word counts are exact and grow with the corpus: they are a table in the shared
 folder. The counts of frequent words are broadcast (HEAD_WORDS, HEAD_BYTES);
-the others meet their occurrences in a join whose keys are all rare. So do the
-pairs: a pair seen in training adds log(P(word | before) / back-off) to a text,
-and every context adds the log of its back-off weight.
+the others meet their occurrences in a join whose keys are all rare.
 
 Defined results: null text counts as empty (one end token); rows with equal id
 and text are kept, each; a null id is scored and never learned from; without
