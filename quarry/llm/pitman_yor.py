@@ -70,7 +70,8 @@ EXACT = 64
 STRENGTH = 1.0  # concentration of every restaurant
 END_WORD = ""  # key of the end token; no word is empty
 
-PART_TOKENS = 4_000_000  # training tokens a part: what a task holds at once
+PART_TOKENS = 4_000_000  # training tokens a part, whose rows a task holds packed in 32 bytes
+GROUP_TOKENS = 500_000  # training tokens of a part's group: what a task seats at once
 WIDE = 100_000  # words of this count or more have restaurants over many tasks
 WIDE_BLOB = 200_000  # their rows a blob
 HOT = 32  # a pair of this count in a slice is looked up, not shuffled
@@ -350,7 +351,7 @@ def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 _PAIRS = (np.uint64, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
 _KEYS = (np.int64, np.int64, np.int32, np.uint8)
-_BLOB = "part int, rows int, payload binary, texts int, keys binary"
+_BLOB = "part int, rows array<int>, payload binary, texts int, keys binary"
 
 
 def _packed(columns) -> bytes:
@@ -366,49 +367,63 @@ def _unpacked(blob: bytes, rows: int, kinds) -> list[np.ndarray]:
     sizes = [np.dtype(k).itemsize for k in kinds]
     raw = np.frombuffer(pa.decompress(blob, rows * sum(sizes), codec="zstd"), np.uint8)
     ends = np.cumsum([0, *sizes]) * rows
-    return [np.ascontiguousarray(raw[a:b].reshape(s, rows).T).view(k).ravel()
+    return [raw[a:b].reshape(s, rows).T.copy().view(k).ravel()
             for a, b, s, k in zip(ends[:-1], ends[1:], sizes, kinds)]
 
 
-def _blob(columns, keys) -> tuple[int, bytes, int, bytes]:
-    """Rows (u, w, n, times, c, text) in order of u, and the keys of texts."""
+def _blob(columns, keys) -> tuple[bytes, int, bytes]:
+    """Rows (u, w, n, times, c, text), as a rule in order of u, and the keys of
+    texts."""
     u, w, n, times, c, text = columns
     own = np.unique(text)
     own = own[own != NO_TEXT]
     text = np.where(text == NO_TEXT, NO_TEXT, np.searchsorted(own, text).astype(np.uint32))
     step = np.diff(u, prepend=np.uint64(0))
     kinds = zip(_PAIRS, (step, w, n, times, c, text))
-    return (len(u), _packed([x.astype(k, copy=False) for k, x in kinds]), len(own),
+    return (_packed([x.astype(k, copy=False) for k, x in kinds]), len(own),
             _packed([x[own] for x in keys]))
 
 
-def _blobs(part: np.ndarray, columns, keys) -> Iterator[pa.RecordBatch]:
-    """One row for each part; ``columns`` in order of part and u."""
-    if not len(part):
+def _blobs(place: np.ndarray, groups: int, columns, keys) -> Iterator[pa.RecordBatch]:
+    """One row for each part, of ``groups`` places; ``columns`` in order of
+    place and u. ``rows``: of each group."""
+    if not len(place):
         return
+    part = place // groups
     ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
     out, lo = [], 0
     for hi in ends.tolist():
-        out.append((int(part[lo]), *_blob([x[lo:hi] for x in columns], keys)))
+        rows = np.bincount(place[lo:hi] - part[lo] * groups, minlength=groups)
+        out.append((int(part[lo]), rows.tolist(), *_blob([x[lo:hi] for x in columns], keys)))
         lo = hi
     yield pa.RecordBatch.from_arrays(
         [pa.array(x, t) for x, t in zip(zip(*out), (
-            pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()))],
+            pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary()))],
         names=["part", "rows", "payload", "texts", "keys"])
 
 
 def _gathered(rows: pa.Table):
-    """The pair rows and the text keys of blobs."""
-    pairs, keys, texts = [], [], 0
-    for n, payload, n_texts, own in zip(*(
-            rows.column(x).to_pylist() for x in ("rows", "payload", "texts", "keys"))):
-        columns = _unpacked(payload, n, _PAIRS)
-        columns[0] = np.cumsum(columns[0], dtype=np.uint64)
-        columns[5] = np.where(columns[5] == NO_TEXT, -1, columns[5].astype(np.int64) + texts)
-        pairs.append(columns)
-        keys.append(_unpacked(own, n_texts, _KEYS))
+    """The pair rows of blobs, by group, and the text keys. A group is a list
+    of columns for each blob."""
+    groups: list[list] = []
+    keys, texts = [], 0
+    for i in range(rows.num_rows):
+        sizes, payload, n_texts, own = (
+            rows.column(x)[i] for x in ("rows", "payload", "texts", "keys"))
+        sizes, n_texts = sizes.as_py(), n_texts.as_py()
+        columns = _unpacked(payload.as_buffer(), sum(sizes), _PAIRS)
+        np.cumsum(columns[0], out=columns[0])
+        text = columns[5]
+        text[text != NO_TEXT] += np.uint32(texts)
+        groups = groups or [[] for _ in sizes]
+        lo = 0
+        for group, n in zip(groups, sizes):
+            if n:
+                group.append([x[lo:lo + n] for x in columns])
+            lo += n
+        keys.append(_unpacked(own.as_buffer(), n_texts, _KEYS))
         texts += n_texts
-    return [np.concatenate(x) for x in zip(*pairs)], [np.concatenate(x) for x in zip(*keys)]
+    return groups, [np.concatenate(x) for x in zip(*keys)]
 
 
 def _text_keys(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -421,10 +436,10 @@ _OUT = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64()), ("g", pa.int32()),
     ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
     ("u", pa.int64()), ("w", pa.int64()), ("c", pa.int64()), ("n", pa.int64()),
-    ("m", pa.int64()), ("rows", pa.int32()), ("payload", pa.binary()), ("texts", pa.int32()),
+    ("m", pa.int64()), ("rows", pa.list_(pa.int32())), ("payload", pa.binary()), ("texts", pa.int32()),
     ("keys", pa.binary())])
 _OUT_FIELDS = ("kind int, doc_id bigint, h bigint, g int, known bigint, base double, score double, "
-               "u bigint, w bigint, c bigint, n bigint, m bigint, rows int, payload binary, "
+               "u bigint, w bigint, c bigint, n bigint, m bigint, rows array<int>, payload binary, "
                "texts int, keys binary")
 SUMS, HOT_PAIR, CELL, WIDE_ROWS = range(4)
 
@@ -436,20 +451,31 @@ def _out(kind: int, size: int, /, **columns) -> pa.RecordBatch:
          for f in _OUT], schema=_OUT)
 
 
-def _sums(text, keys, known, base, score) -> Iterator[pa.RecordBatch]:
-    """One row a text; ``text``: of each row of a part, -1: none."""
-    n = len(keys[0])
-    on = text >= 0
-    if not on.any():
-        return
-    frame = pd.DataFrame({"doc_id": keys[0], "h": keys[1], "g": keys[2], "null": keys[3]} | {
-        k: np.bincount(text[on], x[on], n)
-        for k, x in (("known", known), ("base", base), ("score", score))})
-    frame = frame.groupby(["doc_id", "h", "g", "null"], sort=False).sum().reset_index()
-    yield _out(SUMS, len(frame), doc_id=pa.array(
-        frame.doc_id.to_numpy(), pa.int64(), mask=frame.null.to_numpy() == 1),
-        h=frame.h.to_numpy(), g=frame.g.to_numpy(), known=frame.known.to_numpy().astype(np.int64),
-        base=frame.base.to_numpy(), score=frame.score.to_numpy())
+class _Sums:
+    """What pairs add to the texts of a part."""
+
+    def __init__(self, keys):
+        self.keys, self.sums = keys, np.zeros((3, len(keys[0])))
+
+    def add(self, text, *values) -> None:
+        """``values``: known, base and score; ``text``: of each, or NO_TEXT."""
+        on = text != NO_TEXT
+        for total, x in zip(self.sums, values):
+            total += np.bincount(text[on], x[on], len(total))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """One row a text."""
+        doc_id, h, g, null = self.keys
+        if not len(h):
+            return
+        frame = pd.DataFrame({"doc_id": doc_id, "h": h, "g": g, "null": null} | dict(
+            zip(("known", "base", "score"), self.sums)))
+        frame = frame.groupby(["doc_id", "h", "g", "null"], sort=False).sum().reset_index()
+        yield _out(SUMS, len(frame), doc_id=pa.array(
+            frame.doc_id.to_numpy(), pa.int64(), mask=frame.null.to_numpy() == 1),
+            h=frame.h.to_numpy(), g=frame.g.to_numpy(),
+            known=frame.known.to_numpy().astype(np.int64),
+            base=frame.base.to_numpy(), score=frame.score.to_numpy())
 
 
 class _Pairs:
@@ -510,9 +536,19 @@ def _hot_values(m: Model, p: _Pairs, value: np.ndarray, chosen: np.ndarray):
 
 
 def _settled(m: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """All rows of a part: seats the contexts that are whole here, adds up
-    their texts, and lays wide contexts aside."""
-    columns, keys = _gathered(rows)
+    """All rows of a part, group by group."""
+    groups, keys = _gathered(rows)
+    sums = _Sums(keys)
+    for group in groups:
+        if group:
+            yield from _settled_group(m, group, sums)
+    yield from sums.rows()
+
+
+def _settled_group(m: Model, group, sums: _Sums) -> Iterator[pa.RecordBatch]:
+    """Seats the contexts that are whole here, adds up their texts, and lays
+    wide contexts aside."""
+    columns = [np.concatenate(x) for x in zip(*group)]
     order = np.lexsort((columns[1], columns[0]))
     u, w, n, times, c, text = (x[order] for x in columns)
     del columns, order
@@ -523,7 +559,7 @@ def _settled(m: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     count = p.n[p.of]
     tail = times * (w >= TOP)  # words outside the head have not been counted yet
     score = times * value[p.of] + np.where(tail > 0, tail * m.rare_log10(count), 0.0)
-    yield from _sums(text, keys, tail * (count > 0), tail * m.base(count), score)
+    sums.add(text, tail * (count > 0), tail * m.base(count), score)
     if not wide.any():
         return
     seen = np.flatnonzero(wide & (p.c > 0))
@@ -537,13 +573,14 @@ def _settled(m: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     pair = p.of[aside]
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     lo = 0
-    text = np.where(text < 0, NO_TEXT, text).astype(np.uint32)
     while lo < len(aside):  # cut between pairs
         end = np.searchsorted(first, lo + WIDE_BLOB)
         hi = int(first[end]) if end < len(first) else len(aside)
         some = aside[lo:hi]
-        blob = _blob([u[some], w[some], p.n[p.of[some]], times[some], c[some], text[some]], keys)
-        yield _out(WIDE_ROWS, 1, **{k: [x] for k, x in zip(("rows", "payload", "texts", "keys"), blob)})
+        blob = _blob(
+            [u[some], w[some], p.n[p.of[some]], times[some], c[some], text[some]], sums.keys)
+        yield _out(WIDE_ROWS, 1, rows=[[len(some)]], **{
+            k: [x] for k, x in zip(("payload", "texts", "keys"), blob)})
         lo = hi
 
 
@@ -591,9 +628,9 @@ def _wide_sums(shared, laid: DataFrame) -> tuple[DataFrame, int]:
         m = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                (u, w, n, times, c, text), keys = _gathered(
+                [[(u, w, n, times, c, text)]], keys = _gathered(
                     pa.Table.from_batches([batch.slice(i, 1)]))
-                p = _Pairs(m, u, w, n, c)
+                p, sums = _Pairs(m, u, w, n, c), _Sums(keys)
                 mean = np.minimum(p.c, 1).astype(float)
                 more = np.flatnonzero(p.c > 1)
                 mean[more] = np.mean([
@@ -604,7 +641,8 @@ def _wide_sums(shared, laid: DataFrame) -> tuple[DataFrame, int]:
                 value += back
                 yield from _hot_values(m, p, value, np.ones(len(value), bool))
                 none = np.zeros(len(u))
-                yield from _sums(text, keys, none, none, times * value[p.of])
+                sums.add(text, none, none, times * value[p.of])
+                yield from sums.rows()
 
     blobs = laid.where(F.col("kind") == WIDE_ROWS).select("rows", "payload", "texts", "keys")
     return blobs.mapInArrow(valued, _OUT_FIELDS)
@@ -738,10 +776,13 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
     shared = rows.sparkSession.sparkContext.broadcast(model)
     n_classes = model.log_class.shape[1]
     parts = max(1, -(-model.total // PART_TOKENS))
+    groups = max(1, -(-model.total // (parts * GROUP_TOKENS)))
 
-    def part_of(u, w):
+    def place_of(u, w):
+        """The number of a group in all parts."""
         spread = shared.value.contexts(u)[0] >= 0  # a wide context is dealt by its words
-        return (np.where(spread, pair_hash(u, w), mix(u)) % np.uint64(parts)).astype(np.int64)
+        h = np.where(spread, pair_hash(u, w), mix(u))
+        return (h % np.uint64(parts * groups)).astype(np.int64)
 
     def slices(batches):
         m = shared.value
@@ -771,11 +812,11 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
                 u, w = np.append(u[rest], m.hot_u[own]), np.append(w[rest], m.hot_w[own])
                 c = np.append(c[rest], n[own].astype(np.uint32))
                 text = np.append(text[rest], np.full(len(own), NO_TEXT, np.uint32))
-            place = part_of(u, w)
+            place = place_of(u, w)
             order = np.lexsort((w, u, place))
             none = np.zeros(len(u), np.uint32)
             columns = [x[order] for x in (u, w, none, none + np.uint32(1), c, text)]
-            yield from _blobs(place[order], columns, _text_keys(part))
+            yield from _blobs(place[order], groups, columns, _text_keys(part))
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, code, head, row, last, which in slices(batches):
@@ -804,10 +845,10 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
             train, scored = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
             times = times.astype(np.uint32)
             text = np.where(scored, np.arange(len(u)), NO_TEXT).astype(np.uint32)
-            place = part_of(u, w)
+            place = place_of(u, w)
             order = np.lexsort((w, u, place))
             columns = [x[order] for x in (u, w, n.astype(np.uint32), times, times * train, text)]
-            yield from _blobs(place[order], columns, _text_keys(batch))
+            yield from _blobs(place[order], groups, columns, _text_keys(batch))
 
     few = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD)).select("word", "n")
     met = rows.mapInArrow(

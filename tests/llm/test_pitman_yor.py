@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,40 @@ def test_scores_against_seating_by_hand(spark, monkeypatch, settings, apart):
     assert (m.hot_value is not None and bool((m.hot_value != 0).any())) == ("HOT" in settings)
 
 
+@pytest.mark.parametrize("settings", [
+    {"PART_TOKENS": 20, "GROUP_TOKENS": 2, "WIDE": 0, "WIDE_BLOB": 1, "HOT": 1},
+    {"HEAD_WORDS": 5, "GROUP_TOKENS": 3},
+])
+def test_groups_of_a_part_score_as_by_hand(spark, monkeypatch, settings):
+    test_scores_against_seating_by_hand(spark, monkeypatch, settings, False)
+
+
+def test_a_part_is_seated_group_by_group(monkeypatch):
+    # 24 blobs of one part; no seating gets more rows than its group has
+    n, groups, texts = 3000, 8, 50
+    rng = np.random.default_rng(3)
+    empty = np.empty(0, np.uint64)
+    m = py.Model(10**6, 10**5, 1, 1, empty, empty, empty, empty, np.zeros((3, 2)), None)
+    blobs, want = [], np.zeros(24 * texts)
+    for i in range(24):
+        u = rng.integers(1, 400, n).astype(np.uint64) | py.TOP
+        w = rng.integers(1, 90, n).astype(np.uint64) | py.TOP
+        text = rng.integers(0, texts, n).astype(np.uint32)
+        place = (py.mix(u) % np.uint64(groups)).astype(np.int64)
+        order = np.lexsort((w, u, place))
+        one = np.ones(n, np.uint32)
+        keys = [np.arange(texts) + i * texts, np.zeros(texts, np.int64),
+                np.zeros(texts, np.int32), np.zeros(texts, np.uint8)]
+        blobs += py._blobs(place[order], groups, [x[order] for x in (u, w, one, one, one, text)], keys)
+        want[i * texts:][:texts] = np.bincount(text, minlength=texts)
+    sizes, pairs = [], py._Pairs
+    monkeypatch.setattr(py, "_Pairs", lambda m, u, *more: sizes.append(len(u)) or pairs(m, u, *more))
+    got = pa.Table.from_batches(list(py._settled(m, pa.Table.from_batches(blobs)))).to_pandas()
+    assert sum(sizes) == 24 * n and len(sizes) == groups and max(sizes) < 24 * n / 4
+    assert (got.kind == py.SUMS).all() and sorted(got.doc_id) == list(range(24 * texts))
+    assert (got.sort_values("doc_id").known.to_numpy() == want).all()
+
+
 def test_a_context_of_many_followers_is_split_over_tasks(spark, monkeypatch):
     # one context with a third of all pairs: dealt by its followers, its values
     # are those of one restaurant up to the sampling of tables. Two ways of
