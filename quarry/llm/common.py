@@ -93,7 +93,9 @@ def byte_terms(data: np.ndarray, place: np.ndarray, longest: int) -> np.ndarray:
     """Terms of the 64-bit polynomial hash of byte strings: the string's hash
     is their sum. ``place``: position of each byte in its string."""
     powers = np.cumprod(np.full(max(longest, 1), 0x9E3779B97F4A7C55, np.uint64))
-    return _BYTE[data] * powers[place]
+    term = powers[place]
+    term *= _BYTE[data]
+    return term
 
 
 def string_hashes(
@@ -172,9 +174,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     if not len(starts):
         return np.empty(0, np.uint64), woff
     kept = _LOWER_BYTES[data[solid]]
-    at = np.cumsum(solid, dtype=np.int64)[starts] - 1
+    at = np.cumsum(solid, dtype=np.int32)[starts].astype(np.int64) - 1
     lens = np.diff(np.append(at, len(kept)))
-    place = np.arange(len(kept)) - np.repeat(at, lens)
+    place = np.arange(len(kept), dtype=np.int32)
+    place -= np.repeat(at.astype(np.int32), lens)
     term = byte_terms(kept, place, int(lens.max()))
     return mix(np.add.reduceat(term, at) + lens.astype(np.uint64)), woff
 

@@ -56,8 +56,8 @@ PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BLOCK = 512  # sets verified with each other in one task
 SMALL = 40  # elements up to which a set gets one-deletion neighbourhoods
 BUCKET = 1 << 15  # nodes of one signature held at once
-BLOCK_ELEMENTS = 1 << 26  # cells of the matrix multiplied at once
-SLICE_BYTES = 4 << 20
+BLOCK_ELEMENTS = 1 << 24  # cells of the matrix multiplied at once
+SLICE_BYTES = 1 << 20
 SEEN = 1 << 16  # texts of a task remembered at once
 
 _U = np.uint64

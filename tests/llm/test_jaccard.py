@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -256,3 +257,25 @@ def test_components(spark):
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
     assert got == {x: root(x) for x in parent}
+
+
+def test_memory_of_a_slice_and_of_a_tile():
+    # a Python worker stands beside a full heap: a slice of texts and a tile
+    # take a few dozen MB at most
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in rng.integers(0, 20_000, jaccard.SLICE_BYTES // 6)]
+    raw = [" ".join(words[i:i + 350]).encode() for i in range(0, len(words), 350)]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum([0, *map(len, raw)]).astype(np.int64)
+    sets = [np.sort(rng.choice(200_000, 400, replace=False)).astype(np.uint64)
+            for _ in range(jaccard.BLOCK)]
+    tracemalloc.start()
+    try:
+        jaccard.signatures(*jaccard.element_sets(data, ends, 5), jaccard.Bands(80))
+        slice_peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        jaccard.links(sets, 80)
+        tile_peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert slice_peak < 60e6 and tile_peak < 60e6
