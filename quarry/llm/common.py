@@ -160,9 +160,85 @@ def _word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return solid, first
 
 
+_WORD_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)  # the first n bytes
+_SPACES = _U(0x2020202020202020)
+_ROUNDS = 8  # longer words than this many times 8 bytes are hashed byte by byte
+
+
+def _taken(data: np.ndarray, at: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The strings of ``data`` that begin at ``at``, one after another."""
+    ends = np.cumsum(lens)
+    inside = np.arange(int(ends[-1]) if len(ends) else 0)
+    return data[np.repeat(at - ends + lens, lens) + inside]
+
+
+class _LowerWords(Words):
+    """The same for words between ASCII white space. Words are told apart 8
+    bytes at a time, and only the distinct are hashed byte by byte."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        n = len(data)
+        eights = np.full(n // 8 + 2, _SPACES, "<u8")
+        low = eights.view(np.uint8)
+        low[:n] = data
+        solid = (low[:n] != 32) & (low[:n] - np.uint8(9) > 4)
+        # A-Z in every byte at once: the top bit of each tells
+        ascii_bits = eights & _U(0x7F7F7F7F7F7F7F7F)
+        upper = (ascii_bits + _U(0x3F3F3F3F3F3F3F3F)) & ~(ascii_bits + _U(0x2525252525252525))
+        upper &= ~eights & _U(0x8080808080808080)
+        eights |= upper >> _U(2)
+        every = np.ndarray(len(low) - 7, "<u8", low, strides=(1,))  # from every byte on
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        at = offsets[:-1][offsets[:-1] < n]
+        first[at] = solid[at]
+        starts = np.flatnonzero(first)
+        self.offsets = np.searchsorted(starts, offsets)
+        self.which = np.empty(0, np.int64)
+        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self._bytes, self._at, self._lens = low, self.which, self.which
+        if not len(starts):
+            return
+        last = solid.copy()
+        last[:-1] &= ~solid[1:] | first[1:]
+        lens = np.flatnonzero(last) + 1 - starts
+
+        def eight(at, lens):
+            """Eight bytes from ``at``, with spaces for those after ``lens``."""
+            mask = _WORD_MASK[np.minimum(lens, 8)]
+            return (every[at] & mask) | (_SPACES & ~mask)
+
+        one = eight(starts, lens)  # the word itself, if no longer: no word has a space
+        two = lens.astype(_U)
+        some = np.flatnonzero(lens > 8)
+        for i in range(1, _ROUNDS):
+            some = some[lens[some] > 8 * i]
+            if not len(some):
+                break
+            more = eight(starts[some] + 8 * i, lens[some] - 8 * i)
+            one[some] = mix(one[some] + _U(i)) + more
+            two[some] = mix(two[some] ^ more)
+        some = some[lens[some] > 8 * _ROUNDS]
+        if len(some):
+            n_bytes = lens[some]
+            one[some], two[some] = string_hashes(
+                _taken(low, starts[some], n_bytes), np.cumsum(n_bytes) - n_bytes, n_bytes)
+        self.which, found = pd.factorize(one, size_hint=len(one) // 4)
+        top = np.maximum.accumulate(self.which)  # distinct words are numbered as they come
+        new = np.flatnonzero(np.diff(top, prepend=-1))
+        same = (two[new][self.which] == two) & (lens[new][self.which] == lens)
+        self._lens = lens[new]
+        self._at = np.cumsum(self._lens) - self._lens
+        self._bytes = _taken(low, starts[new], self._lens)
+        self.key, self.check = string_hashes(self._bytes, self._at, self._lens)
+        keys = np.sort(self.key)
+        if not same.all() or (keys[1:] == keys[:-1]).any():
+            raise ValueError("two words share a 64-bit hash")
+
+
 def lower_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     """The words of a batch, A-Z lower-cased."""
-    return Words(_LOWER_BYTES[data], *_word_starts(data, offsets), offsets)
+    return _LowerWords(data, offsets)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

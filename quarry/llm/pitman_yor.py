@@ -49,6 +49,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -57,7 +58,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (
-    byte_batches, frequent_from, lower_words, mix, saved, sliced, prepare, string_hashes,
+    byte_batches, frequent_from, lower_words, mix, saved, prepare, string_hashes,
     text_buffers,
 )
 
@@ -97,14 +98,23 @@ def seat(
     pull = (STRENGTH + discount * tables) * base
     n = 1
     active = np.flatnonzero(customers > n)
+    c, own, pull = customers[active], t[active], pull[active]
     while len(active):
-        step = 1 if n < EXACT else n // 10
-        some = np.minimum(step, customers[active] - n).astype(np.int64)
-        old = np.maximum(n + (some - 1) / 2 - discount * t[active], 1e-9)
-        p = pull[active] / (pull[active] + old)
-        t[active] += rng.binomial(some, p)
-        n += step
-        active = active[customers[active] > n]
+        if n < EXACT:
+            p = pull / (pull + np.maximum(n - discount * own, 1e-9))
+            x = rng.random(len(p))  # as rng.binomial(1, p) draws
+            own += np.where(p <= 0.5, x > 1 - p, x <= p)
+            n += 1
+        else:
+            step = n // 10
+            some = np.minimum(step, c - n).astype(np.int64)
+            old = np.maximum(n + (some - 1) / 2 - discount * own, 1e-9)
+            own += rng.binomial(some, pull / (pull + old))
+            n += step
+        more = c > n
+        if not more.all():
+            t[active] = own
+            active, c, own, pull = active[more], c[more], own[more], pull[more]
     return t
 
 
@@ -227,6 +237,27 @@ def _seated(
 # --- the corpus ---
 
 
+class _Places:
+    """Finds numbers in a sorted array of hashes: their top bits tell nearly
+    where."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = len(hashes).bit_length() + 1
+        self.n, self.shift = len(hashes), np.uint64(64 - bits)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        tops = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(hashes, tops).astype(np.int32)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """The first place of each, -1 for those that are not there."""
+        at = self.first[wanted >> self.shift]
+        less = np.flatnonzero(self.hashes[at] < wanted)
+        while len(less):
+            at[less] += 1
+            less = less[self.hashes[at[less]] < wanted[less]]
+        return np.where((self.hashes[at] == wanted) & (at < self.n), at, -1)
+
+
 @dataclass
 class Model:
     total: int  # N, training tokens
@@ -247,23 +278,33 @@ class Model:
     texts: DataFrame | None = None  # training texts, on the driver only
 
     def __getstate__(self):
-        return self.__dict__ | {"texts": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("places", "hot_places")} | {
+            "texts": None}
+
+    @cached_property
+    def places(self) -> _Places:
+        return _Places(self.key)
+
+    @cached_property
+    def hot_places(self) -> _Places:
+        return _Places(pair_hash(self.hot_u, self.hot_w))
 
     def look_up(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(code, in the head, count, class) of the distinct words of a batch."""
         n = len(words.key)
         if not len(self.key) or not n:
             return words.key | TOP, np.zeros(n, bool), np.zeros(n, np.int64), np.full(n, RARE)
-        at = np.minimum(np.searchsorted(self.key, words.key), len(self.key) - 1)
-        known = (self.key[at] == words.key) & (self.check[at] == words.check)
+        at = self.places(words.key)
+        known = (at >= 0) & (self.check[at] == words.check)
         return (np.where(known, at.astype(np.uint64) + FIRST, words.key | TOP), known,
                 np.where(known, self.count[at], 0), np.where(known, self.klass[at], RARE))
 
     def _of(self, code, values, other):
-        head = (code >= FIRST) & (code < TOP)
         if not len(self.key):
             return np.full(len(code), other)
-        return np.where(head, values[np.where(head, code - FIRST, 0).astype(np.int64)], other)
+        at = code - FIRST  # the start wraps around
+        last = np.uint64(len(self.key) - 1)
+        return np.where(at <= last, values[np.minimum(at, last).astype(np.int64)], other)
 
     def contexts(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slot, whether it is a rare word) of contexts."""
@@ -284,9 +325,11 @@ class Model:
         """The numbers of the hot pairs, -1 for others."""
         if self.hot_u is None or not len(self.hot_u):
             return np.full(len(u), -1)
-        keys = pair_hash(self.hot_u, self.hot_w)
-        at = np.minimum(np.searchsorted(keys, pair_hash(u, w)), len(keys) - 1)
-        return np.where((self.hot_u[at] == u) & (self.hot_w[at] == w), at, -1)
+        at = self.hot_places(pair_hash(u, w))
+        found = np.flatnonzero(at >= 0)
+        other = (self.hot_u[at[found]] != u[found]) | (self.hot_w[at[found]] != w[found])
+        at[found[other]] = -1
+        return at
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.total + 0.1 * (self.types + 1)))
@@ -311,10 +354,44 @@ def _sequences(words, klass: np.ndarray, n_classes: int):
     return flat, before, np.repeat(np.arange(n_docs), n + 1)
 
 
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Even slices of about ``most`` text bytes at most."""
+    _, off = text_buffers(batch.column(batch.schema.get_field_index("text")))
+    n = max(1, -(-int(off[-1]) // most))
+    cuts = np.searchsorted(off[:-1], np.arange(1, n) * (off[-1] / n))
+    cuts = np.unique([0, *cuts, batch.num_rows]).tolist()
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(lo, hi - lo)
+
+
 def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u) + w)
 
 
+def _order(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The rows in order of (u, w); equal pairs come in any order."""
+    upper, lower = (np.where(x < TOP, x, x >> np.uint64(32)) for x in (u, w))
+    order = np.argsort(upper << np.uint64(32) | lower)
+    a, b = u[order], w[order]
+    wrong = (a[1:] < a[:-1]) | ((a[1:] == a[:-1]) & (b[1:] < b[:-1]))
+    if wrong.any():  # hashes with the same upper half
+        run = upper[order]
+        run = np.cumsum(np.concatenate([[0], run[1:] != run[:-1]]))
+        bad = np.zeros(int(run[-1]) + 1, bool)
+        bad[run[1:][wrong]] = True
+        some = np.flatnonzero(bad[run])
+        order[some] = order[some][np.lexsort((b[some], a[some], run[some]))]
+    return order
+
+
+def _order_by_place(place: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    order = _order(u, w)
+    place = place[order]
+    if len(place) and int(place.max()) < 1 << 16:
+        place = place.astype(np.uint16)  # sorted by its digits
+    return order[np.argsort(place, kind="stable")]
+
+
 def _bigrams(words, flat: np.ndarray, before: np.ndarray, row: np.ndarray):
     """(text, distinct word before, distinct word) of the tokens of a batch
     that touch a rare word with the one before; -1: the start or the end."""
@@ -355,29 +432,48 @@ _BLOB = "part int, rows array<int>, payload binary, texts int, keys binary"
 
 
 def _packed(columns) -> bytes:
-    """Columns byte plane by byte plane, compressed."""
-    return pa.compress(b"".join(
-        np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
-        for x in columns), codec="zstd", asbytes=True)
+    """Columns byte plane by byte plane, compressed, without the upper planes
+    that are all zero; first the number of planes of each."""
+    planes, used = [], []
+    for x in columns:
+        x = np.ascontiguousarray(x).view(f"<u{x.itemsize}")
+        used.append((int(x.max()).bit_length() + 7) // 8 if len(x) else 0)
+        planes.append(x.view(np.uint8).reshape(len(x), x.itemsize)[:, :used[-1]].T.tobytes())
+    return bytes(used) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes, rows: int, kinds) -> list[np.ndarray]:
+def _unpacked(blob: pa.Buffer, rows: int, kinds) -> list[np.ndarray]:
     if not rows:
         return [np.empty(0, k) for k in kinds]
-    sizes = [np.dtype(k).itemsize for k in kinds]
-    raw = np.frombuffer(pa.decompress(blob, rows * sum(sizes), codec="zstd"), np.uint8)
-    ends = np.cumsum([0, *sizes]) * rows
-    return [raw[a:b].reshape(s, rows).T.copy().view(k).ravel()
-            for a, b, s, k in zip(ends[:-1], ends[1:], sizes, kinds)]
+    used = list(blob[:len(kinds)].to_pybytes())
+    ends = np.cumsum([0, *used]) * rows
+    raw = np.empty(0, np.uint8)
+    if ends[-1]:
+        raw = np.frombuffer(
+            pa.decompress(blob.slice(len(kinds)), int(ends[-1]), codec="zstd"), np.uint8)
+    out = []
+    for a, b, n, kind in zip(ends[:-1], ends[1:], used, kinds):
+        bytes_of = np.zeros((rows, np.dtype(kind).itemsize), np.uint8)
+        bytes_of[:, :n] = raw[a:b].reshape(n, rows).T
+        out.append(bytes_of.view(kind).ravel())
+    return out
 
 
 def _blob(columns, keys) -> tuple[bytes, int, bytes]:
     """Rows (u, w, n, times, c, text), as a rule in order of u, and the keys of
     texts."""
     u, w, n, times, c, text = columns
-    own = np.unique(text)
-    own = own[own != NO_TEXT]
-    text = np.where(text == NO_TEXT, NO_TEXT, np.searchsorted(own, text).astype(np.uint32))
+    known = len(keys[0])
+    if known <= 4 * len(text):  # few enough to number them by a table
+        seen = np.zeros(known + 1, bool)
+        seen[np.minimum(text, np.uint32(known))] = True
+        own = np.flatnonzero(seen[:known])
+        number = np.append((np.cumsum(seen[:known]) - 1).astype(np.uint32), NO_TEXT)
+        text = number[np.minimum(text, np.uint32(known))]
+    else:
+        own = np.unique(text)
+        own = own[own != NO_TEXT]
+        text = np.where(text == NO_TEXT, NO_TEXT, np.searchsorted(own, text).astype(np.uint32))
     step = np.diff(u, prepend=np.uint64(0))
     kinds = zip(_PAIRS, (step, w, n, times, c, text))
     return (_packed([x.astype(k, copy=False) for k, x in kinds]), len(own),
@@ -539,36 +635,42 @@ def _settled(m: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """All rows of a part, group by group."""
     groups, keys = _gathered(rows)
     sums = _Sums(keys)
+    cells: list[pd.DataFrame] = []
     for group in groups:
         if group:
-            yield from _settled_group(m, group, sums)
+            yield from _settled_group(m, group, sums, cells)
+    if cells:
+        same = ["u", "known", "w", "c", "n"]
+        frame = pd.concat(cells).groupby(same, sort=False, as_index=False).sum()
+        yield _out(CELL, len(frame), **{k: frame[k].to_numpy().astype(np.int64) for k in frame})
     yield from sums.rows()
 
 
-def _settled_group(m: Model, group, sums: _Sums) -> Iterator[pa.RecordBatch]:
+def _settled_group(
+    m: Model, group, sums: _Sums, cells: list[pd.DataFrame]
+) -> Iterator[pa.RecordBatch]:
     """Seats the contexts that are whole here, adds up their texts, and lays
-    wide contexts aside."""
+    wide contexts aside; ``cells`` gets what their seating needs."""
     columns = [np.concatenate(x) for x in zip(*group)]
-    order = np.lexsort((columns[1], columns[0]))
+    order = _order(columns[0], columns[1])
     u, w, n, times, c, text = (x[order] for x in columns)
     del columns, order
     p = _Pairs(m, u, w, n, c)
     wide = p.slot >= 0
     value = np.where(wide, 0.0, _seated_whole(p))
     yield from _hot_values(m, p, value, ~wide)
-    count = p.n[p.of]
-    tail = times * (w >= TOP)  # words outside the head have not been counted yet
-    score = times * value[p.of] + np.where(tail > 0, tail * m.rare_log10(count), 0.0)
-    sums.add(text, tail * (count > 0), tail * m.base(count), score)
+    tail = p.w >= TOP  # words outside the head have not been counted yet
+    score = value + np.where(tail, m.rare_log10(p.n), 0.0)
+    sums.add(text, *(times * x[p.of] for x in (
+        tail & (p.n > 0), np.where(tail, m.base(p.n), 0.0), score)))
     if not wide.any():
         return
     seen = np.flatnonzero(wide & (p.c > 0))
     more = p.c[seen] > 1  # one customer has one table
-    cells = pd.DataFrame({
+    own = pd.DataFrame({
         "u": p.slot[seen], "known": p.rare[seen] * more, "w": p.klass[seen] * more, "c": p.c[seen],
         "n": p.n[seen] * more})
-    cells = cells.groupby(list(cells), sort=False).size().rename("m").reset_index()
-    yield _out(CELL, len(cells), **{k: cells[k].to_numpy().astype(np.int64) for k in cells})
+    cells.append(own.groupby(list(own), sort=False).size().rename("m").reset_index())
     aside = np.flatnonzero(wide[p.of])
     pair = p.of[aside]
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
@@ -588,7 +690,7 @@ def _wide_sums(shared, laid: DataFrame) -> tuple[DataFrame, int]:
     """Seats wide contexts, whose tables are summed over the tasks sweep by
     sweep, and adds up their texts."""
     m = shared.value
-    cells = laid.where(F.col("kind") == CELL).select("u", "w", "known", "c", "n", "m")
+    cells = saved(laid.where(F.col("kind") == CELL).select("u", "w", "known", "c", "n", "m"), "cells")
     amount = F.when(F.col("c") == 1, F.col("m")), F.when(F.col("c") == 2, F.col("m"))
     per = cells.groupBy("u").agg(
         F.sum(F.col("c") * F.col("m")).alias("c"), F.sum("m").alias("t"),
@@ -610,10 +712,12 @@ def _wide_sums(shared, laid: DataFrame) -> tuple[DataFrame, int]:
             for batch in batches:
                 u, w, rare, c, n, times = (x.to_numpy() for x in batch.columns)
                 base = m.dish_base(rare > 0, w, n)
-                for rows in byte_batches(range(len(u)), lambda i: int(times[i]), 1 << 20):
-                    each = np.repeat(np.array(rows), times[rows])
+                group = (np.cumsum(times) - 1) >> 20  # about 2**20 dishes at once
+                cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1)).tolist()
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    each = np.repeat(np.arange(lo, hi), times[lo:hi])
                     total += np.bincount(u[each], _batch_seats(
-                        c[each], base[each], now[u[each]], discount, sweep, n[rows]), m.slots)
+                        c[each], base[each], now[u[each]], discount, sweep, n[lo:hi]), m.slots)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["u", "t"])
 
@@ -661,6 +765,14 @@ def _head_arrays(rows: pa.Table, n_classes_words: int):
     return key[order], check[order], count[order], klass[order]
 
 
+def _codes(words: pa.Array) -> np.ndarray:
+    """Codes of words outside the head."""
+    data, off = text_buffers(words)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    return string_hashes(data, off[:-1], np.diff(off))[0] | TOP
+
+
 def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     """(model, table of word counts) from the rows where ``learn`` holds. The
     restaurants of words are seated by :func:`score`, whose one shuffle of
@@ -672,18 +784,21 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, "text", SLICE_BYTES):
+            for part in _slices(batch, SLICE_BYTES):
                 w = lower_words(*text_buffers(part.column(0)))
                 k = len(w.key)
                 strings = pa.concat_arrays([w.strings(np.arange(k)), pa.array([END_WORD])])
                 n = np.append(np.bincount(w.which, minlength=k), part.num_rows)
-                key = np.append(w.key | TOP, EDGE).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [strings, pa.array(key), pa.array(n)], names=["word", "key", "n"])
+                yield pa.RecordBatch.from_arrays([strings, pa.array(n)], names=["word", "n"])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_codes(batch.column(0)).view(np.int64))], names=["key"])
 
     table = saved(
-        texts.mapInArrow(counted, "word string, key bigint, n bigint")
-        .groupBy("word").agg(F.sum("n").alias("n"), F.min("key").alias("key")), "word-counts",
+        texts.mapInArrow(counted, "word string, n bigint")
+        .groupBy("word").agg(F.sum("n").alias("n")), "word-counts",
     )
     whole = table.agg(
         F.sum("n").alias("total"), F.count("*").alias("types"),
@@ -692,9 +807,10 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     empty = np.empty(0, np.uint64)
     if not whole["types"]:
         return Model(0, 0, 0, 1 << 62, empty, empty, empty, empty, np.zeros((3, 2)), None), table
-    if table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        raise ValueError("two words share a hash")
     words = table.where(F.col("word") != END_WORD)
+    keyed = words.select("word").mapInArrow(keys, "key bigint")
+    if keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        raise ValueError("two words share a hash")
     least = frequent_from(words, F.octet_length("word"), HEAD_WORDS, HEAD_BYTES)
     if least is None:
         key, check, count, klass = (empty,) * 4
@@ -717,7 +833,7 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
         total = np.zeros((n_classes + 1) * n_classes, np.int64)
         names = ["u", "w", "c", "hot"]
         for batch in batches:
-            for part in sliced(batch, "text", SLICE_BYTES):
+            for part in _slices(batch, SLICE_BYTES):
                 w = lower_words(*text_buffers(part.column(0)))
                 code, _, _, klass = m.look_up(w)
                 flat, before, row = _sequences(w, klass, n_classes)
@@ -784,15 +900,16 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
         h = np.where(spread, pair_hash(u, w), mix(u))
         return (h % np.uint64(parts * groups)).astype(np.int64)
 
+    def pairs_of(part):
+        words = lower_words(*text_buffers(part.column(0)))
+        code, known, _, klass = shared.value.look_up(words)
+        row, last, which = _bigrams(words, *_sequences(words, klass, n_classes))
+        return words, np.append(code, EDGE), np.append(known, True)[which], row, last, which
+
     def slices(batches):
-        m = shared.value
         for batch in batches:
-            for part in sliced(batch, "text", SLICE_BYTES):
-                words = lower_words(*text_buffers(part.column(0)))
-                code, known, _, klass = m.look_up(words)
-                row, last, which = _bigrams(words, *_sequences(words, klass, n_classes))
-                head = np.append(known, True)[which]
-                yield part, words, np.append(code, EDGE), head, row, last, which
+            for part in _slices(batch, SLICE_BYTES):
+                yield part, *pairs_of(part)
 
     def flags(part):
         return (np.asarray(part.column(i).to_numpy(zero_copy_only=False)) for i in (4, 5))
@@ -802,8 +919,10 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
         for part, words, code, head, row, last, which in slices(batches):
             train, scored = flags(part)
             row, u, w = row[head], code[last[head]], code[which[head]]
+            del words, code, head, last, which  # a task has little memory
             c = train[row].astype(np.uint32)
             text = np.where(scored[row], row, NO_TEXT).astype(np.uint32)
+            del row
             at = m.hot(u, w)
             if (at >= 0).any():  # hot pairs send their customers only
                 n = np.bincount(at[at >= 0], c[at >= 0])
@@ -812,11 +931,14 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
                 u, w = np.append(u[rest], m.hot_u[own]), np.append(w[rest], m.hot_w[own])
                 c = np.append(c[rest], n[own].astype(np.uint32))
                 text = np.append(text[rest], np.full(len(own), NO_TEXT, np.uint32))
+            del at
             place = place_of(u, w)
-            order = np.lexsort((w, u, place))
+            order = _order_by_place(place, u, w)
             none = np.zeros(len(u), np.uint32)
-            columns = [x[order] for x in (u, w, none, none + np.uint32(1), c, text)]
-            yield from _blobs(place[order], groups, columns, _text_keys(part))
+            u, w, c, text, place = (x[order] for x in (u, w, c, text, place))
+            del order
+            columns = [u, w, none, none + np.uint32(1), c, text]
+            yield from _blobs(place, groups, columns, _text_keys(part))
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, code, head, row, last, which in slices(batches):
@@ -828,11 +950,11 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
             row, last, which = row[one], last[one], which[one]
             to = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [words.strings(which), pa.array(code[which].view(np.int64)),
-                 pa.array(code[last].view(np.int64)), pa.array(times.astype(np.int32)),
+                [words.strings(which), pa.array(code[last].view(np.int64)),
+                 pa.array(times.astype(np.int32)),
                  part.column(1).take(to), part.column(2).take(to), part.column(3).take(to),
                  pa.array(train[row]), pa.array(scored[row])],
-                names=["word", "w", "u", "times", "doc_id", "h", "g", "train", "scored"])
+                names=["word", "u", "times", "doc_id", "h", "g", "train", "scored"])
 
     def tail_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in byte_batches(batches, lambda b: b.num_rows, 200_000):
@@ -840,21 +962,21 @@ def _pair_sums(rows: DataFrame, model: Model, table: DataFrame) -> list[DataFram
             if not rows.num_rows:
                 continue
             batch = rows.to_batches()[0]
-            u, w, n, times = (batch.column(i).to_numpy() for i in range(4))
-            u, w = u.view(np.uint64), w.view(np.uint64)
+            u, n, times = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            u, w = u.view(np.uint64), _codes(batch.column(0))
             train, scored = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
             times = times.astype(np.uint32)
             text = np.where(scored, np.arange(len(u)), NO_TEXT).astype(np.uint32)
             place = place_of(u, w)
-            order = np.lexsort((w, u, place))
+            order = _order_by_place(place, u, w)
             columns = [x[order] for x in (u, w, n.astype(np.uint32), times, times * train, text)]
             yield from _blobs(place[order], groups, columns, _text_keys(batch))
 
     few = table.where((F.col("n") < model.least) & (F.col("word") != END_WORD)).select("word", "n")
     met = rows.mapInArrow(
-        tails, "word string, w bigint, u bigint, times int, doc_id bigint, h bigint, g int, "
+        tails, "word string, u bigint, times int, doc_id bigint, h bigint, g int, "
         "train boolean, scored boolean").join(few, "word", "left").select(
-        "u", "w", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "times", "train", "scored",
+        "word", "u", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "times", "train", "scored",
         "doc_id", "h", "g")
     blobs = rows.mapInArrow(dealt, _BLOB).unionByName(met.mapInArrow(tail_dealt, _BLOB))
 
@@ -901,7 +1023,7 @@ def score(
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in sliced(batch, "text", SLICE_BYTES):
+            for part in _slices(batch, SLICE_BYTES):
                 w = lower_words(*text_buffers(part.column(0)))
                 code, known, count, klass = m.look_up(w)
                 flat, before, row = _sequences(w, klass, m.log_class.shape[1])

@@ -10,9 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.llm import common, queries
 from quarry.llm import pitman_yor as py
-from quarry.llm import queries
-from tests.llm.helpers import SF, documents, empty_documents, odd_documents
+from tests.llm.helpers import ODD_TEXTS, SF, documents, empty_documents, odd_documents
 
 
 def words(text):
@@ -268,3 +268,105 @@ def test_nothing_to_learn_from(spark):
 def test_empty_table(spark):
     df = empty_documents(spark)
     assert py.score(df, *py.fit(df, F.lit(True))).collect() == []
+
+
+# --- the work of a batch ---
+
+
+@pytest.mark.parametrize("texts", [
+    [], [""], ["A"], ODD_TEXTS, ["aB " * 9, "", "\x00 a\x00 a", "@[`{ AZ\x85é", "x" * 70 + " " + "x" * 71],
+    ["a" * n + "b" * (n % 3) for n in range(80)] * 2])
+def test_words_told_apart_eight_bytes_at_a_time(texts):
+    w = common.lower_words(*common.text_buffers(pa.array(texts, pa.string())))
+    want = [words(t) for t in texts]
+    names = w.strings(np.arange(len(w.key))).to_pylist()
+    assert names == list(dict.fromkeys(x for each in want for x in each))
+    assert [names[i] for i in w.which] == [x for each in want for x in each]
+    assert np.diff(w.offsets).tolist() == [len(x) for x in want]
+    for name, key, check in zip(names, w.key, w.check):
+        data = np.frombuffer(name.encode(), np.uint8)
+        one = common.string_hashes(data, np.array([0]), np.array([len(data)]))
+        assert (one[0][0], one[1][0]) == (key, check)
+
+
+def test_only_distinct_words_are_hashed_byte_by_byte(monkeypatch):
+    hashed, hashes = [], common.string_hashes
+    monkeypatch.setattr(common, "string_hashes", lambda data, *more: hashed.append(
+        len(data)) or hashes(data, *more))
+    common.lower_words(*common.text_buffers(pa.array(["many words " * 3000])))
+    assert sum(hashed) == len("manywords")
+
+
+def test_pairs_in_order_also_where_halves_of_hashes_meet():
+    rng = np.random.default_rng(5)
+    for top in (0, 1 << 63, (1 << 63) + (7 << 32)):
+        u, w = (rng.integers(0, 9, 500).astype(np.uint64) + np.uint64(top) for _ in range(2))
+        w[::3] = rng.integers(0, 1 << 63, len(w[::3])).astype(np.uint64) | py.TOP
+        place = rng.integers(0, 3, 500)
+        for order, want in ((py._order(u, w), (w, u)),
+                            (py._order_by_place(place, u, w), (w, u, place))):
+            assert sorted(order) == list(range(500))
+            for x in want:
+                assert (x[order] == x[np.lexsort(want)]).all()
+
+
+def test_hashes_are_found_by_their_top_bits():
+    rng = np.random.default_rng(6)
+    keys = np.sort(np.append(rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2),
+                             np.arange(40, dtype=np.uint64)))
+    find = py._Places(keys)
+    wanted = np.concatenate([keys, keys + np.uint64(1), [np.uint64(2**64 - 1)]])
+    at = {int(k): i for i, k in reversed(list(enumerate(keys)))}
+    assert find(wanted).tolist() == [at.get(int(k), -1) for k in wanted]
+
+
+def test_packed_columns_leave_out_zero_planes(monkeypatch):
+    raw, compress = [], pa.compress
+    monkeypatch.setattr(pa, "compress", lambda x, **k: raw.append(len(x)) or compress(x, **k))
+    columns = [np.arange(300).astype(k) for k in py._PAIRS[:3]] + [
+        np.zeros(300, np.uint32), np.ones(300, np.uint32), np.full(300, py.NO_TEXT)]
+    back = py._unpacked(pa.py_buffer(py._packed(columns)), 300, py._PAIRS)
+    assert all((a == b).all() and b.dtype == k for a, b, k in zip(columns, back, py._PAIRS))
+    assert raw == [300 * (2 + 2 + 2 + 0 + 1 + 4)]  # 32 bytes a row with all planes
+    signed = [np.array([-1, 0, 5]), np.array([7, -9, 1]), np.array([-3, 2, 1], np.int32),
+              np.zeros(3, np.uint8)]
+    back = py._unpacked(pa.py_buffer(py._packed(signed)), 3, py._KEYS)
+    assert all((a == b).all() for a, b in zip(signed, back))
+    assert [len(x) for x in py._unpacked(pa.py_buffer(py._packed([np.empty(0)])), 0, py._KEYS)] == [0] * 4
+
+
+def test_texts_of_a_blob_are_numbered():
+    keys = [np.arange(900) + 50, np.zeros(900, np.int64), np.zeros(900, np.int32),
+            np.zeros(900, np.uint8)]
+    for n in (30, 3000):  # few and many rows a text
+        text = np.random.default_rng(n).integers(0, 900, n).astype(np.uint32)
+        text[::7] = py.NO_TEXT
+        zero = np.zeros(n, np.uint32)
+        payload, texts, own = py._blob([zero.astype(np.uint64), zero, zero, zero, zero, text], keys)
+        back = py._unpacked(pa.py_buffer(payload), n, py._PAIRS)[5]
+        doc = np.append(py._unpacked(pa.py_buffer(own), texts, py._KEYS)[0], -1)
+        assert texts == len(set(text.tolist())) - 1
+        assert (doc[np.minimum(back, texts)] == np.where(
+            text == py.NO_TEXT, -1, text.astype(np.int64) + 50)).all()
+
+
+def test_slices_are_even():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 100] * 70)], names=["text"])
+    assert [p.num_rows for p in py._slices(batch, 3000)] == [24, 23, 23]  # not 30, 30, 10
+    assert sum(p.num_rows for p in py._slices(batch, 50)) == 70
+    assert not list(py._slices(batch.slice(0, 0), 3000))
+
+
+def test_customers_seated_one_by_one_draw_as_the_binomial():
+    rng = np.random.default_rng(8)
+    customers = np.minimum(rng.zipf(1.5, 400), 5000)
+    base, tables = 10.0 ** -rng.uniform(0, 6, 400), rng.integers(0, 500, 400).astype(float)
+    t, draw = np.minimum(customers, 1).astype(float), np.random.default_rng(9)
+    pull, n = (py.STRENGTH + 0.7 * tables) * base, 1
+    while (on := np.flatnonzero(customers > n)).size:
+        step = 1 if n < py.EXACT else n // 10
+        some = np.minimum(step, customers[on] - n)
+        old = np.maximum(n + (some - 1) / 2 - 0.7 * t[on], 1e-9)
+        t[on] += draw.binomial(some, pull[on] / (pull[on] + old))
+        n += step
+    assert (py.seat(customers, base, tables, 0.7, np.random.default_rng(9)) == t).all()
